@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, lm_scoring, mixing, near_dedup, packing, toxicity, url_filter
+from . import bpe, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.query,
     "op2_near_dedup": near_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_bpe": bpe.query,
+    "op5_pii": pii.query,
+    "op6_topk_search": topk_search.query,
     "op7_toxicity": toxicity.query,
     "op8_mixing": mixing.query,
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
 }
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.ORACLE}
+ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE}
