@@ -21,6 +21,8 @@ from .common import _VALUE, U64, chunks, word_hashes
 
 #: Bounds of the fitted sample: toxic documents, unlabelled documents, word features.
 MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 6_000, 12_000, 1_500
+#: Deviations by which a word's share of toxic documents must exceed its share of unlabelled ones.
+SIGNIFICANT = 4.0
 _BREAK = np.ones(256, dtype=bool)
 _BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -57,7 +59,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -40, 40)))
 
 
-def nn_pu_fit(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nn_pu_fit(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model under the non-negative PU risk, by Adam with full batches."""
     w, b = np.zeros(p.shape[1], np.float64), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -103,9 +105,10 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_un
     hu, cu = np.unique(np.concatenate(unl), return_counts=True)
     at = np.minimum(np.searchsorted(hu, hp), len(hu) - 1)
     fp, fu = cp / len(pos), np.where(hu[at] == hp, cu[at], 0) / len(unl)
-    gain = (fp - fu) / np.sqrt(fu + 1 / len(unl))
-    usable = np.flatnonzero(cp >= max(2, min(5, len(pos) // 50)))
-    best = np.sort(hp[usable[np.argsort(-gain[usable], kind="stable")][:max_features]])
+    pooled = (fp * len(pos) + fu * len(unl)) / (len(pos) + len(unl))
+    z = (fp - fu) / np.sqrt(pooled * (1 - pooled) * (1 / len(pos) + 1 / len(unl)) + 1e-12)
+    usable = np.flatnonzero((cp >= 3) & (z >= SIGNIFICANT))  # words that toxic documents hold more often than text at large
+    best = np.sort(hp[usable[np.argsort(-z[usable], kind="stable")][:max_features]])
     w, b = nn_pu_fit(_matrix(pos, best), _matrix(unl, best), prior)
     return Model(best, w, b)
 
