@@ -10,7 +10,9 @@ Equal sets are one class with one representative, so copies are never compared.
 
 1. every class is compared with the bucket's centre, the same class in all bands where possible;
 2. buckets that still hold several components: their classes against another centre, drawn for each bucket;
-3. what is left: the classes outside the bucket's largest component against those of other components, in blocks.
+3. what is left: the classes outside the bucket's largest component against those of other components.  Buckets of
+   at most ``SMALL`` classes give pairs; larger ones are compared in blocks, whose exact intersections are a matrix
+   product over the shingles that both sides share, and give at most one link for each class and component.
 
 After the third step every two classes that share a bucket are linked through a path, or were compared, or belong to
 one component; so no link of a bucket is lost, and the work falls on pairs of different components.
@@ -35,6 +37,8 @@ B, RATE, Q = 1.001, 20.0, 65534
 MARGIN = 14.0
 #: Classes of a block in step 3; ids that a broadcast of wanted documents may hold.
 BLOCK, BROADCAST_IDS = 256, 500_000
+#: Largest bucket whose pairs are listed in step 3.
+SMALL = 16
 _RANDOM = mix64(np.arange(1, 3 * BANDS * ROWS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _ADD, _MUL, _MUL2 = ((_RANDOM[k :: 3] >> U64(32)).astype(np.uint32) | np.uint32(1) for k in range(3))
 
@@ -177,6 +181,50 @@ def _blocks(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``, sorted distinct elements each."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    shared = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    if not len(shared):
+        return out
+
+    def entries(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row, x = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, x), len(shared) - 1)
+        hit = shared[at] == x
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    sides = entries(a), entries(b)
+    for low in range(0, len(shared), width):
+        dense = []
+        for (row, at), sets in zip(sides, (a, b), strict=True):
+            begin, end = np.searchsorted(at, [low, low + width])
+            m = np.zeros((len(sets), min(width, len(shared) - low)), dtype=np.float32)
+            m[row[begin:end], at[begin:end] - low] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _block_links(key: tuple, table: pa.Table) -> pa.Table:
+    """Links of outsiders (side 0) with a block's classes (side 1) of other components, one for each component."""
+    side, (cid, comp) = table.column("side").to_numpy(), (table.column(c).to_numpy() for c in ("cid", "comp"))
+    outside = table.column("outside").to_numpy(zero_copy_only=False)
+    sets = [np.frombuffer(x, U64) for x in table.column("elements").to_pylist()]
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(left) or not len(right):
+        return pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
+    n = intersections([sets[i] for i in left], [sets[i] for i in right]).astype(np.int64)
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    union = size[left][:, None] + size[right][None, :] - n
+    ok = (SIMILARITY[1] * n >= SIMILARITY[0] * union) & (comp[left][:, None] != comp[right][None, :])
+    ok &= ~outside[right][None, :] | (cid[left][:, None] < cid[right][None, :])
+    i, j = np.nonzero(ok)
+    _, first = np.unique(np.stack([i, comp[right][j]]), axis=1, return_index=True)
+    return pa.table([pa.array(cid[left][i[first]]), pa.array(cid[right][j[first]])], names=["a", "b"])
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(cid, comp): the least node reachable, for the nodes of ``edges`` (a, b); label spreading with pointer jumps.
 
@@ -251,14 +299,22 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     left = scratch.table(placed(labels), "left2")
     sizes = left.groupBy("key", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"))
-    held = left.join(main, "key").join(info, "cid").withColumn("outside", F.col("comp") != F.col("main"))
-    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-    cols = ["key", "cid", "comp", "n", "registers", "outside", "i", "j", "side"]
-    part = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    outside = held.where("outside").withColumn("i", part).withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(0))
-    inside = held.join(left.join(main, "key").where("comp <> main").select("key", F.pmod(F.xxhash64("cid"), F.ceil(F.col("k") / BLOCK).cast("int")).cast("int").alias("i")).distinct(), "key").withColumn("j", part).withColumn("side", F.lit(1))
-    pairs = outside.select(cols).unionByName(inside.select(cols)).groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long").distinct()
-    edges = scratch.table(edges.union(verified(scratch.table(pairs, "pairs3"))), "edges3")
+    held = scratch.table(left.join(main, "key").withColumn("outside", F.col("comp") != F.col("main")), "held")
+
+    def facing(held: DataFrame, more: list[str]) -> DataFrame:
+        """Blocks (key, i, j): part i of a bucket's outsiders (side 0) and part j of all its classes (side 1)."""
+        blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+        part = F.pmod(F.xxhash64("cid"), blocks).cast("int")
+        cols = ["key", "cid", "comp", "outside", "i", "j", "side", *more]
+        out = held.where("outside").withColumn("i", part).withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(0))
+        parts = held.where("outside").select("key", part.alias("i")).distinct()
+        return out.select(cols).unionByName(held.join(parts, "key").withColumn("j", part).withColumn("side", F.lit(1)).select(cols))
+
+    few = facing(held.where(F.col("k") <= SMALL).join(info, "cid"), ["n", "registers"])
+    pairs = scratch.table(few.groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long").distinct(), "pairs3")
+    many = facing(held.where(F.col("k") > SMALL).join(sets, "cid"), ["elements"])
+    links = many.groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long")
+    edges = scratch.table(edges.union(verified(pairs)).union(links), "edges3")
     labels = components(edges, scratch, "comp3")
 
     placed_classes = classes.join(labels, "cid", "left").select("print", "gid", F.coalesce("comp", "cid").alias("comp"))

@@ -149,6 +149,27 @@ def test_near_dedup_chain_in_one_bucket(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute_near(rows)
 
 
+def test_near_dedup_large_bucket_of_unlinked_and_linked(spark):
+    """A large family of copies, most of them unlike each other: every link is found, blocks included."""
+    r = random.Random(6)
+    w = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(330):
+        v = list(w)
+        for _ in range(r.randint(0, 7)):
+            v[r.randrange(150)] = f"v{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(v)))
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute_near(rows)
+
+
+def test_intersections():
+    r = np.random.default_rng(7)
+    sets = [np.unique(r.integers(0, 300, r.integers(1, 200)).astype(np.uint64)) for _ in range(20)]
+    got = near_dedup.intersections(sets[:12], sets[5:], width=64)
+    assert got.astype(int).tolist() == [[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:12]]
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(3)
     x = near_dedup.mix64(r.integers(0, 2**63, 4000).astype(np.uint64))
