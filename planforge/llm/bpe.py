@@ -2,7 +2,7 @@
 
 A task splits its chunk of documents into pre-tokens and keeps each document's positions as numbers of the chunk's
 distinct words.  The words go, dealt by hash, to owners that encode each distinct word once; the ids come back to the
-chunk that asked, where documents are put together by position.  Nothing is broadcast and nothing grows with a word's
+chunk that asked and meet its documents there, which are put together by position.  Nothing is broadcast and nothing grows with a word's
 frequency: a word costs one row share for each chunk that holds it.  Decoding looks ids up in the token-byte table.
 """
 
@@ -10,25 +10,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, mix64, partitions
+from .common import U64, Scratch, partitions
 from .pretokens import split
 
 #: Bytes of text in a chunk: what one task holds at once.
-CHUNK = 12 << 20
+CHUNK = 6 << 20
 ROWS = "kind int, chunk long, shard int, data binary"
-#: Distinct words that an owner of a shard takes together.
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
 
 
@@ -99,90 +98,107 @@ def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list,
         yield ids, texts
 
 
-def _word_shard(words: list[bytes], shards: int) -> np.ndarray:
-    import xxhash
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [[]] * len(_FIELDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(cols, _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
 
-    return np.fromiter((xxhash.xxh32_intdigest(w) for w in words), dtype=np.int64, count=len(words)) % shards
 
+def _ask(shards: int, words_only: bool):
+    """Chunks as rows: kind 0, the chunk's distinct words of a shard; or kind 1, its documents as numbers of words.
 
-def _ask(shards: int):
-    """Chunks as rows: kind 0, the chunk's distinct words of a shard; kind 1, its documents as numbers of words."""
+    Words are numbered by falling frequency, which compresses best; a shard is asked in that order, so the numbers'
+    shards are all that is needed to place the answers.  A chunk's name is a hash of its ids and texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, at = TaskContext.get().partitionId() << 24, 0
         for ids, texts in _runs(batches, CHUNK):
-            index, words, counts = split(texts)
-            raw = [w.encode("utf-8", "surrogatepass") for w in words]
-            shard = _word_shard(raw, shards)
-            order = np.array(sorted(range(len(raw)), key=lambda i: (shard[i], raw[i])), dtype=np.int64)
-            number = np.empty(len(raw), dtype=np.uint32)
-            number[order] = np.arange(len(raw), dtype=np.uint32)
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            rows = []
-            for s in range(shards):
-                mine = [raw[i] for i in order[cut[s] : cut[s + 1]]]
-                if mine:
-                    rows.append((0, base + at, s, pack(np.fromiter(map(len, mine), np.uint32, len(mine)), b"".join(mine))))
-            null = np.array([i is None for i in ids], dtype=np.uint8)
-            docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
-            rows.append((1, base + at, 0, pack(docs, null, counts.astype(np.uint32), number[index] if len(index) else np.zeros(0, np.uint32))))
-            at += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(zip(*rows, strict=True), _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
+            index, words, counts, hashes = split(texts)
+            name = xxhash.xxh64(repr(ids))
+            name.update(hashes.tobytes())
+            name.update(counts.tobytes())
+            chunk = name.intdigest() - (1 << 63)
+            order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")
+            shard = ((hashes >> U64(33)) % U64(shards)).astype(np.uint32)[order]
+            if words_only:
+                raw = [words[i].encode("utf-8", "surrogatepass") for i in order.tolist()]
+                by, cut = np.argsort(shard, kind="stable").tolist(), np.searchsorted(np.sort(shard), np.arange(shards + 1)).tolist()
+                asked = ((s, [raw[i] for i in by[cut[s] : cut[s + 1]]]) for s in range(shards) if cut[s] < cut[s + 1])
+                yield _rows([(0, chunk, s, pack(np.fromiter(map(len, mine), np.uint32, len(mine)), b"".join(mine))) for s, mine in asked])
+            else:
+                number = np.empty(len(words), dtype=np.uint32)
+                number[order] = np.arange(len(words), dtype=np.uint32)
+                null = np.array([i is None for i in ids], dtype=np.uint8)
+                docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
+                yield _rows([(1, chunk, 0, pack(docs, null, counts.astype(np.uint32), shard, number[index] if len(index) else np.zeros(0, np.uint32)))])
 
     return run
 
 
 def _answer(path: str):
-    """For the words that chunks ask of one shard: each distinct word is encoded once, each chunk gets its ids."""
-
-    def run(table: pa.Table) -> pa.Table:
-        enc, known, out = encoder(path), {}, []
-        for chunk, shard, data in zip(*(table.column(c).to_pylist() for c in ("chunk", "shard", "data")), strict=True):
-            lengths, raw = unpack(data)
-            ends = np.cumsum(lengths, dtype=np.int64)
-            words = [raw[s:e] for s, e in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
-            new = [w for w in words if w not in known]
-            known.update(zip(new, map(enc.encode_ordinary, [w.decode("utf-8", "surrogatepass") for w in new]), strict=True))
-            ids = [known[w] for w in words]
-            out.append((2, chunk, shard, pack(np.fromiter(map(len, ids), np.uint32, len(ids)), np.array([i for x in ids for i in x], dtype=np.uint32))))
-        return pa.table([pa.array(c, type=t) for c, (_, t) in zip(zip(*out, strict=True), _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
+    """For the words that chunks ask of a shard: each distinct word is encoded once, each chunk gets its ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: dict[int, list[tuple[int, bytes]]] = {}
+        for b in batches:
+            for chunk, shard, data in zip(*(b.column(c).to_pylist() for c in ("chunk", "shard", "data")), strict=True):
+                asked.setdefault(shard, []).append((chunk, data))
+        enc = encoder(path) if asked else None
+        for shard in list(asked):
+            known: dict[bytes, list[int]] = {}
+            for chunk, data in asked.pop(shard):
+                lengths, raw = unpack(data)
+                ends = np.cumsum(lengths, dtype=np.int64)
+                words = [raw[s:e] for s, e in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+                new = [w for w in words if w not in known]
+                known.update(zip(new, map(enc.encode_ordinary, [w.decode("utf-8", "surrogatepass") for w in new]), strict=True))
+                ids = list(map(known.__getitem__, words))
+                yield _rows([(2, chunk, shard, pack(np.fromiter(map(len, ids), np.uint32, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32)))])
 
     return run
 
 
 def _assemble(table: pa.Table) -> pa.Table:
-    """A chunk's documents and its words' ids, by shard: the documents' ids in the order of their positions."""
+    """A chunk's documents and its words' ids, by shard: the documents' ids in the order of their positions.
+
+    Chunks of equal ids and texts have one name; each is put together with the answers of the first.
+    """
     rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True), key=lambda r: r[:2])
-    docs, null, counts, number = unpack(rows[0][2])
-    answers = [unpack(r[2]) for r in rows[1:]]
+    answers = [unpack(data) for data in {shard: data for kind, shard, data in rows if kind == 2}.values()]
     n_ids = np.concatenate([a[0] for a in answers]).astype(np.int64) if answers else np.zeros(0, np.int64)
     ids = np.concatenate([a[1] for a in answers]) if answers else np.zeros(0, np.uint32)
-    first = np.cumsum(n_ids) - n_ids
-    out, ends = [], np.cumsum(counts, dtype=np.int64)
-    for b, e in zip((ends - counts).tolist(), ends.tolist(), strict=True):
-        w = number[b:e]
-        k = n_ids[w]
-        total = int(k.sum())
-        at = np.repeat(first[w] - (np.cumsum(k) - k), k) + np.arange(total)
-        out.append(ids[at].tobytes())
-    doc_ids = [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
+    doc_ids, out = [], []
+    for docs, null, counts, shard, number in (unpack(data) for kind, _, data in rows if kind == 1):
+        if len(shard) != len(n_ids):
+            raise ValueError("the documents changed between two reads")
+        place = np.argsort(shard, kind="stable")  # the answers' words by shard, in the order of their numbers
+        first, size = np.empty(len(n_ids), dtype=np.int64), np.empty(len(n_ids), dtype=np.int64)
+        first[place], size[place] = np.cumsum(n_ids) - n_ids, n_ids
+        ends = np.cumsum(counts, dtype=np.int64)
+        for b, e in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+            w = number[b:e]
+            k = size[w]
+            at = np.repeat(first[w] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+            out.append(ids[at].tobytes())
+        doc_ids += [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
     return pa.table([pa.array(doc_ids, pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_tokens, ids (little-endian uint32).
 
     Ids are those of the rank file at ``path``, each match of the public pattern encoded by itself, no special tokens.
     Null and empty texts have no ids.  Repeated rows and null doc_ids are kept as they are; an empty table gives no
-    rows; other columns are not read.
+    rows; other columns are not read.  The documents are read twice, once for their words and once for their positions;
+    they are written to the shared folder first unless ``stored`` says that they come from files as they are.
     """
     spark = docs.sparkSession
     path = path or vocabulary()
     shards = max(8, partitions(spark))
-    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_ask(shards), ROWS)
-    asked = Scratch(spark, "bpe").table(asked, "asked")
-    answers = asked.where("kind = 0").groupBy("shard").applyInArrow(_answer(path), ROWS)
-    return asked.where("kind = 1").unionByName(answers).groupBy("chunk").applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if not stored:
+        docs = Scratch(spark, "bpe").table(docs, "docs")
+    answers = docs.mapInArrow(_ask(shards, True), ROWS).repartition(shards, "shard").mapInArrow(_answer(path), ROWS)
+    return docs.mapInArrow(_ask(shards, False), ROWS).unionByName(answers).groupBy("chunk").applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -208,11 +224,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hashed), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids, as decimals joined by a space, and of the decoded bytes."""
-    found = decode(encode(docs, path), path).select("doc_id", "n_tokens", "ids", "decoded")
+    found = decode(encode(docs, path, stored), path).select("doc_id", "n_tokens", "ids", "decoded")
     return found.mapInArrow(_digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), stored=True)

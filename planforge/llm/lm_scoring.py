@@ -31,8 +31,8 @@ BITS, PROBES = 10, 5
 MAX_FILTER_BYTES = 192 << 20
 PRIOR_MASS = 200.0
 END_TOKEN, START_TOKEN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
-#: Tokens of one chunk.
-CHUNK = 8 << 20
+#: Bytes of text in one chunk.
+CHUNK = 4 << 20
 BLOCK = "kind int, chunk long, shard int, data binary"
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
 UNIGRAM, BIGRAM = 0, 1

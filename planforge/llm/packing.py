@@ -144,4 +144,4 @@ def write_matrices(packed: DataFrame, path: str) -> None:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+    return pack(encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), stored=True))

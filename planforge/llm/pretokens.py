@@ -86,8 +86,8 @@ def split_segment(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.nda
     return joined, starts, ends, hashes, np.bincount(np.searchsorted(ends_of_texts, starts, side="right"), minlength=len(texts))
 
 
-def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """(index of every token's word, the distinct words, tokens of each text)."""
+def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """(index of every token's word, the distinct words, tokens of each text, the words' hashes in order)."""
     parts, held, size = [], [], 0
     for i, t in enumerate(texts):
         held.append(t)
@@ -96,9 +96,9 @@ def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
             parts.append(split_segment(held))
             held, size = [], 0
     if not parts:
-        return np.zeros(0, np.int64), [], np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, U64)
     hashes = np.concatenate([p[3] for p in parts])
-    _, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+    distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
     offset = np.concatenate([[0], np.cumsum([len(p[3]) for p in parts])])
     words = [""] * len(first)
     order = np.argsort(first, kind="stable")
@@ -108,4 +108,4 @@ def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
         where = first[mine] - offset[k]
         for w, s, e in zip(mine.tolist(), starts[where].tolist(), ends[where].tolist(), strict=True):
             words[w] = joined[s:e]
-    return index, words, np.concatenate([p[4] for p in parts])
+    return index, words, np.concatenate([p[4] for p in parts]), distinct

@@ -199,7 +199,7 @@ def test_pretokens_follow_the_pattern():
     parts = ["a", "st", "re", "ll", "'", "'s", "''", " ", "  ", "\n", "1", "²", "é", "!", "　", "\x1f", "\0", "🙂"]
     for _ in range(800):
         ts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(3)]
-        index, found, counts = pretokens.split(ts)
+        index, found, counts, _ = pretokens.split(ts)
         assert [found[i] for i in index] == [m for t in ts for m in pattern.findall(t)]
         assert counts.tolist() == [len(pattern.findall(t)) for t in ts]
 
