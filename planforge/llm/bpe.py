@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, partitions
+from .common import U64, Scratch, partitions, trim
 from .pretokens import split
 
 #: Bytes of text in a chunk: what one task holds at once.
@@ -94,8 +94,10 @@ def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list,
             if size >= limit:
                 yield ids, texts
                 ids, texts, size = [], [], 0
+                trim()
     if ids:
         yield ids, texts
+    trim()
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

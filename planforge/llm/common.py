@@ -8,9 +8,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@lru_cache(maxsize=1)
+def _malloc_trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if release := _malloc_trim():
+        release(0)
+
+
 def pylists(batch: pa.RecordBatch, names: list[str]) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
@@ -77,10 +94,12 @@ def chunks(batches: Iterable[pa.RecordBatch], names: list[str], text: str = "tex
                     h.extend(c[begin : i + 1])
                 yield held
                 held, size, begin = [[] for _ in names], 0, i + 1
+                trim()
         for h, c in zip(held, cols, strict=True):
             h.extend(c[begin:])
     if held[at]:
         yield held
+    trim()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .common import _VALUE, U64, chunks, word_hashes
 
 #: Bounds of the fitted sample: toxic documents, unlabelled documents, word features.
-MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 6_000, 12_000, 1_500
+MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 4_000, 8_000, 1_500
 #: Deviations by which a word's share of toxic documents must exceed its share of unlabelled ones.
 SIGNIFICANT = 4.0
 _BREAK = np.ones(256, dtype=bool)
