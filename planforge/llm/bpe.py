@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -26,8 +26,11 @@ from .common import U64, Scratch, partitions, trim
 from .pretokens import split
 
 #: Bytes of text in a chunk: what one task holds at once.
-CHUNK = 6 << 20
+CHUNK = 5 << 20
 ROWS = "kind int, chunk long, shard int, data binary"
+ENCODED = "doc_id long, n_tokens long, ids binary"
+#: Words that a worker keeps encoded between chunks when it encodes without a shuffle.
+KNOWN = 150_000
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
 
 
@@ -84,7 +87,7 @@ def unpack(block: bytes) -> list:
     return out
 
 
-def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[str]]]:
+def runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[str]]]:
     ids, texts, size = [], [], 0
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -113,7 +116,7 @@ def _ask(shards: int, words_only: bool):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _runs(batches, CHUNK):
+        for ids, texts in runs(batches, CHUNK):
             index, words, counts, hashes = split(texts)
             name = xxhash.xxh64(repr(ids))
             name.update(hashes.tobytes())
@@ -159,6 +162,10 @@ def _answer(path: str):
     return run
 
 
+def _finished(then: Callable[[pa.Table], pa.Table] | None) -> Callable[[pa.Table], pa.Table]:
+    return _assemble if then is None else lambda table: then(_assemble(table))
+
+
 def _assemble(table: pa.Table) -> pa.Table:
     """A chunk's documents and its words' ids, by shard: the documents' ids in the order of their positions.
 
@@ -185,13 +192,14 @@ def _assemble(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(doc_ids, pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
 
-def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, stored: bool = False, then: Callable[[pa.Table], pa.Table] | None = None, schema: str = ENCODED) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_tokens, ids (little-endian uint32).
 
     Ids are those of the rank file at ``path``, each match of the public pattern encoded by itself, no special tokens.
     Null and empty texts have no ids.  Repeated rows and null doc_ids are kept as they are; an empty table gives no
     rows; other columns are not read.  The documents are read twice, once for their words and once for their positions;
     they are written to the shared folder first unless ``stored`` says that they come from files as they are.
+    ``then`` turns each chunk's table into one of ``schema`` in the same worker.
     """
     spark = docs.sparkSession
     path = path or vocabulary()
@@ -200,36 +208,71 @@ def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> Da
     if not stored:
         docs = Scratch(spark, "bpe").table(docs, "docs")
     answers = docs.mapInArrow(_ask(shards, True), ROWS).repartition(shards, "shard").mapInArrow(_answer(path), ROWS)
-    return docs.mapInArrow(_ask(shards, False), ROWS).unionByName(answers).groupBy("chunk").applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
+    return docs.mapInArrow(_ask(shards, False), ROWS).unionByName(answers).groupBy("chunk").applyInArrow(_finished(then), schema)
+
+
+def encode_here(texts: list[str], path: str, known: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Ids of each text, without a shuffle: every distinct word of the texts once, ``known`` keeps words between calls."""
+    index, words, counts, _ = split(texts)
+    enc = encoder(path)
+    if len(known) > KNOWN:
+        known.clear()
+    for w in words:
+        if w not in known:
+            known[w] = np.array(enc.encode_ordinary(w), dtype=np.uint32)
+    parts = [known[w] for w in words]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    first, k = (np.cumsum(size) - size)[index], size[index]
+    flat = ids[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))] if len(index) else ids
+    ends = np.cumsum(np.add.reduceat(np.append(k, 0), np.minimum(np.cumsum(counts) - counts, len(k))) * (counts > 0))
+    return np.split(flat, ends[:-1]) if len(texts) else []
+
+
+def decoded(ids: bytes, table: list[bytes]) -> bytes:
+    """The bytes of ids by the token-byte table."""
+    return b"".join(map(table.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of its ids by the token-byte table; null for null."""
     path = path or vocabulary()
-    names = encoded.columns
+    names = [c for c in encoded.columns if c != "decoded"]
+    encoded = encoded.select(*[F.col(f"`{c}`") for c in names])
     schema = encoded.select("*", F.lit(None).cast("binary").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         for b in batches:
-            out = [None if x is None else b"".join(map(table.__getitem__, np.frombuffer(x, np.uint32).tolist())) for x in b.column(names.index("ids")).to_pylist()]
+            out = [None if x is None else decoded(x, table) for x in b.column(names.index("ids")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    text = [b"%d" % i for i in range(1 << 17)]
-    for b in batches:
-        hashed = [hashlib.sha256(b" ".join(map(text.__getitem__, np.frombuffer(x, np.uint32).tolist()))).hexdigest() for x in b.column(2).to_pylist()]
-        decoded = [hashlib.sha256(x).hexdigest() for x in b.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hashed), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+@lru_cache(maxsize=1)
+def _decimals(n: int) -> list[bytes]:
+    return [b"%d" % i for i in range(n)]
+
+
+def _digest(path: str) -> Callable[[pa.Table], pa.Table]:
+    def run(encoded: pa.Table) -> pa.Table:
+        table = token_bytes(path)
+        text, hashed, back = _decimals(len(table)), [], []
+        for x in encoded.column("ids"):
+            ids = x.as_py()
+            hashed.append(hashlib.sha256(b" ".join(map(text.__getitem__, np.frombuffer(ids, np.uint32).tolist()))).hexdigest())
+            back.append(hashlib.sha256(decoded(ids, table)).hexdigest())
+        trim()
+        return pa.table([encoded.column("doc_id"), encoded.column("n_tokens"), pa.array(hashed, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
 
 
 def digests(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids, as decimals joined by a space, and of the decoded bytes."""
-    found = decode(encode(docs, path, stored), path).select("doc_id", "n_tokens", "ids", "decoded")
-    return found.mapInArrow(_digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    path = path or vocabulary()
+    return encode(docs, path, stored, _digest(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import encode
-from .common import partitions
+from .bpe import CHUNK, encode_here, runs, vocabulary
+from .common import Scratch
 
 LENGTH, PAD = 2048, 50256
 #: Mean tokens of a packing group; a group is packed by one task.
@@ -99,29 +99,63 @@ def pack(encoded: DataFrame, size: int = LENGTH, pad: int = PAD, group_tokens: i
     or an id needs it.  Documents without ids (null or empty) are in no row; every other id of every row of the input,
     repeated rows too, is in exactly one.  Null doc_ids stay null in doc_ids.
     """
-    dtype = np.uint16 if pad < 1 << 16 else np.uint32
-    total = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    groups = max(1, -(-total // group_tokens))
+    cut = _cutter(size, pad)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Full rows are done (group -1 - task); rests go on as rows of one piece without padding."""
-        own, at = -1 - TaskContext.get().partitionId(), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(raw or b"", np.uint32).astype(dtype)
-                full = len(ids) // size
-                for k in range(full):
-                    rows.append(_row(own, at, [(doc_id, k, k * size, ids[k * size : (k + 1) * size])], size, pad, dtype))
-                    at += 1
-                    if len(rows) == 1000:
-                        yield _out(rows)
-                        rows = []
-                if len(ids) % size:
-                    rest = ids[full * size :]
-                    rows.append((0, 0, [doc_id], [full], [full * size], [0, len(rest)], [0], len(rest), rest.tobytes()))
-            if rows:
-                yield _out(rows)
+            yield from cut(b.column(0).to_pylist(), [np.frombuffer(x or b"", np.uint32) for x in b.column(1).to_pylist()])
+
+    return _packed(encoded.select("doc_id", "ids").mapInArrow(run, PACKED), size, pad, group_tokens)
+
+
+def pack_texts(docs: DataFrame, path: str | None = None, size: int = LENGTH, pad: int = PAD, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """``pack`` of the ids of ``docs`` (doc_id, text), which each task encodes for itself and cuts in the same pass."""
+    path, cut = path or vocabulary(), _cutter(size, pad)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, np.ndarray] = {}
+        for ids, texts in runs(batches, CHUNK):
+            yield from cut(ids, encode_here(texts, path, known))
+
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _packed(docs.mapInArrow(run, PACKED), size, pad, group_tokens)
+
+
+def _dtype(pad: int) -> type:
+    return np.uint16 if pad < 1 << 16 else np.uint32
+
+
+def _cutter(size: int, pad: int):
+    """Documents to full rows, which are done (group -1 - task), and rests, rows of one piece without padding (group 0)."""
+    dtype, at = _dtype(pad), 0
+
+    def cut(doc_ids: list, encoded: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        nonlocal at
+        own, rows = -1 - TaskContext.get().partitionId(), []
+        for doc_id, ids in zip(doc_ids, encoded, strict=True):
+            ids = ids.astype(dtype)
+            full = len(ids) // size
+            for k in range(full):
+                rows.append(_row(own, at, [(doc_id, k, k * size, ids[k * size : (k + 1) * size])], size, pad, dtype))
+                at += 1
+                if len(rows) == 1000:
+                    yield _out(rows)
+                    rows = []
+            if len(ids) % size:
+                rest = ids[full * size :]
+                rows.append((0, 0, [doc_id], [full], [full * size], [0, len(rest)], [0], len(rest), rest.tobytes()))
+        if rows:
+            yield _out(rows)
+
+    return cut
+
+
+def _packed(parts: DataFrame, size: int, pad: int, group_tokens: int) -> DataFrame:
+    """Full rows as they are, and the rests packed group by group; the parts are written once, as both read them."""
+    dtype = _dtype(pad)
+    parts = Scratch(parts.sparkSession, "packing").table(parts, "parts")
+    total = parts.where("pack_group = 0").agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    groups = max(1, -(-total // group_tokens))
 
     def fill(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("first", "ascending"), ("n_tokens", "ascending")])
@@ -131,11 +165,9 @@ def pack(encoded: DataFrame, size: int = LENGTH, pad: int = PAD, group_tokens: i
         group = key[0].as_py()
         return pa.Table.from_batches([_out([_row(group, n, [(docs[i][0], pieces[i][0], starts[i][0], ids[i]) for i in row], size, pad, dtype) for n, row in enumerate(rows)])])
 
-    parts = encoded.select("doc_id", "ids").mapInArrow(cut, PACKED)
-    own = parts.where("pack_group < 0")
-    salt = F.xxhash64(F.col("doc_ids")[0], "n_tokens", F.xxhash64("ids"))  # repeated ids spread by their texts
+    salt = F.xxhash64(F.col("doc_ids")[0], "n_tokens", "ids")  # repeated ids spread by their texts
     rest = parts.where("pack_group = 0").withColumn("first", F.col("doc_ids")[0]).withColumn("pack_group", F.pmod(salt, F.lit(groups)))
-    return own.unionByName(rest.groupBy("pack_group").applyInArrow(fill, PACKED))
+    return parts.where("pack_group < 0").unionByName(rest.groupBy("pack_group").applyInArrow(fill, PACKED))
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:
@@ -144,4 +176,4 @@ def write_matrices(packed: DataFrame, path: str) -> None:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), stored=True))
+    return pack_texts(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

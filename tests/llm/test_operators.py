@@ -342,3 +342,15 @@ def test_packing_is_lossless(docs, empty):
             want.setdefault((r.doc_id, k // 64, k), []).append(ids[k : k + 64])
     assert {k: sorted(v) for k, v in back.items()} == {k: sorted(v) for k, v in want.items()}
     assert packing.pack(bpe.encode(empty)).count() == 0
+    whole = lambda df: Counter((tuple(r.doc_ids), tuple(r.starts), bytes(r.ids)) for r in df.where("pack_group >= 0").collect())
+    assert whole(packing.pack_texts(docs, size=64, group_tokens=500)) == whole(packing.pack(encoded, size=64, group_tokens=500))
+
+
+def test_encoding_without_a_shuffle():
+    enc, known = tiktoken_encoder(), {}
+    for ts in ([t or "" for t in texts()], ["", ""], [""], []):
+        assert [x.tolist() for x in bpe.encode_here(ts, bpe.vocabulary(), known)] == [enc.encode_ordinary(t) for t in ts]
+
+
+def test_decoding(docs):
+    assert Counter((r.doc_id, bytes(r.decoded)) for r in bpe.decode(bpe.encode(docs)).collect()) == Counter((d, (t or "").encode()) for d, t in rows_of(docs))
