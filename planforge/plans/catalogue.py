@@ -529,3 +529,113 @@ def line_rows(t):
 def number_format(t):
     x = (F.col("o_orderkey") % 7) / 2
     return t.orders.select("o_orderkey", C.number_text(x).alias("number"), F.date_format("o_orderdate", "yyyyMMdd_HHmmss").alias("run"))
+
+
+# --- operators that SQL cannot express: the driver checks their rows, tests/ their results ---
+@query()
+def html_grid(t):
+    """Grids of tables made of the pages' title and links, with a spanned row."""
+    from ..functions.grids import grids_of
+
+    title = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
+    table = F.concat(F.lit("<table><tr><td rowspan=2>"), F.col("page_id").cast("string"), F.lit("</td><td colspan=2>"), title, F.lit("</td></tr><tr><td>"), F.length("html").cast("string"), F.lit("</td><td>x</td></tr></table>"))
+    grids = t.pages.select("page_id", grids_of(table).alias("g"))
+    return grids.select("page_id", F.posexplode(F.col("g")[0]).alias("r", "cells")).select("page_id", "r", F.posexplode("cells").alias("c", "value"))
+
+
+@query()
+def keyword_snippets(t):
+    from ..functions.text import snippets
+
+    found = t.documents.select("doc_id", F.explode(snippets(F.col("text"), ("license", "token"), 20, 40)).alias("s"))
+    return found.select("doc_id", "s.hint", "s.start", "s.snippet")
+
+
+@query()
+def week_parse(t):
+    from ..functions.weeks import week_expression
+
+    size = F.col("p_size").cast("string")
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("第"), size, F.lit("周"))).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("1-"), size)).otherwise(F.concat(size, F.lit("、十四周")))
+    return t.part.select("p_partkey", week_expression(text).alias("w")).select("p_partkey", "w.weeks", "w.out_of_range", F.size("w.errors").alias("errors"))
+
+
+@query()
+def nfkc_name_equal(t):
+    from ..functions.text import normal_english_name
+
+    wide = F.translate("c_name", "#0123456789", "＃０１２３４５６７８９")
+    return t.customer.select("c_custkey", (normal_english_name(wide) == normal_english_name("c_name")).alias("equal"))
+
+
+def _subjects(t):
+    """Audit subjects and library made of orders and customers: totals, weeks and names that agree or not by rule."""
+    from .. import schemas
+    from ..functions.columns import subject_key
+
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").cast("int").alias("hours"), F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("int").alias("q")))).alias("items"))
+    d = t.orders.join(lines, "o_orderkey", "left").join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", "left")
+    text = lambda c: F.col(c).cast("string")
+    basic = {"kcbh": F.when(F.col("o_orderkey") % 5 > 0, text("o_custkey")), "zwkcmc": F.col("c_name"), "ywkcmc": F.lower("c_name"), "zxs": F.lit("2"), "skzs": (F.col("o_orderkey") % 19 + 1).cast("string"), "zongxs": F.when(F.col("o_orderkey") % 3 > 0, text("hours")), "jsgh": text("o_custkey")}
+    schema = schemas.struct(f"p {schemas.PAYLOAD}, m {schemas.META}")
+    jcxx = F.struct(*[basic.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in schema["p"].dataType["jcxx"].dataType])
+    none = F.lit(None).cast("string")
+    extra = F.array().cast("array<struct<bt:string,nr:string>>")
+    content = F.transform("items", lambda r: F.struct(r["n"].cast("string").alias("xh"), F.lit("t").alias("zt"), F.lit("z").alias("zsd"), r["q"].cast("string").alias("xs"), extra.alias("kzzd")))
+    plan = F.transform("items", lambda r: F.struct(r["n"].cast("string").alias("zs"), F.lit("c").alias("sknr"), none.alias("skfs"), none.alias("szyqjxx"), extra.alias("kzzd")))
+    payload = F.struct(jcxx.alias("jcxx"), F.lit("简介").alias("kczwjj"), none.alias("kcywjj"), none.alias("ybzsyq"), none.alias("jcjydcl"), F.col("o_orderpriority").alias("kcyq"),
+                       F.struct(F.lit("a").alias("szmb"), none.alias("nlmb"), none.alias("zsmb"), none.alias("mbgs"), extra.alias("kzzd")).alias("kcmb"),
+                       F.struct(content.alias("tm"), text("hours").alias("zongxs"), none.alias("nrgs")).alias("jxnr"), F.struct(plan.alias("tm"), none.alias("apgs")).alias("jxap"),
+                       F.lit(None).cast(schema["p"].dataType["khfsb"].dataType).alias("khfsb")).cast(schemas.PAYLOAD)
+    meta = F.from_json(F.to_json(F.struct(F.concat(F.lit("课程基本信息 总学时："), text("hours")).alias("full_text"))), schemas.META)
+    path = F.concat(F.lit("orders/"), F.col("c_name"), F.lit(".pdf"))
+    subjects = d.select(F.col("o_orderkey").alias("extraction_id"), F.coalesce(basic["kcbh"], F.lit("")).alias("course_code"), path.alias("source_path"), payload.alias("payload"), meta.alias("meta"), F.when(F.col("o_orderstatus") == "P", "partial").otherwise("success").alias("extraction_status"), subject_key("o_orderkey", path).alias("subject_key"))
+    library = t.customer.select(*[{"kcbh": F.col("c_custkey").cast("string"), "zwkcmc": F.col("c_name"), "ywkcmc": F.upper("c_name"), "zxs": F.lit("2.0"), "skzs": F.lit("10")}.get(c, none).alias(c) for c in schemas.struct(schemas.COURSES).names])
+    return subjects, library
+
+
+@query()
+def audit_results(t):
+    """Matching, rules and roll-up of every subject."""
+    from ..operators import audit
+
+    subjects, library = _subjects(t)
+    out = audit.results(audit.evaluate(audit.match(subjects, library)))
+    return out.select("subject_key", "match_status", "match_method", "fail_count", "warning_count", "overall_status")
+
+
+@query("""
+SELECT 'extraction:' || o_orderkey AS subject_key, zxs * skzs = total AS formula_pass, CASE WHEN zxs * skzs = total THEN '总学时等于周学时乘以上课周数。' ELSE
+  '总学时不等于周学时乘以上课周数：总学时为 ' || total || '，周学时 2 × 上课周数 ' || skzs || ' = ' || zxs * skzs END AS message
+FROM (SELECT o_orderkey, 2 AS zxs, o_orderkey % 19 + 1 AS skzs, sum(l_quantity)::INT AS total FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 3 > 0 GROUP BY 1)""")
+def audit_formula(t):
+    from ..operators import audit
+
+    subjects, _ = _subjects(t)
+    f = subjects.select("subject_key", audit.hours_formula().alias("f")).where("f is not null")
+    return f.select("subject_key", (F.col("f.status") == "pass").alias("formula_pass"), F.col("f.message").alias("message"))
+
+
+@query()
+def llm_offline(t):
+    """A judged dimension without a client: every subject is for manual review, with its trace."""
+    from ..operators import judges
+
+    subjects, _ = _subjects(t)
+    out = judges.judged(subjects, "szysfyxrghj")
+    return out.select("subject_key", "wd", "status", "message", F.get_json_object("llm_trace", "$.calls[0].status").alias("call"))
+
+
+@query()
+def section_tables(t):
+    """Markdown with tables made of lines of orders, parsed, built to payloads and given their status."""
+    from ..operators import payload, sections
+
+    cell = lambda *c: F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *c), F.lit("</td></tr>"))
+    row = cell(F.col("l_linenumber").cast("string"), F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity").cast("int").cast("string"))
+    rows = F.array_join(F.sort_array(F.collect_list(row)), "")
+    head = "<table><tr><td>序号</td><td>主题</td><td>知识点</td><td>学时</td></tr>"
+    md = t.lineitem.groupBy("l_orderkey").agg(F.concat(F.lit("课程编号：K"), F.col("l_orderkey").cast("string"), F.lit(f"\n## 教学内容\n{head}"), rows, F.lit("</table>")).alias("md"))
+    raw = sections.raw_records(md.select(F.col("l_orderkey").cast("string").alias("source_path"), "md", F.lit(None).cast("string").alias("middle")))
+    done = payload.finish(payload.build(raw))
+    return done.select("source_path", "course_code", F.size("payload.jxnr.tm").alias("rows"), F.col("payload.jxnr.zongxs").alias("hours"), "extraction_status", F.size("meta.extraction_warnings").alias("warnings"))

@@ -1,0 +1 @@
+"""The engine is batch; ``planforge.plans.drivers.prepare_stream`` prepares documents as they arrive."""
