@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 
-
 from .. import config
 from .udf import vectorised
 
@@ -75,6 +75,11 @@ def segments(c: Column, words: Iterable[str], window: int = 320, cap: int = 12)
 
 
 def title_pattern(titles: Iterable[str]) -> re.Pattern:
+    return _title_pattern(tuple(titles))
+
+
+@lru_cache(maxsize=256)
+def _title_pattern(titles: tuple[str, ...]) -> re.Pattern:
     """A line that is one of the titles, with numbering before it."""
     return re.compile(rf"(?m)^[ \t#]*{config.TITLE_PREFIX}(?:{'|'.join(map(re.escape, sorted(titles, key=len, reverse=True)))}){_SUFFIX}[ \t]*[:：]?[ \t]*")
 
@@ -151,15 +156,20 @@ def flexible(label: str) -> re.Pattern:
     return re.compile(r"\s*".join(map(re.escape, label)))
 
 
+@lru_cache(maxsize=64)
+def _any_label(labels: tuple[str, ...]) -> re.Pattern:
+    return re.compile("|".join(f"(?P<l{i}>{flexible(x).pattern})" for i, x in enumerate(labels)))
+
+
 def label_pairs(cells: Iterable[str | None], labels: Iterable[str]) -> list[tuple[str, str]]:
     """(label, value) of a row: labels in cells of their own take the next cell, glued ones the rest of theirs."""
     labels, out, cells = sorted(labels, key=len, reverse=True), [], [(c or "").strip() for c in cells]
     if not labels:
         return out
-    any_label = re.compile("|".join(f"(?P<l{i}>{flexible(x).pattern})" for i, x in enumerate(labels)))
+    any_label = _any_label(tuple(labels))
     waiting = None
     for cell in cells:
-        hits = [m for m in any_label.finditer(cell)]
+        hits = list(any_label.finditer(cell)) if len(cell) > 1 else []
         if not hits or hits[0].start():
             if waiting and cell:
                 out.append((waiting, cell[: hits[0].start()].strip(" :：") if hits else cell))

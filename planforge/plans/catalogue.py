@@ -636,6 +636,6 @@ def section_tables(t):
     rows = F.array_join(F.sort_array(F.collect_list(row)), "")
     head = "<table><tr><td>序号</td><td>主题</td><td>知识点</td><td>学时</td></tr>"
     md = t.lineitem.groupBy("l_orderkey").agg(F.concat(F.lit("课程编号：K"), F.col("l_orderkey").cast("string"), F.lit(f"\n## 教学内容\n{head}"), rows, F.lit("</table>")).alias("md"))
-    raw = sections.raw_records(md.select(F.col("l_orderkey").cast("string").alias("source_path"), "md", F.lit(None).cast("string").alias("middle")))
+    raw = sections.raw_records(md.select(F.col("l_orderkey").cast("string").alias("source_path"), "md", F.lit(None).cast("string").alias("middle")), int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     done = payload.finish(payload.build(raw))
     return done.select("source_path", "course_code", F.size("payload.jxnr.tm").alias("rows"), F.col("payload.jxnr.zongxs").alias("hours"), "extraction_status", F.size("meta.extraction_warnings").alias("warnings"))
