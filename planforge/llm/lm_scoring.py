@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ MAX_FILTER_BYTES = 192 << 20
 PRIOR_MASS = 200.0
 END_TOKEN, START_TOKEN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Bytes of text in one chunk.
-CHUNK = 4 << 20
+CHUNK = 6 << 20
 BLOCK = "kind int, chunk long, shard int, data binary"
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
 UNIGRAM, BIGRAM = 0, 1
@@ -221,30 +221,45 @@ def train(docs: DataFrame, most_bytes: int = MAX_FILTER_BYTES, mass: float = PRI
     return Model(Filter(blocks[UNIGRAM]), Filter(blocks[BIGRAM]), total, distinct, false_rate, mass)
 
 
-def _score(shards: int, shared):
-    """Chunks: kind 0, distinct tokens of a shard with training counts and occurrences; kind 1, the documents' scores."""
+def _chunk_name(ids: list, h: np.ndarray, counts: np.ndarray) -> int:
+    name = xxhash.xxh64(repr(ids))
+    name.update(h.tobytes())
+    name.update(counts.tobytes())
+    return name.intdigest() - (1 << 63)
+
+
+def _ask(shards: int):
+    """Kind 0: a chunk's distinct tokens of a shard with their training counts and the documents of their occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        base, at = TaskContext.get().partitionId() << 24, 0
         for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
             h, n = tokens(texts)
+            chunk = _chunk_name(ids, h, n)
             held = np.array([_held_out(i) for i in ids], dtype=bool)
-            doc = np.repeat(np.arange(len(ids), dtype=np.uint32), n)
             order = np.argsort(h, kind="stable")
-            sorted_h, sorted_doc = h[order], doc[order]
+            sorted_h, sorted_doc = h[order], np.repeat(np.arange(len(ids), dtype=np.uint32), n)[order]
             first = np.flatnonzero(np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]]))
-            size = np.diff(np.concatenate([first, [len(h)]]))
-            learnt = np.add.reduceat((~held[sorted_doc]).astype(np.int64), first)
-            u = sorted_h[first]
-            cut, edge = splits(u, shards), np.concatenate([first, [len(h)]])
-            narrow = np.uint16 if len(ids) < 1 << 16 else np.uint32
-            rows = [(0, base + at, s, pack(u[a:b].view(np.int64), learnt[a:b].astype(np.uint32), size[a:b].astype(np.uint32), sorted_doc[edge[a] : edge[b]].astype(narrow))) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a]
+            edge = np.append(first, len(h))
+            learnt = np.add.reduceat((~held[sorted_doc]).astype(np.uint32), first)
+            u, size = sorted_h[first], np.diff(edge).astype(np.uint32)
+            cut = splits(u, shards).tolist()
+            sorted_doc = sorted_doc.astype(np.uint16 if len(ids) < 1 << 16 else np.uint32)
+            yield _table([(0, chunk, s, pack(u[a:b].view(np.int64), learnt[a:b], size[a:b], sorted_doc[edge[a] : edge[b]])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a])
+
+    return run
+
+
+def _score(shared):
+    """Kind 1: a chunk's documents with the model's scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
+            h, n = tokens(texts)
             docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
             null = np.array([i is None for i in ids], dtype=np.uint8)
-            rows.append((1, base + at, 0, pack(docs, null, held.astype(np.uint8), n.astype(np.int64), model.log10(h, n).tobytes())))
-            at += 1
-            yield _table(rows)
+            held = np.array([_held_out(i) for i in ids], dtype=np.uint8)
+            yield _table([(1, _chunk_name(ids, h, n), 0, pack(docs, null, held, n.astype(np.int64), model.log10(h, n).tobytes()))])
 
     return run
 
@@ -268,37 +283,45 @@ def _finish(total: int, distinct: int):
     norm = np.log10(total + 0.1 * (distinct + 1)) if distinct else 0.0
 
     def run(table: pa.Table) -> pa.Table:
+        """Chunks of equal ids and texts have one name; each takes the answers of the first."""
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True), key=lambda r: r[:2])
-        docs, null, held, n, score = unpack(rows[0][2])
-        base, known = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
-        for _, _, data in rows[1:]:
-            s, k = unpack(data)
-            s = np.frombuffer(s)
-            base[: len(s)] += s
-            known[: len(k)] += k
-        ids = pa.array([None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)], pa.int64())
-        return pa.table(
-            [ids, pa.array(held.astype(bool)), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(np.frombuffer(score))],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
+        answers = [unpack(data) for data in {shard: data for kind, shard, data in rows if kind == 2}.values()]
+        out = []
+        for docs, null, held, n, score in (unpack(data) for kind, _, data in rows if kind == 1):
+            base, known = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
+            for sums, k in answers:
+                sums = np.frombuffer(sums)
+                base[: len(sums)] += sums
+                known[: len(k)] += k
+            ids = pa.array([None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)], pa.int64())
+            cols = [ids, pa.array(held.astype(bool)), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(np.frombuffer(score))]
+            out.append(pa.table(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+        if not out:
+            raise ValueError("the documents changed between two reads")
+        return pa.concat_tables(out)
 
     return run
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text) with its exact unigram score and the model's score.
 
     Null and empty texts hold just the end token.  Null doc_ids and repeated rows are scored like any other and are
-    never held out unless their doc_id says so.  An empty table gives no rows; other columns are not read.
+    never held out unless their doc_id says so.  An empty table gives no rows; other columns are not read.  The
+    documents are read twice, for their tokens and for the model's scores; they are written to the shared folder first
+    unless ``stored`` says that they come from files as they are.
     """
     spark = docs.sparkSession
     shards = max(8, partitions(spark))
-    asked = Scratch(spark, "lm").table(docs.mapInArrow(_score(shards, spark.sparkContext.broadcast(model)), BLOCK), "asked")
-    answers = asked.where("kind = 0").groupBy("shard").applyInArrow(_answer, BLOCK)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if not stored:
+        docs = Scratch(spark, "lm").table(docs, "docs")
+    answers = docs.mapInArrow(_ask(shards), BLOCK).groupBy("shard").applyInArrow(_answer, BLOCK)
+    scored = docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), BLOCK)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return asked.where("kind = 1").unionByName(answers).groupBy("chunk").applyInArrow(_finish(model.total, model.distinct), out)
+    return scored.unionByName(answers).groupBy("chunk").applyInArrow(_finish(model.total, model.distinct), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return score(docs, train(docs))
+    return score(docs, train(docs), stored=True)
