@@ -2,20 +2,21 @@
 
 An n-gram's count c is kept as level q = 1 + floor(log_b(c)): the filter holds the pairs (n-gram, 1) .. (n-gram, q).
 A lookup probes the levels upwards until one is missing and returns the level's expected count.  The filter is dealt
-into shards by the n-grams' hashes; each shard is built by one task from the counts dealt to it, with bits in
-proportion to what it holds, up to the shard's share of ``MAX_FILTER_BYTES``.  The driver gathers and broadcasts the
-shards, so the broadcast never exceeds that bound.  Past the bound a filter fills up and answers more n-grams falsely;
-the measured false rate of a lookup lowers the weight of the bigrams, so the model falls back towards unigrams.
+into shards by the n-grams' hashes.  Each shard has ``BITS`` for each level it holds, so the false rate is the same at
+every size, and it stays in the task that builds it: nothing is gathered or broadcast.  Chunks of documents send their
+distinct n-grams with their counts in training texts to the shards; a shard sums the counts, builds its filter and
+answers each chunk with its n-grams' levels.  The documents, sent to their chunks' answers, are scored there.
 
 Smoothing: P(w2 | w1) = (c(w1 w2) + m P(w2)) / (c(w1) + m) with m the bigrams' prior mass, P(w) = (c(w)+0.1)/(N+0.1(V+1)).
 
-The exact unigram score (base) needs every token's count, which no bounded broadcast holds: chunks send their distinct
-tokens' hashes and occurrences to shards, where counts are summed and each chunk is answered with its documents' sums.
+The exact unigram score (base) needs every token's count: chunks send their tokens' occurrences too, and shards answer
+with sums for each document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,14 @@ from .common import U64, Scratch, chunks, merge_counts, mix64, partitions, split
 
 BASE = 1.5
 BITS, PROBES = 10, 5
-MAX_FILTER_BYTES = 192 << 20
 PRIOR_MASS = 200.0
 END_TOKEN, START_TOKEN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Bytes of text in one chunk.
 CHUNK = 6 << 20
 BLOCK = "kind int, chunk long, shard int, data binary"
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
-UNIGRAM, BIGRAM = 0, 1
+#: Kinds of rows: n-grams asked or answered for, and a chunk's documents.
+UNIGRAM, BIGRAM, TEXTS = 0, 1, 2
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -81,27 +82,6 @@ def _held_out(doc_id: object) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
 
 
-def _count(shards: int):
-    """Counts of the training texts' unigrams and bigrams, by chunk and shard."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
-            texts = [t for i, t in zip(ids, texts, strict=True) if not _held_out(i)]
-            if not texts:
-                continue
-            h, n = tokens(texts)
-            rows = []
-            for kind, grams in ((UNIGRAM, h), (BIGRAM, bigrams(h, n))):
-                u, c = np.unique(grams, return_counts=True)
-                cut = splits(u, shards)
-                rows += [(kind, 0, s, pack(u[a:b].view(np.int64), c[a:b].astype(np.uint32))) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a]
-            s = int(np.searchsorted(splits_edges(shards), START_KEY, side="right"))
-            rows.append((UNIGRAM, 0, s, pack(np.array([START_KEY]).view(np.int64), np.array([len(texts)], np.uint32))))
-            yield _table(rows)
-
-    return run
-
-
 def splits_edges(shards: int) -> np.ndarray:
     step = (1 << 64) // shards
     return np.array([i * step for i in range(1, shards)], dtype=U64)
@@ -118,10 +98,11 @@ def _positions(h: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarr
         yield (a + U64(k) * b) % bits
 
 
-def build_filter(h: np.ndarray, counts: np.ndarray, most_bytes: int) -> np.ndarray:
+def build_filter(h: np.ndarray, counts: np.ndarray, most_bytes: int | None = None) -> np.ndarray:
     """Bytes of the filter over n-grams with their counts: one-bit positions, ``BITS`` for each level held."""
     q = levels(counts)
-    size = max(64, min(8 * most_bytes, BITS * int(q.sum())))
+    size = max(64, BITS * int(q.sum()))
+    size = min(size, 8 * most_bytes) if most_bytes else size
     size = -(-size // 8) * 8
     bits = np.zeros(size, dtype=bool)
     for level in range(1, int(q.max(initial=0)) + 1):
@@ -130,24 +111,6 @@ def build_filter(h: np.ndarray, counts: np.ndarray, most_bytes: int) -> np.ndarr
     return np.packbits(bits)
 
 
-def _build(shards: int, most_bytes: int):
-    share = {UNIGRAM: most_bytes // 4 // shards, BIGRAM: 3 * (most_bytes // 4) // shards}
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        kind, shard = key[0].as_py(), key[1].as_py()
-        parts = [unpack(d) for d in table.column("data").to_pylist()]
-        h, c = merge_counts([p[0].view(U64) for p in parts], [p[1].astype(np.int64) for p in parts])
-        starts = int(c[h == START_KEY].sum()) if kind == UNIGRAM else 0
-        block = build_filter(h, c, share[kind])
-        full = float(np.unpackbits(block).mean())
-        return pa.table(
-            [pa.array([kind], pa.int32()), pa.array([shard], pa.int32()), pa.array([int(c.sum()) - starts], pa.int64()), pa.array([len(h) - (starts > 0)], pa.int64()), pa.array([full], pa.float64()), pa.array([block.tobytes()], pa.binary())],
-            names=["kind", "shard", "total", "distinct", "full", "block"],
-        )
-
-    return run
-
-
 class Filter:
     """Shards of one order: concatenated bytes, with each shard's first byte and number of bits."""
 
@@ -181,44 +144,16 @@ class Filter:
         return out
 
 
-class Model:
-    """Filters with the corpus's totals."""
+class Model(NamedTuple):
+    """The documents to learn from and the bigrams' prior mass; counts and filters exist in the shards' tasks only."""
 
-    def __init__(self, unigrams: Filter, bigrams: Filter, total: int, distinct: int, false_rate: float, mass: float):
-        self.unigrams, self.bigrams, self.total, self.distinct, self.false_rate, self.mass = unigrams, bigrams, total, distinct, false_rate, mass
+    docs: DataFrame
+    mass: float
 
-    def log10(self, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each text's tokens, summed."""
-        table = expected()
-        words, index = np.unique(np.concatenate([h, [START_KEY]]), return_inverse=True)
-        c = table[self.unigrams.level(words)]
-        p1 = (c + 0.1) / (self.total + 0.1 * (self.distinct + 1))
-        own, before = index[:-1], np.empty(len(h), dtype=np.int64)
-        before[1:] = own[:-1]
-        before[np.cumsum(counts) - counts] = index[-1]
-        grams, at = np.unique(bigrams(h, counts), return_inverse=True)
-        pair = np.minimum(table[self.bigrams.level(grams)][at], np.minimum(c[own], c[before]))
-        true = 1 - self.false_rate
-        p = (true * pair + self.mass * p1[own]) / (true * c[before] + self.mass)
-        return np.add.reduceat(np.log10(p), np.cumsum(counts) - counts)
 
-
-def train(docs: DataFrame, most_bytes: int = MAX_FILTER_BYTES, mass: float = PRIOR_MASS) -> Model:
+def train(docs: DataFrame, mass: float = PRIOR_MASS) -> Model:
     """The model of the texts whose crc32(doc_id as text) mod 10 is not 0 (null doc_ids learn too)."""
-    shards = max(8, partitions(docs.sparkSession))
-    counted = docs.mapInArrow(_count(shards), BLOCK)
-    built = counted.groupBy("kind", "shard").applyInArrow(_build(shards, most_bytes), "kind int, shard int, total long, distinct long, full double, block binary")
-    got = built.toArrow()  # at most MAX_FILTER_BYTES
-    blocks: dict[int, list] = {UNIGRAM: [None] * shards, BIGRAM: [None] * shards}
-    total, distinct, full = 0, 0, []
-    for kind, shard, t, d, f, block in zip(*(got.column(c).to_pylist() for c in ("kind", "shard", "total", "distinct", "full", "block")), strict=True):
-        blocks[kind][shard] = block
-        if kind == UNIGRAM:
-            total, distinct = total + t, distinct + d
-        else:
-            full.append(f)
-    false_rate = float(np.mean(full)) ** PROBES if full else 0.0
-    return Model(Filter(blocks[UNIGRAM]), Filter(blocks[BIGRAM]), total, distinct, false_rate, mass)
+    return Model(docs, mass)
 
 
 def _chunk_name(ids: list, h: np.ndarray, counts: np.ndarray) -> int:
@@ -228,100 +163,162 @@ def _chunk_name(ids: list, h: np.ndarray, counts: np.ndarray) -> int:
     return name.intdigest() - (1 << 63)
 
 
-def _ask(shards: int):
-    """Kind 0: a chunk's distinct tokens of a shard with their training counts and the documents of their occurrences."""
+def _ask(shards: int, learns: bool, asks: bool):
+    """A chunk's distinct n-grams of each shard with their training counts; for unigrams the documents of their occurrences.
+
+    Chunks that ask send a row to every shard, for each answers with its totals.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
-            h, n = tokens(texts)
-            chunk = _chunk_name(ids, h, n)
             held = np.array([_held_out(i) for i in ids], dtype=bool)
-            order = np.argsort(h, kind="stable")
-            sorted_h, sorted_doc = h[order], np.repeat(np.arange(len(ids), dtype=np.uint32), n)[order]
-            first = np.flatnonzero(np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]]))
-            edge = np.append(first, len(h))
-            learnt = np.add.reduceat((~held[sorted_doc]).astype(np.uint32), first)
-            u, size = sorted_h[first], np.diff(edge).astype(np.uint32)
-            cut = splits(u, shards).tolist()
-            sorted_doc = sorted_doc.astype(np.uint16 if len(ids) < 1 << 16 else np.uint32)
-            yield _table([(0, chunk, s, pack(u[a:b].view(np.int64), learnt[a:b], size[a:b], sorted_doc[edge[a] : edge[b]])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a])
+            if not asks:
+                ids, texts = ([x for x, out in zip(c, held.tolist(), strict=True) if not out] for c in (ids, texts))
+                held = np.zeros(len(ids), dtype=bool)
+                if not ids:
+                    continue
+            h, n = tokens(texts)
+            chunk = _chunk_name(ids, h, n) if asks else None
+            doc = np.repeat(np.arange(len(ids), dtype=np.uint16 if len(ids) < 1 << 16 else np.uint32), n)
+            for kind in (UNIGRAM, BIGRAM):
+                grams = h if kind == UNIGRAM else bigrams(h, n)
+                order = np.argsort(grams, kind="stable")
+                u, docs = grams[order], doc[order]
+                first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+                size = np.diff(np.append(first, len(u))).astype(np.uint32)
+                learnt = np.add.reduceat((~held[docs] & learns).astype(np.uint32), first, dtype=np.uint32)
+                u = u[first]
+                if kind == UNIGRAM:
+                    at = int(np.searchsorted(u, START_KEY))
+                    u, size, learnt = np.insert(u, at, START_KEY), np.insert(size, at, 0), np.insert(learnt, at, (~held).sum() if learns else 0)
+                edge = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+                cut, rows = splits(u, shards).tolist(), []
+                for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+                    if b > a or asks:
+                        occurrences = (size[a:b], docs[edge[a] : edge[b]]) if kind == UNIGRAM and asks else ()
+                        rows.append((kind, chunk, s, pack(u[a:b].view(np.int64), learnt[a:b], *occurrences)))
+                yield _table(rows)
 
     return run
 
 
-def _score(shared):
-    """Kind 1: a chunk's documents with the model's scores."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
-            h, n = tokens(texts)
-            docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
-            null = np.array([i is None for i in ids], dtype=np.uint8)
-            held = np.array([_held_out(i) for i in ids], dtype=np.uint8)
-            yield _table([(1, _chunk_name(ids, h, n), 0, pack(docs, null, held, n.astype(np.int64), model.log10(h, n).tobytes()))])
-
-    return run
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A chunk's documents, for the place where its answers meet."""
+    for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
+        h, n = tokens(texts)
+        docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
+        null = np.array([i is None for i in ids], dtype=np.uint8)
+        yield _table([(TEXTS, _chunk_name(ids, h, n), 0, pack(docs, null, np.array([len(t) for t in texts], dtype=np.int64), b"".join(texts)))])
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """For one shard: counts summed over all chunks; each chunk's documents' sums of log10(c + 0.1) and known tokens."""
-    chunk, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
-    parts = [unpack(d) for d in table.column("data").to_pylist()]
+    """For one shard of a kind: counts summed over all chunks, the filter over them, and each asking chunk's answer.
+
+    An answer holds the shard's totals and filled share and the levels of the chunk's n-grams; for unigrams also its
+    documents' sums of log10(c + 0.1) and known tokens.
+    """
+    kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
+    chunk, data = table.column("chunk").to_pylist(), table.column("data").to_pylist()
+    parts = [unpack(d)[:2] for d in data]
     h, c = merge_counts([p[0].view(U64) for p in parts], [p[1].astype(np.int64) for p in parts])
+    del parts
+    seen = c > 0
+    block = build_filter(h[seen], c[seen])
+    level = Filter([block.tobytes()]).level(h).astype(np.uint8)
+    real = seen & (h != START_KEY) if kind == UNIGRAM else seen
+    totals = np.array([c[real].sum(), real.sum()], dtype=np.int64)
+    full = np.array([np.unpackbits(block).mean()]).tobytes()
     out = []
-    for k, p in zip(chunk, parts, strict=True):
-        count = c[np.searchsorted(h, p[0].view(U64))]
-        doc = p[3].astype(np.int64)
-        sums = np.bincount(doc, weights=np.repeat(np.log10(count + 0.1), p[2]))
-        known = np.bincount(doc, weights=np.repeat(count > 0, p[2]))
-        out.append((2, k, shard, pack(sums.tobytes(), known.astype(np.uint32))))
+    for k, d in zip(chunk, data, strict=True):
+        if k is None:
+            continue
+        p = unpack(d)
+        at = np.searchsorted(h, p[0].view(U64))
+        sums = []
+        if kind == UNIGRAM:
+            doc = p[3].astype(np.int64)
+            known = np.bincount(doc, weights=np.repeat(c[at] > 0, p[2])).astype(np.uint32)
+            sums = [np.bincount(doc, weights=np.repeat(np.log10(c[at] + 0.1), p[2])).tobytes(), known]
+        out.append((kind, k, shard, pack(totals, full, level[at], *sums)))
     return pa.Table.from_batches([_table(out)])
 
 
-def _finish(total: int, distinct: int):
-    norm = np.log10(total + 0.1 * (distinct + 1)) if distinct else 0.0
+def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, bi: np.ndarray, total: int, distinct: int, false_rate: float, mass: float) -> np.ndarray:
+    """log10 probability of each text's tokens, summed; ``uni`` and ``bi``: levels of the sorted distinct words with the start, and bigrams."""
+    table = expected()
+    _, index = np.unique(np.concatenate([h, [START_KEY]]), return_inverse=True)
+    c = table[uni]
+    p1 = (c + 0.1) / (total + 0.1 * (distinct + 1))
+    own, before = index[:-1], np.empty(len(h), dtype=np.int64)
+    before[1:] = own[:-1]
+    before[np.cumsum(counts) - counts] = index[-1]
+    _, at = np.unique(bigrams(h, counts), return_inverse=True)
+    pair = np.minimum(table[bi][at], np.minimum(c[own], c[before]))
+    true = 1 - false_rate
+    p = (true * pair + mass * p1[own]) / (true * c[before] + mass)
+    return np.add.reduceat(np.log10(p), np.cumsum(counts) - counts)
+
 
+def _finish(shards: int, mass: float):
     def run(table: pa.Table) -> pa.Table:
         """Chunks of equal ids and texts have one name; each takes the answers of the first."""
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True), key=lambda r: r[:2])
-        answers = [unpack(data) for data in {shard: data for kind, shard, data in rows if kind == 2}.values()]
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True))
+        answers = {(kind, shard): data for kind, shard, data in rows if kind != TEXTS}
+        own = [data for kind, _, data in rows if kind == TEXTS]
+        if not own or len(answers) != 2 * shards:
+            raise ValueError("the documents changed between two reads")
+        uni, bi = ([unpack(answers[kind, s]) for s in range(shards)] for kind in (UNIGRAM, BIGRAM))
+        total, distinct = (int(x) for x in np.sum([a[0] for a in uni], axis=0))
+        # shards without n-grams hold nothing that could be found falsely
+        full = [np.frombuffer(a[1])[0] for a in bi if a[0][1]]
+        false_rate = float(np.mean(full)) ** PROBES if full else 0.0
+        levels_of = [np.concatenate([a[2] for a in x]) for x in (uni, bi)]
+        norm = np.log10(total + 0.1 * (distinct + 1)) if distinct else 0.0
         out = []
-        for docs, null, held, n, score in (unpack(data) for kind, _, data in rows if kind == 1):
+        for docs, null, lengths, texts in map(unpack, own):
+            ends = np.cumsum(lengths)
+            h, n = tokens([texts[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
             base, known = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
-            for sums, k in answers:
+            for _, _, _, sums, k in uni:
                 sums = np.frombuffer(sums)
                 base[: len(sums)] += sums
                 known[: len(k)] += k
-            ids = pa.array([None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)], pa.int64())
-            cols = [ids, pa.array(held.astype(bool)), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(np.frombuffer(score))]
+            scores = log10(h, n, *levels_of, total, distinct, false_rate, mass)
+            ids = [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
+            cols = [pa.array(ids, pa.int64()), pa.array([_held_out(i) for i in ids], pa.bool_()), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(scores)]
             out.append(pa.table(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        if not out:
-            raise ValueError("the documents changed between two reads")
         return pa.concat_tables(out)
 
     return run
 
 
+def _columns(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def score(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text) with its exact unigram score and the model's score.
 
     Null and empty texts hold just the end token.  Null doc_ids and repeated rows are scored like any other and are
     never held out unless their doc_id says so.  An empty table gives no rows; other columns are not read.  The
-    documents are read twice, for their tokens and for the model's scores; they are written to the shared folder first
-    unless ``stored`` says that they come from files as they are.
+    documents are read twice, for their n-grams and for scoring; they are written to the shared folder first unless
+    ``stored`` says that they come from files as they are.  Where the model learns from ``docs`` itself, counts and
+    questions are one message; other training texts are read beside.
     """
     spark = docs.sparkSession
     shards = max(8, partitions(spark))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = docs.sameSemantics(model.docs)
+    docs = _columns(docs)
     if not stored:
         docs = Scratch(spark, "lm").table(docs, "docs")
-    answers = docs.mapInArrow(_ask(shards), BLOCK).groupBy("shard").applyInArrow(_answer, BLOCK)
-    scored = docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), BLOCK)
+    asked = docs.mapInArrow(_ask(shards, own, True), BLOCK)
+    if not own:
+        asked = asked.unionByName(_columns(model.docs).mapInArrow(_ask(shards, True, False), BLOCK))
+    answers = asked.groupBy("kind", "shard").applyInArrow(_answer, BLOCK)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return scored.unionByName(answers).groupBy("chunk").applyInArrow(_finish(model.total, model.distinct), out)
+    return docs.mapInArrow(_texts, BLOCK).unionByName(answers).groupBy("chunk").applyInArrow(_finish(shards, model.mass), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = _columns(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return score(docs, train(docs), stored=True)

@@ -105,6 +105,46 @@ def test_log_frequency_filter_never_underestimates():
     assert (unseen > 0).mean() < 0.03
 
 
+def test_lm_filter_has_its_bits_at_every_size():
+    """A shard of very many: its filter isn't cut to a share of a global bound, and its answers are the counts' levels."""
+    r = np.random.default_rng(8)
+    h = np.unique(lm_scoring.mix64(np.arange(1, 60001, dtype=np.uint64)))
+    counts = r.integers(1, 40, len(h)).astype(np.uint32)
+    counts[::2] = 0
+    for kind in (lm_scoring.UNIGRAM, lm_scoring.BIGRAM):
+        occurrences = (np.ones(len(h), np.uint32), np.zeros(len(h), np.uint32)) if kind == lm_scoring.UNIGRAM else ()
+        rows = lm_scoring._table([(kind, 5, 60000, bpe.pack(h.view(np.int64), counts, *occurrences))])
+        answer = bpe.unpack(lm_scoring._answer(lm_scoring.pa.Table.from_batches([rows])).column("data")[0].as_py())
+        true = np.zeros(len(h), int)
+        true[counts > 0] = lm_scoring.levels(counts[counts > 0])
+        assert answer[0].tolist() == [counts.sum(), (counts > 0).sum()] and np.frombuffer(answer[1])[0] < 0.5
+        assert (answer[2] >= true).all() and (answer[2] > true).mean() < 0.03
+
+
+def test_lm_scores_are_the_smoothed_counts(docs, spark):
+    """Against exact counts: nearly all documents have the model's formula; other texts than the learnt ones too."""
+    table, few = lm_scoring.expected(), docs.where("doc_id % 3 = 1")
+    rows = rows_of(docs)
+    train = [[None, *words(t), b""] for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 10]
+    one, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(t, t[1:]))
+    total, distinct = sum(one.values()) - one[None], len(one) - 1
+    value = lambda n: table[lm_scoring.levels(np.array([n]))[0]] if n else 0.0
+
+    def brute(text):
+        t, out = [None, *words(text), b""], 0.0
+        for a, b in zip(t, t[1:]):
+            p = (value(one[b]) + 0.1) / (total + 0.1 * (distinct + 1))
+            out += math.log10((min(value(two[a, b]), value(one[a]), value(one[b])) + 200 * p) / (value(one[a]) + 200))
+        return out
+
+    for asked in (docs, few):
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.train_tokens, r.score) for r in lm_scoring.score(asked, lm_scoring.train(docs)).collect())
+        expect = sorted((d is None, d or 0, len(words(t)) + 1, total, brute(t)) for d, t in rows_of(asked))
+        assert [g[:4] for g in got] == [e[:4] for e in expect]
+        near = [abs(g[4] - e[4]) < 0.02 * abs(e[4]) for g, e in zip(got, expect)]
+        assert sum(near) > 0.9 * len(near)
+
+
 def brute_near(rows):
     sets = []
     for _, t in rows:
