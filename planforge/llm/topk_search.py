@@ -78,9 +78,11 @@ def nra(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: i
         depth = max(1, int(share * n))
         high, low = lists[n - depth], lists[depth - 1]
         lower = plus[todo] @ np.where(x >= high, x, lists[0]).T + minus[todo] @ np.where(x <= low, x, lists[-1]).T
-        bound = np.partition(lower, n - k - 1, axis=1)[:, n - k - 1]  # one more than k: the query's own row may be there
+        own = q_ids[todo, None] == x_ids[None, :]  # however many rows a query's id has, none of them counts
+        lower[own] = -np.inf
+        bound = np.partition(lower, n - k, axis=1)[:, n - k]
         upper = plus[todo] @ np.maximum(x, high).T + minus[todo] @ np.minimum(x, low).T
-        open_ = upper >= bound[:, None]
+        open_ = (upper >= bound[:, None]) & ~own
         left = open_.sum(axis=1)
         for r in np.flatnonzero(left <= FEW * n).tolist():
             at = np.flatnonzero(open_[r])

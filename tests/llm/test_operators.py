@@ -282,6 +282,16 @@ def test_topk_is_exact(spark):
     assert topk_search.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_topk_of_a_query_with_many_rows_of_its_own():
+    """30 rows have the query's id and vector: they neither appear nor prune the others."""
+    r = np.random.default_rng(9)
+    x = np.floor(64 * np.concatenate([v := r.normal(size=(2000, 64)), np.repeat(v[:1], 29, axis=0)])).astype(np.int32)
+    ids = np.concatenate([np.arange(2000), np.zeros(29, int)])
+    got = list(topk_search.nra(x[:1], np.array([0]), x, ids, 20))
+    best = sorted((-int(s), int(i)) for s, i in zip(x @ x[0], ids) if i != 0)[:20]
+    assert sorted((-s, i) for _, i, s in got) == best
+
+
 def test_nra_stops_early_and_stays_exact():
     r = np.random.default_rng(5)
     x = np.concatenate([r.integers(-64, 64, (2000, 4)), r.integers(50, 64, (30, 4))]).astype(np.int32)
