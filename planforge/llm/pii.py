@@ -21,17 +21,19 @@ from pyspark.sql import functions as F
 from .common import Scratch, pylists
 
 KINDS = ("email", "ip", "card", "phone")
-#: A trusted pattern: distinct known instances of a kind, and their share of its instances; a taken instance; rounds.
-SUPPORT, TRUST, LIKELY, ROUNDS = 3, 0.6, 0.75, 3
+#: A trusted pattern: distinct known instances of a kind, and their share of its instances; a taken instance.
+SUPPORT, TRUST, LIKELY = 3, 0.6, 0.75
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Identifier-like: a run with digits, widened over the characters identifiers are written with.
-_LIKE = re.compile(r"[0-9][0-9().+-]{5,}|\(?[0-9]{2,4}\)?[ .-][0-9]{3}[ .-][0-9]{4}|@|\[at\]|\(at\)")
-_WIDE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@()[]")
-_REACH, _WINDOW = 64, 60
+#: What makes a token identifier-like; the characters besides letters and digits that tokens are written with.
+_MARK, _AT, _DIGIT = re.compile(r"\d+|@|\[at\]|\(at\)"), re.compile(r"@|\[at\]|\(at\)"), re.compile(r"\d")
+_REST, _WIDE = re.compile(r"[\w.%+@()\[\]-]*"), frozenset("_.%+-@()[]")
+_WINDOW = 60
+#: Instances longer than this go by their digest.
+_NAME = 64
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 MENTION = "array<struct<kind:string,s:int,e:int,instance:string,patterns:array<string>>>"
 
@@ -77,26 +79,43 @@ def contexts(text: str, s: int, e: int) -> list[str]:
     return [f"{before[-1]} _", f"{before[-2]} {before[-1]} _", f"_ {after[0]}"]
 
 
-def _mentions(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
-    base = base_spans(text)
-    found = [(k, s, e) for k, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
-    last, i = 0, 0
-    for m in _LIKE.finditer(text):
-        s, e = m.span()
-        while s > max(last, m.start() - _REACH) and text[s - 1] in _WIDE:
+def _candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Identifier-like tokens and runs of them, whole; tokens that overlap the sorted spans ``taken`` are left out."""
+    out: list[list[int]] = []
+    last, joins, i, covered = 0, False, 0, 0
+    for m in _MARK.finditer(text):
+        if m.start() < last:
+            continue
+        s, low = m.start(), last
+        while s > low and (text[s - 1] in _WIDE or text[s - 1].isalnum()):
             s -= 1
-        while e < min(len(text), m.end() + _REACH) and text[e] in _WIDE:
-            e += 1
-        while e > s and text[e - 1] in ".,-(":
+        last = _REST.match(text, m.end()).end()
+        e = last
+        while text[e - 1] in ".,-(":
             e -= 1
-        while i < len(taken) and taken[i][1] <= s:
+        while i < len(taken) and taken[i][0] < e:
+            covered = max(covered, taken[i][1])
             i += 1
-        if s < last or e <= s or any(b < e and s < c for b, c in taken[i : i + 4]):
+        if covered > s:
+            joins = False
             continue
-        found.append((None, s, e))
-        last = e
-    return base, [{"kind": k, "s": s, "e": e, "instance": text[s:e], "patterns": contexts(text, s, e)} for k, s, e in found]
+        digits = not _AT.search(text, s, e) and _DIGIT.search(text, s, e) is not None
+        if joins and digits and s - out[-1][1] == 1 and text[s - 1] not in "\r\n":
+            out[-1][1] = e
+        else:
+            out.append([s, e])
+        joins = digits
+    return [(s, e) for s, e in out]
+
+
+def _name(instance: str) -> str:
+    return instance if len(instance) <= _NAME else "sha256:" + hashlib.sha256(instance.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _mentions(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
+    base = base_spans(text)
+    found = [*base, *((None, s, e) for s, e in _candidates(text, sorted((s, e) for _, s, e in base)))]
+    return base, [{"kind": k, "s": s, "e": e, "instance": _name(text[s:e]), "patterns": contexts(text, s, e)} for k, s, e in found]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,18 +131,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bootstrap(edges: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
     """(instance, kind) that trusted patterns discover; ``edges`` (pattern, instance), ``known`` (instance, kind)."""
     fillers = scratch.table(edges.groupBy("pattern").agg(F.count("*").alias("n")), "fillers")
-    found = None
-    for r in range(ROUNDS):
+    rounds, seeds = 0, known
+    while True:
         support = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("f")).where(F.col("f") >= SUPPORT)
         trusted = support.join(fillers, "pattern").withColumn("trust", F.col("f") / F.col("n")).where(F.col("trust") >= TRUST)
         likely = edges.join(trusted, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - 0.999 * F.col("trust"))))).alias("likely")).where(F.col("likely") >= LIKELY)
         new = likely.groupBy("instance").agg(F.max_by("kind", F.struct("likely", "kind")).alias("kind")).join(known.select("instance"), "instance", "left_anti")
-        new = scratch.table(new, f"round{r}")
-        found = new if found is None else found.unionByName(new)
+        new = scratch.table(new, f"taken/{rounds}")
+        # one read of all rounds: plans stay small however many there are
+        found = edges.sparkSession.read.schema(new.schema).option("recursiveFileLookup", "true").parquet(f"{scratch.root}/taken")
         if not new.limit(1).count():
-            break
-        known = known.unionByName(new)
-    return found
+            return found
+        known, rounds = seeds.unionByName(found), rounds + 1
 
 
 def find_pii(docs: DataFrame) -> DataFrame:

@@ -267,6 +267,22 @@ def test_pii(docs, spark, empty):
     assert pii.find_pii(docs).count() == docs.count() and pii.find_pii(empty).count() == 0
 
 
+def test_pii_rounds_go_on_while_they_find(spark):
+    """Six known instances make each of two contexts trusted, which hold three new ones each: six levels deep."""
+    name = lambda level, j: f"{level}55{j}-0099" if level else f"+49 30 55500{j}"
+    texts = [f"a{w} b{w} {i} z{w}" for level in range(6) for x in (0, 1) for w in ["abcdef"[level] + "xy"[x]] for i in [*(name(level, j) for j in range(6)), *(name(level + 1, 3 * x + j) for j in range(3))]]
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.doc_id for r in got if [s.kind for s in r.spans] != ["phone"]] == []
+
+
+def test_pii_candidates_are_whole(spark):
+    odd = ["01 23 45 67 89", "4111 1111 1111 1112", "AB12345", "x" * 100 + "77-12", "7", "(030) 12 34", "a1@local"]
+    texts = [f"my desk line +49 30 55500{i} today" for i in range(30)] + [f"my desk line {x} today" for x in odd] + ["at 10.0.0.1 12345, 67 89. 5\n6"]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [[texts[30 + i][x.s : x.e] for x in got[30 + i].spans] for i in range(len(odd))] == [[x] for x in odd]
+    assert [m["instance"] for m in pii._mentions(texts[-1])[1]] == ["10.0.0.1", "12345", "67 89", "5", "6"]
+
+
 def test_topk_is_exact(spark):
     r = np.random.default_rng(4)
     vectors = [(int(i), [float(x) for x in v]) for i, v in enumerate(r.normal(size=(300, 8)))] + [(300 + i, [0.5] * 8) for i in range(60)]
