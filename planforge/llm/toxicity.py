@@ -3,7 +3,8 @@
 Confirmed toxic documents (P) and unlabelled text (U) train a logistic model in numpy; the risk
 ``pi * E_P[l(g, +)] + max(0, E_U[l(g, -)] - pi * E_P[l(g, -)])`` corrects for the share ``pi`` of toxic documents in U,
 and where the bracket turns negative its gradient is reversed, so that the model does not fit U's hidden positives
-as negatives.  The fit sees a sample of bounded size; every document is scored.
+as negatives.  Its features are chosen by the words' frequencies in all training rows, counted in a distributed aggregate;
+the fit of their weights sees a sample of bounded size; every document is scored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from .common import _VALUE, U64, chunks, word_hashes
 
 #: Bounds of the fitted sample: toxic documents, unlabelled documents, word features.
-MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 4_000, 8_000, 1_500
+MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 6_000, 12_000, 1_500
 #: Deviations by which a word's share of toxic documents must exceed its share of unlabelled ones.
 SIGNIFICANT = 4.0
 _BREAK = np.ones(256, dtype=bool)
@@ -40,6 +41,29 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array([np.unique(p).tobytes() for p in parts], pa.binary())], names=["toxic", "words"])
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word hash, toxic documents with it, documents with it) of each chunk."""
+    for toxic, texts in chunks(batches, ["toxic", "text"]):
+        hashes, counts = _words(texts)
+        words, at = np.unique(hashes, return_inverse=True)
+        pair = np.unique(at * len(texts) + np.repeat(np.arange(len(texts)), counts))
+        word, bad = pair // len(texts), np.array(toxic, dtype=np.int64)[pair % len(texts)]
+        cols = [words.view(np.int64), np.bincount(word, weights=bad, minlength=len(words)).astype(np.int64), np.bincount(word, minlength=len(words))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["word", "p", "u"])
+
+
+def choose(rows: DataFrame, most: int) -> np.ndarray:
+    """Sorted hashes of the words that toxic rows of ``rows`` (toxic, text) hold significantly more often than rows at large."""
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not toxic:
+        return np.zeros(0, U64)
+    counted = rows.mapInArrow(_frequencies, "word long, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    pooled = (F.col("p") + F.col("u")) / (toxic + n)
+    z = (F.col("p") / toxic - F.col("u") / n) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / n) + 1e-12)
+    best = counted.where("p >= 3").withColumn("z", z).where(F.col("z") >= SIGNIFICANT).orderBy(F.desc("z"), "word").limit(most)
+    return np.sort(np.array([r.word for r in best.select("word").collect()], dtype=np.int64).view(U64))
+
+
 @dataclass
 class Model:
     hashes: np.ndarray  # sorted
@@ -59,7 +83,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -40, 40)))
 
 
-def nn_pu_fit(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nn_pu_fit(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model under the non-negative PU risk, by Adam with full batches."""
     w, b = np.zeros(p.shape[1], np.float64), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -86,7 +110,7 @@ def _matrix(rows: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES) -> Model:
-    """Fit on the rows whose crc32(doc_id as text) mod 3 is not 1; at most the given numbers of them, by hash order."""
+    """Fit on the rows whose crc32(doc_id as text) mod 3 is not 1: features by all of them, weights by at most the given numbers, in hash order."""
     learn = F.expr("pmod(crc32(cast(cast(doc_id as string) as binary)), 3) <> 1 and doc_id is not null")
     marked = labels.where(learn).where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = marked.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -101,14 +125,10 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_un
     pos, unl = [r for r, t in zip(rows, y, strict=True) if t], [r for r, t in zip(rows, y, strict=True) if not t]
     if not pos or not unl:
         return Model(np.zeros(0, U64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    hp, cp = np.unique(np.concatenate(pos), return_counts=True)
-    hu, cu = np.unique(np.concatenate(unl), return_counts=True)
-    at = np.minimum(np.searchsorted(hu, hp), len(hu) - 1)
-    fp, fu = cp / len(pos), np.where(hu[at] == hp, cu[at], 0) / len(unl)
-    pooled = (fp * len(pos) + fu * len(unl)) / (len(pos) + len(unl))
-    z = (fp - fu) / np.sqrt(pooled * (1 - pooled) * (1 / len(pos) + 1 / len(unl)) + 1e-12)
-    usable = np.flatnonzero((cp >= 3) & (z >= SIGNIFICANT))  # words that toxic documents hold more often than text at large
-    best = np.sort(hp[usable[np.argsort(-z[usable], kind="stable")][:max_features]])
+    toxic_ids = marked.where("toxic = 1").select("doc_id", F.lit(1).alias("toxic"))
+    # one kind of join at every size: the toxic ids grow with the labels
+    rows = docs.where(learn).select("doc_id", "text").join(toxic_ids.hint("merge"), "doc_id", "left").select(F.coalesce("toxic", F.lit(0)).alias("toxic"), "text")
+    best = choose(rows, max_features)
     w, b = nn_pu_fit(_matrix(pos, best), _matrix(unl, best), prior)
     return Model(best, w, b)
 

@@ -336,6 +336,15 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, toxicity.train(empty, lab.limit(0))).count() == 0
 
 
+def test_toxicity_features_come_from_all_training_rows(spark):
+    """A word of 12 toxic documents among 400 is a feature although the fit's sample is small."""
+    rows = [(i, f"w{i % 50} w{i % 7}" + (" scum" if i < 400 else "") + (" vermin" if i < 18 else "")) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i < 400)) for i in range(2000)], "doc_id long, toxic int")
+    model = toxicity.train(df, lab, max_toxic=20, max_unlabelled=60)
+    assert set(toxicity._words([b"scum vermin"])[0].tolist()) <= set(model.hashes.tolist())
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs).collect()
     rows = rows_of(docs)
