@@ -25,8 +25,8 @@ CANDIDATES, QUERIES = 16384, 512
 DEPTHS = (0.25, 0.5)
 #: Reading stops for a query when at most this share of the block can still qualify.
 FEW = 0.05
-#: Quantised components saturate here, so that integer products stay exact in doubles.
-MOST = float(1 << 20)
+#: Integer inner products below this are exact in doubles.
+EXACT = 1 << 53
 
 
 def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,7 +40,10 @@ def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             ids.append(i)
             dims.append(len(v))
-            out.append(np.clip(np.floor(SCALE * v), -MOST, MOST).astype(np.int32).tobytes())
+            q = np.floor(SCALE * v)
+            if not (np.abs(q) < 2.0**63).all():
+                raise OverflowError(f"vec_id {i}: floor({SCALE} * x) is beyond 64 bits")
+            out.append(q.astype(np.int64).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "dim", "q"])
 
 
@@ -60,8 +63,36 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
+def _most(x: np.ndarray) -> int:
+    """The largest magnitude, also of the least integer."""
+    return max(int(x.max()), -int(x.min())) if x.size else 0
+
+
+def _exact(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
+    """As nra(), by full products in 64-bit or Python integers: for vectors whose products doubles can't hold."""
+    kind = np.int64 if _most(q) * _most(x) * x.shape[1] < 1 << 63 else object
+    x = x.astype(kind)
+    for row, v in zip(q_ids.tolist(), q.astype(kind), strict=True):
+        at = np.flatnonzero(x_ids != row)
+        scores = x[at] @ v
+        order = sorted(range(len(at)), key=lambda p: (-int(scores[p]), int(x_ids[at[p]])))  # noqa: B023
+        for p in order[:k]:
+            yield row, int(x_ids[at[p]]), int(scores[p])
+
+
 def nra(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int = TOP) -> Iterator[tuple[int, int, int]]:
-    """(query id, candidate id, score): the k best candidates of a block for each query, but rows of its own id."""
+    """(query id, candidate id, score): the k best candidates of a block for each query, but rows of its own id.
+
+    Where doubles can't hold a block's products, large rows are taken apart and the k best come from each part.
+    """
+    if len(q) and len(x) and _most(q) * _most(x) * x.shape[1] >= EXACT:
+        least = int((EXACT / x.shape[1]) ** 0.5) - 1  # two rows within it have exact products
+        large_q, large_x = (((y > least) | (y < -least)).any(axis=1) for y in (q, x))
+        if not large_q.all() and not large_x.all():
+            yield from nra(q[~large_q], q_ids[~large_q], x[~large_x], x_ids[~large_x], k)
+        yield from _exact(q[~large_q], q_ids[~large_q], x[large_x], x_ids[large_x], k)
+        yield from _exact(q[large_q], q_ids[large_q], x, x_ids, k)
+        return
     kind = np.float32 if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, x.shape[1]) < 2**24 else np.float64
     q, x, n = q.astype(kind), x.astype(kind), len(x)
     plus, minus = np.maximum(q, 0), np.minimum(q, 0)
@@ -100,7 +131,7 @@ def _search(k: int):
         for b in batches:
             for dim, qi, qm, xi, xm in zip(*(b.column(c).to_pylist() for c in ("dim", "q_ids", "q_m", "ids", "m")), strict=True):
                 q_ids, x_ids = np.frombuffer(qi, np.int64), np.frombuffer(xi, np.int64)
-                q, x = (np.frombuffer(y, np.int32).reshape(len(i), dim) for y, i in ((qm, q_ids), (xm, x_ids)))
+                q, x = (np.frombuffer(y, np.int64).reshape(len(i), dim) for y, i in ((qm, q_ids), (xm, x_ids)))
                 found = list(nra(q, q_ids, x, x_ids, k))
                 cols = zip(*found, strict=True) if found else ([], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
@@ -112,7 +143,7 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of ``vectors`` (vec_id, embedding) for each query, exactly.
 
     Queries are the rows whose vec_id is divisible by ``every``; candidates all rows of other vec_ids and of the same
-    length.  Components are floor(64 * x), saturating at 2**20.  Scores are integer inner products, ties go to the
+    length.  Components are floor(64 * x); components and scores beyond 64 bits raise an error, as in SQL.  Scores are integer inner products, ties go to the
     smaller vec_id.  Vectors that are null or hold null or non-finite components, and rows without vec_id, take no
     part; repeated candidate rows are ranked one by one, repeated query rows answered once.  Fewer candidates than k
     give fewer rows; an empty table gives none.

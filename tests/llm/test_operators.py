@@ -308,6 +308,17 @@ def test_topk_of_a_query_with_many_rows_of_its_own():
     assert sorted((-s, i) for _, i, s in got) == best
 
 
+def test_topk_of_large_components(spark):
+    """Components of 2**20 and more keep their values; scores are exact beyond doubles."""
+    r = np.random.default_rng(10)
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(r.normal(size=(200, 4)) * np.where(np.arange(200) % 3, 1, 2.0**22)[:, None])]
+    rows += [(200, [2.0**24, 1.0, 0.0, 0.0]), (201, [2.0**24, 1.0, 2.0**-6, 0.0])]
+    got = topk_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    v = {i: [math.floor(64 * float(np.float32(x))) for x in e] for i, e in rows}
+    expect = {(i, n + 1, j, -s) for i in v if i % 20 == 0 for n, (s, j) in enumerate(sorted((-sum(a * b for a, b in zip(v[i], v[j])), j) for j in v if j != i)[:20])}
+    assert {tuple(x) for x in got} == expect
+
+
 def test_nra_stops_early_and_stays_exact():
     r = np.random.default_rng(5)
     x = np.concatenate([r.integers(-64, 64, (2000, 4)), r.integers(50, 64, (30, 4))]).astype(np.int32)
