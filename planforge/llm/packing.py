@@ -96,7 +96,7 @@ def pack(encoded: DataFrame, size: int = LENGTH, pad: int = PAD, group_tokens: i
     pack_group and pack name the row; doc_ids, pieces and starts say what it holds (piece k of a document begins at
     token ``starts``); cu_seqlens are the cumulative lengths of its pieces from 0; resets are the places where
     positions begin anew; n_tokens counts ids before the padding; ids are little-endian uint16, or uint32 where ``pad``
-    or an id needs it.  Documents without ids (null or empty) are in no row; every other id of every row of the input,
+    needs it; an id that doesn't fit raises.  Documents without ids (null or empty) are in no row; every other id of every row of the input,
     repeated rows too, is in exactly one.  Null doc_ids stay null in doc_ids.
     """
     cut = _cutter(size, pad)
@@ -133,6 +133,8 @@ def _cutter(size: int, pad: int):
         nonlocal at
         own, rows = -1 - TaskContext.get().partitionId(), []
         for doc_id, ids in zip(doc_ids, encoded, strict=True):
+            if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
+                raise OverflowError(f"an id of {int(ids.max())} doesn't fit {np.dtype(dtype).name}; a pad of 65,536 or more takes uint32")
             ids = ids.astype(dtype)
             full = len(ids) // size
             for k in range(full):

@@ -412,6 +412,16 @@ def test_best_fit_decreasing():
         assert sorted(size - sum(lengths[i] for i in row) for row in rows) == sorted(free)
 
 
+def test_packing_raises_on_ids_that_do_not_fit(spark):
+    """Ids above 65,535 don't wrap: they raise with a 16-bit pad and stay as they are with a 32-bit one."""
+    ids = np.array([1, 65_537], np.uint32)
+    encoded = spark.createDataFrame([(1, 2, bytearray(ids.tobytes()))], "doc_id long, n_tokens int, ids binary")
+    with pytest.raises(Exception, match="doesn't fit"):
+        packing.pack(encoded, size=4).collect()
+    [row] = packing.pack(encoded, size=4, pad=1 << 16).collect()
+    assert np.frombuffer(row.ids, np.uint32).tolist() == [1, 65_537, 1 << 16, 1 << 16]
+
+
 def test_packing_is_lossless(docs, empty):
     encoded = bpe.encode(docs).cache()
     got = packing.pack(encoded, size=64, group_tokens=500).collect()
