@@ -26,9 +26,14 @@ SEGMENT_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one where unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a session in one process (tests) gets a temporary one; a cluster raises.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; executors need a folder that all of them see")
         found = "file://" + tempfile.mkdtemp(prefix="planforge-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -47,19 +52,33 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
-        """Delete tables that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
+    def keep(self, *names: str) -> None:
+        """Delete all tables of this run but the named ones, which a result still reads."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(conf)
+        for found in fs.listStatus(root) if fs.exists(root) else ():
+            if found.getPath().getName() not in names:
+                fs.delete(found.getPath(), True)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of what ``df`` reads: of the files, for tables; 0 where Spark knows no size."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < 1 << 60 else 0
+
+
+def shards_for(df: DataFrame, each: int) -> int:
+    """Shards of about ``each`` bytes of input, so that what one task holds is the same at every size; the shuffle's
+    partitions at least."""
+    return max(8, partitions(df.sparkSession), -(-input_bytes(df) // each))
+
+
 @lru_cache(maxsize=1)
 def _malloc_trim() -> Callable[[int], int] | None:
     try:

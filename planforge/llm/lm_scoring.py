@@ -5,12 +5,12 @@ A lookup probes the levels upwards until one is missing and returns the level's
 into shards by the n-grams' hashes.  Each shard has ``BITS`` for each level it holds, so the false rate is the same at
 every size, and it stays in the task that builds it: nothing is gathered or broadcast.  Chunks of documents send their
 distinct n-grams with their counts in training texts to the shards; a shard sums the counts, builds its filter and
-answers each chunk with its n-grams' levels.  The documents, sent to their chunks' answers, are scored there.
+answers each chunk with its bigrams' levels.  The documents, sent to their chunks' answers, are scored there.
 
-Smoothing: P(w2 | w1) = (c(w1 w2) + m P(w2)) / (c(w1) + m) with m the bigrams' prior mass, P(w) = (c(w)+0.1)/(N+0.1(V+1)).
+Tokens themselves have exact counts: their shards answer with them, for the base score and as the model's unigrams, so
+a chunk costs a shard one entry for each distinct token, however common the token is.
 
-The exact unigram score (base) needs every token's count: chunks send their tokens' occurrences too, and shards answer
-with sums for each document.
+Smoothing: P(w2 | w1) = (c(w1 w2) + m P(w2)) / (c(w1) + m) with m the bigrams' prior mass, P(w) = (c(w)+0.1)/(N+0.1(V+1)).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import pack, unpack
-from .common import U64, Scratch, chunks, merge_counts, mix64, partitions, splits, word_hashes
+from .common import U64, Scratch, chunks, merge_counts, mix64, shards_for, splits, word_hashes
 
 BASE = 1.5
 BITS, PROBES = 10, 5
@@ -33,15 +33,19 @@ PRIOR_MASS = 200.0
 END_TOKEN, START_TOKEN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Bytes of text in one chunk.
 CHUNK = 6 << 20
+#: Bytes of input for each shard.
+SHARD = 16 << 20
 BLOCK = "kind int, chunk long, shard int, data binary"
-_FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())]
+#: A shard's answers to chunks; and one row without chunk: its training tokens, distinct n-grams and share of set bits.
+ANSWER = f"{BLOCK}, total long, held long, full double"
+_FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary()), ("total", pa.int64()), ("held", pa.int64()), ("full", pa.float64())]
 #: Kinds of rows: n-grams asked or answered for, and a chunk's documents.
 UNIGRAM, BIGRAM, TEXTS = 0, 1, 2
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    cols = zip(*rows, strict=True) if rows else [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(cols, _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
+def _table(rows: list[tuple], width: int = 4) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [[]] * width
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(cols, _FIELDS[:width], strict=True)], names=[n for n, _ in _FIELDS[:width]])
 
 
 def levels(counts: np.ndarray, base: float = BASE) -> np.ndarray:
@@ -98,12 +102,10 @@ def _positions(h: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarr
         yield (a + U64(k) * b) % bits
 
 
-def build_filter(h: np.ndarray, counts: np.ndarray, most_bytes: int | None = None) -> np.ndarray:
+def build_filter(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Bytes of the filter over n-grams with their counts: one-bit positions, ``BITS`` for each level held."""
     q = levels(counts)
-    size = max(64, BITS * int(q.sum()))
-    size = min(size, 8 * most_bytes) if most_bytes else size
-    size = -(-size // 8) * 8
+    size = -(-max(64, BITS * int(q.sum())) // 8) * 8
     bits = np.zeros(size, dtype=bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         for at in _positions(h[q >= level], level, U64(size)):
@@ -156,18 +158,16 @@ def train(docs: DataFrame, mass: float = PRIOR_MASS) -> Model:
     return Model(docs, mass)
 
 
-def _chunk_name(ids: list, h: np.ndarray, counts: np.ndarray) -> int:
+def _chunk_name(ids: list, texts: list[bytes]) -> int:
     name = xxhash.xxh64(repr(ids))
-    name.update(h.tobytes())
-    name.update(counts.tobytes())
+    for t in texts:
+        name.update(len(t).to_bytes(8, "little"))
+        name.update(t)
     return name.intdigest() - (1 << 63)
 
 
 def _ask(shards: int, learns: bool, asks: bool):
-    """A chunk's distinct n-grams of each shard with their training counts; for unigrams the documents of their occurrences.
-
-    Chunks that ask send a row to every shard, for each answers with its totals.
-    """
+    """A chunk's distinct n-grams of each shard with their training counts.  Texts' starts count as a token of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
@@ -178,26 +178,19 @@ def _ask(shards: int, learns: bool, asks: bool):
                 if not ids:
                     continue
             h, n = tokens(texts)
-            chunk = _chunk_name(ids, h, n) if asks else None
-            doc = np.repeat(np.arange(len(ids), dtype=np.uint16 if len(ids) < 1 << 16 else np.uint32), n)
+            chunk = _chunk_name(ids, texts) if asks else None
+            counted = np.repeat(~held & learns, n)
             for kind in (UNIGRAM, BIGRAM):
                 grams = h if kind == UNIGRAM else bigrams(h, n)
                 order = np.argsort(grams, kind="stable")
-                u, docs = grams[order], doc[order]
+                u = grams[order]
                 first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
-                size = np.diff(np.append(first, len(u))).astype(np.uint32)
-                learnt = np.add.reduceat((~held[docs] & learns).astype(np.uint32), first, dtype=np.uint32)
-                u = u[first]
+                learnt, u = np.add.reduceat(counted[order].astype(np.uint32), first, dtype=np.uint32), u[first]
                 if kind == UNIGRAM:
                     at = int(np.searchsorted(u, START_KEY))
-                    u, size, learnt = np.insert(u, at, START_KEY), np.insert(size, at, 0), np.insert(learnt, at, (~held).sum() if learns else 0)
-                edge = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-                cut, rows = splits(u, shards).tolist(), []
-                for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-                    if b > a or asks:
-                        occurrences = (size[a:b], docs[edge[a] : edge[b]]) if kind == UNIGRAM and asks else ()
-                        rows.append((kind, chunk, s, pack(u[a:b].view(np.int64), learnt[a:b], *occurrences)))
-                yield _table(rows)
+                    u, learnt = np.insert(u, at, START_KEY), np.insert(learnt, at, (~held).sum() if learns else 0)
+                cut = splits(u, shards).tolist()
+                yield _table([(kind, chunk, s, pack(u[a:b].view(np.int64), learnt[a:b])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a])
 
     return run
 
@@ -205,85 +198,67 @@ def _ask(shards: int, learns: bool, asks: bool):
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A chunk's documents, for the place where its answers meet."""
     for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
-        h, n = tokens(texts)
         docs = np.array([0 if i is None else i for i in ids], dtype=np.int64)
         null = np.array([i is None for i in ids], dtype=np.uint8)
-        yield _table([(TEXTS, _chunk_name(ids, h, n), 0, pack(docs, null, np.array([len(t) for t in texts], dtype=np.int64), b"".join(texts)))])
+        yield _table([(TEXTS, _chunk_name(ids, texts), 0, pack(docs, null, np.array([len(t) for t in texts], dtype=np.int64), b"".join(texts)))])
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """For one shard of a kind: counts summed over all chunks, the filter over them, and each asking chunk's answer.
+    """For one shard of a kind: counts summed over all chunks, each asking chunk's answer, and the shard's totals.
 
-    An answer holds the shard's totals and filled share and the levels of the chunk's n-grams; for unigrams also its
-    documents' sums of log10(c + 0.1) and known tokens.
+    Tokens are answered with their counts, bigrams with the levels that the filter over the shard's counts gives.
     """
     kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
     chunk, data = table.column("chunk").to_pylist(), table.column("data").to_pylist()
-    parts = [unpack(d)[:2] for d in data]
+    parts = [unpack(d) for d in data]
     h, c = merge_counts([p[0].view(U64) for p in parts], [p[1].astype(np.int64) for p in parts])
     del parts
     seen = c > 0
-    block = build_filter(h[seen], c[seen])
-    level = Filter([block.tobytes()]).level(h).astype(np.uint8)
-    real = seen & (h != START_KEY) if kind == UNIGRAM else seen
-    totals = np.array([c[real].sum(), real.sum()], dtype=np.int64)
-    full = np.array([np.unpackbits(block).mean()]).tobytes()
-    out = []
+    full, value = 0.0, c
+    if kind == BIGRAM:
+        block = build_filter(h[seen], c[seen])
+        full, value = float(np.unpackbits(block).mean()), Filter([block.tobytes()]).level(h).astype(np.uint8)
+    else:
+        seen &= h != START_KEY
+    out = [(kind, None, shard, None, int(c[seen].sum()), int(seen.sum()), full)]
     for k, d in zip(chunk, data, strict=True):
-        if k is None:
-            continue
-        p = unpack(d)
-        at = np.searchsorted(h, p[0].view(U64))
-        sums = []
-        if kind == UNIGRAM:
-            doc = p[3].astype(np.int64)
-            known = np.bincount(doc, weights=np.repeat(c[at] > 0, p[2])).astype(np.uint32)
-            sums = [np.bincount(doc, weights=np.repeat(np.log10(c[at] + 0.1), p[2])).tobytes(), known]
-        out.append((kind, k, shard, pack(totals, full, level[at], *sums)))
-    return pa.Table.from_batches([_table(out)])
-
-
-def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, bi: np.ndarray, total: int, distinct: int, false_rate: float, mass: float) -> np.ndarray:
-    """log10 probability of each text's tokens, summed; ``uni`` and ``bi``: levels of the sorted distinct words with the start, and bigrams."""
-    table = expected()
+        if k is not None:
+            out.append((kind, k, shard, pack(value[np.searchsorted(h, unpack(d)[0].view(U64))]), None, None, None))
+    return pa.Table.from_batches([_table(out, 7)])
+
+
+def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, bi: np.ndarray, total: int, distinct: int, false_rate: float, mass: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text: log10 probability of its tokens, sum of log10(c + 0.1), known tokens.
+
+    ``uni``: counts of the sorted distinct words with the start; ``bi``: levels of the sorted distinct bigrams.
+    """
+    table, begin = expected(), np.cumsum(counts) - counts
     _, index = np.unique(np.concatenate([h, [START_KEY]]), return_inverse=True)
-    c = table[uni]
-    p1 = (c + 0.1) / (total + 0.1 * (distinct + 1))
+    p1 = (uni + 0.1) / (total + 0.1 * (distinct + 1))
     own, before = index[:-1], np.empty(len(h), dtype=np.int64)
     before[1:] = own[:-1]
-    before[np.cumsum(counts) - counts] = index[-1]
+    before[begin] = index[-1]
     _, at = np.unique(bigrams(h, counts), return_inverse=True)
-    pair = np.minimum(table[bi][at], np.minimum(c[own], c[before]))
+    pair = np.minimum(table[bi][at], np.minimum(uni[own], uni[before]))
     true = 1 - false_rate
-    p = (true * pair + mass * p1[own]) / (true * c[before] + mass)
-    return np.add.reduceat(np.log10(p), np.cumsum(counts) - counts)
+    p = (true * pair + mass * p1[own]) / (true * uni[before] + mass)
+    c = uni[own]
+    return np.add.reduceat(np.log10(p), begin), np.add.reduceat(np.log10(c + 0.1), begin), np.add.reduceat(c > 0, begin, dtype=np.int64)
 
 
-def _finish(shards: int, mass: float):
+def _finish(total: int, distinct: int, false_rate: float, mass: float):
     def run(table: pa.Table) -> pa.Table:
         """Chunks of equal ids and texts have one name; each takes the answers of the first."""
         rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True))
         answers = {(kind, shard): data for kind, shard, data in rows if kind != TEXTS}
         own = [data for kind, _, data in rows if kind == TEXTS]
-        if not own or len(answers) != 2 * shards:
-            raise ValueError("the documents changed between two reads")
-        uni, bi = ([unpack(answers[kind, s]) for s in range(shards)] for kind in (UNIGRAM, BIGRAM))
-        total, distinct = (int(x) for x in np.sum([a[0] for a in uni], axis=0))
-        # shards without n-grams hold nothing that could be found falsely
-        full = [np.frombuffer(a[1])[0] for a in bi if a[0][1]]
-        false_rate = float(np.mean(full)) ** PROBES if full else 0.0
-        levels_of = [np.concatenate([a[2] for a in x]) for x in (uni, bi)]
-        norm = np.log10(total + 0.1 * (distinct + 1)) if distinct else 0.0
+        uni, bi = (np.concatenate([unpack(answers[k])[0] for k in sorted(answers) if k[0] == kind]) for kind in (UNIGRAM, BIGRAM))
+        norm = np.log10(total + 0.1 * (distinct + 1))
         out = []
         for docs, null, lengths, texts in map(unpack, own):
             ends = np.cumsum(lengths)
             h, n = tokens([texts[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
-            base, known = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
-            for _, _, _, sums, k in uni:
-                sums = np.frombuffer(sums)
-                base[: len(sums)] += sums
-                known[: len(k)] += k
-            scores = log10(h, n, *levels_of, total, distinct, false_rate, mass)
+            scores, base, known = log10(h, n, uni, bi, total, distinct, false_rate, mass)
             ids = [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
             cols = [pa.array(ids, pa.int64()), pa.array([_held_out(i) for i in ids], pa.bool_()), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(scores)]
             out.append(pa.table(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
@@ -300,23 +275,29 @@ def score(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text) with its exact unigram score and the model's score.
 
     Null and empty texts hold just the end token.  Null doc_ids and repeated rows are scored like any other and are
-    never held out unless their doc_id says so.  An empty table gives no rows; other columns are not read.  The
-    documents are read twice, for their n-grams and for scoring; they are written to the shared folder first unless
-    ``stored`` says that they come from files as they are.  Where the model learns from ``docs`` itself, counts and
-    questions are one message; other training texts are read beside.
+    never held out unless their doc_id says so.  An empty table gives no rows; other columns, whatever their names, are
+    not read.  Without training texts every token has the same probability.  The documents are read twice, for their
+    n-grams and for scoring; they are written to the shared folder first unless ``stored`` says that they come from
+    files as they are.  Where the model learns from ``docs`` itself, counts and questions are one message; other
+    training texts are read beside.
     """
     spark = docs.sparkSession
-    shards = max(8, partitions(spark))
     own = docs.sameSemantics(model.docs)
-    docs = _columns(docs)
+    docs, scratch = _columns(docs), Scratch(spark, "lm")
     if not stored:
-        docs = Scratch(spark, "lm").table(docs, "docs")
+        docs = scratch.table(docs, "docs")
+    shards = max(shards_for(docs, SHARD), 8 if own else shards_for(model.docs, SHARD))
     asked = docs.mapInArrow(_ask(shards, own, True), BLOCK)
     if not own:
         asked = asked.unionByName(_columns(model.docs).mapInArrow(_ask(shards, True, False), BLOCK))
-    answers = asked.groupBy("kind", "shard").applyInArrow(_answer, BLOCK)
+    # dealt to as many tasks as there are shards of both kinds: a task's bytes stay the same at every size
+    answers = scratch.table(asked.repartition(2 * shards, "kind", "shard").groupBy("kind", "shard").applyInArrow(_answer, ANSWER), "answers")
+    sums = {r.kind: r for r in answers.where("chunk is null").groupBy("kind").agg(F.sum("total").alias("total"), F.sum("held").alias("held"), F.avg(F.when(F.col("held") > 0, F.pow("full", F.lit(PROBES)))).alias("rate")).collect()}
+    total, distinct = (sums[UNIGRAM].total, sums[UNIGRAM].held) if sums else (0, 0)
+    false_rate = (sums[BIGRAM].rate or 0.0) if sums else 0.0
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.mapInArrow(_texts, BLOCK).unionByName(answers).groupBy("chunk").applyInArrow(_finish(shards, model.mass), out)
+    met = docs.mapInArrow(_texts, BLOCK).unionByName(answers.where("chunk is not null").select("kind", "chunk", "shard", "data"))
+    return met.groupBy("chunk").applyInArrow(_finish(total, distinct, false_rate, model.mass), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
