@@ -12,10 +12,12 @@ Equal sets are one class with one representative, so copies are never compared.
 2. buckets that still hold several components: their classes against another centre, drawn for each bucket;
 3. what is left: the classes outside the bucket's largest component against those of other components.  Buckets of
    at most ``SMALL`` classes give pairs; larger ones are compared in blocks, whose exact intersections are a matrix
-   product over the shingles that both sides share, and give at most one link for each class and component.
+   product over the shingles that both sides share, and give at most one link for each class and component.  Buckets
+   of more than ``REBAND`` classes are dealt once more first, to buckets of classes that share another band too.
 
-After the third step every two classes that share a bucket are linked through a path, or were compared, or belong to
-one component; so no link of a bucket is lost, and the work falls on pairs of different components.
+After the third step every two classes that share a bucket (of a large one: two bands) are linked through a path, or
+were compared, or belong to one component, and the work falls on pairs of different components.  A pair at similarity
+0.85 shares no band with a probability of about 4e-7, and fewer than two with about 1e-5.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, chunks, mix64, word_hashes
+from .common import U64, Scratch, chunks, mix64, partitions, word_hashes
 
 WORDS, BANDS, ROWS = 5, 25, 5
 SIMILARITY = (85, 100)
@@ -37,8 +39,10 @@ B, RATE, Q = 1.001, 20.0, 65534
 MARGIN = 14.0
 #: Classes of a block in step 3; ids that a broadcast of wanted documents may hold.
 BLOCK, BROADCAST_IDS = 256, 500_000
-#: Largest bucket whose pairs are listed in step 3.
-SMALL = 16
+#: Largest bucket whose pairs are listed in step 3, and largest that is not dealt by a second band.
+SMALL, REBAND = 16, 1024
+#: Rows of blocks for each task of step 3: its work is the blocks' products, not their bytes.
+TASK_ROWS = 1024
 _RANDOM = mix64(np.arange(1, 3 * BANDS * ROWS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _ADD, _MUL, _MUL2 = ((_RANDOM[k :: 3] >> U64(32)).astype(np.uint32) | np.uint32(1) for k in range(3))
 
@@ -116,13 +120,14 @@ def possible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in chunks(batches, ["doc_id", "text"]):
+    for ids, keys, texts in chunks(batches, ["doc_id", "key", "text"]):
         sets = shingle_sets(texts)
         full = [s for s in sets if len(s)]
         rows = iter(registers(full))
         sketch = [next(rows).tobytes() if len(s) else None for s in sets]
         prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(prints, pa.binary()), pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "print", "registers"])
+        cols = [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(prints, pa.binary()), pa.array(sketch, pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "key", "n_shingles", "print", "registers"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,25 +251,42 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+def extend(labels: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``labels`` (cid, comp) after further links (a, b): components of the linked components, not of all edges again."""
+    links = scratch.table(links.distinct(), f"{name}-links")
+    nodes = links.select(F.col("a").alias("cid")).union(links.select("b")).distinct()
+    known = scratch.table(labels.unionByName(nodes.join(labels, "cid", "left_anti").select("cid", F.col("cid").alias("comp"))), f"{name}-known")
+    a, b = (known.select(F.col("cid").alias(k), F.col("comp").alias(f"c{k}")) for k in "ab")
+    between = links.join(a, "a").join(b, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(between, scratch, f"{name}-merged").select(F.col("cid").alias("comp"), F.col("comp").alias("new"))
+    return scratch.table(known.join(merged, "comp", "left").select("cid", F.coalesce("new", "comp").alias("comp")), name)
+
+
+def near_dedup(docs: DataFrame, reband: int = REBAND) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component_id, leads.
 
     Documents are linked when 100 * intersection >= 85 * union of their shingle sets; component_id is the least doc_id
-    reachable.  Null and empty texts, and those of white space only, have an empty set and are linked with nothing.
-    Rows without doc_id are linked with nothing and have no component_id.  Repeated rows share a component.  An empty
-    table gives no rows; other columns are not read.  Elements are 64-bit hashes of shingles.
+    reachable.  ``key`` is xxhash64 of the text; ``leads`` marks the row of least (doc_id, key) of its component, equal
+    rows together, and rows that are linked with nothing.  Null and empty texts, and those of white space only, have an
+    empty set and are linked with nothing.  Rows without doc_id are linked with nothing and have no component_id.
+    Repeated rows share a component.  An empty table gives no rows; other columns, whatever their names, are not read.
+    Elements are 64-bit hashes of shingles, sets are equal where 128-bit digests of their elements are.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = scratch.table(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, print binary, registers binary"), "sketches")
+    keyed = docs.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    sketches = scratch.table(keyed.mapInArrow(_sketch, "doc_id long, key long, n_shingles long, print binary, registers binary"), "sketches")
     linked = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = linked.groupBy("print").agg(F.min("doc_id").alias("gid"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
-    classes = scratch.table(classes.withColumn("cid", F.xxhash64("print")), "classes")
+    classes = linked.groupBy("print").agg(F.min(F.struct("doc_id", "key")).alias("lead"), F.min("doc_id").alias("gid"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    # numbers, not hashes: they can't collide, and once written they stay
+    classes = scratch.table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     bands = classes.select("cid", "registers").mapInArrow(_bands, "cid long, keys array<long>").select("cid", F.explode("keys").alias("key"))
     bands = scratch.table(bands, "bands")
+    # what joins the members of a key is a table of its own, so that the join of a large bucket can be split
     shared = bands.groupBy("key").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("cid").alias("h"), F.col("cid").alias("c"))).alias("m")).where("k > 1")
-    members = scratch.table(bands.join(shared.select("key", F.col("m.c").alias("centre")), "key"), "members")
+    shared = scratch.table(shared.select("key", F.col("m.c").alias("centre")), "shared")
+    members = scratch.table(bands.join(shared, "key"), "members")
     info = classes.select("cid", "n", "registers")
     wanted = scratch.table(members.select("cid").distinct().join(classes.select("cid", "gid", "print"), "cid"), "wanted")
     few = wanted.count() <= BROADCAST_IDS
@@ -280,26 +302,32 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("cid").alias(k), F.col("elements").alias(f"s{k}")) for k in "ab")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(_exact, "a long, b long")
 
-    def placed(labels: DataFrame) -> DataFrame:
-        """Members of buckets that hold several components, with their components."""
-        named = members.join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
-        several = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        return named.join(several, "key")
+    def several(named: DataFrame, name: str) -> DataFrame:
+        """Members (key, cid, comp) of buckets that hold several components."""
+        keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        return scratch.table(named.join(scratch.table(keys.select("key"), f"{name}-keys"), "key"), name)
 
-    pairs = members.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
-    edges = scratch.table(verified(possible_pairs(pairs)), "edges1")
-    labels = components(edges, scratch, "comp1")
+    def placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+        return members.join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
 
-    left = scratch.table(placed(labels), "left1")
-    centre = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", "key").alias("h"), F.col("cid").alias("b"), F.col("comp").alias("other"))).alias("m")).select("key", "m.b", "m.other")
-    pairs = left.join(centre, "key").where("comp <> other").select(F.col("cid").alias("a"), "b").distinct()
-    edges = scratch.table(edges.union(verified(possible_pairs(pairs))), "edges2")
-    labels = components(edges, scratch, "comp2")
-
-    left = scratch.table(placed(labels), "left2")
+    pairs = members.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
+    labels = components(verified(possible_pairs(pairs)), scratch, "comp1")
+
+    left = several(placed(members, labels), "left1")
+    centre = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", "key").alias("h"), F.col("cid").alias("b"), F.col("comp").alias("other"))).alias("m"))
+    pairs = left.join(scratch.table(centre.select("key", "m.b", "m.other"), "centres"), "key").where("comp <> other").select(F.col("cid").alias("a"), "b").distinct()
+    labels = extend(labels, verified(possible_pairs(pairs)), scratch, "comp2")
+
+    left = several(placed(left.select("key", "cid"), labels), "left2")
+    large = scratch.table(left.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > reband).select("key"), "large")
+    if large.limit(1).count():
+        again = left.join(large, "key").select(F.col("key").alias("first"), "cid", "comp").join(bands.select("cid", F.col("key").alias("second")), "cid").where("first <> second")
+        # a pair of bands has one key in whichever order they are met
+        again = again.select(F.xxhash64(F.least("first", "second"), F.greatest("first", "second")).alias("key"), "cid", "comp").distinct()
+        left = several(left.join(large, "key", "left_anti").unionByName(again), "left3")
     sizes = left.groupBy("key", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"))
-    held = scratch.table(left.join(main, "key").withColumn("outside", F.col("comp") != F.col("main")), "held")
+    held = scratch.table(left.join(scratch.table(main, "main"), "key").withColumn("outside", F.col("comp") != F.col("main")), "held")
 
     def facing(held: DataFrame, more: list[str]) -> DataFrame:
         """Blocks (key, i, j): part i of a bucket's outsiders (side 0) and part j of all its classes (side 1)."""
@@ -310,20 +338,24 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         parts = held.where("outside").select("key", part.alias("i")).distinct()
         return out.select(cols).unionByName(held.join(parts, "key").withColumn("j", part).withColumn("side", F.lit(1)).select(cols))
 
+    rows = {r.small: r.n for r in held.groupBy((F.col("k") <= SMALL).alias("small")).agg(F.sum(F.ceil(F.col("k") / BLOCK)).alias("n")).collect()}
+    tasks = lambda small: max(partitions(spark), int(rows.get(small) or 0) // TASK_ROWS)
+    by = ["key", "i", "j"]
     few = facing(held.where(F.col("k") <= SMALL).join(info, "cid"), ["n", "registers"])
-    pairs = scratch.table(few.groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long").distinct(), "pairs3")
+    pairs = scratch.table(few.repartition(tasks(True), *by).groupBy(*by).applyInArrow(_blocks, "a long, b long").distinct(), "pairs3")
     many = facing(held.where(F.col("k") > SMALL).join(sets, "cid"), ["elements"])
-    links = many.groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long")
-    edges = scratch.table(edges.union(verified(pairs)).union(links), "edges3")
-    labels = components(edges, scratch, "comp3")
+    links = many.repartition(tasks(False), *by).groupBy(*by).applyInArrow(_block_links, "a long, b long")
+    labels = extend(labels, verified(pairs).union(links), scratch, "comp3")
 
-    placed_classes = classes.join(labels, "cid", "left").select("print", "gid", F.coalesce("comp", "cid").alias("comp"))
-    least = placed_classes.groupBy("comp").agg(F.min("gid").alias("component_id"))
-    final = placed_classes.join(least, "comp").select("print", "component_id")
-    rows = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("print")).alias("print"))
-    return rows.join(final, "print", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    placed_classes = classes.join(labels, "cid", "left").select("print", "lead", F.coalesce("comp", "cid").alias("comp"))
+    least = placed_classes.groupBy("comp").agg(F.min("lead").alias("first"))
+    final = scratch.table(placed_classes.join(least, "comp").select("print", "first"), "final")
+    scratch.keep("sketches", "final")
+    rows = sketches.select("doc_id", "key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("print")).alias("print"))
+    leads = F.coalesce(F.struct("doc_id", "key") == F.col("first"), F.lit(True))
+    return rows.join(final, "print", "left").select("doc_id", "key", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"), leads.alias("leads"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
