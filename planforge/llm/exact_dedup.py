@@ -4,8 +4,9 @@ Every task turns its documents into index entries: a 64-bit key (the head of the
 the text's bytes once for each distinct text of the task, and the task's best row and row count for that text, so a
 text that a third of all rows share reaches its owner once for each task.  The entries are files in the shared
 folder.  The directory starts with one bucket; a bucket that holds more than ``capacity`` bytes is split in two, and
-the directory doubles whenever a bucket's depth exceeds the directory's.  Owner tasks take the buckets' key ranges,
-chain the entries of equal keys and compare the texts' bytes; each chain slot is one distinct text.
+the directory doubles whenever a bucket's depth exceeds the directory's.  The splits are decided on the sizes of key
+ranges before an entry is moved, so no bucket file is ever written twice.  Owner tasks take runs of neighbouring
+buckets, chain the entries of equal keys and compare the texts' bytes; each chain slot is one distinct text.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ ENTRY = "kind int, row long, doc_id long, n_cp long, key long, sha binary, body
 SLOT = "slot_sha binary, slot int, keep_row long, keep_id long, group_size long"
 #: Distinct texts that a task aggregates before it passes its sums on.
 HELD = 100_000
-#: Longest prefix of a key that the directory looks at; the directory never exceeds 2**DEPTH rows.
-DEPTH = 20
+#: Longest prefix of a key that the directory looks at: it never exceeds 2**DEPTH rows.  Above 2**(DEPTH-1) buckets'
+#: worth of bytes the buckets' capacity grows with the input instead (from 4 TB of distinct texts at 16 MB a bucket).
+DEPTH = 18
+#: Owner tasks at most; an owner takes at least OWNED bytes of neighbouring buckets.
+OWNERS, OWNED = 50_000, 64 << 20
+#: Texts with more rows than 1 / HEAVY of all are joined by broadcast: there are fewer than HEAVY of them.
+HEAVY = 4096
 
 
 def _better(a: tuple, b: tuple) -> bool:
@@ -130,34 +136,51 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
 
 
+def owners(buckets: dict[int, int], most: int = OWNERS, least: int = OWNED) -> dict[int, int]:
+    """The owner of each bucket: runs of neighbouring buckets of about equal bytes, ``buckets``: bytes by first slot."""
+    each, out, at = max(least, -(-sum(buckets.values()) // most)), {}, 0
+    for bucket in sorted(buckets):
+        out[bucket] = at // each
+        at += buckets[bucket]
+    return out
+
+
 def exact_dedup(docs: DataFrame, capacity: int = 16 << 20) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): row, doc_id, keep_id, keep_row, group_size, kept, sha.
 
     Texts are equal when identical without the characters [\\x20\\x09-\\x0D]; null counts as empty, and all empty texts
     are one group.  Of equal texts the row with the most code points stays, then the smallest doc_id (null last),
     then, for repeated rows, the first read: exactly one row of each group is ``kept``.  An empty table gives no rows.
-    Other columns are not read.
+    Other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact-index")
     entries = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_entries, ENTRY), "entries")
     index = entries.where("kind > 0").select("kind", "row", "doc_id", "n_cp", "key", "sha", "body", "n")
-    total = entries.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
+    total, n = entries.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)), F.count_if(F.col("kind") == 0)).first()
+    capacity = max(capacity, int(total) >> (DEPTH - 1))
     depth = min(DEPTH, max(2, int(total // capacity).bit_length() + 2))
     prefix = lambda bits: F.shiftrightunsigned(F.col("key"), 64 - bits).cast("long") if bits else F.lit(0).cast("long")
-    counted = entries.where("kind = 2").groupBy(prefix(depth).alias("p")).agg(F.sum(F.length("body") + 64).alias("b")).collect()  # at most 2**depth rows
-    slots = directory({r.p: r.b for r in counted}, depth, capacity)
+    counted = entries.where("kind = 2").groupBy(prefix(depth).alias("p")).agg(F.sum(F.length("body") + 64).alias("b")).toArrow()  # at most 2**depth rows
+    histogram = dict(zip(counted["p"].to_pylist(), counted["b"].to_pylist(), strict=True))
+    slots = directory(histogram, depth, capacity)
     world = len(slots).bit_length() - 1
-    table = spark.createDataFrame(slots, "entry long, bucket long")
-    owned = index.join(F.broadcast(table), prefix(world) == F.col("entry")).drop("entry")
-    owned = owned.repartition(max(partitions(spark), len({b for _, b in slots})), "bucket").sortWithinPartitions("key", F.desc("kind"))
+    held = dict.fromkeys((b for _, b in slots), 0)
+    for p, size in histogram.items():
+        held[slots[p >> (depth - world)][1]] += size
+    owner = owners(held)
+    table = spark.createDataFrame(pa.table([pa.array([s for s, _ in slots], pa.int64()), pa.array([owner[b] for _, b in slots], pa.int64())], names=["entry", "owner"]))
+    owned = index.join(F.broadcast(table), prefix(world) == F.col("entry")).drop("entry")  # at most 2**DEPTH rows of two numbers
+    owned = owned.repartition(max(partitions(spark), 1 + max(owner.values())), "owner").sortWithinPartitions("key", F.desc("kind"))
     found = owned.select("key", "kind", "row", "doc_id", "n_cp", "sha", "body", "n").mapInArrow(_owners, SLOT)
     found = scratch.table(found, "index")
+    scratch.keep("entries", "index")
     rows = entries.where("kind = 0").select("row", "doc_id", "sha")
-    return (
-        rows.join(found, F.col("sha") == F.col("slot_sha"))
-        .select("row", "doc_id", "keep_id", "keep_row", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "sha")
-    )
+    heavy, light = (found.where((F.col("group_size") > F.lit(n // HEAVY + 1)) == x) for x in (True, False))
+    out = ["row", "doc_id", "keep_id", "keep_row", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "sha"]
+    same = F.col("sha") == F.col("slot_sha")
+    common = F.broadcast(heavy)
+    return rows.join(common, same).select(*out).unionByName(rows.join(common, same, "left_anti").join(light, same).select(*out))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
