@@ -2,8 +2,9 @@
 
 A task splits its chunk of documents into pre-tokens and keeps each document's positions as numbers of the chunk's
 distinct words.  The words go, dealt by hash, to owners that encode each distinct word once; the ids come back to the
-chunk that asked and meet its documents there, which are put together by position.  Nothing is broadcast and nothing grows with a word's
-frequency: a word costs one row share for each chunk that holds it.  Decoding looks ids up in the token-byte table.
+chunk that asked and meet its documents there, which are put together by position.  Nothing is broadcast and nothing
+grows with a word's frequency: a word costs one row share for each chunk that holds it.  Decoding joins the ids, with
+their positions, to the token-byte table: the table is dense by id, so the join in each worker is one take.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, partitions, trim
+from .common import U64, Scratch, shards_for, trim
 from .pretokens import split
 
 #: Bytes of text in a chunk: what one task holds at once.
 CHUNK = 5 << 20
+#: Bytes of input for each shard of words.
+SHARD = 16 << 20
 ROWS = "kind int, chunk long, shard int, data binary"
 ENCODED = "doc_id long, n_tokens long, ids binary"
 #: Words that a worker keeps encoded between chunks when it encodes without a shuffle.
@@ -48,12 +51,13 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def token_bytes(path: str) -> list[bytes]:
-    """The token-byte table: bytes by id."""
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token-byte table by id: each token's first byte and length, and all bytes."""
     table = [b""] * (max(ranks(path).values()) + 1)
     for k, v in ranks(path).items():
         table[v] = k
-    return table
+    size = np.fromiter(map(len, table), np.int64, len(table))
+    return np.cumsum(size) - size, size, np.frombuffer(b"".join(table), np.uint8)
 
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -197,16 +201,16 @@ def encode(docs: DataFrame, path: str | None = None, stored: bool = False, then:
 
     Ids are those of the rank file at ``path``, each match of the public pattern encoded by itself, no special tokens.
     Null and empty texts have no ids.  Repeated rows and null doc_ids are kept as they are; an empty table gives no
-    rows; other columns are not read.  The documents are read twice, once for their words and once for their positions;
+    rows; other columns, whatever their names, are not read.  The documents are read twice, once for their words and once for their positions;
     they are written to the shared folder first unless ``stored`` says that they come from files as they are.
     ``then`` turns each chunk's table into one of ``schema`` in the same worker.
     """
     spark = docs.sparkSession
     path = path or vocabulary()
-    shards = max(8, partitions(spark))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not stored:
         docs = Scratch(spark, "bpe").table(docs, "docs")
+    shards = shards_for(docs, SHARD)
     answers = docs.mapInArrow(_ask(shards, True), ROWS).repartition(shards, "shard").mapInArrow(_answer(path), ROWS)
     return docs.mapInArrow(_ask(shards, False), ROWS).unionByName(answers).groupBy("chunk").applyInArrow(_finished(then), schema)
 
@@ -229,9 +233,21 @@ def encode_here(texts: list[str], path: str, known: dict[str, np.ndarray]) -> li
     return np.split(flat, ends[:-1]) if len(texts) else []
 
 
-def decoded(ids: bytes, table: list[bytes]) -> bytes:
-    """The bytes of ids by the token-byte table."""
-    return b"".join(map(table.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
+#: Ids that are decoded at a time.
+_IDS = 1 << 20
+
+
+def decoded(ids: bytes, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
+    """The bytes of ids, joined in order to the token-byte table; an id that it lacks raises."""
+    first, size, raw = table
+    out, every = [], np.frombuffer(ids, np.uint32)
+    for at in range(0, len(every), _IDS):
+        part = every[at : at + _IDS]
+        n = size[part]
+        place = np.repeat(first[part] - (np.cumsum(n) - n), n)
+        place += np.arange(len(place))
+        out.append(raw[place].tobytes())
+    return b"".join(out)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -258,7 +274,7 @@ def _decimals(n: int) -> list[bytes]:
 def _digest(path: str) -> Callable[[pa.Table], pa.Table]:
     def run(encoded: pa.Table) -> pa.Table:
         table = token_bytes(path)
-        text, hashed, back = _decimals(len(table)), [], []
+        text, hashed, back = _decimals(len(table[0])), [], []
         for x in encoded.column("ids"):
             ids = x.as_py()
             hashed.append(hashlib.sha256(b" ".join(map(text.__getitem__, np.frombuffer(ids, np.uint32).tolist()))).hexdigest())
