@@ -1,7 +1,8 @@
 """Operator 9, URL filters: host-suffix and path-prefix expressions joined with rules on short hash prefixes.
 
 Each distinct (host, path) is expanded into expressions ``suffix + path prefix`` as a hash-prefix lookup service does;
-path prefixes are taken at the lengths that the rules have.  The 32-bit head of an expression's SHA-256 is the join
+host suffixes are taken with as many labels, and path prefixes at the lengths, as the rules have, so an expression is
+never longer than a rule and a host of a thousand labels costs no more than a short one.  The 32-bit head of an expression's SHA-256 is the join
 key; the full digest confirms a hit, and the longest rule wins.  DataFrame functions only.
 """
 
@@ -42,14 +43,19 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default:
     A rule fits its host and all subdomains if the path starts with the rule's; the longest rule text wins (block
     before allow between rules of one text).  Where none fits, rule is null and the verdict is ``default``.  Null and
     empty URLs, and those without ``://``, have empty host and path and fit no rule.  Every row stays, repeated ones
-    too; columns of the input that are named host, path, rule or verdict are replaced.
+    too; columns of the input that are named host, path, rule or verdict are replaced.  Rows without a host are joined
+    with nothing, each under a key of its own; a URL that many rows share is judged once, and the join back is a plain
+    sort-merge join, which Spark splits at a hot key (``spark.sql.adaptive.skewJoin.enabled``).
     """
     spark = pages.sparkSession
     ours = ["host", "path", "rule", "verdict"]
-    named = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    others = [c for c in pages.columns if c not in ours]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(None))
+    named = pages.select(row.alias("row"), host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     lengths = sorted({len(p) for _, _, p in rules})
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # the last n labels begin after the n-th dot from the end; a host with fewer labels than n is its own suffix once
+    counts = sorted({h.count(".") + 1 for _, h, _ in rules})
+    suffixes = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in counts])) if counts else F.array().cast("array<string>")
     prefixes = F.array_distinct(F.array(*[F.substring("path", 1, n) for n in lengths])) if lengths else F.array().cast("array<string>")
     distinct = named.where("host <> ''").groupBy("host", "path").agg(F.lit(1).alias("one"))
     expanded = (
@@ -58,10 +64,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default:
     )
     table = rule_table(spark, rules)
     hits = expanded.join(F.broadcast(table) if len(rules) <= BROADCAST_RULES else table, "head").where("digest = rule_digest")
-    best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "action"), F.struct(F.length("rule"), F.col("action"))).alias("best"))
-    best = best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "best")
-    return named.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left").select(
-        *[F.col(f"`{c}`") for c in pages.columns if c not in ours], "host", "path",
+    best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "action"), F.struct(F.length("rule"), F.col("action"))).alias("best"), F.least(F.count("*"), F.lit(-1)).alias("none"))
+    # -1, from the data, so that it stays a join key
+    best = best.select(F.col("host").alias("best_host"), F.col("path").alias("best_path"), "none", "best")
+    named = named.withColumn("own", F.when(F.col("host") == "", F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    return named.join(best, (F.col("host") == F.col("best_host")) & (F.col("path") == F.col("best_path")) & (F.col("own") == F.col("none")), "left").select(
+        *[F.col("row").getField(c).alias(c) for c in others], "host", "path",
         F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"),
     )
 
