@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ import regex
 import tiktoken
 
 from planforge.llm import bpe, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, pretokens, topk_search, toxicity, url_filter
+from planforge.llm.common import Scratch
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row long, key long, kept string, size int, cid long"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -98,27 +100,31 @@ def test_log_frequency_filter_never_underestimates():
     counts = np.random.default_rng(1).zipf(1.7, 20000).clip(1, 10**6)
     order = np.argsort(h)
     edges = lm_scoring.splits(h[order], 4)
-    own = lm_scoring.Filter([lm_scoring.build_filter(h[order][a:b], counts[order][a:b], 1 << 30).tobytes() for a, b in zip(edges[:-1], edges[1:])])
+    own = lm_scoring.Filter([lm_scoring.build_filter(h[order][a:b], counts[order][a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:])])
     level, true = own.level(h), lm_scoring.levels(counts)
     assert (level >= true).all() and (level > true).mean() < 0.03
     unseen = own.level(lm_scoring.mix64(np.arange(10**6, 10**6 + 20000, dtype=np.uint64)))
     assert (unseen > 0).mean() < 0.03
 
 
-def test_lm_filter_has_its_bits_at_every_size():
-    """A shard of very many: its filter isn't cut to a share of a global bound, and its answers are the counts' levels."""
+def test_lm_shards_answer_exactly_or_by_their_own_filter():
+    """A shard of very many: its filter isn't cut to a share of a global bound, and tokens keep their counts."""
     r = np.random.default_rng(8)
     h = np.unique(lm_scoring.mix64(np.arange(1, 60001, dtype=np.uint64)))
     counts = r.integers(1, 40, len(h)).astype(np.uint32)
     counts[::2] = 0
     for kind in (lm_scoring.UNIGRAM, lm_scoring.BIGRAM):
-        occurrences = (np.ones(len(h), np.uint32), np.zeros(len(h), np.uint32)) if kind == lm_scoring.UNIGRAM else ()
-        rows = lm_scoring._table([(kind, 5, 60000, bpe.pack(h.view(np.int64), counts, *occurrences))])
-        answer = bpe.unpack(lm_scoring._answer(lm_scoring.pa.Table.from_batches([rows])).column("data")[0].as_py())
-        true = np.zeros(len(h), int)
-        true[counts > 0] = lm_scoring.levels(counts[counts > 0])
-        assert answer[0].tolist() == [counts.sum(), (counts > 0).sum()] and np.frombuffer(answer[1])[0] < 0.5
-        assert (answer[2] >= true).all() and (answer[2] > true).mean() < 0.03
+        rows = lm_scoring._table([(kind, 5, 3, bpe.pack(h.view(np.int64), counts)), (kind, None, 3, bpe.pack(h[:10].view(np.int64), counts[:10]))])
+        sums, own = lm_scoring._answer(lm_scoring.pa.Table.from_batches([rows])).to_pylist()
+        true = counts.astype(int)
+        true[:10] *= 2
+        assert (sums["total"], sums["held"], sums["chunk"], own["chunk"]) == (true.sum(), (true > 0).sum(), None, 5)
+        value = bpe.unpack(own["data"])[0]
+        if kind == lm_scoring.UNIGRAM:
+            assert value.tolist() == true.tolist()
+        else:
+            true[true > 0] = lm_scoring.levels(true[true > 0])
+            assert sums["full"] < 0.5 and (value >= true).all() and (value > true).mean() < 0.03
 
 
 def test_lm_scores_are_the_smoothed_counts(docs, spark):
@@ -128,13 +134,13 @@ def test_lm_scores_are_the_smoothed_counts(docs, spark):
     train = [[None, *words(t), b""] for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 10]
     one, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(t, t[1:]))
     total, distinct = sum(one.values()) - one[None], len(one) - 1
-    value = lambda n: table[lm_scoring.levels(np.array([n]))[0]] if n else 0.0
+    level = lambda n: table[lm_scoring.levels(np.array([n]))[0]] if n else 0.0
 
     def brute(text):
         t, out = [None, *words(text), b""], 0.0
         for a, b in zip(t, t[1:]):
-            p = (value(one[b]) + 0.1) / (total + 0.1 * (distinct + 1))
-            out += math.log10((min(value(two[a, b]), value(one[a]), value(one[b])) + 200 * p) / (value(one[a]) + 200))
+            p = (one[b] + 0.1) / (total + 0.1 * (distinct + 1))
+            out += math.log10((min(level(two[a, b]), one[a], one[b]) + 200 * p) / (one[a] + 200))
         return out
 
     for asked in (docs, few):
@@ -280,7 +286,35 @@ def test_pii_candidates_are_whole(spark):
     texts = [f"my desk line +49 30 55500{i} today" for i in range(30)] + [f"my desk line {x} today" for x in odd] + ["at 10.0.0.1 12345, 67 89. 5\n6"]
     got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [[texts[30 + i][x.s : x.e] for x in got[30 + i].spans] for i in range(len(odd))] == [[x] for x in odd]
-    assert [m["instance"] for m in pii._mentions(texts[-1])[1]] == ["10.0.0.1", "12345", "67 89", "5", "6"]
+    assert [m["instance"] for m in pii._mentions(texts[-1])[1]] == ["10.0.0.1", "12345", "67", "67 89", "89", "5", "6"]
+    assert [m["instance"] for m in pii._mentions("1 2 3 4 5")[1] if len(m["instance"]) > 7] == ["1 2 3 4 5"]
+
+
+def test_pii_finds_what_a_match_swallowed_and_hidden_seeds(spark):
+    """Base matches that run into each other are dropped; their parts have trusted forms.  Hidden seeds are found again."""
+    r = random.Random(3)
+    phone = lambda: f"+1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)}"
+    mail = lambda: f"{r.choice('abc')}x.{r.randint(10, 99)}@mail{r.randint(1, 9)}.example.org"
+    word = lambda: "".join(r.choice("aeiklmnrst") for _ in range(6))
+    texts = [" ".join([word(), word(), r.choice([phone, mail])(), word()]) for _ in range(200)]
+    texts += [f"{word()} {phone()} 190.13.22.20 {word()}", f"{word()} version 2.0 {word()} {r.randint(10**11, 10**12)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in pii.find_pii(df).collect()}
+    assert [s.kind for s in got[200].base] == ["ip"] and [s.kind for s in got[200].spans] == ["ip", "phone"]
+    assert not got[201].spans
+    seeds = [(texts[i][s.s : s.e], s.kind) for i, x in got.items() for s in x.base]
+    edges = [(p, m["instance"]) for t in texts for m in pii._mentions(t)[1] for p in m["patterns"]]
+    hidden = {s for s in seeds if zlib.crc32(s[0].encode()) % 10 == 0}
+    known = spark.createDataFrame(sorted(set(seeds) - hidden), "instance string, kind string")
+    found = {tuple(x) for x in pii.bootstrap(spark.createDataFrame(sorted(set(edges)), "pattern string, instance string"), known, Scratch(spark, "t")).collect()}
+    assert len(hidden) > 10 and len(found & hidden) >= 0.9 * len(hidden) and len(found - set(seeds)) <= 1
+
+
+def test_pii_is_linear_in_digits():
+    begin = time.perf_counter()
+    assert [k for k, *_ in pii.base_spans("1" * 300_000 + " " + "2." * 100_000 + "x" + "a@" * 50_000)] .count("ip") == 25_000
+    pii._mentions("7 " * 20_000)
+    assert time.perf_counter() - begin < 30
 
 
 def test_topk_is_exact(spark):
@@ -373,9 +407,31 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
-def test_targets_stop_at_twice_the_size():
-    assert mixing.targets([10, 1000, 10]) == [20.0, 1490.0, 20.0]
-    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0.0, 0.0]
+def plain_targets(sizes, weights=(3, 1, 2)):
+    weight = [weights[i % len(weights)] for i in range(len(sizes))]
+    out, free, left = [0.0] * len(sizes), set(range(len(sizes))), 1.5 * sum(sizes)
+    while free:
+        unit = left / sum(weight[i] for i in free)
+        over = {i for i in free if unit * weight[i] > 2 * sizes[i]}
+        for i in over or free:
+            out[i] = 2.0 * sizes[i] if over else unit * weight[i]
+        if not over:
+            break
+        left -= sum(out[i] for i in over)
+        free -= over
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10, 1000, 10], [], [0, 0], [5], list(range(1, 60)), [1, 1000000, 3, 40, 40, 40, 7]])
+def test_targets_are_those_of_plain_water_filling(spark, sizes, monkeypatch):
+    """Sources in several key ranges, a null one last."""
+    monkeypatch.setattr(mixing, "RANKED", 16)
+    names = [f"s{i:03}" for i in range(len(sizes))]
+    if names:
+        names[-1] = None
+    df = spark.createDataFrame(list(zip(names, sizes, [1] * len(sizes))), "source string, s long, n long").repartition(3)
+    got = {r.source: r.target for r in mixing.targets(df, Scratch(spark, "t")).collect()}
+    assert [got[n] for n in names] == pytest.approx(plain_targets(sizes))
 
 
 def test_url_filter(spark):
