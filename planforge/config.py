@@ -37,9 +37,11 @@ DIMENSIONS = {
 }
 MODEL_DIMENSIONS = ("jxmbnrfsfhyq", "szysfyxrghj")
 # --- fixed values: comparison of basic fields with the library ---
-COMPARED = [(k, {"sfyxwxyxk": "yxwxyxk", "rkjsxm": "zjjsxm"}.get(k, k)) for k in (
-    "kcbh", "kkyx", "zwkcmc", "ywkcmc", "skyy", "sfyxwxyxk", "khfs", "kcxz", "kclb", "zxs", "skzs", "zongxs", "jxxs", "kcxf", "rkjsxm",
-)]
+# (field of the document, field of the library)
+COMPARED = [
+    ("kcbh", "kcbh"), ("kkyx", "kkyx"), ("zwkcmc", "zwkcmc"), ("ywkcmc", "ywkcmc"), ("skyy", "skyy"), ("sfyxwxyxk", "yxwxyxk"), ("khfs", "khfs"), ("kcxz", "kcxz"),
+    ("kclb", "kclb"), ("zxs", "zxs"), ("skzs", "skzs"), ("zongxs", "zongxs"), ("jxxs", "jxxs"), ("kcxf", "kcxf"), ("rkjsxm", "zjjsxm"),
+]
 NUMERIC_FIELDS = ("zxs", "skzs", "zongxs", "jxxs", "kcxf")
 NAME_FIELDS = ("zwkcmc", "ywkcmc")
 CONTACT_FIELDS = ("jsgh", "email", "lxdh")
@@ -53,6 +55,12 @@ ROW_REQUIRED = {
     "khfsb": {"ksxs": "考试形式", "kcnr": "考察内容", "kcfs": "考察方式", "zb": "占比", "fz": "分值"},
 }
 KEY_PRESENT_FIELDS = ("syxs", "sjxs", "qtxs", "zxxs")
+TEMPLATE_ROWS = {
+    "jxnr": {"xh": "序号", "zt": "主题", "zsd": "知识点", "xs": "学时"},
+    "jxap": {"zs": "序号", "sknr": "授课内容", "skfs": "授课方式", "szyqjxx": "思政元素的融入和预期教学成效"},
+}
+TEMPLATE_TABLES = {"jxnr": "教学内容表", "jxap": "教学安排表"}
+TEMPLATE_CHECKS = {"mbxxyzwz": "模板信息要素是否完整", "zywjj": "是否有中英文简介"}
 SECTION_HINTS = {
     "jcxx": ("课程基本信息", "基本信息", "课程信息"), "kczwjj": ("课程中文简介",), "kcywjj": ("课程英文简介",),
     "ybzsyq": ("预备知识要求", "预备知识"), "jcjydcl": ("教材及阅读材料", "教材", "阅读材料"), "kcmb": ("课程目标", "教学目标"),
@@ -62,6 +70,43 @@ TOTAL_KEYWORDS = {"jcxx": ("总学时", "课程总学时"), "jxnr": ("总学时"
 IDEOLOGY_KEYWORDS = ("思政", "立德树人", "价值引领", "价值观", "责任感", "使命感", "家国情怀", "职业伦理", "社会责任", "诚信", "法治", "职业道德")
 GOAL_HINTS = ("课程目标", "教学目标", "思政目标", "课程思政目标", "价值目标", "育人目标")
 ARRANGEMENT_HINTS = ("教学安排", "课程安排", "授课安排", "教学进度", "课程思政", "思政元素", "思政元素融入")
+# --- fixed values: texts that metrics look for, and words of warnings' reasons ---
+MATCH_FAILURES = {"ambiguous": "文件路径或课程名称匹配到多条课程库记录，需人工复核", "not_found": "无法定位课程库记录"}
+MISSING_WORDS = ("为空", "字段缺失", "缺失")
+REVIEW_WORDS = ("需人工复核", "无法定位课程库记录")
+MODEL_FAILURES = ("parse_error", "no_llm", "empty_response")
+FALLBACK_REASON = "模型未给出不通过原因，需人工复核"
+EMPTY_REASON = "模型返回为空，需人工复核"
+PARSE_REASON = "模型输出格式无法解析，需人工复核"
+REVIEW_SUGGESTION = "配置 LLM 后重新审核，或进行人工复核。"
+WARNING_WORDS = {
+    "missing_field": "字段为空", "empty_section": "章节为空", "sanitized_control_chars": "已清理非法控制字符", "unknown_columns": "存在未知列", "fallback_used": "使用了兜底抽取",
+}
+# --- fixed values: names of internal fields as customers read them; whole words after them ---
+CUSTOMER_NAMES = {
+    "payload.kcmb.szmb": "思政目标", "payload.kcmb.nlmb": "能力目标", "payload.kcmb.zsmb": "知识目标", "payload.kcmb.mbgs": "课程目标概述",
+    "payload.jxap.tm[].szyqjxx": "教学安排中的思政元素融入", "payload.jxap.tm[].sknr": "教学安排中的授课内容", "payload.jxap.tm[].skfs": "教学安排中的授课方式",
+    "payload.jxap.apgs": "教学安排概述", "payload.jxap": "教学安排", "payload.khfsb": "考核方式", "payload.kcyq": "课程要求", "payload.jxnr": "教学内容", "payload.kcmb": "课程目标",
+    "payload_data.kcmb.data.szmb": "思政目标", "payload_data.kcmb.data.mbgs": "课程目标概述",
+    "audit_input.data.primary.szmb": "思政目标", "audit_input.data.primary.nlmb": "能力目标", "audit_input.data.primary.zsmb": "知识目标", "audit_input.data.supplement.mbgs": "课程目标概述",
+    "audit_input.data.jxap.primary.tm[0].skfs": "教学安排中的授课方式", "audit_input.data.khfsb.primary.tm[0].kcfs": "考核方式中的考察方式", "audit_input.data.kcyq": "课程要求",
+    "primary.szmb": "思政目标", "supplement.mbgs": "课程目标概述", "khfsb": "考核方式", "jxap": "教学安排", "jxnr": "教学内容", "kcmb": "课程目标", "kcyq": "课程要求",
+    "szmb": "思政目标", "nlmb": "能力目标", "zsmb": "知识目标", "szyqjxx": "思政元素融入", "mbgs": "课程目标概述", "nrgs": "教学内容概述", "apgs": "教学安排概述", "khgs": "考核方式说明", "tm": "表格条目",
+}
+CUSTOMER_WORDS = {"audit_input": "审核材料", "meta_context": "原文辅助信息", "meta": "原文辅助信息", "payload_data": "结构化抽取结果", "payload": "结构化抽取结果"}
+# --- fixed values: text that may fill a blank field, if it is long enough and has a keyword ---
+VALIDATED_TEXTS = {
+    "课程目标概述": {"titles": ("课程目标", "教学目标"), "keywords": ("思政", "能力", "知识", "价值", "育人", "责任", "使命", "目标"), "least": 8, "section": "course_goal"},
+    "教学内容概述": {"titles": ("教学内容", "课程内容"), "keywords": ("学时", "知识点", "主题", "内容", "章节", "总学时", "合计"), "least": 10, "section": "jxnr"},
+    "课程安排概述": {"titles": ("教学安排", "课程安排", "授课安排", "教学进度"), "keywords": ("周次", "授课内容", "授课方式", "思政", "教学方法", "安排"), "least": 10, "section": "jxap"},
+    "考核方式说明": {"titles": ("考核方式", "课程考核", "成绩评定", "考核与评价", "评价方式"), "keywords": ("考试", "考核", "成绩", "平时", "期末", "闭卷", "开卷", "论文", "分值", "占比", "总计"), "least": 10, "section": "assessment_rows"},
+    "课程要求": {"titles": ("课程要求", "学习要求", "课堂要求"), "keywords": ("作业", "阅读", "考勤", "出勤", "讨论", "预习", "提交", "课堂", "要求", "完成"), "least": 6, "section": "course_requirements"},
+    "阅读材料": {"titles": ("教材及阅读材料", "教材", "阅读材料", "参考书", "参考文献"), "keywords": ("教材", "阅读材料", "参考书", "参考文献", "书目", "作者", "版次"), "least": 6, "section": "jcjydcl"},
+}
+METHOD_TOKENS = ("讲授", "研讨", "讨论", "案例", "课堂", "阅读", "线上")
+NOISE_LINES = ("序号主题知识点学时", "周次授课内容授课方式")
+ENGLISH_FRAGMENTS = {"presen": "Presentation", "senta": "Presentation", "tation": "Presentation"}
+ITEM_KEYWORDS = ("课程目标", "教学目标", "教学内容", "教学安排", "课程要求", "考核方式", "教学方法", "授课方式", "课程思政")
 # --- fixed values: cleaning ---
 EMPTY_MARKERS = ("", "不填", "未填", "无", "暂无", "无特殊要求", "无特殊", "none", "null", "n/a", "na")
 FILENAME_NOISE = ("课程方案完整版", "课程方案", "课程实施方案", "教学大纲", "完整版", "最终版", "修订版", "新版")

@@ -17,20 +17,23 @@ def col(c: Column | str) -> Column:
 
 
 def ustrip(c: Column | str) -> Column:
-    """Strip white space of any script (``trim`` knows only U+0020)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Strip white space of any script (``trim`` knows only U+0020).  The input stands in the expression once."""
+    return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")
+
+
+_CONTROL = r"\x00-\x08\x0B\x0C\x0E-\x1F\x7F"
 
 
 def exact(c: Column | str) -> Column:
-    """Null as '', control characters but tab, LF and CR dropped, stripped."""
-    return ustrip(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""))
+    """Null as '', control characters but tab, LF and CR dropped, stripped; one pass."""
+    return F.regexp_replace(F.coalesce(col(c), F.lit("")), rf"(?U)^[\s{_CONTROL}]+|[\s{_CONTROL}]+\z|[{_CONTROL}]+", "")
 
 
 def clean_text(c: Column | str, keep_newline: bool = False) -> Column:
-    """CR as LF, runs of blanks as one, newlines dropped or at most two in a row."""
-    t = F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"\r\n?", "\n"), r"[ \t　]+", " ")
-    t = F.regexp_replace(t, r"\n{3,}", "\n\n") if keep_newline else F.regexp_replace(t, r"(?U)\s*\n\s*", "")
-    return ustrip(t)
+    """Every CR as LF, runs of blanks as one, none beside a line's end; line ends dropped, or at most two in a row."""
+    t = F.regexp_replace(F.translate(F.coalesce(col(c), F.lit("")), "\r", "\n"), r"[ \t　]+", " ")
+    t = F.regexp_replace(t, r" *\n *", "\n" if keep_newline else "")
+    return ustrip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
 
 
 def compact(c: Column | str) -> Column:
@@ -54,7 +57,7 @@ def bracket_label(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    return F.coalesce(ustrip(c) == "", F.lit(True))
+    return F.coalesce(~col(c).rlike(r"(?U)\S"), F.lit(True))
 
 
 def marker_blank(c: Column | str) -> Column:
@@ -84,6 +87,11 @@ def rows_substantive(rows: Column, fields: tuple[str, ...], extras: str | None =
     return F.coalesce(F.exists(rows, one), F.lit(False))
 
 
+def gap_rows(rows: Column, field: str, extras: str = "kzzd") -> Column:
+    """Whether any row has extra values but a blank field: what a conversion put into the wrong place."""
+    return F.coalesce(F.exists(rows, lambda r: is_blank(r[field]) & (F.size(r[extras]) > 0)), F.lit(False))
+
+
 def course_code(c: Column | str) -> Column:
     """A valid code, a labelled one found inside, else ''."""
     t = marker_blank(c)
@@ -152,10 +160,17 @@ def strip_markup(c: Column | str) -> Column:
 
 
 def english_spacing(c: Column | str) -> Column:
-    """Spaces at camel-case and letter-digit borders that recognition lost."""
-    t = F.regexp_replace(col(c), r"(?<=[a-z])(?=[A-Z])", " ")
+    """Spaces at camel-case and letter-digit borders that recognition lost, words put together again that it cut.
+
+    Text without Latin letters, and Chinese text with fewer than eight of them, stays as it is.
+    """
+    c = col(c)
+    t = F.regexp_replace(c, r"(?<=[a-z])(?=[A-Z])", " ")
     t = F.regexp_replace(t, r"(?<=[A-Za-z])(?=\d)|(?<=\d)(?=[A-Za-z])", " ")
-    return compact(t)
+    for part, word in config.ENGLISH_FRAGMENTS.items():
+        t = F.regexp_replace(t, rf"(?i)\b{part}\b", word)
+    few = F.length(F.regexp_replace(c, "[^A-Za-z]", ""))
+    return F.when((few == 0) | ((few < 8) & c.rlike("[一-龥]")), c).otherwise(ustrip(F.regexp_replace(t, " {2,}", " ")))
 
 
 def label_value(c: Column | str, label: str) -> Column:
@@ -171,7 +186,12 @@ def replace_all(c: Column | str, pairs: dict[str, str]) -> Column:
 
 def replace_words(c: Column | str, pairs: dict[str, str]) -> Column:
     """Replacements of whole words."""
-    return reduce(lambda t, k: F.regexp_replace(t, rf"\b\Q{k}\E\b", pairs[k]), sorted(pairs), col(c))
+    return reduce(lambda t, k: F.regexp_replace(t, rf"(?U)\b\Q{k}\E\b", pairs[k]), sorted(pairs), col(c))
+
+
+def customer_text(c: Column | str) -> Column:
+    """Internal names as customers read them; '' for null."""
+    return replace_words(replace_all(F.coalesce(col(c), F.lit("")), config.CUSTOMER_NAMES), config.CUSTOMER_WORDS)
 
 
 def without_titles(c: Column | str, titles: tuple[str, ...]) -> Column:
@@ -193,6 +213,11 @@ def split_columns(line: Column | str) -> Column:
     return F.filter(F.transform(F.split(col(line), r"(?U)\s{2,}|\t+|\|"), ustrip), lambda x: x != "")
 
 
+def noise_line(c: Column | str) -> Column:
+    """A blank line, or a table's header run together."""
+    return F.regexp_replace(F.coalesce(col(c), F.lit("")), SPACE + "+", "").isin("", *config.NOISE_LINES)
+
+
 def is_sequence(c: Column | str) -> Column:
     return exact(c).rlike(rf"^{config.SEQUENCE}$")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
@@ -74,6 +75,45 @@ def segments(c: Column, words: Iterable[str], window: int = 320, cap: int = 12)
     return run(c)
 
 
+def page_segments(pages: Column, words: Iterable[str], window: int = 260, cap: int = 12) -> Column:
+    """array<struct<page,keyword,text>>: compacted text around keywords, page by page, distinct by page, start and keyword."""
+    words = list(words)
+
+    @vectorised("array<struct<page:int,keyword:string,text:string>>")
+    def run(values: pd.Series) -> pd.Series:
+        def one(pages: Iterable[str]) -> list[dict]:
+            out = []
+            for i, page in enumerate(pages if pages is not None else []):
+                out += [{"page": i, "keyword": k, "text": t} for k, _, p in find_snippets(page, words, window, window, cap - len(out)) if (t := " ".join(p.split()))]
+            return out[:cap]
+
+        return values.map(one)
+
+    return run(pages)
+
+
+def source_segments(sources: Column, hints: Iterable[str], words: Iterable[str], window: int = 320, cap: int = 12) -> Column:
+    """array<struct<source_path,section_hint,text>>: first the text around hints that has one of the words, then that
+    around the words themselves; distinct, at most ``cap``."""
+    hints, words = list(hints), list(words)
+
+    @vectorised("array<struct<source_path:string,section_hint:string,text:string>>")
+    def run(values: pd.Series) -> pd.Series:
+        def one(sources: Iterable[dict]) -> list[dict]:
+            found: dict[tuple, None] = {}
+            for marks, accept in ((hints, lambda p: any(w in p for w in words)), (words, None)):
+                for s in sources if sources is not None else []:
+                    for hint, _, piece in find_snippets(s["text"], marks, window, window, accept=accept, distinct=True):
+                        found.setdefault((s["source_path"], hint, " ".join(piece.split())))
+                        if len(found) >= cap:
+                            break
+            return [dict(zip(("source_path", "section_hint", "text"), f, strict=True)) for f in list(found)[:cap]]
+
+        return values.map(one)
+
+    return run(sources)
+
+
 def title_pattern(titles: Iterable[str]) -> re.Pattern:
     return _title_pattern(tuple(titles))
 
@@ -151,6 +191,21 @@ def markdown_section(text: str | None, name: str) -> str:
     return ""
 
 
+def markdown_part(c: Column, name: str) -> Column:
+    return vectorised("string")(lambda values: values.map(lambda v: markdown_section(v, name)))(c)
+
+
+@vectorised("string")
+def anchored(values: pd.Series) -> pd.Series:
+    return values.map(with_anchors)
+
+
+@vectorised("map<string,string>")
+def text_fields(values: pd.Series) -> pd.Series:
+    """Fields that patterns find in a text."""
+    return values.map(lambda v: fill_fields({}, v))
+
+
 def flexible(label: str) -> re.Pattern:
     """The label with any white space between its characters."""
     return re.compile(r"\s*".join(map(re.escape, label)))
@@ -208,3 +263,10 @@ def sanitise(value: object, path: str = "") -> tuple[object, list[str]]:
         return value, []
     paths = [p for _, ps in pairs.values() for p in ps]
     return ({k: v for k, (v, _) in pairs.items()} if isinstance(value, dict) else [v for v, _ in pairs.values()]), paths
+
+
+@vectorised("struct<json:string,paths:array<string>>")
+def sanitised(values: pd.Series) -> pd.DataFrame:
+    """JSON without control characters in its strings, and the paths that changed; null for null."""
+    out = [(None, None) if v is None else sanitise(json.loads(v)) for v in values]
+    return pd.DataFrame({"json": [None if p is None else json.dumps(j, ensure_ascii=False) for j, p in out], "paths": [p for _, p in out]})

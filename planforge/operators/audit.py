@@ -48,6 +48,11 @@ def finding(section: Column | str, name: Column | str, path: Column | str, statu
     ).cast(FINDING)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: the expression does not grow with the number of its uses."""
+    return F.transform(F.array(value), use)[0]
+
+
 def each(items: list[dict[str, Column | str]], make: Callable[[Column], Column]) -> Column:
     """One finding expression over an array of small structs: the plan's code stays small however many fields there are."""
     return F.transform(F.array(*[F.struct(*[_lit(v).alias(k) for k, v in item.items()]) for item in items]), make)
@@ -107,7 +112,7 @@ def hours_formula() -> Column:
 
 def basic_info() -> Column:
     """The match, 15 compared fields, the hours formula and three contacts."""
-    reason = F.concat(F.lit("课程库匹配失败："), F.coalesce(F.nullif(F.array_join("match_reasons", "；"), F.lit("")), F.col("match_status")))
+    reason = C.labelled("match_status", config.MATCH_FAILURES)
     lost = F.when(F.col("match_status") != "matched", finding("jcxx", "course_match", "courses", "fail", reason, expected=F.col("match_status"), actual=F.col("source_path"), suggestion="请人工核对 PDF 文件名、课程编号、课程名称与课程库记录。"))
     contacts = each([_field("jcxx", k, f"payload.jcxx.{k}", config.LABEL_OF[k], P["jcxx"][k]) for k in config.CONTACT_FIELDS], presence)
     return F.array_compact(F.concat(F.array(lost), comparisons(), F.array(hours_formula()), contacts))
@@ -141,7 +146,7 @@ def extraction_warnings(existing: Column) -> Column:
         path = F.coalesce(F.nullif(w["path"], F.lit("")), F.concat(F.lit("meta.extraction_warnings["), i.cast("string"), F.lit("]")))
         missing = reason.isin("missing_field", "empty_section")
         label = F.coalesce(F.nullif(w["label"], F.lit("")), name)
-        message = F.coalesce(F.nullif(w["detail"], F.lit("")), F.concat(label, F.lit("存在抽取问题："), reason, F.lit("。")))
+        message = F.coalesce(F.nullif(w["detail"], F.lit("")), F.concat(label, F.lit("存在抽取问题："), C.labelled(reason, config.WARNING_WORDS), F.lit("。")))
         seen = F.exists(failed, lambda f: (f["path"] == path) | ((f["section"] == section) & (f["field"] == name)))
         return F.when(~(missing & seen), finding(section, name, path, F.when(missing, "fail").otherwise("warning"), message, actual=F.to_json(w), suggestion="复核 PDF 原文和抽取结果。"))
 
@@ -163,7 +168,7 @@ def hour_consistency() -> list[Column]:
 def extraction_status() -> Column:
     """Partial is a warning, other states an error."""
     s = F.coalesce("extraction_status", F.lit(""))
-    return F.when(~s.isin("", "success"), finding("system", "extraction_status", "syllabus_extractions.extraction_status", F.when(s == "partial", "warning").otherwise("error"), F.concat(F.lit("PDF 抽取状态为 "), s), actual=s, suggestion="查看 meta.extraction_warnings 获取具体抽取问题。"))
+    return F.when(~s.isin("", "success"), finding("system", "extraction_status", "extractions.extraction_status", F.when(s == "partial", "warning").otherwise("error"), F.concat(F.lit("PDF 抽取状态为 "), s), actual=s, suggestion="查看 meta.extraction_warnings 获取具体抽取问题。"))
 
 
 def sources() -> Column:
@@ -186,33 +191,43 @@ def semantic_number(value: Column, hints: tuple[str, ...], words: tuple[str, ...
     head = rf"(?s)(?U){number}.{{0,80}}?(?:{'|'.join(rf'{chr(92)}Q{h}{chr(92)}E' for h in hints)})"
     def found(source: Column, pattern: str, ambiguous: bool, text: Column) -> Column:
         n = F.regexp_extract(text, pattern, 1)
-        return F.when(n != "", F.struct(F.lit("meta").alias("source"), source["source_path"].alias("source_path"), F.regexp_extract(text, number, 0).alias("raw_value"), n.try_cast("int").alias("number"), F.lit(ambiguous).alias("ambiguous")))
+        return F.when(n != "", F.struct(F.lit("meta").alias("source"), source["source_path"].alias("source_path"), F.regexp_extract(text, number, 0).alias("raw_value"), n.try_cast("int").alias("number"), F.lit(ambiguous).alias("ambiguous"), text.rlike("课程学时安排|周学时|上课周数").alias("basics")))
     texts = F.col("_sources")
     near = F.try_element_at(F.array_compact(F.transform(texts, lambda s: F.coalesce(found(s, tail, False, s["text"]), found(s, head, False, s["text"])))), F.lit(1))
     loose = F.try_element_at(F.array_compact(F.transform(texts, lambda s: found(s, number, True, F.substring(s["text"], 1, 500)))), F.lit(1))
-    kind = "struct<source:string,source_path:string,raw_value:string,number:int,ambiguous:boolean>"
-    payload = F.struct(F.lit("payload").alias("source"), F.lit("").alias("source_path"), C.exact(value).alias("raw_value"), own.alias("number"), F.lit(False).alias("ambiguous")).cast(kind)
-    unsure = F.when(loose.isNotNull(), F.struct(F.lit("payload").alias("source"), loose["source_path"].alias("source_path"), loose["raw_value"].alias("raw_value"), F.lit(None).cast("int").alias("number"), F.lit(True).alias("ambiguous")).cast(kind))
+    kind = "struct<source:string,source_path:string,raw_value:string,number:int,ambiguous:boolean,basics:boolean>"
+    payload = F.struct(F.lit("payload").alias("source"), F.lit("").alias("source_path"), C.exact(value).alias("raw_value"), own.alias("number"), F.lit(False).alias("ambiguous"), F.lit(False).alias("basics")).cast(kind)
+    unsure = F.when(loose.isNotNull(), F.struct(F.lit("payload").alias("source"), loose["source_path"].alias("source_path"), loose["raw_value"].alias("raw_value"), F.lit(None).cast("int").alias("number"), F.lit(True).alias("ambiguous"), loose["basics"].alias("basics")).cast(kind))
     return F.when(own.isNotNull(), payload).otherwise(F.coalesce(near.cast(kind), unsure, payload))
 
 
-def _issue(label: str, x: Column) -> Column:
-    return F.when(x["ambiguous"], F.concat(F.lit(f"{label}为空；原文中的“"), x["raw_value"], F.lit(f"”没有明确归属，不能确认是{label}。"))).when(x["number"].isNull(), F.when(x["raw_value"] == "", f"{label}为空").otherwise(f"{label}不是可计算数字"))
+def _unsure(label: str, x: Column) -> Column:
+    """Why a total found without a section around it is not taken."""
+    quoted = F.concat(F.lit(f"{label}为空；原文中的“"), F.coalesce(F.nullif(x["raw_value"], F.lit("")), F.lit("总学时")), F.lit("”"))
+    of_basics = "属于课程学时安排或基础信息，不是教学内容课时总计，因此不能判定学时匹配。" if label.startswith("教学内容") else "属于课程学时安排或基础信息，不能确认该字段已填写。"
+    return F.when(x["ambiguous"], F.concat(quoted, F.when(x["basics"], of_basics).otherwise(f"没有明确归属，不能确认是{label}。")))
+
+
+def _absent(label: str, x: Column) -> Column:
+    return F.when(x["number"].isNull() & ~x["ambiguous"], F.when(x["raw_value"] == "", f"{label}为空").otherwise(f"{label}不是可计算数字"))
 
 
 def content_hours() -> Column:
     """Total hours of content and basics, with where each was found."""
     a, b = F.col("_basic_total"), F.col("_content_total")
     same_place = (a["source"] == "meta") & (b["source"] == "meta") & (a["source_path"] == b["source_path"]) & (a["raw_value"] == b["raw_value"])
-    issues = F.array_compact(F.array(_issue("基础信息总学时", a), _issue("教学内容总学时", b), F.when(same_place, "基础信息总学时和教学内容总学时引用了同一处原文数值，无法确认该数值同时代表教学内容课时总计，需人工复核。")))
+    issues = F.array_compact(F.array(_unsure("基础信息总学时", a), _unsure("教学内容总学时", b), _absent("基础信息总学时", a), _absent("教学内容总学时", b), F.when(same_place, "基础信息总学时和教学内容总学时引用了同一处原文数值，无法确认该数值同时代表教学内容课时总计，需人工复核。")))
     unequal = F.concat(F.lit("教学内容总学时与基础信息总学时不一致：基础信息为 "), a["number"].cast("string"), F.lit("，教学内容为 "), b["number"].cast("string"))
-    reasons = F.when(F.size(issues) > 0, issues).when(a["number"] != b["number"], F.array(unequal)).otherwise(F.array().cast("array<string>"))
+    reasons = let(issues, lambda i: F.when(F.size(i) > 0, i).when(a["number"] != b["number"], F.array(unequal)).otherwise(F.array().cast("array<string>")))
     return _dimension("jxnr", "zongxs", "payload.jxnr.zongxs", reasons, "教学内容总学时与基础信息总学时一致。", F.to_json(F.struct(a.alias("jcxx_zongxs"), b.alias("jxnr_zongxs"))), "请核对基础信息和教学内容中的总学时填写是否一致。")
 
 
 def _dimension(section: str, name: str, path: str, reasons: Column, fine: str, evidence: Column, suggestion: str) -> Column:
-    bad = F.size(reasons) > 0
-    return finding(section, name, path, F.when(bad, "fail").otherwise("pass"), F.when(bad, F.array_join(F.array_distinct(reasons), "；")).otherwise(fine), evidence=evidence, suggestion=suggestion)
+    def of(r: Column) -> Column:
+        bad = F.size(r) > 0
+        return finding(section, name, path, F.when(bad, "fail").otherwise("pass"), F.when(bad, F.array_join(F.array_distinct(r), "；")).otherwise(fine), evidence=evidence, suggestion=suggestion)
+
+    return let(reasons, of)
 
 
 def weeks() -> Column:
@@ -227,50 +242,106 @@ def weeks() -> Column:
     return _dimension("jxap", "zs", "payload.jxap.tm[].zs", reasons, "教学安排最大周次与基础信息上课周数一致。", F.to_json(F.struct(taught.alias("jcxx_skzs"), found.alias("schedule_weeks"), gaps.alias("missing_weeks"))), "请核对教学安排中的最大周次是否与基础信息上课周数一致。")
 
 
+def snippets(sources: Column, hints: tuple[str, ...], before: int = 80, after: int = 800) -> Column:
+    """array<string>: the text around every occurrence of a hint, by source, then hint, then place."""
+    def around(text: Column, hint: str) -> Column:
+        parts = F.transform(F.split(text, rf"\Q{hint}\E", -1), F.length)
+        found = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+        def one(i: Column) -> Column:
+            at = F.aggregate(F.slice(parts, 1, i), F.lit(0), lambda n, x: n + x) + (i - 1) * len(hint)
+            start = F.greatest(at - before, F.lit(0))
+            return F.substring(text, start + 1, at - start + len(hint) + after)
+        return F.transform(found, one)
+
+    return F.flatten(F.transform(sources, lambda s: F.flatten(F.array(*[around(s["text"], h) for h in hints]))))
+
+
 def _near(section: str, labels: tuple[str, ...], value: bool) -> Column:
-    """Whether a source names a label (with a value) after a hint of the section."""
-    label = "|".join(rf"\Q{x}\E" for x in labels)
+    """Whether a source names a label (with a value) near a hint of the section: 800 characters after it, 80 before."""
+    tail = r"\s*+[:：]?+\s*+[^\s；。]" if value else ""
+    label = rf"(?:{'|'.join(rf'{chr(92)}Q{x}{chr(92)}E' for x in labels)}){tail}"
     hint = "|".join(rf"\Q{x}\E" for x in config.SECTION_HINTS[section])
-    tail = r"\s*[:：]?\s*[^\s:：；。]{1}" if value else ""
-    return F.exists(F.col("_sources"), lambda s: s["text"].rlike(rf"(?s)(?U)(?:{hint}).{{0,800}}?(?:{label}){tail}"))
+    return F.exists(F.col("_sources"), lambda s: s["text"].rlike(rf"(?s)(?U)(?:{hint}).{{0,800}}?{label}") | s["text"].rlike(rf"(?s)(?U){label}.{{0,80}}?(?:{hint})"))
 
 
-def section_content(section: str, least: int = 4) -> Column:
-    """Whether a source has text after a title of the section."""
-    hint = "|".join(rf"\Q{x}\E" for x in config.SECTION_HINTS[section])
-    return F.exists(F.col("_sources"), lambda s: s["text"].rlike(rf"(?s)(?U)(?:{hint})[\s:：]*[^\s:：]{{{least},}}"))
+def table_near(section: str, labels: tuple[str, ...]) -> Column:
+    """Whether text near a hint of the section looks like its table: two or three of its labels, and a numbered row."""
+    least = max(2, min(len(labels), 3))
+    def looks(t: Column) -> Column:
+        named = reduce(lambda a, b: a + b, [F.contains(t, F.lit(x)).cast("int") for x in labels])
+        return (named >= least) & t.rlike(r"(?U)\d+\s*[、.．\s]|第|主题|授课")
+    return F.exists(snippets(F.col("_sources"), config.SECTION_HINTS[section]), looks)
+
+
+def section_content(section: str, least: int = 8) -> Column:
+    """Whether text near a hint of the section says more than its titles."""
+    return F.exists(snippets(F.col("_sources"), config.SECTION_HINTS[section]), lambda t: F.length(C.without_titles(t, config.SECTION_HINTS[section])) >= least)
 
 
 def section_title(section: str) -> Column:
+    """Whether a source has a title of the section."""
     return F.exists(F.col("_sources"), lambda s: s["text"].rlike("|".join(rf"\Q{x}\E" for x in config.SECTION_HINTS[section])))
 
 
 def element(x: Column) -> Column:
-    """Finding of x (section, field, path, label, value, rescue): what the payload lacks may stand in the original text."""
+    """Finding of x (section, field, path, label, value, rescue, title): what the payload lacks may stand in the original."""
     here = ~C.is_blank(x["value"])
     rescue = F.coalesce(x["rescue"], F.lit(False))
-    message = F.concat(x["label"], F.when(here, "已填写。").when(rescue, "见原文。").otherwise("缺失"))
-    return finding(x["section"], x["field"], x["path"], F.when(here | rescue, "pass").otherwise("fail"), message, actual=x["value"], evidence=F.when(~here & rescue, '{"source":"meta"}'), suggestion="请按模板补充该要素。")
+    message = F.concat(x["label"], F.when(here, "已填写").when(rescue, "在原文辅助信息中存在").when(F.coalesce(x["title"], F.lit(False)), "为空；原文辅助信息中只有章节标题，没有该字段的填写内容").otherwise("为空"))
+    return finding(x["section"], x["field"], x["path"], F.when(here | rescue, "pass").otherwise("fail"), message, actual=x["value"], evidence=F.when(~here & rescue, '{"fallback_used":true}'), suggestion="请按模板补充该要素。")
 
 
 def template() -> Column:
-    """The template's elements; four basic fields need their key only, rows every cell of a column."""
-    item = lambda rescue, *args: {**_field(*args), "rescue": rescue}
-    out = [item(_near("jcxx", (label,), True), "jcxx", k, f"payload.jcxx.{k}", label, P["jcxx"][k]) for label, k in config.BASIC_FIELDS.items() if k not in config.KEY_PRESENT_FIELDS]
-    out += [item(P["jcxx"][k].isNotNull() | _near("jcxx", (config.LABEL_OF[k],), False), "jcxx", k, f"payload.jcxx.{k}", config.LABEL_OF[k], P["jcxx"][k]) for k in config.KEY_PRESENT_FIELDS]
-    out += [item(section_content(k), "payload", k, f"payload.{k}", label, P[k]) for k, label in config.TOP_LEVEL.items()]
-    out += [item(_near("kcmb", (label,), True), "kcmb", k, f"payload.kcmb.{k}", label, P["kcmb"][k]) for k, label in config.GOALS.items()]
-    for section in ("jxnr", "jxap"):
-        for k, label in config.ROW_REQUIRED[section].items():
-            filled = F.when(F.size(P[section]["tm"]) > 0, F.when(F.forall(P[section]["tm"], _filled(k)), "x"))
-            none = F.coalesce(F.size(P[section]["tm"]) <= 0, F.lit(True))
-            out.append(item(_near(section, (label.split("/")[0],), False) & none, section, k, f"payload.{section}.tm[].{k}", label, filled))
-    out.append(item(section_content("kcyq") | section_title("kcyq"), "kcyq", "content", "payload.kcyq", "课程要求", P["kcyq"]))
-    return each(out, element)
-
+    """The template's elements: two summaries, then basic fields (four need their key only), top-level fields, goals,
+    the two tables row by row, and the requirements.  A blank one passes where the original text has it."""
+    def item(section: str, hints: str, name: str, path: str, label: str, value: Column, labels: tuple[str, ...] = ()) -> dict:
+        return {**_field(section, name, path, label, value), "rescue": F.when(C.is_blank(value.cast("string")), _near(hints, labels or (label,), True)), "title": F.when(C.is_blank(value.cast("string")), section_title(hints))}
+
+    jcxx = P["jcxx"]
+    basics = [item("jcxx_template", "jcxx", k, f"payload.jcxx.{k}", label, jcxx[k]) for label, k in config.BASIC_FIELDS.items() if k not in config.KEY_PRESENT_FIELDS]
+    keyed = []
+    for k in config.KEY_PRESENT_FIELDS:
+        label, here = config.LABEL_OF[k], jcxx[k].isNotNull()
+        seen = F.when(~here, _near("jcxx", (label,), False))
+        message = F.when(here, f"{label}字段存在，允许为空").when(seen, f"{label}字段在原文辅助信息中存在，允许为空").otherwise(f"{label}字段缺失")
+        keyed.append(finding("jcxx_template", k, f"payload.jcxx.{k}", F.when(here | seen, "pass").otherwise("fail"), message, actual=jcxx[k], suggestion=f"检查 PDF 课程基本信息中是否包含{label}字段。"))
+    rest = [item("payload", k, k, f"payload.{k}", label, P[k]) for k, label in config.TOP_LEVEL.items()]
+    rest += [item("kcmb", "kcmb", k, f"payload.kcmb.{k}", label, P["kcmb"][k]) for k, label in config.GOALS.items()]
+    rest.append(item("jxnr", "jxnr", "zongxs", "payload.jxnr.zongxs", "教学内容总学时", P["jxnr"]["zongxs"], ("总学时", "合计")))
+    tables = []
+    for section, fields in config.TEMPLATE_ROWS.items():
+        rows, name = P[section]["tm"], config.TEMPLATE_TABLES[section]
+        seen = table_near(section, tuple(fields.values()))
+        none = finding(section, "tm", f"payload.{section}.tm", F.when(seen, "pass").otherwise("fail"), F.when(seen, f"{name}在原文辅助信息中存在。").otherwise(f"{name}为空"), suggestion=f"补齐{name}。")
+        tables.append(F.when(F.size(rows) > 0, F.flatten(F.transform(rows, _template_row(section, fields)))).otherwise(F.array(none)))
+    wanted = C.is_blank(P["kcyq"])
+    told = F.when(wanted, section_content("kcyq"))
+    last = finding("kcyq", "content", "payload.kcyq", F.when(~wanted | told, "pass").otherwise("fail"), F.when(~wanted, "课程要求已填写").when(told, "课程要求在原文辅助信息中存在。").otherwise("课程要求为空"), suggestion="补齐课程要求文本。")
+    return F.concat(each(basics, element), F.array(*keyed), each(rest, element), *tables, F.array(last))
+
+
+def template_summary(found: Column) -> Column:
+    """The two checks over the template's findings: all elements, and both introductions."""
+    failed = F.filter(found, lambda f: f["status"] == "fail")
+    def check(name: str, bad: Column) -> Column:
+        def of(reasons: Column) -> Column:
+            some = F.size(reasons) > 0
+            return finding("xxyzwzfhmb", name, f"findings.xxyzwzfhmb.checks.{name}", F.when(some, "fail").otherwise("pass"), F.when(some, F.array_join(reasons, "；")).otherwise("是"), expected=F.lit(config.TEMPLATE_CHECKS[name]))
+        return let(F.array_distinct(F.transform(bad, lambda f: f["reason"])), of)
+    return F.array(check("mbxxyzwz", failed), check("zywjj", F.filter(failed, lambda f: f["path"].isin("payload.kczwjj", "payload.kcywjj"))))
+
+
+def _template_row(section: str, fields: dict[str, str]):
+    def cells(row: Column, i: Column) -> Column:
+        at = (i + 1).cast("string")
+        out = []
+        for k, label in fields.items():
+            blank = C.is_blank(row[k])
+            message = F.when(blank, F.concat(F.lit(f"{section}第 "), at, F.lit(f" 行{label}为空"))).otherwise(f"{label}已填写")
+            out.append(finding(section, k, F.concat(F.lit(f"payload.{section}.tm["), i.cast("string"), F.lit(f"].{k}")), F.when(blank, "fail").otherwise("pass"), message, actual=row[k], suggestion="补齐该行。"))
+        return F.array(*out)
 
-def _filled(k: str):
-    return lambda r: ~C.is_blank(r[k])
+    return cells
 
 
 def prepared(matched: DataFrame) -> DataFrame:
@@ -303,37 +374,57 @@ def evaluate(subjects: DataFrame, auditors: tuple[str, ...] = tuple(AUDITORS)) -
     df = prepared(subjects)
     by_wd = {k: AUDITORS[k].run() for k in auditors if k in AUDITORS}
     df = df.withColumns({f"_f_{k}": v for k, v in by_wd.items()})
+    if "xxyzwzfhmb" in by_wd:
+        df = df.withColumn("_f_xxyzwzfhmb", F.concat(template_summary(F.col("_f_xxyzwzfhmb")), F.col("_f_xxyzwzfhmb")))
     empty = F.array().cast(f"array<{FINDING}>")
     core = [F.col(f"_f_{k}") for k in ("kcjbxxsfykckyz", "jxnrsfyxspp", "jxapsfyzcpp") if k in by_wd]
     first = F.concat(*(core or [empty]), required())
     df = df.withColumn("_first", first)
     every = F.concat(F.col("_first"), extraction_warnings(F.col("_first")), F.array_compact(F.array(*hour_consistency(), extraction_status())), F.col("_f_xxyzwzfhmb") if "xxyzwzfhmb" in by_wd else empty)
     def dimension(k: str) -> Column:
-        bad = F.filter(F.col(f"_f_{k}"), lambda f: f["status"] != "pass")
-        return F.struct(F.lit(k).alias("wd"), F.when(F.size(bad) > 0, "fail").otherwise("pass").alias("status"), F.when(F.size(bad) > 0, "否").otherwise("是").alias("message"), F.slice(F.array_distinct(F.transform(bad, lambda f: f["reason"])), 1, 20).alias("reasons"))
+        own = F.filter(F.col(f"_f_{k}"), lambda f: (f["status"] != "pass") & (f["section"] != k))  # summaries repeat reasons
+        def of(why: Column) -> Column:
+            bad, all_ = F.size(why) > 0, F.concat("match_reasons", why) if k == "kcjbxxsfykckyz" else why
+            reasons = F.when(bad, F.array_distinct(F.filter(all_, lambda r: r != ""))).otherwise(F.array().cast("array<string>"))
+            return F.struct(F.lit(k).alias("wd"), F.when(bad, "fail").otherwise("pass").alias("status"), F.when(bad, "否").otherwise("是").alias("message"), reasons.alias("reasons"))
+        return let(F.transform(own, lambda f: f["reason"]), of)
     out = df.withColumn("findings", every).withColumn("dimensions", F.array(*[dimension(k) for k in by_wd]) if by_wd else F.array())
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
 def field_findings(evaluated: DataFrame) -> DataFrame:
-    """One row for each finding, with its position."""
-    return evaluated.select("subject_key", F.posexplode("findings").alias("ord", "f")).select("subject_key", "ord", "f.*")
+    """One row for each finding, with its position.
+
+    The outer form keeps the optimizer from pushing a filter on the array, with all rules in it, below every join.
+    """
+    return evaluated.select("subject_key", F.posexplode_outer("findings").alias("ord", "f")).where("f is not null").select("subject_key", "ord", "f.*")
 
 
 def dimension_findings(evaluated: DataFrame) -> DataFrame:
-    return evaluated.select("subject_key", F.explode("dimensions").alias("d")).select("subject_key", "d.*")
+    return evaluated.select("subject_key", F.explode_outer("dimensions").alias("d")).where("d is not null").select("subject_key", "d.*")
+
+
+def with_findings(evaluated: DataFrame, judged: DataFrame) -> DataFrame:
+    """``evaluated`` with the field findings of judged dimensions (subject_key, fields) behind its own."""
+    more = judged.groupBy(F.col("subject_key").alias("_key")).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("wd", "fields"))), lambda x: x["fields"])).alias("_more"))
+    joined = evaluated.join(more, F.col("subject_key") == F.col("_key"), "left")
+    return joined.withColumn("findings", F.concat("findings", F.coalesce("_more", F.array().cast(f"array<{FINDING}>")))).drop("_key", "_more")
 
 
 def results(evaluated: DataFrame) -> DataFrame:
-    """Roll-up inside the row: fail_count, warning_count, overall_status, messages, reasons."""
-    bad = F.filter("findings", lambda f: f["status"].isin("fail", "error", "manual_review"))
-    warned = F.filter("findings", lambda f: f["status"] == "warning")
-    shown = F.filter("findings", lambda f: f["status"] != "pass")
-    n, w = F.size(bad), F.size(warned)
-    verdict = F.when(F.col("extraction_status") == "failed", "error").when(n > 0, "fail").when((w > 0) | (F.col("extraction_status") == "partial"), "partial").otherwise("pass")
-    return evaluated.select(
-        "subject_key", "extraction_id", "course_code", "source_path", "match_status", "match_method", "match_code", n.alias("fail_count"), w.alias("warning_count"), verdict.alias("overall_status"),
-        F.slice(F.transform(shown, lambda f: f["message"]), 1, 5).alias("messages"), F.slice(F.array_distinct(F.transform(bad, lambda f: f["reason"])), 1, 20).alias("reasons"),
+    """Roll-up inside the row: fail_count, warning_count, overall_status, messages, reasons.
+
+    Messages are the first 5 of what failed; reasons the first 20 of what failed or warned, repeated ones kept.
+    """
+    small = F.transform("findings", lambda f: F.struct(f["status"].isin("fail", "error", "manual_review").alias("bad"), (f["status"] == "warning").alias("warned"), f["message"].alias("message"), f["reason"].alias("reason")))
+    def of(x: Column) -> Column:
+        bad = F.filter(x, lambda f: f["bad"])
+        told = F.filter(x, lambda f: (f["bad"] | f["warned"]) & (f["reason"] != ""))
+        return F.struct(F.size(bad).alias("n"), F.size(F.filter(x, lambda f: f["warned"])).alias("w"), F.transform(F.slice(bad, 1, 5), lambda f: f["message"]).alias("messages"), F.transform(F.slice(told, 1, 20), lambda f: f["reason"]).alias("reasons"))
+    out = evaluated.withColumn("_roll", let(small, of))
+    return out.select(
+        "subject_key", "extraction_id", "course_code", "source_path", "match_status", "match_method", "match_code", F.col("_roll.n").alias("fail_count"), F.col("_roll.w").alias("warning_count"),
+        R.verdict(F.col("extraction_status"), F.col("_roll.n"), F.col("_roll.w")).alias("overall_status"), F.col("_roll.messages").alias("messages"), F.col("_roll.reasons").alias("reasons"),
     )
 
 

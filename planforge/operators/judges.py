@@ -1,7 +1,9 @@
-"""Dimensions that a language model judges: prompts, tolerant parsing, verdicts and traces; offline without a client.
+"""Dimensions that a language model judges: prompts, tolerant parsing, verdicts, findings and traces.
 
-The client is made inside the tasks by a factory.  Responses are written to a table before anything reads them, so a
-lost executor repeats calls only for what was not written.
+A dimension asks one question for each of its items.  Questions are named by a digest of their prompt; answers are
+written to a table under that name before anything reads them, and a question with a good answer in the table is not
+asked again, so neither a lost executor nor a resumed run repeats calls.  The client is made inside the tasks by a
+factory; without one nothing is asked and every item is for manual review.
 """
 
 from __future__ import annotations
@@ -10,19 +12,30 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, schemas
+from ..functions import columns as C
 from ..functions import text as T
+from . import audit, relational as R
 from . import payload as payloads
 
-MANUAL = "模型未给出不通过原因，需人工复核"
-ITEMS = {"jxmb": "教学目标", "jxnr": "教学内容", "jxfs": "教学方式"}
-CHECKS = {"goal": "思政目标明确", "content": "内容融入思政元素", "arrangement": "安排体现思政元素"}
+GOALS_DIMENSION, IDEOLOGY_DIMENSION = config.MODEL_DIMENSIONS
+#: Items of the first dimension, one question each: label, sections shown, what is asked for.
+ITEMS = {
+    "jxmb": ("教学目标是否符合要求", ("kcmb",), "目标应覆盖知识、能力与价值三个方面，表述具体，并把价值引领与专业内容结合。"),
+    "jxnr": ("教学内容是否符合要求", ("jxnr",), "内容应充实成体系，重点难点清楚，进度合理，联系学科前沿与实践，并自然融入价值引领。"),
+    "jxfs": ("教学方式是否符合要求", ("jxap", "khfsb", "kcyq"), "应写明可以执行的教学方式，与目标、内容、要求相配；方式单一但明确的算符合，缺失或空泛的算不符合。"),
+}
+#: Checks of the second dimension, one question for all.
+CHECKS = {"has_ideological_goal": "思政目标", "has_arrangement_integration": "教学安排中的思政融入", "is_effectively_integrated": "思政目标与教学安排的呼应关系"}
+FIELD = "szyr"
+_RULES = "只依据输入的 JSON 判断；结构化字段是主体，原文片段只在字段为空或明显不全时参考；字段为空而原文疑似有内容的，写明需复核抽取。不符合时写出具体的中文原因，不写内部字段名。只输出 JSON。"
 
 
 class JsonClient(Protocol):
@@ -44,7 +57,7 @@ class HttpClient:
     def complete_json(self, prompt: str) -> str:
         from urllib.request import Request, urlopen
 
-        body = {"model": self.model, "temperature": 0, "response_format": {"type": "json_object"}, "messages": [{"role": "system", "content": "你是严格输出 JSON 的课程方案审核专家。"}, {"role": "user", "content": prompt}]}
+        body = {"model": self.model, "temperature": 0, "response_format": {"type": "json_object"}, "messages": [{"role": "system", "content": "你审核课程方案，只用一个 JSON 对象回答。"}, {"role": "user", "content": prompt}]}
         request = Request(f"{self.url}/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
         with urlopen(request, timeout=self.timeout) as r:
             text = json.load(r)["choices"][0]["message"]["content"] or ""
@@ -91,66 +104,192 @@ def first_call(trace: dict | None) -> dict | None:
     return next(iter((trace or {}).get("calls", [])), None)
 
 
-def ask(client: JsonClient | None, prompt: str, dimension: str) -> dict:
-    """answer (JSON text or null), status (ok, no_llm, empty_response, parse_error, error) and the trace."""
-    answer, status = None, "no_llm"
-    if client:
-        try:
-            text = client.complete_json(prompt)
-            if not (text or "").strip():
-                raise EmptyResponse
-            answer, status = json.dumps(parse(text), ensure_ascii=False), "ok"
-        except EmptyResponse:
-            status = "empty_response"
-        except ValueError:
-            status = "parse_error"
-        except Exception as e:  # noqa: BLE001  a failed call is a finding
-            status = f"error: {type(e).__name__}"
-    return {"answer": answer, "status": status, "trace": json.dumps(append_trace(None, dimension, {"status": status, "prompt_chars": len(prompt)}), ensure_ascii=False)}
-
-
-def judge(subject: dict, dimension: str, client: JsonClient | None) -> dict:
-    """One subject: result, reasons, item results, status and trace."""
-    if dimension == "jxmbnrfsfhyq":
-        calls = {k: ask(client, f"请审核“{label}”是否符合要求，输出 {{\"result\":\"是|否\",\"reasons\":[]}}。\n{subject['input']}", dimension) for k, label in ITEMS.items()}
-        items = {k: json.loads(c["answer"]) if c["answer"] else None for k, c in calls.items()}
-        good = {k: bool(x) and verdict(x.get("result")) == "是" for k, x in items.items()}
-        reasons = [f"{ITEMS[k]}：{r}" for k, x in items.items() if not good[k] for r in (strings((x or {}).get("reasons")) or [MANUAL])]
+def merged_reasons(*groups: list[str]) -> list[str]:
+    return list(dict.fromkeys(r for g in groups for r in g if r))
+
+
+def call(client: JsonClient | None, prompt: str) -> tuple[str | None, str, str | None]:
+    """(raw answer, status, error): parsed, empty_response, parse_error or no_llm."""
+    if not client:
+        return None, "no_llm", None
+    raw = None
+    try:
+        raw = client.complete_json(prompt)
+        if not (raw or "").strip():
+            raise EmptyResponse("empty response")
+        parse(raw)
+        return raw, "parsed", None
+    except EmptyResponse as e:
+        return raw, "empty_response", str(e)
+    except Exception as e:  # noqa: BLE001  a failed call is a finding
+        return raw, "parse_error", f"{type(e).__name__}: {e}"[:500]
+
+
+def _item(key: str, label: str, answer: tuple[str | None, str, str | None], dimension_label: str) -> dict:
+    """An item's result with reasons; what was not answered well fails and is for manual review."""
+    raw, status, error = answer
+    if status == "parsed":
+        value = parse(raw)
+        result = verdict(value.get("result"))
+        reasons = [customer(r) for r in strings(value.get("reasons"))]
+        if result == "否" and not reasons:
+            reasons = [f"模型未给出{label}不通过原因，需人工复核"]
+        return {"key": key, "label": label, "result": result, "reasons": reasons, "evidence_paths": strings(value.get("evidence_paths")), "suggestion": str(value.get("suggestion") or "")}
+    reason = {"no_llm": f"未配置 LLM，无法审核{dimension_label}，需人工复核", "empty_response": f"{config.EMPTY_REASON}：{label}"}.get(status, f"{config.PARSE_REASON}：{label}：{error}")
+    return {"key": key, "label": label, "result": "否", "reasons": [reason], "evidence_paths": [], "suggestion": config.REVIEW_SUGGESTION}
+
+
+def customer(text: object) -> str:
+    """A text with internal names as customers read them; the column form is ``columns.customer_text``."""
+    out = str(text or "")
+    for name in sorted(config.CUSTOMER_NAMES, key=lambda k: (-len(k), k)):
+        out = out.replace(name, config.CUSTOMER_NAMES[name])
+    for word in sorted(config.CUSTOMER_WORDS):
+        out = re.sub(rf"\b{re.escape(word)}\b", config.CUSTOMER_WORDS[word], out)
+    return out
+
+
+def _field(dimension: str, key: str, passed: bool, reasons: list[str], label: str, suggestion: str, evidence: object) -> dict:
+    reason = "" if passed else customer("；".join(reasons)) or config.FALLBACK_REASON
+    return {
+        "section": dimension, "field": key, "path": f"llm.{dimension}.{key}", "status": "pass" if passed else "fail", "reason": reason, "message": "是" if passed else reason,
+        "expected": label, "actual": "是" if passed else "否", "evidence": json.dumps(evidence, ensure_ascii=False), "suggestion": "" if passed else suggestion,
+    }
+
+
+def judge(dimension: str, answers: dict[str, tuple[str | None, str, str | None]], flags: dict | None = None) -> dict:
+    """A subject's finding of a dimension and the field findings behind it, from the answers by item."""
+    label = config.DIMENSIONS[dimension]
+    trace = merge_traces([append_trace(None, dimension, {"item": k, "status": s, "raw_response": raw, "parse_error": e}) for k, (raw, s, e) in answers.items()])
+    if dimension == GOALS_DIMENSION:
+        items = [_item(k, text, answers[k], label) for k, (text, *_) in ITEMS.items()]
+        good = {i["key"]: i["result"] == "是" for i in items}
+        reasons = merged_reasons(*(i["reasons"] for i in items if not good[i["key"]])) or ([] if all(good.values()) else [config.FALLBACK_REASON])
+        fields = [_field(dimension, i["key"], good[i["key"]], i["reasons"], i["label"], i["suggestion"], {"evidence_paths": i["evidence_paths"]}) for i in items]
+        details, suggestion = {"items": items}, "查看各子项建议。"
     else:
-        calls = {"all": ask(client, f"请逐项判断：{'、'.join(CHECKS.values())}，输出 {{\"checks\":{{\"goal\":\"是|否\"}},\"reasons\":[]}}。\n{subject['input']}", dimension)}
-        answer = json.loads(calls["all"]["answer"]) if calls["all"]["answer"] else {}
-        checks = answer.get("checks") if isinstance(answer.get("checks"), dict) else {}
-        good = {k: verdict(checks.get(k)) == "是" for k in CHECKS}
-        reasons = [] if all(good.values()) else strings(answer.get("reasons")) or [f"{CHECKS[k]}：{MANUAL}" for k, g in good.items() if not g]
-    manual = any(c["status"] != "ok" for c in calls.values())
-    trace = merge_traces([json.loads(c["trace"]) for c in calls.values()])
-    status = "manual_review" if manual else "pass" if all(good.values()) else "fail"
-    return {"wd": dimension, "status": status, "message": "是" if status == "pass" else "否", "reasons": list(dict.fromkeys(reasons)) if status != "pass" else [], "details": json.dumps(good), "llm_trace": json.dumps(trace, ensure_ascii=False)}
+        raw, status, _ = answers[FIELD]
+        whole = _item(FIELD, label, answers[FIELD], label)
+        value = parse(raw) if status == "parsed" else {}
+        given = value.get("checks") if isinstance(value.get("checks"), dict) else {}
+        checks = {}
+        for k, text in CHECKS.items():
+            own = given.get(k) if isinstance(given.get(k), dict) else {"result": given.get(k)}
+            result = verdict(own.get("result")) if status == "parsed" else "否"
+            reason = customer(str(own.get("reason") or "").strip()) if status == "parsed" else whole["reasons"][0]
+            checks[k] = {"result": result, "reason": reason or ("" if result == "是" else f"{text}未通过，模型未给出具体原因，需人工复核")}
+        good = {k: c["result"] == "是" for k, c in checks.items()} | {FIELD: whole["result"] == "是"}
+        said = [customer(r) for r in strings(value.get("reasons"))] if status == "parsed" else whole["reasons"]
+        reasons = [] if all(good.values()) else merged_reasons(said, [c["reason"] for c in checks.values() if c["result"] == "否"]) or [config.FALLBACK_REASON]
+        fields = [_field(dimension, FIELD, all(good.values()), reasons, label, whole["suggestion"], {"checks": checks, "fallback_flags": flags or {}})]
+        details, suggestion = {"checks": checks, "fallback_flags": flags or {}}, whole["suggestion"]
+    passed = all(good.values())
+    return {
+        "wd": dimension, "status": "pass" if passed else "fail", "message": "是" if passed else "否", "reasons": reasons, "fields": fields, "suggestion": "" if passed else suggestion,
+        "details": json.dumps({"label": label, "result": "是" if passed else "否", "reasons": reasons, **details}, ensure_ascii=False), "llm_trace": json.dumps(trace, ensure_ascii=False),
+    }
+
+
+# --- what a judge is shown ---
+def relevant_warnings(warnings: Column, sections: tuple[str, ...], fields: tuple[str, ...] = ()) -> Column:
+    """warnings of the sections, by section, path or field."""
+    def fits(w: Column) -> Column:
+        hits = [w["section"].isin(*sections), *[w["path"].startswith(f"payload.{x}") for x in sections], *([w["field"].isin(*fields)] if fields else [])]
+        return reduce(lambda a, b: a | b, [F.coalesce(h, F.lit(False)) for h in hits])
+
+    return F.coalesce(F.filter(warnings, fits), F.array().cast(f"array<{schemas.WARNING}>"))
+
+
+def meta_needs(payload: Column, warnings: Column) -> Column:
+    """struct(kcmb_needs_meta, jxap_needs_meta): whether the structured fields leave the original text to be looked at."""
+    goals, plan = payloads.section_layout(payload, "kcmb"), payloads.section_layout(payload, "jxap")
+    goal, rows = C.exact(payload["kcmb"]["szmb"]), payload["jxap"]["tm"]
+    warned = lambda s: F.exists(warnings, lambda w: F.coalesce(w["section"] == s, F.lit(False)))
+    short = (F.length(goal) < 8) | C.template_like(goal)
+    kcmb = F.when(goals == "overview_only", C.is_blank(payload["kcmb"]["mbgs"])).otherwise(short | warned("kcmb"))
+    values = F.transform(rows, lambda r: C.exact(r["szyqjxx"]))
+    empty = F.size(F.filter(values, lambda v: v == ""))
+    poor = (empty >= F.greatest(F.lit(1), F.floor(F.size(values) / 2))) | F.forall(values, lambda v: (v == "") | C.template_like(v))
+    jxap = F.when(plan == "overview_only", C.is_blank(payload["jxap"]["apgs"])).when(F.coalesce(F.size(rows) <= 0, F.lit(True)), plan == "empty").otherwise(poor | warned("jxap"))
+    return F.struct(kcmb.alias("kcmb_needs_meta"), jxap.alias("jxap_needs_meta"))
+
+
+def questions(subjects: DataFrame, dimension: str) -> DataFrame:
+    """subject_key, item, prompt, key, flags: one row for each question."""
+    p, m = F.col("payload"), F.col("meta")
+    pages = F.coalesce(m["raw_pages"], F.array(F.coalesce(m["full_text"], F.lit(""))))
+    if dimension == GOALS_DIMENSION:
+        segments = T.page_segments(pages, config.ITEM_KEYWORDS)
+        warnings = F.coalesce(m["extraction_warnings"], F.array().cast(f"array<{schemas.WARNING}>"))
+        context = F.to_json(F.struct(segments.alias("segments"), F.transform(warnings, lambda w: w["reason"]).alias("warnings"), m["unmapped_segments"].alias("unmapped")))
+        out = []
+        for key, (label, sections, asked) in ITEMS.items():
+            shown = F.to_json(F.struct(*[(p["kcyq"] if s == "kcyq" else payloads.layout_context(p, s)).alias(s) for s in sections]))
+            prompt = F.concat(F.lit(f"请审核：{label}。{asked}{_RULES}格式：{{\"result\":\"是或否\",\"reasons\":[],\"evidence_paths\":[],\"suggestion\":\"\"}}\n输入：{{\"data\":"), shown, F.lit(',"meta_context":'), context, F.lit("}"))
+            out.append(F.struct(F.lit(key).alias("item"), prompt.alias("prompt")))
+        flags = F.lit(None).cast("string")
+    else:
+        warnings = relevant_warnings(m["extraction_warnings"], ("kcmb", "jxap"), ("szmb", "szyqjxx"))
+        flags = F.to_json(meta_needs(p, warnings))
+        segments = T.source_segments(audit.sources(), (*config.GOAL_HINTS, *config.ARRANGEMENT_HINTS), config.IDEOLOGY_KEYWORDS)
+        context = F.to_json(F.struct(F.from_json(flags, "kcmb_needs_meta boolean, jxap_needs_meta boolean").alias("fallback_flags"), F.transform(warnings, lambda w: w["reason"]).alias("warnings"), segments.alias("segments")))
+        shown = F.to_json(F.struct(*[payloads.layout_context(p, s).alias(s) for s in ("kcmb", "jxap")]))
+        checks = "、".join(f'"{k}"（{v}）' for k, v in CHECKS.items())
+        prompt = F.concat(F.lit(f"请审核：{config.DIMENSIONS[dimension]}。思政目标应明确，教学安排应有对应具体环节的融入，两者应相互呼应。{_RULES}格式：{{\"result\":\"是或否\",\"reasons\":[],\"checks\":{{每一项：{{\"result\":\"是或否\",\"reason\":\"\"}}}},\"evidence_paths\":[],\"suggestion\":\"\"}}，checks 的项为 {checks}。\n输入：{{\"payload_data\":"), shown, F.lit(',"meta_context":'), context, F.lit("}"))
+        out = [F.struct(F.lit(FIELD).alias("item"), prompt.alias("prompt"))]
+    asked = subjects.select("subject_key", flags.alias("flags"), F.explode(F.array(*out)).alias("q")).select("subject_key", "flags", "q.item", "q.prompt")
+    return asked.withColumn("key", F.sha2(F.concat(F.lit(f"{dimension}|"), F.coalesce("prompt", F.lit(""))), 256))
+
+
+ANSWER = "key string, raw string, status string, error string"
+
+
+def answered(asked: DataFrame, factory: Callable[[], JsonClient | None] | None, cache: str | None = None) -> DataFrame:
+    """(key, raw, status, error) for each distinct question; ``cache`` is the folder of the answers' table.
+
+    Good answers in the table are taken; all others are asked for and appended to it first.
+    """
+    spark = asked.sparkSession
+    wanted = asked.select("key", "prompt").dropDuplicates(["key"])
+    if factory is None:
+        return wanted.select("key", F.lit(None).cast("string").alias("raw"), F.lit("no_llm").alias("status"), F.lit(None).cast("string").alias("error"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = factory()
+        for b in batches:
+            rows = [(k, *call(client, p)) for k, p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(4)], names=["key", "raw", "status", "error"])
 
+    if cache is None:
+        return wanted.mapInArrow(run, ANSWER)
+    stored = spark.read.schema(ANSWER).option("recursiveFileLookup", True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    good = stored.parquet(cache).where("status = 'parsed'")
+    wanted.join(good, "key", "left_anti").mapInArrow(run, ANSWER).write.mode("append").parquet(cache)
+    spark.catalog.refreshByPath(cache)
+    every = stored.parquet(cache)
+    return R.latest(every.join(wanted.select("key"), "key", "left_semi"), ["key"], [F.desc(F.col("status") == "parsed"), F.col("status"), F.col("raw")])
 
-def model_input(subjects: DataFrame, dimension: str) -> DataFrame:
-    """subject_key and the JSON that a judge is shown: sections with their layout, and segments of the text on ideology."""
-    p = F.col("payload")
-    sections = ("kcmb", "jxnr", "jxap")
-    data = [payloads.layout_context(p, s).alias(s) for s in sections]
-    words = config.IDEOLOGY_KEYWORDS if dimension == "szysfyxrghj" else (*config.GOAL_HINTS, *config.ARRANGEMENT_HINTS)
-    segments = T.segments(F.coalesce(F.col("meta")["full_text"], F.lit("")), words)
-    warnings = F.filter(F.col("meta")["extraction_warnings"], lambda w: w["section"].isin(*sections))
-    return subjects.select("subject_key", F.to_json(F.struct(F.struct(*data).alias("data"), segments.alias("segments"), F.transform(warnings, lambda w: w["reason"]).alias("warnings"))).alias("input"))
 
+FIELDS = "array<struct<section:string,field:string,path:string,status:string,reason:string,message:string,expected:string,actual:string,evidence:string,suggestion:string>>"
+JUDGED = f"subject_key string, wd string, status string, message string, reasons array<string>, fields {FIELDS}, suggestion string, details string, llm_trace string"
 
-JUDGED = "subject_key string, wd string, status string, message string, reasons array<string>, details string, llm_trace string"
 
+def judged(subjects: DataFrame, dimension: str, factory: Callable[[], JsonClient | None] | None = None, cache: str | None = None) -> DataFrame:
+    """Findings of a model dimension with their field findings; without a client every one is for manual review."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-def judged(subjects: DataFrame, dimension: str, factory: Callable[[], JsonClient | None] | None = None) -> DataFrame:
-    """Findings of a model dimension; without a client every one is for manual review."""
-    names = [x.split()[0] for x in JUDGED.split(", ")]
-    types = [pa.list_(pa.string()) if n == "reasons" else pa.string() for n in names]
+    schema = to_arrow_schema(schemas.struct(JUDGED))
+    asked = questions(subjects, dimension)
+    met = asked.drop("prompt").join(answered(asked, factory, cache), "key").groupBy("subject_key").agg(F.first("flags").alias("flags"), F.collect_list(F.struct("item", "raw", "status", "error")).alias("answers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = factory() if factory else None
         for b in batches:
-            rows = [{"subject_key": k, **judge({"input": i}, dimension, client)} for k, i in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types, strict=True)], names=names)
+            rows = []
+            for key, flags, answers in zip(*(b.column(c).to_pylist() for c in ("subject_key", "flags", "answers")), strict=True):
+                given = {a["item"]: (a["raw"], a["status"], a["error"]) for a in answers}
+                rows.append({"subject_key": key, **judge(dimension, {k: given[k] for k in (ITEMS if dimension == GOALS_DIMENSION else (FIELD,))}, json.loads(flags) if flags else None)})
+            yield pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type) for f in schema], schema=schema)
 
-    return model_input(subjects, dimension).mapInArrow(run, JUDGED)
+    return met.mapInArrow(run, JUDGED)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
+
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in ``order``.  The window's limit is pushed below the shuffle by Spark."""
@@ -66,6 +68,27 @@ def pending(subjects: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return subjects.join(done.select(*keys), keys, "left_anti")
 
 
+def members(df: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is one of ``others``."""
+    return df.join(others.select(*keys), keys, "left_semi")
+
+
+def orphans(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``df`` that ``others`` lacks."""
+    return df.select(key).distinct().join(others.select(key), key, "left_anti")
+
+
+def newest(df: DataFrame, order: list[Column], limit: int | None = None) -> DataFrame:
+    """``df`` in order, its first ``limit`` rows where there is one: a partial sort, not a global one."""
+    ordered = df.orderBy(*order)
+    return ordered.limit(limit) if limit else ordered
+
+
+def union_in_order(parts: list[DataFrame], ordinal: str = "ord") -> DataFrame:
+    """Bag union of findings of independent rules; ``ordinal`` says which rule a row is of."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn(ordinal, F.lit(i)) for i, p in enumerate(parts)])
+
+
 def anti_either(df: DataFrame, others: DataFrame, keys: list[list[str]]) -> DataFrame:
     """Rows that agree with none of ``others`` on any of the key lists: one anti join for each list."""
     return reduce(lambda d, k: d.join(others.select(*k).distinct(), k, "left_anti"), keys, df)
@@ -92,8 +115,9 @@ def segments(df: DataFrame, keys: list[str], order: list[Column], starts: Column
 
 
 def choose_candidate(candidates: Column, margin: float) -> Column:
-    """Fold over array<struct<source,score>>: a later candidate wins only by more than ``margin``."""
-    return F.aggregate(F.slice(candidates, 2, F.greatest(F.size(candidates) - 1, F.lit(1))), candidates[0], lambda best, c: F.when(c["score"] >= best["score"] + margin, c).otherwise(best))
+    """Fold over array<struct<source,score>>: a later candidate wins by ``margin`` or more, or over one without score."""
+    better = lambda best, c: (c["score"] > 0) & ((best["score"] <= 0) | (c["score"] >= best["score"] + margin))
+    return F.aggregate(F.slice(candidates, 2, F.greatest(F.size(candidates) - 1, F.lit(1))), candidates[0], lambda best, c: F.when(better(best, c), c).otherwise(best))
 
 
 def pick_rows(table_rows: Column, text_rows: Column, table_score: Column, text_score: Column, min_rows: int = 2, margin: float = 0.15) -> Column:
@@ -107,13 +131,13 @@ def status_counts(df: DataFrame, status: str) -> DataFrame:
 
 
 def dimension_totals(findings: DataFrame, dimensions: list[str], wd: str = "wd", status: str = "status") -> DataFrame:
-    """wd, total, passed, failed, pass_rate for the fixed dimensions, zero where there is none."""
+    """wd, total, pass_count, fail_count, pass_rate for the fixed dimensions, zero where there is none."""
     spark = findings.sparkSession
     fixed = spark.createDataFrame([(d,) for d in dimensions], f"{wd} string")
-    counted = findings.where(F.col(wd).isin(*dimensions)).groupBy(wd).agg(F.count("*").alias("total"), F.count_if(F.col(status) == "pass").alias("passed"), F.count_if(F.col(status) != "pass").alias("failed"))
+    counted = findings.where(F.col(wd).isin(*dimensions)).groupBy(wd).agg(F.count("*").alias("total"), F.count_if(F.col(status) == "pass").alias("pass_count"), F.count_if(F.col(status) != "pass").alias("fail_count"))
     out = fixed.join(counted, wd, "left")
-    out = out.select(wd, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "passed", "failed")])
-    return out.withColumn("pass_rate", F.when(F.col("total") > 0, F.round(F.col("passed") / F.col("total"), 4)).otherwise(F.lit(0.0)))
+    out = out.select(wd, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "pass_count", "fail_count")])
+    return out.withColumn("pass_rate", C.rate("pass_count", "total"))
 
 
 def all_pass(results: DataFrame, findings: DataFrame, key: str, dimensions: list[str], wd: str = "wd", status: str = "status") -> DataFrame:
@@ -129,20 +153,23 @@ def top(df: DataFrame, keys: list[str], n: int = 10, where: Column | None = None
 
 
 def rollup_subjects(findings: DataFrame, keys: list[str], status: str = "status", message: str = "message", reason: str = "reason", ordinal: str = "ord", extraction: Column | None = None) -> DataFrame:
-    """fail_count, warning_count, overall_status, messages (first 5) and reasons (first 20 distinct) of each subject.
+    """fail_count, warning_count, overall_status, messages and reasons of each subject.
 
-    Verdict by precedence: error where extraction failed, fail, partial for warnings, pass.
+    Messages are the first 5 of what failed; reasons the first 20 of what failed or warned, blank ones left out,
+    repeated ones kept.  Verdict by precedence: error where extraction failed, fail, partial for warnings, pass.
     """
-    bad = F.col(status).isin("fail", "error", "manual_review")
+    bad, warned = F.col(status).isin("fail", "error", "manual_review"), F.col(status) == "warning"
     extracted = F.first(extraction).alias("_x") if extraction is not None else F.first(F.lit(None).cast("string")).alias("_x")
     ordered = lambda c, cond: F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct(ordinal, c)))), lambda x: x[c])
     out = findings.groupBy(*keys).agg(
-        F.count_if(bad).alias("fail_count"), F.count_if(F.col(status) == "warning").alias("warning_count"),
-        F.slice(ordered(message, bad | (F.col(status) == "warning")), 1, 5).alias("messages"),
-        F.slice(F.array_distinct(F.filter(ordered(reason, bad), lambda x: x != "")), 1, 20).alias("reasons"), extracted,
+        F.count_if(bad).alias("fail_count"), F.count_if(warned).alias("warning_count"),
+        F.slice(ordered(message, bad), 1, 5).alias("messages"), F.slice(ordered(reason, (bad | warned) & (F.coalesce(reason, F.lit("")) != "")), 1, 20).alias("reasons"), extracted,
     )
-    verdict = F.when(F.col("_x") == "failed", "error").when(F.col("fail_count") > 0, "fail").when((F.col("warning_count") > 0) | (F.col("_x") == "partial"), "partial").otherwise("pass")
-    return out.withColumn("overall_status", verdict).drop("_x")
+    return out.withColumn("overall_status", verdict(F.col("_x"), F.col("fail_count"), F.col("warning_count"))).drop("_x")
+
+
+def verdict(extraction: Column, fails: Column, warnings: Column) -> Column:
+    return F.when(extraction == "failed", "error").when(fails > 0, "fail").when((warnings > 0) | F.coalesce(extraction == "partial", F.lit(False)), "partial").otherwise("pass")
 
 
 def rollup_sections(findings: DataFrame, keys: list[str], section: str = "section", path: str = "path", reason: str = "reason", status: str = "status", ordinal: str = "ord") -> DataFrame:
@@ -164,6 +191,11 @@ def coverage(df: DataFrame, sections: list[str], flags: dict[str, dict[str, Colu
     return long.groupBy("section").agg(F.count("*").alias("total"), *[F.sum(c).alias(c) for c in counters])
 
 
+def histogram(df: DataFrame, **keys: Column) -> DataFrame:
+    """Counts by expressions."""
+    return df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(F.count("*").alias("n"))
+
+
 def warning_pivot(df: DataFrame, label: str, kind: str, kinds: list[str]) -> DataFrame:
     """label x class counts."""
     counted = df.groupBy(label).pivot(kind, kinds).agg(F.count(F.lit(1)))
@@ -179,18 +211,29 @@ def samples(df: DataFrame, keys: list[str], item: str, n: int = 3) -> DataFrame:
 
 def missing_columns(rows: Column, fields: dict[str, str]) -> Column:
     """For each field: (field, label, blank rows), where any row is blank."""
-    each = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(label).alias("label"), F.size(F.filter(rows, _blank_in(f))).alias("row_count")) for f, label in fields.items()])
+    count = lambda f: F.coalesce(F.size(F.filter(rows, lambda r: C.is_blank(r[f]))), F.lit(0))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(label).alias("label"), count(f).alias("row_count")) for f, label in fields.items()])
     return F.filter(each, lambda e: e["row_count"] > 0)
 
 
-def _blank_in(field: str):
-    from ..functions.columns import is_blank
-
-    return lambda r: is_blank(r[field])
-
-
 def canonical(df: DataFrame, key: Column, score: list[Column], ident: str) -> DataFrame:
     """``df`` with role: the best row of each key is canonical, the others are duplicates of it."""
     window = Window.partitionBy("_key").orderBy(*score, F.col(ident))
     out = df.withColumn("_key", key).withColumn("_rank", F.row_number().over(window)).withColumn("canonical_id", F.first(ident).over(window))
     return out.withColumn("role", F.when(F.col("_rank") == 1, "canonical").otherwise("duplicate")).drop("_key", "_rank")
+
+
+def unique_names(df: DataFrame, name: str, order: list[Column], out: str = "new_name") -> DataFrame:
+    """``df`` with a name that no other row has: rows whose name, blanks at its end aside, an earlier row has get a number.
+
+    A proposed number that is taken already is passed over, so names that are unique stay as they are.
+    """
+    base = F.rtrim(F.col(name))
+    ranked = df.withColumn("_base", base).withColumn("_n", F.row_number().over(Window.partitionBy("_base").orderBy(*order)))
+    taken = df.select(base.alias("_t")).distinct()
+    numbers = taken.select(F.regexp_extract("_t", r"(?s)^(.*)_(\d{1,9})$", 1).alias("_b"), F.regexp_extract("_t", r"(?s)^(.*)_(\d{1,9})$", 2).try_cast("int").alias("_k")).where("_k >= 2")
+    held = numbers.groupBy("_b").agg(F.array_sort(F.collect_set("_k")).alias("_held"))
+    joined = ranked.join(held, F.col("_base") == F.col("_b"), "left")
+    # the n-th of a name takes the n-th number from 2 on that is free: skip one for each held number not above it
+    number = F.aggregate(F.coalesce("_held", F.array().cast("array<int>")), F.col("_n"), lambda n, h: F.when(h <= n, n + 1).otherwise(n))
+    return joined.withColumn(out, F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat("_base", F.lit("_"), number.cast("string")))).select(*df.columns, out)

@@ -1,7 +1,9 @@
 """State tables as Parquet: extractions, courses, runs, results, findings, metrics; run states and resume.
 
 Spark has no transaction over several tables.  A batch of audits is written below a staging folder and a commit marker
-is added last; readers take only batches with a marker, so what a lost driver left behind is never seen.
+is added last; readers take only batches with a marker, so what a lost driver left behind is never seen.  A table that
+is replaced gets a new version beside the old one, and a pointer that is renamed into place last: a driver lost at any
+point leaves a whole table.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import config, schemas
+from ..functions import columns as C
 from ..operators import relational as R
 
 #: Run states that can be resumed.
@@ -29,48 +32,90 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _exists(self, path: str) -> bool:
+    def _fs(self, path: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def _list(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
     def init(self) -> list[str]:
         """Create what is missing; the names of all tables."""
         for name, ddl in schemas.TABLES.items():
             if not self._exists(f"{self.root}/{name}"):
-                self.spark.createDataFrame([], schemas.struct(ddl)).write.parquet(f"{self.root}/{name}")
+                self.spark.createDataFrame([], schemas.struct(ddl)).write.parquet(f"{self.root}/{name}/0")
         return sorted(schemas.TABLES)
 
     def clear(self, *names: str) -> None:
-        """Empty tables."""
+        """Empty tables; the numbers of their rows begin anew."""
         for name in names or schemas.TABLES:
-            self.spark.createDataFrame([], schemas.struct(schemas.TABLES[name])).write.mode("overwrite").parquet(f"{self.root}/{name}")
+            self._replace(name, self.spark.createDataFrame([], schemas.struct(schemas.TABLES[name])))
+        if not names or set(names) & set(AUDIT_TABLES):
+            fs, p = self._fs(f"{self.root}/_marks")
+            fs.delete(p, True)
+
+    def _version(self, name: str) -> str:
+        """The folder of the table's current version: the highest number whose pointer stands."""
+        done = [int(x[:-5]) for x in self._list(f"{self.root}/{name}") if x.endswith(".done")]
+        return f"{self.root}/{name}/{max(done, default=0)}"
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.schema(schemas.struct(schemas.TABLES[name])).parquet(f"{self.root}/{name}")
-        if name in AUDIT_TABLES and self._exists(f"{self.root}/_batches"):
-            marks = [r.batch for r in self.spark.read.schema("batch string").json(f"{self.root}/_batches").distinct().collect()]
-            parts = [self.spark.read.schema(schemas.struct(schemas.TABLES[name])).parquet(f"{self.root}/batches/{m}/{name}") for m in marks]
-            df = reduce(DataFrame.unionByName, parts, df)
+        schema = schemas.struct(schemas.TABLES[name])
+        df = self.spark.read.schema(schema).parquet(self._version(name))
+        marks = self._list(f"{self.root}/_marks") if name in AUDIT_TABLES else []
+        if marks:  # one scan of all marked batches
+            df = df.unionByName(self.spark.read.schema(schema).parquet(*[f"{self.root}/batches/{m}/{name}" for m in marks]))
         return df
 
     def _replace(self, name: str, df: DataFrame) -> None:
-        """Overwrite a table that ``df`` may read: write beside it, then swap."""
-        fresh = f"{self.root}/_new_{name}_{uuid.uuid4().hex}"
-        df.write.parquet(fresh)
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        old, new = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}"), jvm.org.apache.hadoop.fs.Path(fresh)
-        fs = new.getFileSystem(conf)
-        fs.delete(old, True)
-        fs.rename(new, old)
-        self.spark.catalog.refreshByPath(f"{self.root}/{name}")
+        """Write the table's next version, which may be made of the current one, then point to it; older ones go."""
+        current = self._version(name)
+        number = int(current.rsplit("/", 1)[1]) + 1
+        base = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(f"{base}/{number}")
+        fs, pointer = self._fs(f"{base}/{number}.done")
+        fs.create(pointer).close()
+        for old in self._list(base):
+            if old.removesuffix(".done").isdigit() and int(old.removesuffix(".done")) < number:
+                fs.delete(self._fs(f"{base}/{old}")[1], True)
+
+    def derived(self, name: str, ddl: str) -> DataFrame:
+        """A table of derived rows, which may be lost; empty where there is none."""
+        if not self._exists(f"{self.root}/{name}"):
+            self.spark.createDataFrame([], schemas.struct(ddl)).write.parquet(f"{self.root}/{name}/0")
+        return self.spark.read.schema(schemas.struct(ddl)).parquet(self._version(name))
+
+    def replace_derived(self, name: str, df: DataFrame) -> None:
+        self._replace(name, df)
+
+    def mark(self, name: str) -> None:
+        """Note that something was done, for ``marked``."""
+        fs, path = self._fs(f"{self.root}/_notes/{name}")
+        fs.create(path).close()
+
+    def marked(self, name: str) -> bool:
+        return self._exists(f"{self.root}/_notes/{name}")
 
     # --- extractions and courses ---
-    def append_extractions(self, rows: DataFrame) -> None:
-        """Append; ids are a hash of path and time where there is none."""
-        own = F.coalesce("extraction_id", F.abs(F.xxhash64("source_path", F.current_timestamp()))) if "extraction_id" in rows.columns else F.abs(F.xxhash64("source_path", F.current_timestamp()))
+    def append_extractions(self, rows: DataFrame) -> int:
+        """Append, with ids above those of the table where there is none; the number of rows.
+
+        New ids follow the rows' place in the table that is written first, so no two rows of a batch share one.
+        """
         schema = schemas.struct(schemas.EXTRACTIONS)
-        rows = rows.withColumn("extraction_id", own).withColumn("created_at", F.current_timestamp() if "created_at" not in rows.columns else F.coalesce("created_at", F.current_timestamp()))
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(f"{self.root}/extractions")
+        for name, value in (("extraction_id", F.lit(None).cast("long")), ("created_at", F.lit(None).cast("timestamp"))):
+            rows = rows if name in rows.columns else rows.withColumn(name, value)
+        last = self.read("extractions").agg(F.coalesce(F.max("extraction_id"), F.lit(0))).first()[0]
+        rows = rows.withColumn("created_at", F.coalesce("created_at", F.current_timestamp())).withColumn("extraction_id", F.coalesce("extraction_id", F.lit(last) + 1 + F.monotonically_increasing_id()))
+        before = self.read("extractions").count()
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(self._version("extractions"))
+        self.spark.catalog.refreshByPath(self._version("extractions"))
+        return self.read("extractions").count() - before
 
     def succeeded(self) -> DataFrame:
         return self.read("extractions").where("extraction_status = 'success'").select("source_path").distinct()
@@ -133,42 +178,75 @@ class Store:
         batch = uuid.uuid4().hex
         for name, df in zip(AUDIT_TABLES, (results, findings, field_findings), strict=True):
             schema = schemas.struct(schemas.TABLES[name])
+            for text in set(df.columns) & {"reason", "message", "suggestion", "details"}:
+                df = df.withColumn(text, C.customer_text(text))
             have = set(df.columns)
             df = df.withColumn("run_id", F.lit(run_id)).withColumn("result_id", F.abs(F.xxhash64(F.lit(run_id), "subject_key")))
             have |= {"run_id", "result_id"}
             df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(f"{self.root}/batches/{batch}/{name}")
-        self.spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").json(f"{self.root}/_batches")
+        fs, mark = self._fs(f"{self.root}/_marks/{batch}")
+        fs.create(mark).close()
 
     def save_metrics(self, metrics: DataFrame) -> None:
         rows = metrics.withColumn("updated_at", F.current_timestamp()).select("run_id", "metric_key", "metric_value", "updated_at")
         self._replace("metrics", R.upsert(self.read("metrics"), rows, ["run_id", "metric_key"]))
 
 
+def _any_of(columns: list[str], words: tuple[str, ...]) -> F.Column:
+    """LIKE-any of several words over several columns; null counts as no hit."""
+    return reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.col(c), F.lit(w)), F.lit(False)) for c in columns for w in words])
+
+
+def missing_fields(field_findings: DataFrame, n: int = 10) -> DataFrame:
+    """The fields that most often lack a value."""
+    return R.top(field_findings, ["section", "field", "reason", "path"], n, (F.col("status") != "pass") & _any_of(["reason"], config.MISSING_WORDS))
+
+
+def top_reasons(field_findings: DataFrame, n: int = 10) -> DataFrame:
+    """The most frequent reasons of what did not pass."""
+    return R.top(field_findings, ["reason"], n, (F.col("status") != "pass") & (F.coalesce("reason", F.lit("")) != ""))
+
+
+def review_count(field_findings: DataFrame) -> DataFrame:
+    """Subjects of which a finding asks for a manual review."""
+    return field_findings.where(_any_of(["reason", "message"], config.REVIEW_WORDS)).agg(F.count_distinct("result_id").alias("n"))
+
+
+def model_calls(findings: DataFrame) -> DataFrame:
+    """(status, n) of the failed calls in the dimensions' traces."""
+    calls = findings.select(F.explode(F.from_json(F.get_json_object("llm_trace", "$.calls"), "array<struct<status:string>>")).alias("c")).select("c.status")
+    return R.status_counts(calls.where(F.col("status").isin(*config.MODEL_FAILURES)), "status")
+
+
 def run_metrics(results: DataFrame, findings: DataFrame, field_findings: DataFrame, run_id: int, dimensions: list[str]) -> DataFrame:
-    """(run_id, metric_key, metric_value JSON): status counts, dimension totals, all-pass count, top reasons, top missing
-    fields, subjects for review, model-call exceptions."""
+    """(run_id, metric_key, metric_value JSON): overall and dimensions' pass rates, top reasons and missing fields,
+    subjects for review, failed model calls and their sum.  Each value is made of a few aggregated rows."""
     own = lambda df: df.where(F.col("run_id") == run_id)
     res, dims, fields = own(results), own(findings), own(field_findings)
-    listed = lambda df: df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("metric_value"))  # noqa: E731  small aggregates only
-    missing = fields.where("status <> 'pass' and (reason like any ('%为空%', '%字段缺失%', '%缺失%'))")
-    review = fields.where("reason like any ('%需人工复核%', '%无法定位课程库记录%') or message like any ('%需人工复核%', '%无法定位课程库记录%')")
-    calls = dims.select(F.explode(F.from_json(F.get_json_object("llm_trace", "$.calls"), "array<struct<status:string>>")).alias("c")).select("c.status").where(F.col("status").isin("parse_error", "no_llm", "empty_response"))
+    listed = lambda df, order: df.agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("row")))), lambda x: x["row"])).alias("metric_value"))
+    total, passed = res.agg(F.count("*").alias("total")), R.all_pass(res, dims, "result_id", dimensions).agg(F.count("*").alias("pass_count"))
+    overall = total.crossJoin(passed).withColumns({"fail_count": F.greatest(F.col("total") - F.col("pass_count"), F.lit(0)), "pass_rate": C.rate("pass_count", "total"), "dimension_count": F.lit(len(dimensions)), "dimensions": F.array(*map(F.lit, dimensions))})  # one row each
+    by_wd = R.dimension_totals(dims, dimensions)
+    rates = by_wd.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("wd", F.struct("total", "pass_count", "fail_count", "pass_rate"))))).alias("metric_value"))
+    reasons = top_reasons(fields).select("reason", F.col("n").alias("count"))
+    missing = missing_fields(fields).select("section", "field", "path", "reason", F.col("n").alias("count"))
+    calls = model_calls(dims)
+    by_status = calls.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n"))))).alias("metric_value"))
+    most = -F.col("count")
     parts = {
-        "status_counts": listed(R.status_counts(res, "overall_status")),
-        "dimension_totals": listed(R.dimension_totals(dims, dimensions)),
-        "all_dimensions_pass": R.all_pass(res, dims, "result_id", dimensions).agg(F.count("*").cast("string").alias("metric_value")),
-        "top_reasons": listed(R.top(fields, ["reason"], where=(F.col("status") != "pass") & (F.trim(F.coalesce("reason", F.lit(""))) != ""))),
-        "top_missing_fields": listed(R.top(missing, ["section", "field", "reason", "path"])),
-        "manual_review": review.agg(F.count_distinct("result_id").cast("string").alias("metric_value")),
-        "model_exceptions": listed(R.status_counts(calls, "status")),
-    }
+        "overall_pass_rate": overall.select(F.to_json(F.struct(*overall.columns)).alias("metric_value")), "dimension_pass_rates": rates,
+        "reason_top10": listed(reasons, [most.alias("o"), "reason"]), "missing_field_top10": listed(missing, [most.alias("o"), "section", "field", "reason", "path"]),
+        "manual_review_course_count": review_count(fields).select(F.col("n").cast("string").alias("metric_value")),
+        "llm_exception_count": calls.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("string").alias("metric_value")), "llm_status_counts": by_status,
+    }
     rows = [df.select(F.lit(run_id).cast("long").alias("run_id"), F.lit(k).alias("metric_key"), "metric_value") for k, df in parts.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A diagnostic of a few rows as one CSV file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A diagnostic of a few rows as one CSV file that begins with a byte-order mark."""
+    first = df.columns[0]
+    df.coalesce(1).withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

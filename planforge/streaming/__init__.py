@@ -1 +1,24 @@
-"""The engine is batch; ``planforge.plans.drivers.prepare_stream`` prepares documents as they arrive."""
+"""Documents prepared as they arrive."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..plans.drivers import prepare_documents
+from ..sources.store import Store
+
+
+def prepare_stream(spark: SparkSession, store: Store, incoming: str, checkpoint: str) -> StreamingQuery:
+    """Documents (JSON lines of source_path, md, middle) become extractions, once each while the checkpoint stays.
+
+    A batch that is run again after a failure is skipped: its number is kept beside the table it was appended to.
+    """
+    docs = spark.readStream.schema("source_path string, md string, middle string").json(incoming)
+
+    def append(batch, number: int) -> None:
+        if not store.marked(f"stream-{number}"):
+            store.append_extractions(prepare_documents(batch))
+            store.mark(f"stream-{number}")
+
+    return docs.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -33,7 +33,10 @@ def corpus(tmp_path_factory):
     rows = []
     for i, (weeks, hours) in enumerate([(2, 4), (3, 6)]):
         (root / f"d{i}.md").write_text(MD.format(weeks=weeks, hours=hours), encoding="utf-8")
-        rows.append({"stem": f"d{i}", "source_pdf": f"pdf/d{i}.pdf", "md": f"d{i}.md", "status": "success", "json": {"middle": ""}})
+        rows.append({"stem": f"d{i}", "source_pdf": f"pdf/d{i}.pdf", "md": f"d{i}.md", "status": "success", "json": {"middle": "" if i else "d0.json"}})
+    blocks = [{"content": "（四）教学内容"}, {"html": "<table><tr><td>序号</td><td>主题</td><td>知识点</td><td>学时</td></tr><tr><td>1</td><td>导论</td><td>历史</td><td>2</td></tr></table>"}]
+    (root / "d0.json").write_text(json.dumps({"pdf_info": [{"para_blocks": blocks}]}), encoding="utf-8")
+    (root / "big.pdf").write_bytes(b"not read")
     rows += [{"stem": "bad", "source_pdf": "pdf/bad.pdf", "md": "none.md", "status": "success"}, {"stem": "f", "source_pdf": "pdf/f.pdf", "md": "", "status": "failed"}]
     (root / "index.jsonl").write_text("\n\n".join(json.dumps(r) for r in rows))
     (root / "lib.csv").write_text("标题,,,\n课程编号,中文课程名称,英文课程名称,周 学时,上课周数,总学时\nABC101,数据科学(上),DATA science,2,2,4\nABC101,重复,x,1,1,1\n123.0,其他,y,2,2,4\n,无编号,z,1,1,1\n", encoding="utf-8")
@@ -72,13 +75,15 @@ def test_prepare_audit_resume_and_report(spark, store, corpus):
     key = {k: r.subject_key for k, r in res.items()}
     assert wd[key["pdf/d0.pdf"], "jxapsfyzcpp"] == "pass" and wd[key["pdf/d1.pdf"], "jxapsfyzcpp"] == "fail"
     assert wd[key["pdf/d0.pdf"], "jxnrsfyxspp"] == "pass" and wd[key["pdf/d1.pdf"], "jxnrsfyxspp"] == "fail"
-    assert wd[key["pdf/d0.pdf"], "szysfyxrghj"] == "manual_review" and len({w for k, w in wd if k == key["pdf/d0.pdf"]}) == 6
+    assert wd[key["pdf/d0.pdf"], "szysfyxrghj"] == "fail" and len({w for k, w in wd if k == key["pdf/d0.pdf"]}) == 6
     fields = store.read("field_findings")
     own = {(r.field, r.status): r.message for r in fields.where(F.col("subject_key") == key["pdf/d1.pdf"]).collect()}
     assert ("ywkcmc", "pass") in own and "课程库为 2，PDF 为 3" in own["skzs", "fail"] and "教学安排最大周次为 2" in own["zs", "fail"]
     metrics = {r.metric_key: r.metric_value for r in store.read("metrics").collect()}
-    assert json.loads(metrics["dimension_totals"])[0]["wd"] in config.DIMENSIONS and metrics["all_dimensions_pass"] == "0" and len(metrics) == 7
-    assert len(json.loads(metrics["top_reasons"])) == 10
+    assert set(json.loads(metrics["dimension_pass_rates"])) == set(config.DIMENSIONS) and metrics["manual_review_course_count"] == "3" and set(metrics) == {"overall_pass_rate", "dimension_pass_rates", "reason_top10", "missing_field_top10", "manual_review_course_count", "llm_exception_count", "llm_status_counts"}
+    assert json.loads(metrics["overall_pass_rate"])["pass_count"] == 0 and json.loads(metrics["llm_status_counts"]) == {"no_llm": 12} and metrics["llm_exception_count"] == "12"
+    assert len(json.loads(metrics["reason_top10"])) == 10 and json.loads(metrics["reason_top10"])[0]["count"] == 3
+    assert fields.where("section = 'szysfyxrghj' and status = 'fail' and message like '%需人工复核%'").count() == 3
 
     broken = {(r["table"], r["constraint"]): r.n for r in schemas.violations({n: store.read(n) for n in schemas.TABLES}).collect()}
     assert not any(broken.values()), broken
@@ -94,8 +99,14 @@ def test_prepare_audit_resume_and_report(spark, store, corpus):
 
     found = drivers.quality_report(spark, store, str(corpus / "index.jsonl"), str(corpus))
     cover = {r.section: r for r in found["coverage"].collect()}
-    assert cover["jxnr"].loose == 2 and cover["jxap_sz"].strict == 2 and cover["kcbh"].total == 3
+    assert cover["jxnr"].loose == 2 and cover["jxap_sz"].strict == 2 and cover["kcbh"].total == 3 and cover["jxnr"].md == 2 and cover["jxnr"].middle == 1 and cover["jxnr"].md_only == 1
+    assert list(cover) == list(drivers.report.SECTIONS)
     assert "| section |" in drivers.report.markdown_report("q", {"coverage": found["coverage"]})
+    assert json.loads(drivers.report.summary(found, total=3))["total"] == 3
+    kept = store.derived("layout_cache", readers.CACHE).collect()
+    assert [r.source_pdf for r in kept] == ["pdf/d0.pdf"] and kept[0].sections["jxnr"]
+    again = drivers.quality_report(spark, store, str(corpus / "index.jsonl"), str(corpus))["coverage"].collect()
+    assert [tuple(r) for r in again] == [tuple(r) for r in cover.values()]
     assert drivers.prepare(spark, store, str(corpus / "index.jsonl"), str(corpus), skip_existing=True)["added"] == 3  # none succeeded
 
 
@@ -121,6 +132,75 @@ def test_readers(spark, tmp_path):
     assert dict(map(tuple, readers.raw_coverage(docs, outs).collect())) == {"a": "has_md", "b": "dir_only", "c": "empty_dir", "d": "missing"}
 
 
+def test_pdf_documents(spark, tmp_path):
+    """PDFs by readers that are handed in; without the layout's library its status is noted, a broken file fails alone."""
+    folder = tmp_path / "pdfs"
+    folder.mkdir()
+    for name in ("a.pdf", "broken.pdf"):
+        (folder / name).write_bytes(name.encode())
+    text = "（四）教学内容\n1 导论 2\n2 方法 4\n"
+
+    def pages(content):
+        if content.startswith(b"broken"):
+            raise ValueError("no pdf")
+        return [(text, [[["课程编号", "AB1"], ["总学时", "6"], ["周学时", "2"]]])]
+
+    def lines(content):
+        raise ImportError("no library")
+
+    store = Store(spark, str(tmp_path / "store"))
+    store.init()
+    assert drivers.prepare_pdf(spark, store, str(folder), pages_reader=pages, lines_reader=lines) == {"partial": 1, "failed": 1, "added": 2}
+    rows = {r.source_path: r for r in store.read("extractions").collect()}
+    assert rows["a.pdf"].payload.jcxx.kcbh == "AB1" and len(rows["a.pdf"].payload.jxnr.tm) == 2 and rows["a.pdf"].extractor == "pdfplumber"
+    assert any(w.reason == "pymupdf_extract_failed" for w in rows["a.pdf"].meta.extraction_warnings) and any(w.reason == "alternative_candidate_selected" and w.source == "text_fallback" for w in rows["a.pdf"].meta.extraction_warnings)
+    assert len({r.extraction_id for r in rows.values()}) == 2
+    found = readers.layout_lines(readers.files(spark, str(folder), content=True), lambda b: [(0, 2.0, 1.0, "b"), (0, 1.0, 1.0, "a")])
+    assert {r.text for r in readers.ordered_layout(found).collect()} == {"a\nb"}
+
+
+def test_store_survives_a_lost_driver(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.init()
+    run = store.create_run([], {}, 1)
+    before = store.read("runs").collect()
+    # a version that was written but never pointed to
+    store.read("runs").withColumn("status", F.lit("failed")).write.parquet(f"{tmp_path}/runs/9")
+    assert store.read("runs").collect() == before
+    store.fail_run(run, "x")
+    assert store.run(run)["status"] == "failed"
+    rows = store.read("extractions")
+    two = spark.createDataFrame([("a", "p", "success"), ("b", "p", "success")], "course_code string, source_path string, extraction_status string")
+    for c in ("payload", "meta", "extractor"):
+        two = two.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
+    assert store.append_extractions(two) == 2 and len({r.extraction_id for r in store.read("extractions").collect()}) == 2
+    store.clear()
+    assert store.read("extractions").count() == 0
+
+
+def test_stream(spark, tmp_path):
+    from planforge.streaming import prepare_stream
+
+    store = Store(spark, str(tmp_path / "store"))
+    store.init()
+    (tmp_path / "in").mkdir()
+    for k in range(2):
+        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"source_path": f"d{k}", "md": MD.format(weeks=2, hours=4)}), encoding="utf-8")
+        prepare_stream(spark, store, str(tmp_path / "in"), str(tmp_path / "check")).awaitTermination()
+    assert sorted(r.source_path for r in store.read("extractions").collect()) == ["d0", "d1"]
+
+
+def test_raw_outputs(spark, tmp_path):
+    for name in ("a/auto/a.md", "a/hybrid_auto/x.json", "b/auto/b.md", "c/other/x.txt", "orphan/vlm/orphan.md"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    outs = readers.raw_outputs(spark, str(tmp_path))
+    docs = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "stem string")
+    # the first folder by precedence decides, even without the file
+    assert dict(map(tuple, readers.raw_coverage(docs, outs).collect())) == {"a": "dir_only", "b": "has_md", "c": "empty_dir", "d": "missing"}
+    assert [r.stem for r in R.orphans(outs, docs, "stem").collect()] == ["orphan"]
+
+
 def test_settings(tmp_path):
     (tmp_path / "s.json").write_text('{"severity": {"missing_field": "warn"}}')
     assert config.load(str(tmp_path / "s.json"))["severity"]["missing_field"] == "warn" and config.load()["severity"]["missing_field"] == "error"

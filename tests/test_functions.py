@@ -1,5 +1,7 @@
 """Column functions, weeks, grids, text and section parsing on hand-made cases."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ def values(spark, rows, *cols):
 
 def test_cleaning(spark):
     assert values(spark, ["　a\tb \x07", None], C.exact("v")) == ["a\tb", ""]
-    assert values(spark, ["a \n\n\n\nb", "a\r\n b"], C.clean_text("v", True)) == ["a \n\nb", "a\n b"]
+    assert values(spark, ["a \n\n\n\nb", "a\r\n b"], C.clean_text("v", True)) == ["a\n\nb", "a\n\nb"]
+    assert values(spark, ["a \n b", " x\ty　 z \r"], C.clean_text("v")) == ["ab", "x y z"]
     assert values(spark, [" 不 填 ", "N/A", "有", None], C.marker_blank("v")) == ["", "", "有", ""]
     assert values(spark, ["a", "ab", "暂无", None], C.substantive("v")) == [False, True, False, False]
     assert values(spark, ["Course (A)：", "课 程"], C.normal_label("v")) == ["coursea", "课程"]
@@ -133,20 +136,63 @@ def test_candidates_and_merge():
     assert sections.pick([{"a": "1"}], [{"a": "1"}, {"a": "2"}], ("a",))[1] == "text"
 
 
-def test_judges_offline_and_with_fakes():
-    class Fake:
-        def __init__(self, *answers):
-            self.answers = list(answers)
+class Fake:
+    def __init__(self, *answers):
+        self.answers = list(answers)
+
+    def complete_json(self, prompt):
+        return self.answers.pop(0)
 
-        def complete_json(self, prompt):
-            return self.answers.pop(0)
 
-    assert judges.judge({"input": "{}"}, "szysfyxrghj", None)["status"] == "manual_review"
-    good = '```json\n{"checks":{"goal":"是","content":"yes","arrangement":true}}\n```'
-    assert judges.judge({"input": "{}"}, "szysfyxrghj", Fake(good))["message"] == "是"
-    mixed = judges.judge({"input": "{}"}, "jxmbnrfsfhyq", Fake('{"result":"是"}', '{"result":"否","reasons":["r"]}', '{"result":"是"}'))
-    assert (mixed["status"], mixed["reasons"]) == ("fail", ["教学内容：r"])
-    assert judges.judge({"input": "{}"}, "jxmbnrfsfhyq", Fake("not json", "", '{"result":"是"}'))["status"] == "manual_review"
+def answers(dimension, client):
+    items = judges.ITEMS if dimension == judges.GOALS_DIMENSION else [judges.FIELD]
+    return {k: judges.call(client, "?") for k in items}
+
+
+def test_judges_offline_and_with_fakes():
+    ask = lambda dimension, client: judges.judge(dimension, answers(dimension, client))
+    offline = ask(judges.IDEOLOGY_DIMENSION, None)
+    assert (offline["status"], offline["message"]) == ("fail", "否") and "需人工复核" in offline["fields"][0]["reason"] and '"no_llm"' in offline["llm_trace"]
+    checks = '"has_ideological_goal":{"result":"是"},"has_arrangement_integration":{"result":"yes"},"is_effectively_integrated":{"result":true}'
+    assert ask(judges.IDEOLOGY_DIMENSION, Fake('```json\n{"result":"是","checks":{' + checks + "}}\n```"))["message"] == "是"
+    lacking = ask(judges.IDEOLOGY_DIMENSION, Fake('{"result":"是","checks":{' + checks.replace("yes", "否") + "}}"))
+    assert lacking["status"] == "fail" and lacking["reasons"] == ["教学安排中的思政融入未通过，模型未给出具体原因，需人工复核"]
+    mixed = ask(judges.GOALS_DIMENSION, Fake('{"result":"是"}', '{"result":"否","reasons":["payload.jxnr 过简"]}', '{"result":"是"}'))
+    assert (mixed["status"], mixed["reasons"]) == ("fail", ["教学内容 过简"]) and [f["status"] for f in mixed["fields"]] == ["pass", "fail", "pass"]
+    broken = ask(judges.GOALS_DIMENSION, Fake("not json", "", '{"result":"是"}'))
+    assert [c["status"] for c in json.loads(broken["llm_trace"])["calls"]] == ["parse_error", "empty_response", "parsed"]
+    assert broken["status"] == "fail" and all("需人工复核" in f["reason"] for f in broken["fields"][:2])
+
+
+def test_answers_are_asked_once(spark, tmp_path):
+    asked = spark.createDataFrame([("s1", "q1", "k1"), ("s2", "q1", "k1"), ("s3", "q2", "k2")], "subject_key string, prompt string, key string")
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def factory():
+        class Client:
+            def complete_json(self, prompt):
+                (calls / f"{prompt}-{__import__('uuid').uuid4().hex}").touch()
+                return '{"result":"是"}' if prompt == "q1" else ""
+
+        return Client()
+
+    for n in (2, 3):  # the second time only the question without a good answer is asked again
+        got = {r.key: r.status for r in judges.answered(asked, factory, str(tmp_path / "cache")).collect()}
+        assert got == {"k1": "parsed", "k2": "empty_response"} and len(list(calls.iterdir())) == n
+
+
+def test_what_a_judge_is_shown(spark):
+    from planforge import schemas
+
+    payload = {"jcxx": {}, "kcmb": {"szmb": "培养学生的责任感与使命感", "kzzd": []}, "jxap": {"tm": [{"zs": "1", "szyqjxx": ""}, {"zs": "2", "szyqjxx": "诚信经营与社会责任"}], "apgs": ""}}
+    meta = {"full_text": "课程目标 培养责任感 " + "x" * 900 + " 教学安排", "raw_pages": ["课程目标 培养责任感", "教学安排"], "extraction_warnings": [{"section": "other", "field": "f", "path": "payload.jxap.tm[0]", "reason": "r1"}, {"section": "jcxx", "reason": "r2"}], "unmapped_segments": []}
+    df = spark.createDataFrame([("k", payload, meta)], schemas.struct(f"subject_key string, payload {schemas.PAYLOAD}, meta {schemas.META}"))
+    one = judges.questions(df, judges.IDEOLOGY_DIMENSION).collect()
+    assert len(one) == 1 and '"jxap_needs_meta":true' in one[0].flags and '"kcmb_needs_meta":false' in one[0].flags
+    assert '"warnings":["r1"]' in one[0].prompt and "meta.raw_pages[0]" in one[0].prompt
+    three = judges.questions(df, judges.GOALS_DIMENSION).collect()
+    assert [r.item for r in three] == ["jxmb", "jxnr", "jxfs"] and len({r.key for r in three}) == 3 and '"page":0' in three[0].prompt
 
 
 def test_verification_and_root_cause(spark):
@@ -155,5 +201,50 @@ def test_verification_and_root_cause(spark):
     assert report.verify(md, "jxnr", "zt", "主题", "missing_field") == "extract_failure"
     assert report.verify("x", "jxnr", "tm", "条目", "empty_section") == "source_missing"
     assert report.verify(None, "jxnr", "zt", "主题", "missing_field") == "uncertain"
-    df = spark.createDataFrame([(True, "source_missing"), (False, "source_missing"), (True, "extract_failure"), (False, "extract_failure")], "m boolean, v string")
-    assert [r[0] for r in df.coalesce(1).select(report.root_cause(F.col("m"), F.col("v"))).collect()] == ["to_review", "truly_missing", "false_alarm", "lost_in_conversion"]
+    assert report.verify("## 教学安排\n一共十六周的课堂讲授与研讨", "jxap", "", "", "unknown_columns") == "extract_failure"
+    df = spark.createDataFrame([(m, v) for v in ("source_missing", "extract_failure", "uncertain") for m in (True, False)], "m boolean, v string")
+    assert [r[0] for r in df.coalesce(1).select(report.root_cause(F.col("m"), F.col("v"))).collect()] == ["lost_in_conversion", "truly_missing", "false_alarm", "false_alarm", "review_content", "review_structure"]
+
+
+def test_sections_present():
+    assert report.section_present("课程 编号：X", "kcbh") and not report.section_present("x" * 9000 + "课程编号", "kcbh")
+    assert report.section_present("二、教学内容\n导论与历史沿革\n方法与推断\n", "jxnr") and not report.section_present("教学内容", "jxnr")
+    assert not report.section_present("思政 思政", "jxap_sz") and not report.section_present("", "kcmb")
+    assert report.recognised_label("课程编号：ABC", "课程编号", "jcxx") and not report.recognised_label("课程编号：", "课程编号", "jcxx")
+    assert report.recognised_label("教学安排 授课方式 讲授", "授课方式", "jxap") and not report.recognised_label("授课方式", "授课方式", "jxap")
+
+
+def test_customer_texts(spark):
+    texts = ["payload.kcmb.szmb 为空", "meta原文 meta 与 payload_data", "无", None, "jxap.tm[0]"]
+    expect = ["思政目标 为空", "meta原文 原文辅助信息 与 结构化抽取结果", "无", "", "教学安排.表格条目[0]"]
+    assert values(spark, texts, C.customer_text("v")) == expect and [judges.customer(t) for t in texts] == expect
+
+
+def test_numbered_first_row_continues_the_section():
+    first = [HEAD[:4], ["1", "导论", "基础", "6"]]
+    found = sections.read_tables([first, [["2", "主题", "知识点", "4"], ["3", "方法", "推断", "9"]]])
+    assert [r["序号"] for r in found.rows["teaching_content"]] == ["1", "2", "3"]
+
+
+def test_methods_texts_and_fusion():
+    rows = sections.infer_methods([{"序号": "1", "授课内容": "案例导论 思政：诚信"}, {"序号": "2", "授课内容": "x", sections.IDEOLOGY_COLUMN: "y"}])
+    assert rows[0] == {"序号": "1", "授课内容": "案例导论", sections.IDEOLOGY_COLUMN: "思政：诚信", "授课方式": "案例"} and rows[1]["授课内容"] == "x"
+    assert sections.validated_text("教学内容\n这里没有关键的词语但是很长很长\n", "课程要求") == ""
+    assert sections.validated_text("课程要求\n按时提交作业\n", "课程要求") == "按时提交作业"
+    whole = [{"序号": str(i), "主题": "a", "知识点": "b", "学时": "2"} for i in range(3)]
+    chosen, summary, warned = sections.fuse("teaching_content", [("table", []), ("text_fallback", whole)])
+    assert chosen == whole and summary["selected_source"] == "text_fallback" and warned[0]["reason"] == "alternative_candidate_selected"
+    assert sections.fuse("teaching_content", [("table", whole), ("text_fallback", whole)])[2] == []
+    text = "（四）教学内容\n1 导论 2\n2 方法 4\n（五）教学安排\n1 导论课 讲授\n2 方法课 研讨\n3 复习课 讨论\n"
+    fused = sections.raw_record([text], [], "p", "")
+    assert len(fused["teaching_content"]) == 2 and json.loads(fused["section_extraction"])["used"]["layout"]["status"] == "unavailable"
+
+
+def test_unique_names_and_gaps(spark):
+    from planforge.operators import relational as R
+
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(["a", "a ", "a", "b", "a_2", "c"])], "i int, n string")
+    got = {r.i: r.new_name for r in R.unique_names(df, "n", [F.col("i")]).collect()}
+    assert got == {0: "a", 1: "a_3", 2: "a_4", 3: "b", 4: "a_2", 5: "c"}
+    rows = spark.createDataFrame([([("", [("k", "v")])],), ([("x", [("k", "v")])],), ([("", [])],), ([],)], "tm array<struct<f:string,kzzd:array<struct<bt:string,nr:string>>>>")
+    assert [r[0] for r in rows.coalesce(1).select(C.gap_rows(F.col("tm"), "f")).collect()] == [True, False, False, False]
