@@ -16,4 +16,4 @@ QUERIES = {
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
 }
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE}
+ORACLES = {"op2_near_dedup": near_dedup.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE}

@@ -209,6 +209,29 @@ def test_near_dedup_large_bucket_of_unlinked_and_linked(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute_near(rows)
 
 
+def test_near_dedup_deals_large_buckets_by_a_second_band(spark):
+    """As above with a low bound, so that all buckets are dealt again."""
+    r = random.Random(16)
+    rows = []
+    for f in range(3):
+        w = [f"w{f}-{i}" for i in range(150)]
+        for i in range(60):
+            v = list(w)
+            for _ in range(r.randint(0, 5)):
+                v[r.randrange(150)] = f"v{r.randint(0, 10**6)}"
+            rows.append((1000 * f + i, " ".join(v)))
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), reband=3).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute_near(rows)
+
+
+def test_near_dedup_leads(spark):
+    """One text of a component leads, also where one doc_id has two texts, only one of which is linked."""
+    w = [f"w{i}" for i in range(60)]
+    rows = [(5, " ".join(w)), (7, " ".join(w[:-1]) + " x"), (7, "something of its own that nothing is like"), (5, " ".join(w)), (8, None), (None, " ".join(w))]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.leads) for r in got) == [(0, 0, True), (5, 5, True), (5, 5, True), (7, 5, False), (7, 7, True), (8, 8, True)]
+
+
 def test_intersections():
     r = np.random.default_rng(7)
     sets = [np.unique(r.integers(0, 300, r.integers(1, 200)).astype(np.uint64)) for _ in range(20)]
@@ -381,6 +404,37 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, toxicity.train(empty, lab.limit(0))).count() == 0
 
 
+def test_non_negative_risk_and_gradient():
+    """The risk by its definition, its gradients by finite differences, and a step out of a negative bracket."""
+    r = np.random.default_rng(3)
+    p, u, w, b, prior = r.integers(0, 2, (7, 4)).astype(float), r.integers(0, 2, (11, 4)).astype(float), r.normal(size=4), 0.3, 0.2
+    loss = lambda g, y: math.log(1 + math.exp(-y * g))
+    plain = lambda w, b: (prior * sum(loss(x @ w + b, 1) for x in p) / 7, sum(loss(x @ w + b, -1) for x in u) / 11 - prior * sum(loss(x @ w + b, -1) for x in p) / 7)
+    positive, bracket, gp, gb = toxicity.risk(w, b, p, u, prior)
+    assert (positive, bracket) == pytest.approx(plain(w, b))
+    for part, grad in ((0, gp), (1, gb)):
+        for k in range(5):
+            d = np.zeros(5)
+            d[k] = 1e-6
+            up, down = plain(w + d[:4], b + d[4])[part], plain(w - d[:4], b - d[4])[part]
+            assert grad[k] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+    # all unlabelled rows are positives that the prior calls rare: the bracket goes negative and is climbed out of
+    ones = np.ones((20, 1))
+    w, b = toxicity.nn_pu_fit(ones, ones, 0.9, rounds=400)
+    assert toxicity.risk(w, b, ones, ones, 0.9)[1] > -0.05
+
+
+def test_toxicity_of_repeated_ids_and_clashing_columns(spark):
+    """Other columns stay as they are, a score column is replaced, samples keep to their bounds though ids repeat."""
+    rows = [(i % 30, f"w{i % 9} " + ("scum" if i % 30 < 8 else "fine"), 0.5, 1, "s") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double, toxic int, source string")
+    lab = spark.createDataFrame([(i, int(i < 8), None) for i in range(30)] + [(None, 1, None), (3, None, None)], "doc_id long, toxic int, text string")
+    model = toxicity.train(df, lab, max_toxic=4, max_unlabelled=5)
+    got = toxicity.score(df, model, "score")
+    assert got.columns == ["doc_id", "text", "toxic", "source", "score"] and got.count() == 300
+    assert got.where("text like '%scum%'").agg({"score": "min"}).first()[0] > got.where("text like '%fine%'").agg({"score": "max"}).first()[0]
+
+
 def test_toxicity_features_come_from_all_training_rows(spark):
     """A word of 12 toxic documents among 400 is a feature although the fit's sample is small."""
     rows = [(i, f"w{i % 50} w{i % 7}" + (" scum" if i < 400 else "") + (" vermin" if i < 18 else "")) for i in range(2000)]
@@ -407,6 +461,24 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_expectations_and_nearness(spark):
+    """Over many seeds copies average to their rates; every run ends within half the largest document of its targets."""
+    r = random.Random(4)
+    rows = [(i, "w " * r.choice([1, 2, 5, 9, 30]), f"s{i % 3}", "x", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, target long").cache()
+    sums, n = Counter(), 10
+    for seed in range(n):  # each run is a few small jobs
+        got = mixing.mix(df, seed=seed).collect()
+        for x in got:
+            sums[x.doc_id] += x.copies
+        for s in {x.source for x in got}:
+            own = [x for x in got if x.source == s]
+            assert abs(sum(x["size"] * x.copies for x in own) - own[0].target) <= 15 and max(x.copies for x in own) <= 2
+    rate = {x.doc_id: min(2.0, x.target / x.source_size) for x in got}
+    errors = [abs(sums[d] / n - rate[d]) for d in rate]
+    assert sum(errors) / len(errors) < 0.16 and abs(sum(sums.values()) / n - sum(rate.values())) < 4
+
+
 def plain_targets(sizes, weights=(3, 1, 2)):
     weight = [weights[i % len(weights)] for i in range(len(sizes))]
     out, free, left = [0.0] * len(sizes), set(range(len(sizes))), 1.5 * sum(sizes)
@@ -506,3 +578,28 @@ def test_encoding_without_a_shuffle():
 
 def test_decoding(docs):
     assert Counter((r.doc_id, bytes(r.decoded)) for r in bpe.decode(bpe.encode(docs)).collect()) == Counter((d, (t or "").encode()) for d, t in rows_of(docs))
+
+
+def test_clashing_columns_change_nothing(spark):
+    """Operators read the columns of their contract; others of the same names as theirs are not met."""
+    rows = [(i, t, "k", 7, "p", 1, b"x", 3, "c", 2, 4, 5) for i, t in enumerate(texts())]
+    names = "doc_id long, text string, key string, row int, print string, comp int, registers binary, n int, chunk string, shard int, kind int, cid int"
+    odd = spark.createDataFrame(rows, names).repartition(3)
+    plain = odd.select("doc_id", "text")
+    same = lambda f: [Counter(map(str, f(x).collect())) for x in (odd, plain)]
+    for f in (near_dedup.near_dedup, bpe.digests, lambda d: lm_scoring.score(d, lm_scoring.train(d)).drop("score"), lambda d: pii.find_pii(d).drop("row"), lambda d: packing.pack_texts(d, size=64, group_tokens=500).where("pack_group >= 0").select("doc_ids", "ids")):
+        a, b = same(f)
+        assert a == b
+
+
+def test_packing_with_clashing_columns(spark):
+    encoded = spark.createDataFrame([(1, 2, bytearray(np.array([5, 6], np.uint32).tobytes()), 9, 8, b"z")], "doc_id long, n_tokens int, ids binary, pack_group int, first int, pieces binary")
+    [row] = packing.pack(encoded, size=4).collect()
+    assert np.frombuffer(row.ids, np.uint16).tolist() == [5, 6, packing.PAD, packing.PAD]
+
+
+def test_matrices_are_written(spark, tmp_path):
+    packed = packing.pack_texts(frame(spark, [(1, "one two three", "en", "s", 1, 1, 1, "k", 1, 1)]), size=8)
+    packing.write_matrices(packed, str(tmp_path / "m"))
+    back = spark.read.parquet(str(tmp_path / "m")).collect()
+    assert [len(r.ids) for r in back] == [16] and back[0].cu_seqlens[-1] == back[0].n_tokens
