@@ -5,12 +5,13 @@ A lookup probes the levels upwards until one is missing and returns the level's
 into shards by the n-grams' hashes.  Each shard has ``BITS`` for each level it holds, so the false rate is the same at
 every size, and it stays in the task that builds it: nothing is gathered or broadcast.  Chunks of documents send their
 distinct n-grams with their counts in training texts to the shards; a shard sums the counts, builds its filter and
-answers each chunk with its bigrams' levels.  The documents, sent to their chunks' answers, are scored there.
+answers each chunk with its bigrams' and trigrams' levels.  The documents, sent to their chunks' answers, are scored there.
 
 Tokens themselves have exact counts: their shards answer with them, for the base score and as the model's unigrams, so
 a chunk costs a shard one entry for each distinct token, however common the token is.
 
-Smoothing: P(w2 | w1) = (c(w1 w2) + m P(w2)) / (c(w1) + m) with m the bigrams' prior mass, P(w) = (c(w)+0.1)/(N+0.1(V+1)).
+Smoothing, from single tokens up to three: P(w | h) = (c(h w) + m P(w | h')) / (c(h) + m) with h' the history without
+its first token and m the length's prior mass, and P(w) = (c(w)+0.1)/(N+0.1(V+1)).
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from .common import U64, Scratch, chunks, merge_counts, mix64, shards_for, split
 
 BASE = 1.5
 BITS, PROBES = 10, 5
-PRIOR_MASS = 200.0
+#: Prior mass of bigrams and trigrams: the likeliest on held-out documents of those tried (1 to 500, 1 to 300).
+PRIOR_MASS = (200.0, 5.0)
 END_TOKEN, START_TOKEN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Bytes of text in one chunk.
 CHUNK = 6 << 20
@@ -40,7 +42,8 @@ BLOCK = "kind int, chunk long, shard int, data binary"
 ANSWER = f"{BLOCK}, total long, held long, full double"
 _FIELDS = [("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary()), ("total", pa.int64()), ("held", pa.int64()), ("full", pa.float64())]
 #: Kinds of rows: n-grams asked or answered for, and a chunk's documents.
-UNIGRAM, BIGRAM, TEXTS = 0, 1, 2
+UNIGRAM, BIGRAM, TRIGRAM, TEXTS = 0, 1, 2, 3
+KINDS = (UNIGRAM, BIGRAM, TRIGRAM)
 
 
 def _table(rows: list[tuple], width: int = 4) -> pa.RecordBatch:
@@ -72,10 +75,10 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 1
 
 
-def bigrams(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hash of each token and the one before it, the start token before a text's first."""
+def longer(grams: np.ndarray, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hash of each token and the n-gram that ends at the one before it, the start token before a text's first."""
     before = np.empty_like(h)
-    before[1:] = h[:-1]
+    before[1:] = grams[:-1]
     before[np.cumsum(counts) - counts] = START_TOKEN
     return mix64(before * U64(0x9E3779B97F4A7C15) + h)
 
@@ -147,13 +150,13 @@ class Filter:
 
 
 class Model(NamedTuple):
-    """The documents to learn from and the bigrams' prior mass; counts and filters exist in the shards' tasks only."""
+    """The documents to learn from and the prior masses; counts and filters exist in the shards' tasks only."""
 
     docs: DataFrame
-    mass: float
+    mass: tuple[float, float]
 
 
-def train(docs: DataFrame, mass: float = PRIOR_MASS) -> Model:
+def train(docs: DataFrame, mass: tuple[float, float] = PRIOR_MASS) -> Model:
     """The model of the texts whose crc32(doc_id as text) mod 10 is not 0 (null doc_ids learn too)."""
     return Model(docs, mass)
 
@@ -180,8 +183,9 @@ def _ask(shards: int, learns: bool, asks: bool):
             h, n = tokens(texts)
             chunk = _chunk_name(ids, texts) if asks else None
             counted = np.repeat(~held & learns, n)
-            for kind in (UNIGRAM, BIGRAM):
-                grams = h if kind == UNIGRAM else bigrams(h, n)
+            grams = h
+            for kind in KINDS:
+                grams = longer(grams, h, n) if kind else h
                 order = np.argsort(grams, kind="stable")
                 u = grams[order]
                 first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
@@ -206,7 +210,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _answer(table: pa.Table) -> pa.Table:
     """For one shard of a kind: counts summed over all chunks, each asking chunk's answer, and the shard's totals.
 
-    Tokens are answered with their counts, bigrams with the levels that the filter over the shard's counts gives.
+    Tokens are answered with their counts, longer n-grams with the levels that the filter over the shard's counts gives.
     """
     kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
     chunk, data = table.column("chunk").to_pylist(), table.column("data").to_pylist()
@@ -215,7 +219,7 @@ def _answer(table: pa.Table) -> pa.Table:
     del parts
     seen = c > 0
     full, value = 0.0, c
-    if kind == BIGRAM:
+    if kind != UNIGRAM:
         block = build_filter(h[seen], c[seen])
         full, value = float(np.unpackbits(block).mean()), Filter([block.tobytes()]).level(h).astype(np.uint8)
     else:
@@ -227,38 +231,40 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table(out, 7)])
 
 
-def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, bi: np.ndarray, total: int, distinct: int, false_rate: float, mass: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, levels_of: list[np.ndarray], total: int, distinct: int, rates: list[float], mass: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text: log10 probability of its tokens, sum of log10(c + 0.1), known tokens.
 
-    ``uni``: counts of the sorted distinct words with the start; ``bi``: levels of the sorted distinct bigrams.
+    ``uni``: counts of the sorted distinct words with the start; ``levels_of``: levels of the sorted distinct bigrams and
+    trigrams; ``rates``: false rates of their filters.  An n-gram counts no more often than the shorter ones in it.
     """
     table, begin = expected(), np.cumsum(counts) - counts
     _, index = np.unique(np.concatenate([h, [START_KEY]]), return_inverse=True)
-    p1 = (uni + 0.1) / (total + 0.1 * (distinct + 1))
-    own, before = index[:-1], np.empty(len(h), dtype=np.int64)
-    before[1:] = own[:-1]
-    before[begin] = index[-1]
-    _, at = np.unique(bigrams(h, counts), return_inverse=True)
-    pair = np.minimum(table[bi][at], np.minimum(uni[own], uni[before]))
-    true = 1 - false_rate
-    p = (true * pair + mass * p1[own]) / (true * uni[before] + mass)
-    c = uni[own]
+    c, start = uni[index[:-1]].astype(np.float64), float(uni[index[-1]])
+    p, grams, ends = (c + 0.1) / (total + 0.1 * (distinct + 1)), h, c
+    for level, rate, m in zip(levels_of, rates, mass, strict=True):
+        history = np.empty(len(h))
+        history[1:] = ends[:-1]
+        history[begin] = start
+        grams = longer(grams, h, counts)
+        _, at = np.unique(grams, return_inverse=True)
+        ends, true = np.minimum(table[level][at], np.minimum(ends, history)), 1 - rate
+        p = (true * ends + m * p) / (true * history + m)
     return np.add.reduceat(np.log10(p), begin), np.add.reduceat(np.log10(c + 0.1), begin), np.add.reduceat(c > 0, begin, dtype=np.int64)
 
 
-def _finish(total: int, distinct: int, false_rate: float, mass: float):
+def _finish(total: int, distinct: int, rates: list[float], mass: tuple[float, float]):
     def run(table: pa.Table) -> pa.Table:
         """Chunks of equal ids and texts have one name; each takes the answers of the first."""
         rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True))
         answers = {(kind, shard): data for kind, shard, data in rows if kind != TEXTS}
         own = [data for kind, _, data in rows if kind == TEXTS]
-        uni, bi = (np.concatenate([unpack(answers[k])[0] for k in sorted(answers) if k[0] == kind]) for kind in (UNIGRAM, BIGRAM))
+        uni, *more = (np.concatenate([unpack(answers[k])[0] for k in sorted(answers) if k[0] == kind]) for kind in KINDS)
         norm = np.log10(total + 0.1 * (distinct + 1))
         out = []
         for docs, null, lengths, texts in map(unpack, own):
             ends = np.cumsum(lengths)
             h, n = tokens([texts[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
-            scores, base, known = log10(h, n, uni, bi, total, distinct, false_rate, mass)
+            scores, base, known = log10(h, n, uni, more, total, distinct, rates, mass)
             ids = [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
             cols = [pa.array(ids, pa.int64()), pa.array([_held_out(i) for i in ids], pa.bool_()), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(scores)]
             out.append(pa.table(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
@@ -290,14 +296,14 @@ def score(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     asked = docs.mapInArrow(_ask(shards, own, True), BLOCK)
     if not own:
         asked = asked.unionByName(_columns(model.docs).mapInArrow(_ask(shards, True, False), BLOCK))
-    # dealt to as many tasks as there are shards of both kinds: a task's bytes stay the same at every size
-    answers = scratch.table(asked.repartition(2 * shards, "kind", "shard").groupBy("kind", "shard").applyInArrow(_answer, ANSWER), "answers")
+    # dealt to as many tasks as there are shards of all kinds: a task's bytes stay the same at every size
+    answers = scratch.table(asked.repartition(len(KINDS) * shards, "kind", "shard").groupBy("kind", "shard").applyInArrow(_answer, ANSWER), "answers")
     sums = {r.kind: r for r in answers.where("chunk is null").groupBy("kind").agg(F.sum("total").alias("total"), F.sum("held").alias("held"), F.avg(F.when(F.col("held") > 0, F.pow("full", F.lit(PROBES)))).alias("rate")).collect()}
     total, distinct = (sums[UNIGRAM].total, sums[UNIGRAM].held) if sums else (0, 0)
-    false_rate = (sums[BIGRAM].rate or 0.0) if sums else 0.0
+    rates = [(sums[k].rate or 0.0) if sums else 0.0 for k in (BIGRAM, TRIGRAM)]
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     met = docs.mapInArrow(_texts, BLOCK).unionByName(answers.where("chunk is not null").select("kind", "chunk", "shard", "data"))
-    return met.groupBy("chunk").applyInArrow(_finish(total, distinct, false_rate, model.mass), out)
+    return met.groupBy("chunk").applyInArrow(_finish(total, distinct, rates, model.mass), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

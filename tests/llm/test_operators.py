@@ -113,7 +113,7 @@ def test_lm_shards_answer_exactly_or_by_their_own_filter():
     h = np.unique(lm_scoring.mix64(np.arange(1, 60001, dtype=np.uint64)))
     counts = r.integers(1, 40, len(h)).astype(np.uint32)
     counts[::2] = 0
-    for kind in (lm_scoring.UNIGRAM, lm_scoring.BIGRAM):
+    for kind in lm_scoring.KINDS:
         rows = lm_scoring._table([(kind, 5, 3, bpe.pack(h.view(np.int64), counts)), (kind, None, 3, bpe.pack(h[:10].view(np.int64), counts[:10]))])
         sums, own = lm_scoring._answer(lm_scoring.pa.Table.from_batches([rows])).to_pylist()
         true = counts.astype(int)
@@ -127,20 +127,35 @@ def test_lm_shards_answer_exactly_or_by_their_own_filter():
             assert sums["full"] < 0.5 and (value >= true).all() and (value > true).mean() < 0.03
 
 
+def test_lm_scores_set_repeated_texts_apart(spark):
+    """A text that occurs twice is likelier than texts like it that occur once."""
+    r = random.Random(7)
+    texts = [" ".join(f"w{int(r.paretovariate(0.8)) % 500}" for _ in range(120)) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i]) for i in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.score for x in lm_scoring.score(df, lm_scoring.train(df)).collect()}
+    once, twice = [got[i] for i in range(25, 150)], [got[i] for i in range(25)]
+    assert np.median(twice) > np.quantile(once, 0.7)
+
+
 def test_lm_scores_are_the_smoothed_counts(docs, spark):
     """Against exact counts: nearly all documents have the model's formula; other texts than the learnt ones too."""
     table, few = lm_scoring.expected(), docs.where("doc_id % 3 = 1")
     rows = rows_of(docs)
     train = [[None, *words(t), b""] for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 10]
-    one, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(t, t[1:]))
+    one, two, three = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(t, t[1:])), Counter(p for t in train for p in zip([b"^", *t], t, t[1:]))
     total, distinct = sum(one.values()) - one[None], len(one) - 1
     level = lambda n: table[lm_scoring.levels(np.array([n]))[0]] if n else 0.0
 
     def brute(text):
         t, out = [None, *words(text), b""], 0.0
-        for a, b in zip(t, t[1:]):
+        history = one[None]
+        for z, a, b in zip([b"^", *t], t, t[1:]):
             p = (one[b] + 0.1) / (total + 0.1 * (distinct + 1))
-            out += math.log10((min(level(two[a, b]), one[a], one[b]) + 200 * p) / (one[a] + 200))
+            pair = min(level(two[a, b]), one[a], one[b])
+            p = (pair + 200 * p) / (one[a] + 200)
+            out += math.log10((min(level(three[z, a, b]), pair, history) + 5 * p) / (history + 5))
+            history = pair
         return out
 
     for asked in (docs, few):
