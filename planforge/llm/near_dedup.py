@@ -367,9 +367,9 @@ WITH RECURSIVE w AS (
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
 ), l AS (
-  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
 ), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), c AS (
   SELECT a AS doc_id, a AS reached FROM e UNION SELECT c.doc_id, e.b FROM c JOIN e ON e.a = c.reached
 ), m AS (SELECT doc_id, min(reached) AS component_id FROM c GROUP BY doc_id)
