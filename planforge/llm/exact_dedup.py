@@ -30,7 +30,7 @@ HELD = 100_000
 #: Longest prefix of a key that the directory looks at: it never exceeds 2**DEPTH rows.  Above 2**(DEPTH-1) buckets'
 #: worth of bytes the buckets' capacity grows with the input instead (from 4 TB of distinct texts at 16 MB a bucket).
 DEPTH = 18
-#: Owner tasks at most; an owner takes at least OWNED bytes of neighbouring buckets.
+#: Owner tasks at most, and bytes of neighbouring buckets that an owner takes, fewer where there are few bytes in all.
 OWNERS, OWNED = 50_000, 64 << 20
 #: Texts with more rows than 1 / HEAVY of all are joined by broadcast: there are fewer than HEAVY of them.
 HEAVY = 4096
@@ -136,9 +136,11 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
 
 
-def owners(buckets: dict[int, int], most: int = OWNERS, least: int = OWNED) -> dict[int, int]:
-    """The owner of each bucket: runs of neighbouring buckets of about equal bytes, ``buckets``: bytes by first slot."""
-    each, out, at = max(least, -(-sum(buckets.values()) // most)), {}, 0
+def owners(buckets: dict[int, int], tasks: int, most: int = OWNERS, each: int = OWNED) -> dict[int, int]:
+    """The owner of each bucket: runs of neighbouring buckets of about equal bytes, for ``tasks`` owners at least where
+    there are as many buckets; ``buckets``: bytes by first slot."""
+    total = sum(buckets.values())
+    each, out, at = max(1, -(-total // most), min(each, total // max(1, tasks))), {}, 0
     for bucket in sorted(buckets):
         out[bucket] = at // each
         at += buckets[bucket]
@@ -158,7 +160,8 @@ def exact_dedup(docs: DataFrame, capacity: int = 16 << 20) -> DataFrame:
     entries = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_entries, ENTRY), "entries")
     index = entries.where("kind > 0").select("kind", "row", "doc_id", "n_cp", "key", "sha", "body", "n")
     total, n = entries.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)), F.count_if(F.col("kind") == 0)).first()
-    capacity = max(capacity, int(total) >> (DEPTH - 1))
+    # at least two buckets for each task, however few bytes there are
+    capacity = max(min(capacity, int(total) // (2 * partitions(spark)) + 1), int(total) >> (DEPTH - 1))
     depth = min(DEPTH, max(2, int(total // capacity).bit_length() + 2))
     prefix = lambda bits: F.shiftrightunsigned(F.col("key"), 64 - bits).cast("long") if bits else F.lit(0).cast("long")
     counted = entries.where("kind = 2").groupBy(prefix(depth).alias("p")).agg(F.sum(F.length("body") + 64).alias("b")).toArrow()  # at most 2**depth rows
@@ -168,7 +171,7 @@ def exact_dedup(docs: DataFrame, capacity: int = 16 << 20) -> DataFrame:
     held = dict.fromkeys((b for _, b in slots), 0)
     for p, size in histogram.items():
         held[slots[p >> (depth - world)][1]] += size
-    owner = owners(held)
+    owner = owners(held, 2 * partitions(spark))
     table = spark.createDataFrame(pa.table([pa.array([s for s, _ in slots], pa.int64()), pa.array([owner[b] for _, b in slots], pa.int64())], names=["entry", "owner"]))
     owned = index.join(F.broadcast(table), prefix(world) == F.col("entry")).drop("entry")  # at most 2**DEPTH rows of two numbers
     owned = owned.repartition(max(partitions(spark), 1 + max(owner.values())), "owner").sortWithinPartitions("key", F.desc("kind"))
