@@ -126,16 +126,17 @@ def _dtype(pad: int) -> type:
 
 
 def _cutter(size: int, pad: int):
-    """Documents to full rows, which are done (group -1 - task), and rests, rows of one piece without padding (group 0)."""
-    dtype, at = _dtype(pad), 0
+    """Documents to full rows, which are done (group -1 - task), and rests, rows of one piece without padding (group 0,
+    ``pack`` their place)."""
+    dtype, at, place = _dtype(pad), 0, 0
 
     def cut(doc_ids: list, encoded: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        nonlocal at
+        nonlocal at, place
         own, rows = -1 - TaskContext.get().partitionId(), []
         for doc_id, ids in zip(doc_ids, encoded, strict=True):
             if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
                 raise OverflowError(f"an id of {int(ids.max())} doesn't fit {np.dtype(dtype).name}; a pad of 65,536 or more takes uint32")
-            ids = ids.astype(dtype)
+            ids, place = ids.astype(dtype), place + 1
             full = len(ids) // size
             for k in range(full):
                 rows.append(_row(own, at, [(doc_id, k, k * size, ids[k * size : (k + 1) * size])], size, pad, dtype))
@@ -145,7 +146,7 @@ def _cutter(size: int, pad: int):
                     rows = []
             if len(ids) % size:
                 rest = ids[full * size :]
-                rows.append((0, 0, [doc_id], [full], [full * size], [0, len(rest)], [0], len(rest), rest.tobytes()))
+                rows.append((0, (TaskContext.get().partitionId() << 40) + place, [doc_id], [full], [full * size], [0, len(rest)], [0], len(rest), rest.tobytes()))
         if rows:
             yield _out(rows)
 
@@ -167,7 +168,7 @@ def _packed(parts: DataFrame, size: int, pad: int, group_tokens: int) -> DataFra
         group = key[0].as_py()
         return pa.Table.from_batches([_out([_row(group, n, [(docs[i][0], pieces[i][0], starts[i][0], ids[i]) for i in row], size, pad, dtype) for n, row in enumerate(rows)])])
 
-    salt = F.xxhash64(F.col("doc_ids")[0], "n_tokens", "ids")  # repeated ids spread by their texts
+    salt = F.xxhash64(F.col("doc_ids")[0], "pack")  # by id and place, so that equal rows spread like others
     rest = parts.where("pack_group = 0").withColumn("first", F.col("doc_ids")[0]).withColumn("pack_group", F.pmod(salt, F.lit(groups)))
     return parts.where("pack_group < 0").unionByName(rest.groupBy("pack_group").applyInArrow(fill, PACKED))
 
