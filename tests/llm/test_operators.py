@@ -114,7 +114,7 @@ def test_lm_shards_answer_exactly_or_by_their_own_filter():
     counts = r.integers(1, 40, len(h)).astype(np.uint32)
     counts[::2] = 0
     for kind in lm_scoring.KINDS:
-        rows = lm_scoring._table([(kind, 5, 3, bpe.pack(h.view(np.int64), counts)), (kind, None, 3, bpe.pack(h[:10].view(np.int64), counts[:10]))])
+        rows = lm_scoring._table([(kind, 5, 3, bpe.pack(lm_scoring.gaps(h), counts)), (kind, None, 3, bpe.pack(lm_scoring.gaps(h[:10]), counts[:10]))])
         sums, own = lm_scoring._answer(lm_scoring.pa.Table.from_batches([rows])).to_pylist()
         true = counts.astype(int)
         true[:10] *= 2
