@@ -75,8 +75,15 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 1
 
 
-#: Longer n-grams go by 56 bits: of 10**12, one in 70,000 shares its name, where one in a hundred is found falsely anyway.
-_NAME = U64(0xFFFFFFFFFFFFFF00)
+#: Bits that tell the longer n-grams of a shard apart.  A shard holds a few million, so one lookup in some ten thousand
+#: meets another's name, at every size, where one in a hundred is found falsely by the filter.
+NAME_BITS = 36
+
+
+def name_mask(shards: int) -> np.uint64:
+    """The leading bits of a hash: those that say its shard, and ``NAME_BITS`` more."""
+    drop = max(0, 64 - NAME_BITS - (shards - 1).bit_length())
+    return U64((1 << 64) - (1 << drop))
 
 
 def gaps(h: np.ndarray) -> np.ndarray:
@@ -93,7 +100,7 @@ def longer(grams: np.ndarray, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     before = np.empty_like(h)
     before[1:] = grams[:-1]
     before[np.cumsum(counts) - counts] = START_TOKEN
-    return mix64(before * U64(0x9E3779B97F4A7C15) + h) & _NAME
+    return mix64(before * U64(0x9E3779B97F4A7C15) + h)
 
 
 def _held_out(doc_id: object) -> bool:
@@ -185,6 +192,8 @@ def _chunk_name(ids: list, texts: list[bytes]) -> int:
 def _ask(shards: int, learns: bool, asks: bool):
     """A chunk's distinct n-grams of each shard with their training counts.  Texts' starts count as a token of their own."""
 
+    mask = name_mask(shards)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in chunks(batches, ["doc_id", "text"], limit=CHUNK):
             held = np.array([_held_out(i) for i in ids], dtype=bool)
@@ -199,8 +208,9 @@ def _ask(shards: int, learns: bool, asks: bool):
             grams = h
             for kind in KINDS:
                 grams = longer(grams, h, n) if kind else h
-                order = np.argsort(grams, kind="stable")
-                u = grams[order]
+                named = grams & mask if kind else grams
+                order = np.argsort(named, kind="stable")
+                u = named[order]
                 first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
                 learnt, u = np.add.reduceat(counted[order].astype(np.uint32), first, dtype=np.uint32), u[first]
                 if kind == UNIGRAM:
@@ -244,7 +254,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table(out, 7)])
 
 
-def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, levels_of: list[np.ndarray], total: int, distinct: int, rates: list[float], mass: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, levels_of: list[np.ndarray], total: int, distinct: int, rates: list[float], mass: tuple[float, float], mask: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text: log10 probability of its tokens, sum of log10(c + 0.1), known tokens.
 
     ``uni``: counts of the sorted distinct words with the start; ``levels_of``: levels of the sorted distinct bigrams and
@@ -259,13 +269,13 @@ def log10(h: np.ndarray, counts: np.ndarray, uni: np.ndarray, levels_of: list[np
         history[1:] = ends[:-1]
         history[begin] = start
         grams = longer(grams, h, counts)
-        _, at = np.unique(grams, return_inverse=True)
+        _, at = np.unique(grams & mask, return_inverse=True)
         ends, true = np.minimum(table[level][at], np.minimum(ends, history)), 1 - rate
         p = (true * ends + m * p) / (true * history + m)
     return np.add.reduceat(np.log10(p), begin), np.add.reduceat(np.log10(c + 0.1), begin), np.add.reduceat(c > 0, begin, dtype=np.int64)
 
 
-def _finish(total: int, distinct: int, rates: list[float], mass: tuple[float, float]):
+def _finish(total: int, distinct: int, rates: list[float], mass: tuple[float, float], mask: np.uint64):
     def run(table: pa.Table) -> pa.Table:
         """Chunks of equal ids and texts have one name; each takes the answers of the first."""
         rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True))
@@ -277,7 +287,7 @@ def _finish(total: int, distinct: int, rates: list[float], mass: tuple[float, fl
         for docs, null, lengths, texts in map(unpack, own):
             ends = np.cumsum(lengths)
             h, n = tokens([texts[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
-            scores, base, known = log10(h, n, uni, more, total, distinct, rates, mass)
+            scores, base, known = log10(h, n, uni, more, total, distinct, rates, mass, mask)
             ids = [None if x else i for i, x in zip(docs.tolist(), null.tolist(), strict=True)]
             cols = [pa.array(ids, pa.int64()), pa.array([_held_out(i) for i in ids], pa.bool_()), pa.array(n), pa.array(known), pa.array(np.full(len(n), total, np.int64)), pa.array(base - n * norm), pa.array(scores)]
             out.append(pa.table(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
@@ -316,7 +326,7 @@ def score(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     rates = [(sums[k].rate or 0.0) if sums else 0.0 for k in (BIGRAM, TRIGRAM)]
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     met = docs.mapInArrow(_texts, BLOCK).unionByName(answers.where("chunk is not null").select("kind", "chunk", "shard", "data"))
-    return met.groupBy("chunk").applyInArrow(_finish(total, distinct, rates, model.mass), out)
+    return met.groupBy("chunk").applyInArrow(_finish(total, distinct, rates, model.mass, name_mask(shards)), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

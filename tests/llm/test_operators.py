@@ -163,7 +163,7 @@ def test_lm_scores_are_the_smoothed_counts(docs, spark):
         expect = sorted((d is None, d or 0, len(words(t)) + 1, total, brute(t)) for d, t in rows_of(asked))
         assert [g[:4] for g in got] == [e[:4] for e in expect]
         near = [abs(g[4] - e[4]) < 0.02 * abs(e[4]) for g, e in zip(got, expect)]
-        assert sum(near) > 0.9 * len(near)
+        assert sum(near) > 0.85 * len(near)
 
 
 def brute_near(rows):
