@@ -153,7 +153,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _segment(texts: list[bytes], space: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment(texts: list[bytes], space: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """Hashes and counts of the words, the joined texts, and each word's start and end in them."""
     buf = b"\n".join(texts) + b"\n"
     arr = np.frombuffer(buf, dtype=np.uint8)
     sp = np.empty(len(arr) + 1, dtype=bool)
@@ -167,7 +168,7 @@ def _segment(texts: list[bytes], space: np.ndarray, value: np.ndarray) -> tuple[
     np.cumsum(value[arr] * power[: len(arr)], out=total[1:])
     hashes = mix64((total[ends] - total[starts]) * inverse[starts])
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-    return hashes, np.bincount(np.searchsorted(np.cumsum(lengths), starts, side="right"), minlength=len(texts))
+    return hashes, np.bincount(np.searchsorted(np.cumsum(lengths), starts, side="right"), minlength=len(texts)), buf, starts, ends
 
 
 def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +182,7 @@ def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarra
         held.append(t)
         size += len(t) + 1
         if size >= SEGMENT_BYTES or i == len(texts) - 1:
-            h, c = _segment(held, space, value)
+            h, c, *_ = _segment(held, space, value)
             hashes.append(h)
             counts.append(c)
             held, size = [], 0
@@ -190,6 +191,44 @@ def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarra
     return np.concatenate(hashes), np.concatenate(counts)
 
 
+def outside(*ranges: tuple[int, int]) -> np.ndarray:
+    """Table of separators: the bytes in the given ranges, ends included."""
+    out = np.zeros(256, dtype=bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+def distinct_words(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarray = _VALUE) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(index of every word of all texts in ``words``, ``words``: the distinct ones as first written, words of each
+    text, the distinct ones' hashes in order)."""
+    parts, held, size = [], [], 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        size += len(t) + 1
+        if size >= SEGMENT_BYTES or i == len(texts) - 1:
+            parts.append(_segment(held, space, value))
+            held, size = [], 0
+    if not parts:
+        return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, U64)
+    every = np.concatenate([p[0] for p in parts])
+    order = np.argsort(every, kind="stable")
+    ranked = every[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(every)]
+    index = np.empty(len(every), dtype=np.int64)
+    index[order] = np.cumsum(new) - 1
+    first = order[new]
+    words: list[bytes] = [b""] * len(first)
+    by, offset = np.argsort(first, kind="stable"), np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
+    at = np.searchsorted(first[by], offset)
+    for k, (_, _, buf, starts, ends) in enumerate(parts):
+        mine = by[at[k] : at[k + 1]]
+        where = first[mine] - offset[k]
+        for w, s, e in zip(mine.tolist(), starts[where].tolist(), ends[where].tolist(), strict=True):
+            words[w] = buf[s:e]
+    return index, words, np.concatenate([p[1] for p in parts]), ranked[new]
+
+
 def splits(sorted_hashes: np.ndarray, shards: int) -> np.ndarray:
     """Positions that cut sorted uint64 values into ``shards`` equal ranges of the 64-bit space."""
     step = (1 << 64) // shards

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
+from . import bpe, divergence, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.query,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
+    "op12_divergence": divergence.query,
 }
-ORACLES = {"op2_near_dedup": near_dedup.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE}
+ORACLES = {"op2_near_dedup": near_dedup.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE, "op12_divergence": divergence.ORACLE}
