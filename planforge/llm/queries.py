@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, exact_dedup, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
+from . import bpe, divergence, exact_dedup, impact_search, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.query,
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
     "op12_divergence": divergence.query,
+    "op13_impact_search": impact_search.query,
 }
-ORACLES = {"op2_near_dedup": near_dedup.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE, "op12_divergence": divergence.ORACLE}
+ORACLES = {"op2_near_dedup": near_dedup.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op6_topk_search": topk_search.ORACLE, "op9_url_filter": url_filter.ORACLE, "op12_divergence": divergence.ORACLE, "op13_impact_search": impact_search.ORACLE}
