@@ -128,14 +128,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _byte_values() -> np.ndarray:
-    """A random odd 64-bit value for each byte; A-Z share those of a-z."""
+def _byte_values(lower: bool) -> np.ndarray:
+    """A random odd 64-bit value for each byte; with ``lower``, A-Z share those of a-z."""
     v = mix64(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
-    v[65:91] = v[97:123]
+    if lower:
+        v[65:91] = v[97:123]
     return v
 
 
-_VALUE = _byte_values()
+_VALUE = _byte_values(True)
+#: Values for words that are told apart by case.
+AS_WRITTEN = _byte_values(False)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _P = 0x9E3779B97F4A7C15 | 1

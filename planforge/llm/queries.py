@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, exact_dedup, impact_search, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
+from . import bpe, divergence, exact_dedup, histogram_packing, impact_search, lm_scoring, mixing, near_dedup, packing, pii, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
+    "op11_histogram_packing": histogram_packing.query,
     "op12_divergence": divergence.query,
     "op13_impact_search": impact_search.query,
 }
