@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, Scratch, chunks, distinct_words, outside, partitions, shards_for
+from .common import CHUNK_BYTES, Scratch, chunks, distinct_words, outside, shards_for
 
 #: Documents of a language that must hold a term.
 LEAST_DOCS = 10
 #: Terms reported for each group.
 TOP = 10
 #: Bytes of input for each shard that counts, and kept counts for each shard that compares: what fits in a task.
-SHARD, ROWS = 32 << 20, 1 << 20
+SHARD, ROWS = 32 << 20, 1 << 18
 #: What separates terms: ASCII without letters.
 SEPARATORS = outside((0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -41,8 +41,9 @@ WITH c AS (SELECT lang, source, term, sum(n)::BIGINT AS n, sum(docs)::BIGINT AS
 k AS (SELECT lang, term FROM c GROUP BY ALL HAVING sum(docs) >= {least})
 SELECT lang, source, term, n, docs FROM c SEMI JOIN k USING (lang, term)
 """
-#: p of a count: rows of totals are (lang, source, total, terms), the language's own with a null source.
-_P = "(1 + (1000000000::HUGEINT * ({n} + 2)) // ({t}.total + 2 * {t}.terms))::BIGINT"
+#: p of a count: rows of totals are (lang, source, total, terms), the language's own with a null source; languages without
+#: kept terms have no counts.
+_P = "(1 + (1000000000::HUGEINT * ({n} + 2)) // greatest({t}.total + 2 * {t}.terms, 1))::BIGINT"
 _F = "((({a} - {b})::HUGEINT * ({a} - {b})) // ({a} + {b}))::BIGINT"
 SHARD_SQL = f"""
 WITH t AS (SELECT *, {_P.format(n=0, t="totals")} AS zero FROM totals),
@@ -123,7 +124,7 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> Data
     docs = docs.select(*named)
     counted = docs.mapInArrow(_terms, COUNTS).repartition(shards, "lang", "term")
     kept = scratch.table(counted.mapInArrow(_kept(least), COUNTS), "kept")
-    shards = max(partitions(spark), -(-kept.count() // ROWS))
+    shards = max(16, -(-kept.count() // ROWS))  # each gives a row for every pair of sources, so no more than needed
     own = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     terms = kept.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("terms"))
     groups = docs.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(terms, "lang", "left").na.fill(0, ["total", "terms"])
