@@ -4,7 +4,7 @@ Documents become ids, each followed by an end id; those longer than a sequence a
 Packing works on the histogram of the pieces' lengths alone, which has as many entries as a sequence has ids: lengths
 are placed longest first, all pieces of a length together, into the packs with the most space left; packs of equal
 content are one pattern with a count, and a pattern is split where a length runs out.  Each step uses up a length or a
-pattern, so patterns stay a small multiple of the lengths.
+pattern, so patterns stay a small multiple of the lengths.  The result is that of placing piece by piece.
 
 The plan says which ranks of a length go to which sequences.  Pieces are ranked within their length over the whole
 table without meeting in one task: by hash into buckets, ranks within a bucket after those of the buckets before it.
@@ -91,18 +91,21 @@ def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[tupl
         while left:
             while most and not by_space[most]:
                 most -= 1
-            if most < length:
-                space, count, pattern = size, left, ()
-            else:
-                space = most
-                count, pattern = by_space[space].pop()
-                if count > left:
-                    by_space[space].append((count - left, pattern))
-                    count = left
+            if most < length:  # new packs: the emptiest is the one just opened until it is full
+                full, rest = divmod(left, size // length)
+                for count, times in ((full, size // length), (min(rest, 1), rest)):
+                    if count:
+                        by_space[size - times * length].append((count, ((length, times),)))
+                        most = max(most, size - times * length)
+                break
+            space = most
+            count, pattern = by_space[space].pop()
+            if count > left:
+                by_space[space].append((count - left, pattern))
+                count = left
             times = pattern[-1][1] if pattern and pattern[-1][0] == length else 0
             by_space[space - length].append((count, (*(pattern[:-1] if times else pattern), (length, times + 1))))
             left -= count
-            most = max(most, space - length)
     return [x for packs in by_space for x in packs]
 
 

@@ -4,8 +4,8 @@ One pass over the documents keeps, for the terms that the queries ask for, each
 counts what the weights need (documents, terms, documents of each term).  A second pass builds impact-ordered indexes of
 blocks of documents: a term's postings are grouped by their exact impact.  A query takes the groups of all its terms by
 falling contribution (weight times impact) and adds them to its accumulators.  After each step every term's next group
-bounds what a document may still get from it; the query stops once no document outside the k best can reach the k-th,
-and the scores of those k are then completed from their own lists.  Each block gives its k best, which Spark merges.
+bounds what a document may still get from it; the query stops only once the bounds prove that the k best are among a few
+documents, whose scores are then completed from their own lists.  Each block gives its k best, which Spark merges.
 
 Blocks are runs of documents in the order in which they are stored: nothing is dealt by a key, so no term, document or
 group of copies makes a large task.  Queries are taken in groups of a bounded number of terms; each group reads the
@@ -31,6 +31,8 @@ TOP = 10
 QUERY_TERMS = 1 << 18
 #: Postings of a block, for which all queries of a group run in one task.
 POSTINGS = 3 << 20
+#: Documents, as a multiple of k, that may still qualify when a query stops; their scores are completed.
+OPEN = 5
 #: Terms times documents up to which a block notes what a document has got; a longer query has wider bounds, and may read
 #: more of its postings.
 SEEN = 64 << 20
@@ -112,9 +114,10 @@ class Index:
         self.group_impact, self.group_first = i[new], np.append(new, len(t))
         self.of = np.searchsorted(t[new], np.arange(n_terms + 1))
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, dense: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    def search(self, terms: np.ndarray, weights: np.ndarray, dense: np.ndarray, k: int, floor: int = 0) -> tuple[np.ndarray, np.ndarray, int, int]:
         """(documents, scores, postings read, postings): the ``k`` best documents with a score above 0, by falling
-        score, then id.  ``dense``: zeros for each term, returned as such."""
+        score, then id.  ``dense``: zeros for each term, returned as such.  Documents below ``floor``, what the k-th best
+        elsewhere has, may be left out."""
         counts = self.of[terms + 1] - self.of[terms]
         group = np.repeat(self.of[terms] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
         own = np.repeat(np.arange(len(terms)), counts)
@@ -142,13 +145,13 @@ class Index:
             ahead, first = np.unique(own[at:], return_index=True)  # a term's next group is its largest left
             rest = np.zeros(len(terms), np.int64)
             rest[ahead] = gain[at:][first]
-            kth = np.partition(acc, len(acc) - k)[len(acc) - k]
+            kth = max(np.partition(acc, len(acc) - k)[len(acc) - k], floor)
             if kth <= rest.sum() and not acc.all():  # a document without any term so far
                 continue
             reach = np.flatnonzero(acc + int(rest.sum()) >= kth)
             if tight:
                 reach = reach[acc[reach] + rest @ ~seen[:, reach] >= kth]
-            if len(reach) == k:
+            if len(reach) <= OPEN * k:
                 best, exact = reach, False
                 break
         if exact:
@@ -166,12 +169,15 @@ class Index:
 
 
 def _search(queries: Queries, k: int):
+    best: list[list[int]] = [[] for _ in queries.items]  # of the task's blocks so far
+
     def block(data: list[bytes]) -> pa.RecordBatch:
         index, dense = Index(data, queries.n_docs, queries.total, queries.n_terms), np.zeros(queries.n_terms, np.int64)
         rows: list[list] = [[] for _ in range(5)]
         for q, item in enumerate(queries.items):
             a, b = queries.first[q], queries.first[q + 1]
-            docs, scores, read, every = index.search(queries.term[a:b], queries.weight[a:b], dense, k)
+            docs, scores, read, every = index.search(queries.term[a:b], queries.weight[a:b], dense, k, best[q][-1] if len(best[q]) == k else 0)
+            best[q] = sorted([*best[q], *scores.tolist()], reverse=True)[:k]
             ids = [None if x else i for i, x in zip(index.ids[docs].tolist(), index.null[docs].tolist(), strict=True)]
             for c, x in zip(rows, ([item] * len(ids), ids, scores.tolist(), [read] * len(ids), [every] * len(ids)), strict=True):
                 c += x
