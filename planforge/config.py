@@ -72,6 +72,19 @@ GOAL_HINTS = ("课程目标", "教学目标", "思政目标", "课程思政目
 ARRANGEMENT_HINTS = ("教学安排", "课程安排", "授课安排", "教学进度", "课程思政", "思政元素", "思政元素融入")
 # --- fixed values: texts that metrics look for, and words of warnings' reasons ---
 MATCH_FAILURES = {"ambiguous": "文件路径或课程名称匹配到多条课程库记录，需人工复核", "not_found": "无法定位课程库记录"}
+# --- fixed values: what is said of a match, {name} and {query} filled in ---
+MATCHED = {
+    ("code", False): "通过课程编号匹配到课程库课程：{name}", ("document_name", False): "通过 PDF 中的课程名称匹配到课程库课程：{name}", ("file_name", False): "通过文件路径匹配到课程库课程：{name}",
+    ("code", True): "本轮审核中存在多个 PDF 填写同一课程编号，未能通过课程名称或文件名唯一定位其它课程，已按原课程编号定位审核对照课程：{name}",
+    ("document_name", True): "本轮审核中存在多个 PDF 填写同一课程编号，已根据 PDF 中的课程名称定位审核对照课程：{name}",
+    ("file_name", True): "本轮审核中存在多个 PDF 填写同一课程编号，已根据文件名定位审核对照课程：{name}",
+}
+SHARED_CODE = {
+    True: "本轮审核中存在多个 PDF 填写同一课程编号，已启用课程名称和文件名辅助定位审核对照课程。",
+    False: "本轮审核中存在多个 PDF 填写同一课程编号，但未能通过课程名称或文件名唯一定位其它课程，已按原课程编号进行审核。",
+}
+AMBIGUOUS_NAME = "课程名称“{query}”匹配到多条课程库记录，需人工复核"
+UNMATCHED = {"code": "课程编号为空，已尝试通过课程名称和文件路径匹配课程库", "document_name": "PDF 中的课程名称未能唯一匹配课程库：{query}", "file_name": "文件路径中的课程名称未能唯一匹配课程库：{query}", "none": "无法从 PDF 或文件路径中取得可用于匹配课程库的信息"}
 MISSING_WORDS = ("为空", "字段缺失", "缺失")
 REVIEW_WORDS = ("需人工复核", "无法定位课程库记录")
 MODEL_FAILURES = ("parse_error", "no_llm", "empty_response")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import columns as C
+from ..functions import places as L
 from ..functions import text as T
 from ..functions.weeks import schedule_weeks
 from . import relational as R
@@ -38,13 +39,13 @@ def _lit(x: Column | str | None) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def finding(section: Column | str, name: Column | str, path: Column | str, status: Column | str, message: Column | str, expected: Column | None = None, actual: Column | None = None, evidence: Column | None = None, suggestion: str = "") -> Column:
-    """The reason is the message of what is not passed."""
+def finding(section: Column | str, name: Column | str, path: Column | str, status: Column | str, message: Column | str, expected: Column | None = None, actual: Column | None = None, evidence: Column | None = None, suggestion: Column | str = "", reason: Column | None = None) -> Column:
+    """The reason of what is not passed is the message, unless it is given."""
     status, message, none = _lit(status), _lit(message), F.lit(None).cast("string")
     return F.struct(
-        _lit(section).alias("section"), _lit(name).alias("field"), _lit(path).alias("path"), status.alias("status"), F.when(status == "pass", "").otherwise(message).alias("reason"), message.alias("message"),
+        _lit(section).alias("section"), _lit(name).alias("field"), _lit(path).alias("path"), status.alias("status"), F.when(status == "pass", "").otherwise(message if reason is None else reason).alias("reason"), message.alias("message"),
         (none if expected is None else expected.cast("string")).alias("expected"), (none if actual is None else actual.cast("string")).alias("actual"), (none if evidence is None else evidence).alias("evidence"),
-        F.when(status == "pass", "").otherwise(F.lit(suggestion)).alias("suggestion"),
+        F.when(status == "pass", "").otherwise(_lit(suggestion)).alias("suggestion"),
     ).cast(FINDING)
 
 
@@ -62,7 +63,7 @@ def presence(x: Column) -> Column:
     """Finding of x (section, field, path, label, value): fails where the value is blank."""
     blank = C.is_blank(x["value"])
     message = F.when(blank, F.concat(x["label"], F.lit("为空"))).otherwise(F.concat(x["label"], F.lit("已填写。")))
-    return finding(x["section"], x["field"], x["path"], F.when(blank, "fail").otherwise("pass"), message, actual=x["value"], suggestion="检查 PDF 中该字段是否填写，或调整抽取模板。")
+    return finding(x["section"], x["field"], x["path"], F.when(blank, "fail").otherwise("pass"), message, actual=x["value"], suggestion=F.concat(F.lit("检查 PDF 中"), x["label"], F.lit("是否填写，或调整抽取模板。")))
 
 
 def _field(section: str, name: str, path: Column | str, label: str, value: Column) -> dict[str, Column | str]:
@@ -79,7 +80,7 @@ def compared(x: Column) -> Column:
         .when(b == "", text("课程库中", label, "为空")).when(equal, text(label, "与课程库一致。")).otherwise(text(label, "与课程库不一致：课程库为 ", b, "，PDF 为 ", a))
     )
     status = F.when(matched & (a != "") & (b != "") & equal, "pass").otherwise("fail")
-    return finding("jcxx", x["own"], F.concat(F.lit("payload.jcxx."), x["own"]), status, message, expected=b, actual=a, evidence=F.to_json(F.struct(x["other"].alias("course_field"))), suggestion="请核对 PDF 和课程库中的该字段。")
+    return finding("jcxx", x["own"], F.concat(F.lit("payload.jcxx."), x["own"]), status, message, expected=b, actual=a, evidence=F.to_json(F.struct(x["other"].alias("course_field"))), suggestion=F.when(~matched, "先确认该 PDF 对应的课程库记录。").otherwise(F.concat(F.lit("请核对 PDF 和课程库中的"), label, F.lit("。"))))
 
 
 def comparisons() -> Column:
@@ -104,7 +105,8 @@ def hours_formula() -> Column:
     product = n["zxs"] * n["skzs"]
     counts = n["zxs"].isNotNull() & n["skzs"].isNotNull() & n["zongxs"].isNotNull()
     parts = F.concat(F.lit("总学时为 "), text["zongxs"], F.lit("，周学时 "), text["zxs"], F.lit(" × 上课周数 "), text["skzs"])
-    message = F.when(~counts, F.concat(F.lit("总学时、周学时或上课周数不是可计算数字："), parts)).when(product == n["zongxs"], "总学时等于周学时乘以上课周数。").otherwise(F.concat(F.lit("总学时不等于周学时乘以上课周数："), parts, F.lit(" = "), C.number_text(product)))
+    unread = F.concat(F.lit("总学时、周学时或上课周数不是可计算数字：总学时为 "), text["zongxs"], F.lit("，周学时为 "), text["zxs"], F.lit("，上课周数为 "), text["skzs"])
+    message = F.when(~counts, unread).when(product == n["zongxs"], "总学时等于周学时乘以上课周数。").otherwise(F.concat(F.lit("总学时不等于周学时乘以上课周数："), parts, F.lit(" = "), C.number_text(product)))
     status = F.when(counts & (product == n["zongxs"]), "pass").otherwise("fail")
     filled = (text["zxs"] != "") & (text["skzs"] != "") & (text["zongxs"] != "")
     return F.when(filled, finding("jcxx", "zongxs", "payload.jcxx.zongxs", status, message, expected=C.number_text(product), actual=text["zongxs"], suggestion="请核对 PDF 中总学时、周学时和上课周数是否一致。"))
@@ -123,9 +125,10 @@ def required() -> Column:
     single = [_field("payload", k, f"payload.{k}", label, P[k]) for k, label in config.TOP_LEVEL.items()]
     single += [_field("kcmb", k, f"payload.kcmb.{k}", label, P["kcmb"][k]) for k, label in config.GOALS.items()]
     single += [_field(s, "tm", f"payload.{s}.tm", label, F.when(F.size(P[s]["tm"]) > 0, F.to_json(P[s]["tm"]))) for s, label in config.TABLE_ITEMS.items()]
-    single.append(_field("kcyq", "content", "payload.kcyq", "课程要求", P["kcyq"]))
+    blank = C.is_blank(P["kcyq"])
+    asked = finding("kcyq", "content", "payload.kcyq", F.when(blank, "fail").otherwise("pass"), F.when(blank, "课程要求为空，未抽取到文本。").otherwise("课程要求已填写。"), actual=P["kcyq"], suggestion="补充课程要求，或检查 PDF 模板中课程要求章节是否可识别。", reason=F.lit("课程要求为空"))
     rows = [F.flatten(F.coalesce(F.transform(P[s]["tm"], _row_cells(s, fields)), F.array().cast(f"array<array<{FINDING}>>"))) for s, fields in config.ROW_REQUIRED.items()]
-    return F.concat(each(single, presence), *rows)
+    return F.concat(each(single, presence), F.array(asked), *rows)
 
 
 def _row_cells(section: str, fields: dict[str, str]):
@@ -182,30 +185,33 @@ def sources() -> Column:
     return F.filter(every, lambda s: s["text"] != "")
 
 
-def semantic_number(value: Column, hints: tuple[str, ...], words: tuple[str, ...]) -> Column:
-    """struct(source, source_path, raw_value, number, ambiguous): the payload's integer, else the first number after a
-    keyword near a section hint (80 characters before it to 800 after), else, as ambiguous, one in a source's first 500."""
-    own, word = C.first_integer(value), "|".join(rf"\Q{w}\E" for w in words)
-    number = rf"(?U)(?:{word})\s*[:：]?\s*(\d+)"
-    tail = rf"(?s)(?U)(?:{'|'.join(rf'{chr(92)}Q{h}{chr(92)}E' for h in hints)}).{{0,800}}?{number}"
-    head = rf"(?s)(?U){number}.{{0,80}}?(?:{'|'.join(rf'{chr(92)}Q{h}{chr(92)}E' for h in hints)})"
-    def found(source: Column, pattern: str, ambiguous: bool, text: Column) -> Column:
-        n = F.regexp_extract(text, pattern, 1)
-        return F.when(n != "", F.struct(F.lit("meta").alias("source"), source["source_path"].alias("source_path"), F.regexp_extract(text, number, 0).alias("raw_value"), n.try_cast("int").alias("number"), F.lit(ambiguous).alias("ambiguous"), text.rlike("课程学时安排|周学时|上课周数").alias("basics")))
-    texts = F.col("_sources")
-    near = F.try_element_at(F.array_compact(F.transform(texts, lambda s: F.coalesce(found(s, tail, False, s["text"]), found(s, head, False, s["text"])))), F.lit(1))
-    loose = F.try_element_at(F.array_compact(F.transform(texts, lambda s: found(s, number, True, F.substring(s["text"], 1, 500)))), F.lit(1))
-    kind = "struct<source:string,source_path:string,raw_value:string,number:int,ambiguous:boolean,basics:boolean>"
-    payload = F.struct(F.lit("payload").alias("source"), F.lit("").alias("source_path"), C.exact(value).alias("raw_value"), own.alias("number"), F.lit(False).alias("ambiguous"), F.lit(False).alias("basics")).cast(kind)
-    unsure = F.when(loose.isNotNull(), F.struct(F.lit("payload").alias("source"), loose["source_path"].alias("source_path"), loose["raw_value"].alias("raw_value"), F.lit(None).cast("int").alias("number"), F.lit(True).alias("ambiguous"), loose["basics"].alias("basics")).cast(kind))
-    return F.when(own.isNotNull(), payload).otherwise(F.coalesce(near.cast(kind), unsure, payload))
+NUMBER = "struct<source:string,source_path:string,section_hint:string,raw_value:string,number:int,ambiguous:boolean,snippet:string>"
+
+
+def semantic_numbers(asked: list[tuple[Column, Column, tuple[str, ...]]], sources: Column) -> Column:
+    """R7, for each (payload's value, text around a section's hints, keywords): the payload's integer, else the first number
+    behind a keyword near a hint, else, as ambiguous, behind one in a source's first 500 characters.
+
+    Snippets go by source, hint and place; in a snippet the first keyword that has a number counts.
+    """
+    head = lambda s: F.struct(s["source_path"].alias("source_path"), F.lit("").alias("section_hint"), F.substring(s["text"], 1, 500).alias("snippet"), F.filter(s["places"], lambda p: p["at"] < 500).alias("places"))
+
+    def one(x: Column) -> Column:
+        own, probe = C.first_integer(x["value"]), lambda s: L.numbered(s, x["words"])
+        payload = F.struct(F.lit("payload").alias("source"), F.lit(""), F.lit(""), C.exact(x["value"]), own, F.lit(False), F.lit("")).cast(NUMBER)
+        told = lambda y, unsure: F.when(y.isNotNull(), F.struct(F.lit("payload" if unsure else "meta").alias("source"), y["source_path"], y["section_hint"], y["raw_value"], (F.lit(None).cast("int") if unsure else C.first_integer(y["raw_value"])).alias("number"), F.lit(unsure).alias("ambiguous"), y["snippet"]).cast(NUMBER))
+        near = let(L.first_found(x["near"], probe), lambda y: told(y, False))
+        loose = let(L.first_found(F.transform(sources, head), probe), lambda y: told(y, True))
+        return F.when(own.isNotNull(), payload).otherwise(F.coalesce(near, loose, payload))
+
+    return F.transform(F.array(*[F.struct(v.cast("string").alias("value"), n.alias("near"), L.words(w).alias("words")) for v, n, w in asked]), one)
 
 
 def _unsure(label: str, x: Column) -> Column:
     """Why a total found without a section around it is not taken."""
     quoted = F.concat(F.lit(f"{label}为空；原文中的“"), F.coalesce(F.nullif(x["raw_value"], F.lit("")), F.lit("总学时")), F.lit("”"))
     of_basics = "属于课程学时安排或基础信息，不是教学内容课时总计，因此不能判定学时匹配。" if label.startswith("教学内容") else "属于课程学时安排或基础信息，不能确认该字段已填写。"
-    return F.when(x["ambiguous"], F.concat(quoted, F.when(x["basics"], of_basics).otherwise(f"没有明确归属，不能确认是{label}。")))
+    return F.when(x["ambiguous"], F.concat(quoted, F.when(x["snippet"].rlike("课程学时安排|周学时|上课周数"), of_basics).otherwise(f"没有明确归属，不能确认是{label}。")))
 
 
 def _absent(label: str, x: Column) -> Column:
@@ -215,7 +221,7 @@ def _absent(label: str, x: Column) -> Column:
 def content_hours() -> Column:
     """Total hours of content and basics, with where each was found."""
     a, b = F.col("_basic_total"), F.col("_content_total")
-    same_place = (a["source"] == "meta") & (b["source"] == "meta") & (a["source_path"] == b["source_path"]) & (a["raw_value"] == b["raw_value"])
+    same_place = (a["source"] == "meta") & (b["source"] == "meta") & (a["source_path"] == b["source_path"]) & (a["snippet"] == b["snippet"])
     issues = F.array_compact(F.array(_unsure("基础信息总学时", a), _unsure("教学内容总学时", b), _absent("基础信息总学时", a), _absent("教学内容总学时", b), F.when(same_place, "基础信息总学时和教学内容总学时引用了同一处原文数值，无法确认该数值同时代表教学内容课时总计，需人工复核。")))
     unequal = F.concat(F.lit("教学内容总学时与基础信息总学时不一致：基础信息为 "), a["number"].cast("string"), F.lit("，教学内容为 "), b["number"].cast("string"))
     reasons = let(issues, lambda i: F.when(F.size(i) > 0, i).when(a["number"] != b["number"], F.array(unequal)).otherwise(F.array().cast("array<string>")))
@@ -242,82 +248,102 @@ def weeks() -> Column:
     return _dimension("jxap", "zs", "payload.jxap.tm[].zs", reasons, "教学安排最大周次与基础信息上课周数一致。", F.to_json(F.struct(taught.alias("jcxx_skzs"), found.alias("schedule_weeks"), gaps.alias("missing_weeks"))), "请核对教学安排中的最大周次是否与基础信息上课周数一致。")
 
 
-def snippets(sources: Column, hints: tuple[str, ...], before: int = 80, after: int = 800) -> Column:
-    """array<string>: the text around every occurrence of a hint, by source, then hint, then place."""
-    def around(text: Column, hint: str) -> Column:
-        parts = F.transform(F.split(text, rf"\Q{hint}\E", -1), F.length)
-        found = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
-        def one(i: Column) -> Column:
-            at = F.aggregate(F.slice(parts, 1, i), F.lit(0), lambda n, x: n + x) + (i - 1) * len(hint)
-            start = F.greatest(at - before, F.lit(0))
-            return F.substring(text, start + 1, at - start + len(hint) + after)
-        return F.transform(found, one)
+#: Words whose places in the sources are asked for.
+WORDS = tuple(dict.fromkeys(w for group in (*config.SECTION_HINTS.values(), *config.TOTAL_KEYWORDS.values(), config.BASIC_FIELDS, config.TOP_LEVEL.values(), config.GOALS.values()) for w in group))
+
+
+SECTIONS = tuple(config.SECTION_HINTS)
+
+
+def _near(section: str) -> Column:
+    """The text around the section's hints, from ``prepared``."""
+    return F.col("_near")[SECTIONS.index(section)]
+
 
-    return F.flatten(F.transform(sources, lambda s: F.flatten(F.array(*[around(s["text"], h) for h in hints]))))
+def _told(hit: Column, reason: Column | str) -> Column:
+    """A hit as JSON; null without."""
+    return let(hit, lambda x: F.when(x.isNotNull(), F.to_json(F.struct(F.lit(True).alias("fallback_used"), x["source_path"].alias("source_path"), x["section_hint"].alias("section_hint"), x["raw_value"].alias("raw_value"), x["snippet"].alias("snippet"), _lit(reason).alias("reason")))))
 
 
-def _near(section: str, labels: tuple[str, ...], value: bool) -> Column:
-    """Whether a source names a label (with a value) near a hint of the section: 800 characters after it, 80 before."""
-    tail = r"\s*+[:：]?+\s*+[^\s；。]" if value else ""
-    label = rf"(?:{'|'.join(rf'{chr(92)}Q{x}{chr(92)}E' for x in labels)}){tail}"
-    hint = "|".join(rf"\Q{x}\E" for x in config.SECTION_HINTS[section])
-    return F.exists(F.col("_sources"), lambda s: s["text"].rlike(rf"(?s)(?U)(?:{hint}).{{0,800}}?{label}") | s["text"].rlike(rf"(?s)(?U){label}.{{0,80}}?(?:{hint})"))
+def label_near(near: Column, labels: Column, with_value: Column) -> Column:
+    """Where a label stands (with something behind it) near a hint of its section, as JSON; null if nowhere."""
+    reason = F.when(with_value, "payload_empty_meta_found").otherwise("payload_key_missing_meta_label_found")
+    return _told(L.first_found(near, lambda s: L.labelled(s, labels, with_value)), reason)
 
 
 def table_near(section: str, labels: tuple[str, ...]) -> Column:
-    """Whether text near a hint of the section looks like its table: two or three of its labels, and a numbered row."""
+    """Text near a hint of the section that looks like its table: two or three of its labels, and a numbered row."""
     least = max(2, min(len(labels), 3))
-    def looks(t: Column) -> Column:
-        named = reduce(lambda a, b: a + b, [F.contains(t, F.lit(x)).cast("int") for x in labels])
-        return (named >= least) & t.rlike(r"(?U)\d+\s*[、.．\s]|第|主题|授课")
-    return F.exists(snippets(F.col("_sources"), config.SECTION_HINTS[section]), looks)
+
+    def looks(s: Column) -> Column:
+        named = F.filter(L.words(labels), lambda x: F.contains(s["snippet"], x))
+        return let(named, lambda n: F.when((F.size(n) >= least) & s["snippet"].rlike(r"(?U)\d+\s*[、.．\s]|第|主题|授课"), F.array_join(n, "、")))
+
+    return _told(L.first_found(_near(section), looks), "payload_empty_meta_found")
 
 
 def section_content(section: str, least: int = 8) -> Column:
-    """Whether text near a hint of the section says more than its titles."""
-    return F.exists(snippets(F.col("_sources"), config.SECTION_HINTS[section]), lambda t: F.length(C.without_titles(t, config.SECTION_HINTS[section])) >= least)
+    """Text near a hint of the section that says more than its titles."""
+    said = lambda s: let(C.without_titles(s["snippet"], config.SECTION_HINTS[section]), lambda t: F.when(F.length(t) >= least, t))
+    return _told(L.first_found(_near(section), said), "payload_empty_meta_found")
+
 
+def section_titles(sources: Column, hints: Column) -> Column:
+    """R10, for each section's hints: the first source with a title of it, as JSON; null without."""
 
-def section_title(section: str) -> Column:
-    """Whether a source has a title of the section."""
-    return F.exists(F.col("_sources"), lambda s: s["text"].rlike("|".join(rf"\Q{x}\E" for x in config.SECTION_HINTS[section])))
+    def one(own: Column) -> Column:
+        hit = F.transform(sources, lambda s: F.struct(s["source_path"].alias("source_path"), L.first(F.filter(own, lambda h: F.size(L.of(s["places"], h)) > 0)).alias("section_hint")))
+        return let(L.first(F.filter(hit, lambda x: x["section_hint"].isNotNull())), lambda x: F.when(x.isNotNull(), F.to_json(F.struct(F.lit(False).alias("fallback_used"), x["source_path"].alias("source_path"), x["section_hint"].alias("section_hint"), x["section_hint"].alias("snippet"), F.lit("meta_title_only").alias("reason")))))
+
+    return F.transform(hints, one)
 
 
 def element(x: Column) -> Column:
     """Finding of x (section, field, path, label, value, rescue, title): what the payload lacks may stand in the original."""
     here = ~C.is_blank(x["value"])
-    rescue = F.coalesce(x["rescue"], F.lit(False))
-    message = F.concat(x["label"], F.when(here, "已填写").when(rescue, "在原文辅助信息中存在").when(F.coalesce(x["title"], F.lit(False)), "为空；原文辅助信息中只有章节标题，没有该字段的填写内容").otherwise("为空"))
-    return finding(x["section"], x["field"], x["path"], F.when(here | rescue, "pass").otherwise("fail"), message, actual=x["value"], evidence=F.when(~here & rescue, '{"fallback_used":true}'), suggestion="请按模板补充该要素。")
+
+    def of(rescue: Column) -> Column:
+        rescued = rescue.isNotNull()
+        message = F.concat(x["label"], F.when(here, "已填写").when(rescued, "在原文辅助信息中存在").when(x["title"].isNotNull(), "为空；原文辅助信息中只有章节标题，没有该字段的填写内容").otherwise("为空"))
+        suggestion = F.concat(F.lit("检查 PDF 中"), x["label"], F.lit("是否填写，或调整抽取模板。"))
+        return finding(x["section"], x["field"], x["path"], F.when(here | rescued, "pass").otherwise("fail"), message, actual=x["value"], evidence=F.when(~here, F.coalesce(rescue, x["title"])), suggestion=suggestion)
+
+    return let(F.when(~here, label_near(x["near"], x["labels"], F.lit(True))), of)
+
+
+def keyed(x: Column) -> Column:
+    """Finding of x (field, path, label, value, near, labels): the key must be there, in the payload or in the original."""
+    here = x["value"].isNotNull()
+
+    def of(told: Column) -> Column:
+        seen = told.isNotNull()
+        message = F.concat(x["label"], F.when(here, "字段存在，允许为空").when(seen, "字段在原文辅助信息中存在，允许为空").otherwise("字段缺失"))
+        return finding("jcxx_template", x["field"], x["path"], F.when(here | seen, "pass").otherwise("fail"), message, actual=x["value"], evidence=told, suggestion=F.concat(F.lit("检查 PDF 课程基本信息中是否包含"), x["label"], F.lit("字段。")))
+
+    return let(F.when(~here, label_near(x["near"], x["labels"], F.lit(False))), of)
 
 
 def template() -> Column:
     """The template's elements: two summaries, then basic fields (four need their key only), top-level fields, goals,
     the two tables row by row, and the requirements.  A blank one passes where the original text has it."""
     def item(section: str, hints: str, name: str, path: str, label: str, value: Column, labels: tuple[str, ...] = ()) -> dict:
-        return {**_field(section, name, path, label, value), "rescue": F.when(C.is_blank(value.cast("string")), _near(hints, labels or (label,), True)), "title": F.when(C.is_blank(value.cast("string")), section_title(hints))}
+        return {**_field(section, name, path, label, value), "near": _near(hints), "labels": L.words(labels or (label,)), "title": F.col("_titles")[SECTIONS.index(hints)]}
 
     jcxx = P["jcxx"]
     basics = [item("jcxx_template", "jcxx", k, f"payload.jcxx.{k}", label, jcxx[k]) for label, k in config.BASIC_FIELDS.items() if k not in config.KEY_PRESENT_FIELDS]
-    keyed = []
-    for k in config.KEY_PRESENT_FIELDS:
-        label, here = config.LABEL_OF[k], jcxx[k].isNotNull()
-        seen = F.when(~here, _near("jcxx", (label,), False))
-        message = F.when(here, f"{label}字段存在，允许为空").when(seen, f"{label}字段在原文辅助信息中存在，允许为空").otherwise(f"{label}字段缺失")
-        keyed.append(finding("jcxx_template", k, f"payload.jcxx.{k}", F.when(here | seen, "pass").otherwise("fail"), message, actual=jcxx[k], suggestion=f"检查 PDF 课程基本信息中是否包含{label}字段。"))
+    may_be_empty = [item("jcxx_template", "jcxx", k, f"payload.jcxx.{k}", config.LABEL_OF[k], jcxx[k]) for k in config.KEY_PRESENT_FIELDS]
     rest = [item("payload", k, k, f"payload.{k}", label, P[k]) for k, label in config.TOP_LEVEL.items()]
     rest += [item("kcmb", "kcmb", k, f"payload.kcmb.{k}", label, P["kcmb"][k]) for k, label in config.GOALS.items()]
     rest.append(item("jxnr", "jxnr", "zongxs", "payload.jxnr.zongxs", "教学内容总学时", P["jxnr"]["zongxs"], ("总学时", "合计")))
     tables = []
     for section, fields in config.TEMPLATE_ROWS.items():
         rows, name = P[section]["tm"], config.TEMPLATE_TABLES[section]
-        seen = table_near(section, tuple(fields.values()))
-        none = finding(section, "tm", f"payload.{section}.tm", F.when(seen, "pass").otherwise("fail"), F.when(seen, f"{name}在原文辅助信息中存在。").otherwise(f"{name}为空"), suggestion=f"补齐{name}。")
+        told = table_near(section, tuple(fields.values()))
+        none = let(told, lambda t: finding(section, "tm", f"payload.{section}.tm", F.when(t.isNotNull(), "pass").otherwise("fail"), F.when(t.isNotNull(), f"{name}在原文辅助信息中存在。").otherwise(f"{name}为空"), evidence=t, suggestion=f"补齐{name}，至少包含{'、'.join(fields.values())}。"))
         tables.append(F.when(F.size(rows) > 0, F.flatten(F.transform(rows, _template_row(section, fields)))).otherwise(F.array(none)))
     wanted = C.is_blank(P["kcyq"])
-    told = F.when(wanted, section_content("kcyq"))
-    last = finding("kcyq", "content", "payload.kcyq", F.when(~wanted | told, "pass").otherwise("fail"), F.when(~wanted, "课程要求已填写").when(told, "课程要求在原文辅助信息中存在。").otherwise("课程要求为空"), suggestion="补齐课程要求文本。")
-    return F.concat(each(basics, element), F.array(*keyed), each(rest, element), *tables, F.array(last))
+    last = let(F.when(wanted, section_content("kcyq")), lambda t: finding("kcyq", "content", "payload.kcyq", F.when(~wanted | t.isNotNull(), "pass").otherwise("fail"), F.when(~wanted, "课程要求已填写").when(t.isNotNull(), "课程要求在原文辅助信息中存在。").otherwise("课程要求为空"), evidence=t, suggestion="补齐课程要求文本。"))
+    return F.concat(each(basics, element), each(may_be_empty, keyed), each(rest, element), *tables, F.array(last))
 
 
 def template_summary(found: Column) -> Column:
@@ -326,7 +352,7 @@ def template_summary(found: Column) -> Column:
     def check(name: str, bad: Column) -> Column:
         def of(reasons: Column) -> Column:
             some = F.size(reasons) > 0
-            return finding("xxyzwzfhmb", name, f"findings.xxyzwzfhmb.checks.{name}", F.when(some, "fail").otherwise("pass"), F.when(some, F.array_join(reasons, "；")).otherwise("是"), expected=F.lit(config.TEMPLATE_CHECKS[name]))
+            return finding("xxyzwzfhmb", name, f"audit_findings.xxyzwzfhmb.details.checks.{name}", F.when(some, "fail").otherwise("pass"), F.when(some, F.array_join(reasons, "；")).otherwise("是"), expected=F.lit(config.TEMPLATE_CHECKS[name]))
         return let(F.array_distinct(F.transform(bad, lambda f: f["reason"])), of)
     return F.array(check("mbxxyzwz", failed), check("zywjj", F.filter(failed, lambda f: f["path"].isin("payload.kczwjj", "payload.kcywjj"))))
 
@@ -338,7 +364,7 @@ def _template_row(section: str, fields: dict[str, str]):
         for k, label in fields.items():
             blank = C.is_blank(row[k])
             message = F.when(blank, F.concat(F.lit(f"{section}第 "), at, F.lit(f" 行{label}为空"))).otherwise(f"{label}已填写")
-            out.append(finding(section, k, F.concat(F.lit(f"payload.{section}.tm["), i.cast("string"), F.lit(f"].{k}")), F.when(blank, "fail").otherwise("pass"), message, actual=row[k], suggestion="补齐该行。"))
+            out.append(finding(section, k, F.concat(F.lit(f"payload.{section}.tm["), i.cast("string"), F.lit(f"].{k}")), F.when(blank, "fail").otherwise("pass"), message, actual=row[k], suggestion=F.concat(F.lit(f"补齐{section}表第 "), at, F.lit(f" 行的{label}。"))))
         return F.array(*out)
 
     return cells
@@ -346,12 +372,12 @@ def _template_row(section: str, fields: dict[str, str]):
 
 def prepared(matched: DataFrame) -> DataFrame:
     """Columns that several rules share: sources, the resolved numbers and the schedule's weeks."""
-    df = matched.withColumn("_sources", sources())
+    df = matched.withColumn("_texts", sources()).withColumn("_sources", L.indexed(F.col("_texts"), WORDS))
     hints, words = config.SECTION_HINTS, config.TOTAL_KEYWORDS
-    df = df.withColumns({
-        "_basic_total": semantic_number(P["jcxx"]["zongxs"], hints["jcxx"], words["jcxx"]), "_content_total": semantic_number(P["jxnr"]["zongxs"], hints["jxnr"], words["jxnr"]),
-        "_weeks_taught": semantic_number(P["jcxx"]["skzs"], hints["jcxx"], words["skzs"]),
-    })
+    by_section = F.array(*[L.words(hints[k]) for k in SECTIONS])
+    df = df.withColumns({"_near": F.transform(by_section, lambda h: L.around(F.col("_sources"), h)), "_titles": section_titles(F.col("_sources"), by_section)})
+    numbers = semantic_numbers([(P["jcxx"]["zongxs"], _near("jcxx"), words["jcxx"]), (P["jxnr"]["zongxs"], _near("jxnr"), words["jxnr"]), (P["jcxx"]["skzs"], _near("jcxx"), words["skzs"])], F.col("_sources"))
+    df = df.withColumn("_numbers", numbers).withColumns({"_basic_total": F.col("_numbers")[0], "_content_total": F.col("_numbers")[1], "_weeks_taught": F.col("_numbers")[2]})
     near = F.array_compact(F.transform("_sources", lambda s: F.nullif(F.regexp_extract(s["text"], rf"(?s)((?:{'|'.join(hints['jxap'])}).{{0,800}})", 1), F.lit(""))))
     cells = F.transform(P["jxap"]["tm"], lambda r: F.coalesce(r["zs"], F.lit("")))
     return df.withColumn("_weeks", schedule_weeks(cells, F.coalesce(P["jxap"]["apgs"], F.lit("")), near))
@@ -384,7 +410,7 @@ def evaluate(subjects: DataFrame, auditors: tuple[str, ...] = tuple(AUDITORS)) -
     def dimension(k: str) -> Column:
         own = F.filter(F.col(f"_f_{k}"), lambda f: (f["status"] != "pass") & (f["section"] != k))  # summaries repeat reasons
         def of(why: Column) -> Column:
-            bad, all_ = F.size(why) > 0, F.concat("match_reasons", why) if k == "kcjbxxsfykckyz" else why
+            bad, all_ = F.size(why) > 0, F.concat("match_reasons", F.array("match_message"), why) if k == "kcjbxxsfykckyz" else why
             reasons = F.when(bad, F.array_distinct(F.filter(all_, lambda r: r != ""))).otherwise(F.array().cast("array<string>"))
             return F.struct(F.lit(k).alias("wd"), F.when(bad, "fail").otherwise("pass").alias("status"), F.when(bad, "否").otherwise("是").alias("message"), reasons.alias("reasons"))
         return let(F.transform(own, lambda f: f["reason"]), of)
@@ -429,9 +455,19 @@ def results(evaluated: DataFrame) -> DataFrame:
 
 
 def match(subjects: DataFrame, courses: DataFrame) -> DataFrame:
-    """Subjects with match columns and ``course``, the library's row of the matched code."""
+    """Subjects with match columns, ``course``, the library's row of the matched code, and, as customers read them,
+    ``match_message`` and ``match_reasons`` (J3, J4)."""
     named = subjects.withColumns({"_code": C.exact(F.coalesce(F.nullif(P["jcxx"]["kcbh"], F.lit("")), F.col("course_code"))), "_doc_name": C.exact(P["jcxx"]["zwkcmc"]), "_file_name": C.path_name("source_path")})
     found = R.match_cascade(R.shared_keys(named, "_code", "_shared"), courses, "_code", [("_doc_name", "document_name"), ("_file_name", "file_name")], "kcbh", "zwkcmc", duplicate="_shared")
     fields = [c for c in courses.columns if c != "course"]
     library = R.latest(courses, ["kcbh"], [F.col("kcbh")]).select(F.col("kcbh").alias("_k"), F.struct(*fields).alias("course"))
-    return found.join(library, F.col("match_code") == F.col("_k"), "left").drop("_k", "_code", "_doc_name", "_file_name", "_shared")
+    out = found.join(library, F.col("match_code") == F.col("_k"), "left")
+    filled = lambda text, name, value: F.concat(*[F.lit(x) if x != "\0" else value for x in text.replace(f"{{{name}}}", "\1\0\1").split("\1") if x])
+    status, method, shared = F.col("match_status"), F.col("match_method"), F.col("match_shared")
+    name = F.coalesce(F.nullif(C.exact(F.col("course.zwkcmc")), F.lit("")), C.exact(F.col("course.kcbh")))
+    message = reduce(lambda c, x: c.when((status == "matched") & (method == x[0][0]) & (shared == x[0][1]), filled(x[1], "name", name)), config.MATCHED.items(), F.when(status == "ambiguous", config.MATCH_FAILURES["ambiguous"]).when(status == "not_found", config.MATCH_FAILURES["not_found"]))
+    sought = F.array_compact(F.array(F.when(F.col("_code") == "", config.UNMATCHED["code"]), *[F.when(F.col(c) != "", filled(config.UNMATCHED[k], "query", F.col(c))) for c, k in (("_doc_name", "document_name"), ("_file_name", "file_name"))]))
+    failed = F.when(status == "ambiguous", F.array(filled(config.AMBIGUOUS_NAME, "query", F.col("match_query")))).when(F.size(sought) == 0, F.array(F.lit(config.UNMATCHED["none"]))).otherwise(sought)
+    reasons = F.when(status != "matched", failed).when(shared, F.array(F.when(method == "code", config.SHARED_CODE[False]).otherwise(config.SHARED_CODE[True]))).otherwise(F.array().cast("array<string>"))
+    out = out.withColumns({"match_message": message, "match_reasons": reasons})
+    return out.drop("_k", "_code", "_doc_name", "_file_name", "_shared")

@@ -28,10 +28,11 @@ def name_cardinality(courses: DataFrame, name: str, code: str, shown: int = 10)
 
 
 def match_cascade(subjects: DataFrame, courses: DataFrame, code: str, names: list[tuple[str, str]], course_code: str, course_name: str, duplicate: str | None = None) -> DataFrame:
-    """``subjects`` with match_status, match_method, match_code, match_candidates and match_reasons.
+    """``subjects`` with match_status, match_method, match_code, match_candidates, match_query (the name or code that decided,
+    null where none did) and match_shared (whether the code was shared).
 
     The order of methods: the subject's code, then each (column, method) of ``names``; the first that is matched or
-    ambiguous ends the search, others leave a reason.  Where ``duplicate`` is true for a subject, whose code others
+    ambiguous ends the search.  Where ``duplicate`` is true for a subject, whose code others
     share, names come first and count only if matched; the code is what is left.  Each method is one left join.
     """
     codes = courses.select(F.col(course_code).alias("_by_code")).where("_by_code is not null and _by_code <> ''").distinct()
@@ -40,21 +41,19 @@ def match_cascade(subjects: DataFrame, courses: DataFrame, code: str, names: lis
     for i, (column, _) in enumerate(names):
         out = out.join(cards.select(F.col("_name").alias(f"_n{i}"), F.col("_card").alias(f"_c{i}")), F.col(column) == F.col(f"_n{i}"), "left").drop(f"_n{i}")
     none = F.array().cast("array<string>")
-    made = lambda status, method, c, cand: F.struct(F.lit(status).alias("status") if isinstance(status, str) else status.alias("status"), F.lit(method).alias("method"), c.alias("code"), cand.alias("candidates"))
-    by_code = F.when(F.col("_hit"), made("matched", "code", F.col(code), none))
+    made = lambda status, method, c, cand, query: F.struct(F.lit(status).alias("status") if isinstance(status, str) else status.alias("status"), F.lit(method).alias("method"), c.alias("code"), cand.alias("candidates"), F.col(query).alias("query"))
+    by_code = F.when(F.col("_hit"), made("matched", "code", F.col(code), none, code))
     by_name, only_matched = [], []
-    for i, (_, method) in enumerate(names):
+    for i, (column, method) in enumerate(names):
         card = F.col(f"_c{i}")
-        hit = made(card["verdict"], method, F.when(card["verdict"] == "matched", card["candidates"][0]), card["candidates"])
+        hit = made(card["verdict"], method, F.when(card["verdict"] == "matched", card["candidates"][0]), card["candidates"], column)
         by_name.append(F.when(card.isNotNull(), hit))
         only_matched.append(F.when(card["verdict"] == "matched", hit))
-    missing = F.struct(F.lit("not_found").alias("status"), F.lit(None).cast("string").alias("method"), F.lit(None).cast("string").alias("code"), none.alias("candidates"))
+    missing = F.struct(F.lit("not_found").alias("status"), F.lit(None).cast("string").alias("method"), F.lit(None).cast("string").alias("code"), none.alias("candidates"), F.lit(None).cast("string").alias("query"))
     shared = F.coalesce(F.col(duplicate), F.lit(False)) if duplicate else F.lit(False)
     found = F.when(shared, F.coalesce(*only_matched, by_code, *by_name, missing)).otherwise(F.coalesce(by_code, *by_name, missing))
-    reason = lambda column, hit, method: F.when(F.coalesce(F.col(column), F.lit("")) == "", F.lit(f"{method}: empty")).when(~hit, F.lit(f"{method}: not found"))
-    reasons = F.array_compact(F.array(reason(code, F.coalesce(F.col("_hit"), F.lit(False)), "code"), *[reason(c, F.col(f"_c{i}").isNotNull(), m) for i, (c, m) in enumerate(names)]))
-    out = out.withColumn("_m", found).withColumn("match_reasons", F.when(F.col("_m.status") == "matched", F.array().cast("array<string>")).otherwise(reasons))
-    return out.select(*subjects.columns, F.col("_m.status").alias("match_status"), F.col("_m.method").alias("match_method"), F.col("_m.code").alias("match_code"), F.col("_m.candidates").alias("match_candidates"), "match_reasons")
+    out = out.withColumn("_m", found).withColumn("_s", shared)
+    return out.select(*subjects.columns, *[F.col(f"_m.{x}").alias(f"match_{x}") for x in ("status", "method", "code", "candidates", "query")], F.col("_s").alias("match_shared"))
 
 
 def shared_keys(df: DataFrame, key: str, flag: str = "duplicate") -> DataFrame:

@@ -764,13 +764,16 @@ def warning_findings(t):
 def semantic_numbers(t):
     """A number from the payload, else from the text near a hint of its section."""
     from .. import config
+    from ..functions import places as L
     from ..operators import audit
 
     number = (F.col("extraction_id") + 6).cast("string")
     value = F.when((F.col("extraction_id") - 1) % 3 > 0, F.concat(number, F.lit("学时")))
     told = F.array(F.struct(F.lit("meta.full_text").alias("source_path"), F.concat(F.lit("总学时 99\n" + "x" * 900 + "课程基本信息\n总学时："), number).alias("text")))
     subjects, _ = _subjects(t)
-    found = subjects.withColumn("_sources", told).select("subject_key", audit.extraction_status().alias("f"), audit.semantic_number(value, config.SECTION_HINTS["jcxx"], config.TOTAL_KEYWORDS["jcxx"]).alias("n"))
+    hints, words = config.SECTION_HINTS["jcxx"], config.TOTAL_KEYWORDS["jcxx"]
+    found = subjects.withColumn("_sources", L.indexed(told, (*hints, *words))).withColumn("_near", L.around(F.col("_sources"), L.words(hints)))
+    found = found.select("subject_key", audit.extraction_status().alias("f"), audit.semantic_numbers([(value, F.col("_near"), words)], F.col("_sources"))[0].alias("n"))
     return found.select("subject_key", "f.status", "f.message", "n.source", "n.number")
 
 
