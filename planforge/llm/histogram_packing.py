@@ -16,6 +16,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import AS_WRITTEN, Scratch, chunks, distinct_words, partitions
 
 LENGTH, END, PAD = 2048, 1, 0
-#: Words that a worker keeps encoded between chunks.
-KNOWN = 300_000
+#: Words that a worker process keeps encoded between chunks and tasks; beyond it, those of the last chunk.
+KNOWN = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SEQUENCES = "sequence_id long, n_tokens int, padded_length int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids binary"
@@ -47,24 +48,30 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def encode(texts: list[bytes], path: str, known: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+_KNOWN: dict[str, dict[bytes, bytes]] = {}
+
+
+def encode(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """(all texts' ids in order, ids of each text), without special tokens at their ends.
 
     The tokenizer drops white space and nothing that it does reaches over it, so texts are put together from the ids of
-    their words as written between ASCII white space; each distinct one is encoded once.  ``known`` keeps them between calls.
+    their words as written between ASCII white space; each distinct one is encoded once, and kept between calls.
     """
     index, words, counts, _ = distinct_words(texts, value=AS_WRITTEN)
-    if len(known) > KNOWN:
-        known.clear()
+    known = _KNOWN.setdefault(path, {})
     new = [w for w in words if w not in known]
-    found = _tokenizer(path).encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-    known.update(zip(new, [np.array(e.ids, dtype=np.uint32) for e in found], strict=True))
+    found = [e.ids for e in _tokenizer(path).encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) * 4
+    raw = np.fromiter(chain.from_iterable(found), np.uint32).tobytes()
+    known.update(zip(new, [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], strict=True) if new else ())
     parts = [known[w] for w in words]
+    if len(known) > KNOWN:
+        _KNOWN[path] = dict(zip(words, parts, strict=True))
     if not parts:
         return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     first, k = (np.cumsum(size) - size)[index], size[index]
-    ids = np.concatenate(parts)[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+    ids = np.frombuffer(b"".join(parts), np.uint32)[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
     ends = np.concatenate([[0], np.cumsum(k)])[np.cumsum(counts)]
     return ids, np.diff(ends, prepend=0)
 
@@ -139,9 +146,8 @@ def pieces(docs: DataFrame, path: str, size: int, end: int, with_ids: bool) -> D
     """Full pieces and rests of every document's ids with the end id behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, list[int]] = {}
         for doc_ids, texts in chunks(batches, ["doc_id", "text"]):
-            flat, counts = encode(texts, path, known)
+            flat, counts = encode(texts, path)
             every = np.full(len(flat) + len(texts), end, dtype="<u4")
             ends = np.cumsum(counts + 1)
             keep = np.ones(len(every), dtype=bool)

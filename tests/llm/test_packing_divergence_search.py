@@ -55,7 +55,7 @@ def test_words_encode_like_whole_texts():
     r = random.Random(1)
     chars = "aAzZéÉéİıßẞǅſ'’sStTlL019½²３_-.!<|>  ​\x1c\x85日本🙂퟿ ΣςΟͅ"
     texts = ["".join(r.choice(chars + "     \n\t") for _ in range(r.randint(0, 60))) for _ in range(600)] + ["x<|endoftext|>y <|STARTOFTEXT|>", ""]
-    flat, counts = histogram_packing.encode([t.encode() for t in texts], histogram_packing.vocabulary(), {})
+    flat, counts = histogram_packing.encode([t.encode() for t in texts], histogram_packing.vocabulary())
     t = Tokenizer.from_file(histogram_packing.vocabulary())
     assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
@@ -214,7 +214,7 @@ def brute(found, k=10):
     return out
 
 
-@pytest.mark.parametrize(("postings", "query_terms", "seen"), [(1, 1 << 18, 1 << 26), (200, 4, 1 << 26), (1 << 20, 1 << 18, 1 << 26), (1 << 20, 1 << 18, 0)])
+@pytest.mark.parametrize(("postings", "query_terms", "seen"), [(1, 1 << 18, 1 << 26), (200, 12, 1 << 26), (1 << 20, 1 << 18, 1 << 26), (1 << 20, 1 << 18, 0)])
 def test_search_is_brute_force(spark, docs, monkeypatch, postings, query_terms, seen):
     monkeypatch.setattr(impact_search, "POSTINGS", postings)
     monkeypatch.setattr(impact_search, "SEEN", seen)
