@@ -48,6 +48,8 @@ CONTACT_FIELDS = ("jsgh", "email", "lxdh")
 LABEL_OF = {v: k for k, v in BASIC_FIELDS.items()}
 TOP_LEVEL = {"kczwjj": "课程中文简介", "kcywjj": "课程英文简介", "ybzsyq": "预备知识要求", "jcjydcl": "教材及阅读材料"}
 GOALS = {"szmb": "思政目标", "nlmb": "能力目标", "zsmb": "知识目标"}
+GOAL_NAMES = {"思政目标": ("思政目标", "价值目标", "育人目标", "课程思政目标"), "能力目标": ("能力目标",), "知识目标": ("知识目标",)}
+SECTION_TITLES = {"teaching_content": ("教学内容", "课程内容"), "course_schedule": ("教学安排", "课程安排", "授课安排", "教学进度"), "course_goal": ("课程目标", "教学目标")}
 TABLE_ITEMS = {"jxnr": "教学内容条目", "jxap": "教学安排条目", "khfsb": "考核方式条目"}
 ROW_REQUIRED = {
     "jxnr": {"xh": "序号", "zt": "主题", "zsd": "知识点", "xs": "学时"},
@@ -137,6 +139,7 @@ FIELD_PATTERNS = (
 )
 CONTENT_LINE = r"^\s*(\d+(?:\.\d+)?)\s*[、.．-]?\s+(.+?)\s+(\d+(?:\.\d+)?)\s*(?:学时)?\s*$"
 SCHEDULE_LINE = r"^\s*(?:第)?(\d+(?:\s*[-~～至,，、]\s*\d+)*)\s*(?:周|周次)?\s+(.+)$"
+SCHEDULE_LINES = (SCHEDULE_LINE, r"^\s*(\d+)\s+(.+)$")
 METHODS = ("讲授", "讨论", "案例", "实践", "翻转课堂", "实验")
 MAX_WEEK = 19
 # --- fixed values: scoring ---
@@ -147,7 +150,7 @@ FUSION = {
     "assessment_rows": {"required": ("考试形式", "占比"), "weighted": {"考察内容": 10, "考察方式": 10}, "min_rows": 2, "min_improvement": 3.0},
 }
 OCR = {
-    "fragment": r"\b[A-Za-z]{2,5}\b(?!\w)", "threshold": 0.35, "factor": 40, "cap": 25, "glued_penalty": 3, "glued_cap": 15,
+    "fragment": r"\b[A-Za-z]{2,5}\b(?!\w)", "short": 4, "threshold": 0.35, "factor": 40, "cap": 25, "glued_penalty": 3, "glued_cap": 15,
     "empty_penalty": 8, "rerun": 65, "fields": ("授课方式", "思政元素的融入和预期教学成效", "学时", "知识点"),
     "glued": ("中文课程名称[一-龥A-Za-z]", "英文课程名称[A-Za-z]", "任课教师姓名[一-龥]", "开课（院）系[一-龥]"),
 }

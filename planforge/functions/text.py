@@ -120,8 +120,8 @@ def title_pattern(titles: Iterable[str]) -> re.Pattern:
 
 @lru_cache(maxsize=256)
 def _title_pattern(titles: tuple[str, ...]) -> re.Pattern:
-    """A line that is one of the titles, with numbering before it."""
-    return re.compile(rf"(?m)^[ \t#]*{config.TITLE_PREFIX}(?:{'|'.join(map(re.escape, sorted(titles, key=len, reverse=True)))}){_SUFFIX}[ \t]*[:：]?[ \t]*")
+    """A line that is one of the titles alone, with numbering before it."""
+    return re.compile(rf"(?m)^[ \t#]*{config.TITLE_PREFIX}(?:{'|'.join(map(re.escape, sorted(titles, key=len, reverse=True)))}){_SUFFIX}[ \t]*[:：]?[ \t]*$")
 
 
 def section(text: str | None, titles: Iterable[str], stops: Iterable[str] = TITLES, last: bool = False) -> str:

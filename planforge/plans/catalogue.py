@@ -326,15 +326,16 @@ def array_hours_sum(t):
     return rows.select("l_orderkey", C.hours_sum(F.col("tm")).alias("hours"), F.size("tm").cast("bigint").alias("rows"))
 
 
-@query(r"""SELECT doc_id, ratio, round_even(greatest(0, 100 - least(25, greatest(0, r - 0.35) * 40)), 2) AS score FROM (SELECT doc_id, r, round_even(r, 4) AS ratio FROM (
-  SELECT doc_id, coalesce(len(regexp_extract_all(x, '\b[A-Za-z]{2,5}\b')) / nullif(len(regexp_extract_all(x, '[A-Za-z]+')), 0), 0) AS r FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[^ -~\n]', ' ', 'g') AS x FROM documents)))""")
+@query(r"""SELECT doc_id, round(r, 3) AS ratio, round(100 - CASE WHEN r > 0.35 THEN least(25, r * 40) ELSE 0 END, 1) AS score, r > 0.35 AS rerun FROM (
+  SELECT doc_id, coalesce(len(list_filter(w, lambda v: length(v) <= 4)) / nullif(len(w), 0), 0) AS r FROM (
+    SELECT doc_id, regexp_extract_all(regexp_replace(coalesce(text, ''), '[^ -~\n]', ' ', 'g'), '\b[A-Za-z]{2,5}\b') AS w FROM documents))""")
 def ocr_quality(t):
-    """G19 on the texts' ASCII part."""
+    """G19 on the texts' ASCII part: short words among those of two to five letters."""
     from ..operators import sections
 
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^ -~\n]", " ")
     q = t.documents.select("doc_id", sections.quality_of(text, F.lit(None).cast("array<array<array<string>>>")).alias("q"))
-    return q.select("doc_id", F.col("q.ratio").alias("ratio"), F.col("q.score").alias("score"))
+    return q.select("doc_id", F.col("q.ratio").alias("ratio"), F.col("q.score").alias("score"), F.col("q.rerun").alias("rerun"))
 
 
 @query("""SELECT l_orderkey, array_to_string(list_sort(list_filter(range(1, m + 1), lambda x: NOT list_contains(s, x::INT))), ',') AS missing FROM (
@@ -623,17 +624,21 @@ def label_normalise(t):
     return t.part.select("p_partkey", C.normal_label("p_name").alias("label"), C.is_sequence(F.col("p_size").cast("string")).alias("seq"))
 
 
-@query("""SELECT l_orderkey, i, i::VARCHAR AS number, l_returnflag || ' ' || l_linestatus AS topic, l_quantity::INT::VARCHAR AS hours FROM (
+@query("""SELECT l_orderkey, i, i::VARCHAR AS number, CASE WHEN i % 2 = 0 THEN l_returnflag ELSE l_returnflag || ' ' || l_linestatus END AS topic, CASE WHEN i % 2 = 0 THEN l_linestatus || ' w' ELSE l_returnflag || ' ' || l_linestatus END AS known, l_quantity::INT::VARCHAR AS hours,
+  (count(*) FILTER (i % 2 = 1) OVER (PARTITION BY l_orderkey))::INT AS unsure FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i FROM lineitem)""")
 def line_rows(t):
-    """Rows that the lines of a text hold; a header run together is noise."""
-    from ..operators import sections
+    """Rows that the lines of a text hold: of several columns the first is the topic, one column is both, with a
+    warning; a header run together is noise."""
+    from ..operators import text_rows
 
     rows = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")))
-    line = lambda r, i: F.concat((i + 1).cast("string"), F.lit("、 "), r["l_returnflag"], F.lit(" "), r["l_linestatus"], F.lit(" "), r["l_quantity"].cast("int").cast("string"), F.lit("学时"))
+    two = lambda r, i: F.when(i % 2 == 1, F.concat(r["l_returnflag"], F.lit("  "), r["l_linestatus"], F.lit("\tw"))).otherwise(F.concat(r["l_returnflag"], F.lit(" "), r["l_linestatus"]))
+    line = lambda r, i: F.concat((i + 1).cast("string"), F.lit("、 "), two(r, i), F.lit(" "), r["l_quantity"].cast("int").cast("string"), F.lit("学时"))
     text = F.concat(F.lit("序号 主题 知识点 学时\n\n"), F.array_join(F.transform(rows, line), "\n"))
-    found = t.lineitem.groupBy("l_orderkey").agg(text.alias("text")).select("l_orderkey", F.posexplode(sections.text_rows(F.col("text"), "teaching_content")))
-    return found.select("l_orderkey", (F.col("pos") + 1).cast("bigint").alias("i"), F.col("col")["序号"].alias("number"), F.col("col")["主题"].alias("topic"), F.col("col")["学时"].alias("hours"))
+    found = t.lineitem.groupBy("l_orderkey").agg(text.alias("text")).select("l_orderkey", text_rows.content(F.col("text")).alias("c"))
+    found = found.select("l_orderkey", F.posexplode("c.rows"), F.size("c.warnings").alias("unsure"))
+    return found.select("l_orderkey", (F.col("pos") + 1).cast("bigint").alias("i"), F.col("col")["序号"].alias("number"), F.col("col")["主题"].alias("topic"), F.col("col")["知识点"].alias("known"), F.col("col")["学时"].alias("hours"), "unsure")
 
 
 @query("""SELECT o_orderkey, CASE WHEN x = floor(x) THEN x::BIGINT::VARCHAR ELSE x::VARCHAR END AS number, strftime(o_orderdate, '%Y%m%d_%H%M%S') AS run FROM (SELECT *, (o_orderkey % 7) / 2 AS x FROM orders)""")
@@ -643,15 +648,15 @@ def number_format(t):
 
 
 # --- operators in Python: their inputs are made so that SQL can say what they must give ---
-@query("""SELECT page_id, r, c, value FROM (SELECT page_id, unnest([0, 0, 0, 1, 1, 1]) AS r, unnest([0, 1, 2, 0, 1, 2]) AS c, unnest([page_id::VARCHAR, split_part(url, '/', 3), NULL, page_id::VARCHAR, length(html)::VARCHAR, 'x y']) AS value FROM pages)""")
+@query("""SELECT page_id, r, c, value FROM (SELECT page_id, unnest([0, 0, 0, 0, 1, 1, 1, 1]) AS r, unnest([0, 1, 2, 3, 0, 1, 2, 3]) AS c,
+  unnest([page_id::VARCHAR, NULL, split_part(url, '/', 3), NULL, page_id::VARCHAR, page_id::VARCHAR, length(html)::VARCHAR, 'x y']) AS value FROM pages)""")
 def html_grid(t):
-    """H1: a table with a spanned row and a spanned column."""
+    """H1: a cell over two rows and two columns, one over two columns, a line break; blank cells are null."""
     from ..functions.grids import grids_of
 
-    table = F.concat(F.lit("<p>a</p><table><tr><td rowspan=2>"), F.col("page_id").cast("string"), F.lit("</td><td colspan=2>"), F.split("url", "/")[2], F.lit("</td></tr><tr><td>"), F.length("html").cast("string"), F.lit("</td><td> x  y</td></tr></table>"))
+    table = F.concat(F.lit("<p>a</p><table><tr><td rowspan=2 colspan=2>"), F.col("page_id").cast("string"), F.lit("</td><td>"), F.split("url", "/")[2], F.lit("</td><td> </td></tr><tr><td>"), F.length("html").cast("string"), F.lit("</td><td> x<br> y</td></tr></table>"))
     grids = t.pages.select("page_id", grids_of(table).alias("g"))
-    cells = grids.select("page_id", F.posexplode(F.col("g")[0]).alias("r", "cells")).select("page_id", "r", F.posexplode("cells").alias("c", "value"))
-    return cells.withColumn("value", F.regexp_replace("value", " +", " "))
+    return grids.select("page_id", F.posexplode(F.col("g")[0]).alias("r", "cells")).select("page_id", "r", F.posexplode("cells").alias("c", "value"))
 
 
 @query("""WITH p AS (SELECT doc_id, hint, text, string_split(text, hint) AS p FROM documents, (VALUES ('license'), ('token')) h(hint)),
@@ -850,35 +855,40 @@ def grid_fill(t):
     return d.select("p_partkey", F.col("f")[1][1].alias("filled"), F.col("f")[2][1].alias("kept"), F.col("r")[0][0].alias("head"), F.size("r").alias("rows"))
 
 
-@query("""SELECT p_partkey, p_size || '-' || (p_size + 1) AS weeks, 't' || p_partkey AS content, '讨论' AS method, '诚信' AS ideology, (p_size % 9 + 1) || '0%' AS share, 1 AS shares, 'g' || p_partkey AS goal, '作业要求' AS kind FROM part""")
+@query("""SELECT p_partkey, p_size || '-' || (p_size + 1) AS weeks, 't' || p_partkey AS content, p_brand AS method, '诚信 守时' AS ideology, '讨论' AS told, '思政' || p_partkey AS said, 1 AS unsure, '平时' AS part, (p_size % 9 + 1) || '0%' AS share, 1 AS shares, 'g' || p_partkey || chr(10) || p_type AS goal, 'x' AS ability, '作业要求' AS kind FROM part""")
 def text_sections(t):
-    """Rows of a schedule, of an assessment (equal ones once), goals and requirements from text."""
-    from ..operators import sections
+    """A schedule's columns, or what its line tells; an assessment's parts (equal ones once), goals by their
+    aliases and requirements, from text."""
+    from ..operators import text_rows
 
     key, size = F.col("p_partkey").cast("string"), F.col("p_size")
-    plan = F.concat(F.lit("周次 授课内容 授课方式\n第"), size.cast("string"), F.lit("-"), (size + 1).cast("string"), F.lit("周  t"), key, F.lit("  讨论  诚信"))
-    share = F.concat(F.lit("平时成绩 占 "), (size % 9 + 1).cast("string"), F.lit("0%。"))
+    plan = F.concat(F.lit("周次 授课内容 授课方式\n第"), size.cast("string"), F.lit("-"), (size + 1).cast("string"), F.lit("周  t"), key, F.lit("  "), F.col("p_brand"), F.lit("  诚信 | 守时\n3 案导 讨论 思政"), key, F.lit("\n4 别的"))
+    share = F.concat(F.lit("，平时成绩 占 "), (size % 9 + 1).cast("string"), F.lit("0%。"))
     d = t.part.select(
-        "p_partkey", sections.text_rows(plan, "course_schedule").alias("s"), sections.text_rows(F.concat(share, share), "assessment_rows").alias("a"),
-        sections.goal_columns(F.concat(F.lit("思政目标：g"), key, F.lit("\n能力目标：x"))).alias("g"), sections.text_rows(F.lit("作业要求：按时\n其他"), "requirements").alias("r"),
+        "p_partkey", text_rows.schedule(plan).alias("s"), text_rows.assessment(F.concat(share, share))["rows"].alias("a"),
+        text_rows.goals(F.concat(F.lit("价值目标：g"), key, F.lit("\n"), F.col("p_type"), F.lit("\n能力目标：x"))).alias("g"), text_rows.requirements(F.lit("作业要求：按时\n其他")).alias("r"),
+    )
+    first, second = F.col("s.rows")[0], F.col("s.rows")[1]
+    return d.select(
+        "p_partkey", first["序号"].alias("weeks"), first["授课内容"].alias("content"), first["授课方式"].alias("method"), first["思政元素的融入和预期教学成效"].alias("ideology"), second["授课方式"].alias("told"), second["思政元素的融入和预期教学成效"].alias("said"), F.size("s.warnings").alias("unsure"),
+        F.col("a")[0]["考察内容"].alias("part"), F.col("a")[0]["占比"].alias("share"), F.size("a").alias("shares"), F.col("g")["思政目标"].alias("goal"), F.col("g")["能力目标"].alias("ability"), F.col("r")[0]["要求类型"].alias("kind"),
     )
-    s = F.col("s")[0]
-    return d.select("p_partkey", s["序号"].alias("weeks"), s["授课内容"].alias("content"), s["授课方式"].alias("method"), s["思政元素的融入和预期教学成效"].alias("ideology"), F.col("a")[0]["占比"].alias("share"), F.size("a").alias("shares"), F.col("g")["思政目标"].alias("goal"), F.col("r")[0]["要求类型"].alias("kind"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'text' ELSE 'table' END AS picked, CASE WHEN p_size % 3 = 0 THEN 2 WHEN p_size % 3 = 1 THEN 1 ELSE 3 END AS rows, '2,1,3' AS merged, 'b' AS filled, CASE WHEN p_size % 3 = 0 THEN '案例' END AS method, CASE WHEN p_size % 3 = 0 THEN '思政' || p_partkey END AS ideology FROM part""")
+@query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'mineru_text_fallback' WHEN 3 THEN 'mineru_text_fallback' END AS picked, CASE p_size % 4 WHEN 2 THEN 12 WHEN 3 THEN 2 ELSE 1 END AS rows, '2,1,3' AS merged, p_brand AS filled, CASE WHEN p_size % 4 = 0 THEN '案例' END AS method, CASE WHEN p_size % 4 = 0 THEN '思政' || p_partkey END AS ideology FROM part""")
 def row_choice(t):
-    """Rows of table or text, merged by their numbers; methods told by the content."""
-    from ..operators import sections
+    """Rows of table or text: one row gives way to two, merged by number; twelve rows don't give way to two
+    whole ones; of table rows with one number the last counts.  Methods told by the content."""
+    from ..operators import text_rows
 
-    row = lambda n, v: F.create_map(F.lit("序号"), F.lit(n), F.lit("主题"), F.lit(v))
-    k = F.col("p_size") % 3
+    row = lambda n, v, z=None: F.create_map(F.lit("序号"), F.lit(n), F.lit("主题"), F.lit(v) if isinstance(v, str) else v, F.lit("知识点"), F.lit(z or ""))
+    k = F.col("p_size") % 4
     none = F.array().cast("array<map<string,string>>")
-    table = F.when(k == 0, F.array(row("1", "a"))).when(k == 1, F.array(row("1", "a"))).otherwise(F.array(row("1", "a"), row("2", "b"), row("3", "c")))
-    text = F.when(k == 0, F.array(row("1", "x"), row("2", "y"))).otherwise(none)
-    merged = sections.merged_rows(F.array(row("1", "a"), row("2", ""), row("3", "c")), F.array(row("2", "b"), row("1", "z"), row("9", "q")))
+    table = F.when(k < 2, F.array(row("1", "a"))).when(k == 2, F.array(*[row(str(i), "a") for i in range(12)])).otherwise(none)
+    text = F.when((k == 0) | (k == 3), F.array(row("1", "x"), row("2", "y"))).when(k == 2, F.array(row("21", "x", "z"), row("22", "y", "z"))).otherwise(none)
+    merged = text_rows.merge(F.array(row("1", "a"), row("2", "first"), row("2", ""), row("3", "c")), F.array(row("2", F.col("p_brand")), row("1", "z"), row("9", "q")))
     plan = F.array(F.create_map(F.lit("授课内容"), F.when(k == 0, F.concat(F.lit("案例 思政"), F.col("p_partkey").cast("string"))).otherwise("x")))
-    d = t.part.select("p_partkey", sections.picked_rows(table, text, ("序号", "主题")).alias("p"), merged.alias("m"), sections.inferred_rows(plan).alias("i"))
+    d = t.part.select("p_partkey", text_rows.pick(table, text, "teaching_content").alias("p"), merged.alias("m"), text_rows.infer(plan).alias("i"))
     return d.select("p_partkey", F.col("p.source").alias("picked"), F.size("p.rows").alias("rows"), F.array_join(F.transform("m", lambda r: r["序号"]), ",").alias("merged"), F.col("m")[0]["主题"].alias("filled"), F.col("i")[0]["授课方式"].alias("method"), F.col("i")[0]["思政元素的融入和预期教学成效"].alias("ideology"))
 
 
