@@ -136,7 +136,7 @@ def _byte_values(lower: bool) -> np.ndarray:
     return v
 
 
-_VALUE = _byte_values(True)
+CASELESS = _VALUE = _byte_values(True)
 #: Values for words that are told apart by case.
 AS_WRITTEN = _byte_values(False)
 _SPACE = np.zeros(256, dtype=bool)
@@ -156,15 +156,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _segment(texts: list[bytes], space: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
-    """Hashes and counts of the words, the joined texts, and each word's start and end in them."""
+def _segment(texts: list[bytes], space: np.ndarray, value: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """Hashes and counts of the words, the joined texts, and each word's start and end in them.
+
+    ``cut``: kinds of bytes; a byte of kind 1 and one of kind 2 beside it are never in one word.
+    """
     buf = b"\n".join(texts) + b"\n"
     arr = np.frombuffer(buf, dtype=np.uint8)
     sp = np.empty(len(arr) + 1, dtype=bool)
     sp[0] = True
     sp[1:] = space[arr]
-    starts = np.flatnonzero(sp[:-1] & ~sp[1:])
-    ends = np.flatnonzero(~sp[:-1] & sp[1:])
+    begins, stops = sp[:-1], sp[1:]
+    if cut is not None:
+        kind = cut[arr]
+        edge = np.zeros(len(arr), dtype=bool)
+        edge[1:] = (kind[1:] + kind[:-1] == 3) & (kind[1:] != kind[:-1])
+        begins, stops = begins | edge, stops | edge
+    starts = np.flatnonzero(begins & ~sp[1:])
+    ends = np.flatnonzero(~sp[:-1] & stops)
     power, inverse = _powers(len(arr))
     total = np.empty(len(arr) + 1, dtype=U64)
     total[0] = 0
@@ -202,7 +211,7 @@ def outside(*ranges: tuple[int, int]) -> np.ndarray:
     return out
 
 
-def distinct_words(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarray = _VALUE) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+def distinct_words(texts: list[bytes], space: np.ndarray = _SPACE, value: np.ndarray = _VALUE, cut: np.ndarray | None = None) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
     """(index of every word of all texts in ``words``, ``words``: the distinct ones as first written, words of each
     text, the distinct ones' hashes in order)."""
     parts, held, size = [], [], 0
@@ -210,7 +219,7 @@ def distinct_words(texts: list[bytes], space: np.ndarray = _SPACE, value: np.nda
         held.append(t)
         size += len(t) + 1
         if size >= SEGMENT_BYTES or i == len(texts) - 1:
-            parts.append(_segment(held, space, value))
+            parts.append(_segment(held, space, value, cut))
             held, size = [], 0
     if not parts:
         return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, U64)

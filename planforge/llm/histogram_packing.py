@@ -24,11 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import AS_WRITTEN, Scratch, chunks, distinct_words, partitions
+from .common import AS_WRITTEN, CASELESS, Scratch, chunks, distinct_words, partitions
 
 LENGTH, END, PAD = 2048, 1, 0
 #: Words that a worker process keeps encoded between chunks and tasks; beyond it, those of the last chunk.
-KNOWN = 500_000
+KNOWN = 300_000
+#: Bytes beside which the tokenizer always cuts: ASCII letters (1) and marks (2).  An apostrophe may go with letters behind it,
+#: and special tokens are written with angles and bars.
+CUT = np.zeros(256, dtype=np.uint8)
+CUT[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+CUT[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) not in "'<|>"]] = 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SEQUENCES = "sequence_id long, n_tokens int, padded_length int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids binary"
@@ -54,10 +59,14 @@ _KNOWN: dict[str, dict[bytes, bytes]] = {}
 def encode(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """(all texts' ids in order, ids of each text), without special tokens at their ends.
 
-    The tokenizer drops white space and nothing that it does reaches over it, so texts are put together from the ids of
-    their words as written between ASCII white space; each distinct one is encoded once, and kept between calls.
+    The tokenizer drops white space, lower-cases, and cuts between an ASCII letter and a mark; nothing that it does reaches
+    over these places.  So texts are put together from the ids of the words between them, and each distinct one, without
+    regard to case, is encoded once and kept between calls.  Only special tokens are found by case, so it counts where one may be.
     """
-    index, words, counts, _ = distinct_words(texts, value=AS_WRITTEN)
+    value = AS_WRITTEN if any(b"<|" in t for t in texts) else CASELESS
+    index, words, counts, _ = distinct_words(texts, value=value, cut=CUT)
+    if value is CASELESS:
+        words = [w.lower() for w in words]
     known = _KNOWN.setdefault(path, {})
     new = [w for w in words if w not in known]
     found = [e.ids for e in _tokenizer(path).encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
