@@ -63,6 +63,13 @@ TEMPLATE_ROWS = {
 }
 TEMPLATE_TABLES = {"jxnr": "教学内容表", "jxap": "教学安排表"}
 TEMPLATE_CHECKS = {"mbxxyzwz": "模板信息要素是否完整", "zywjj": "是否有中英文简介"}
+# fixed too: other names under which a document may have a field
+LABEL_NAMES = {
+    "课程编号": ("课 程 编 号",), "开课（院）系": ("开课院系", "开课(院)系"), "中文课程名称": ("中文名",), "英文课程名称": ("英文名",), "任课教师姓名": ("主讲教师",),
+    "E-mail": ("Email", "电子邮箱", "邮箱"), "课程/周次": ("周次", "序号", "课程"), "思政元素的融入和预期教学成效": ("思政元素", "预期教学成效"), "课程要求": ("学习要求", "课堂要求"),
+    "教学内容条目": ("教学内容", "课程内容"), "教学安排条目": ("教学安排", "课程安排", "授课安排", "教学进度"), "考核方式条目": ("考核方式", "课程考核", "成绩评定"),
+    "序号": ("编号",), "主题": ("单元",), "知识点": ("教学内容", "讲授内容"), "学时": ("课时", "教学学时"), "授课内容": ("讲授内容",), "授课方式": ("教学方式",), "考试形式": ("考核形式",), "占比": ("比例", "权重"),
+}
 SECTION_HINTS = {
     "jcxx": ("课程基本信息", "基本信息", "课程信息"), "kczwjj": ("课程中文简介",), "kcywjj": ("课程英文简介",),
     "ybzsyq": ("预备知识要求", "预备知识"), "jcjydcl": ("教材及阅读材料", "教材", "阅读材料"), "kcmb": ("课程目标", "教学目标"),

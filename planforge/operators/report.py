@@ -159,12 +159,13 @@ def verify(md: str | None, section: str, name: str, label: str, reason: str) ->
         return either(told)
     if reason != "missing_field":
         return "uncertain"
+    names = (label, *config.LABEL_NAMES.get(label, ()))  # any of a field's names counts
     if section == "jcxx":
-        return either(G.label_has_value(G.html_grids(body or md), label))
+        return either(any(G.label_has_value(G.html_grids(body or md), n) for n in names))
     if section == "kcmb":
-        return either(G.label_value_in_body(body or md, label) or G.label_has_value(G.html_grids(body), label))
+        return either(any(G.label_value_in_body(body or md, n) or G.label_has_value(G.html_grids(body), n) for n in names))
     if section in TABLE_SECTIONS:
-        seen = G.column_has_data(G.html_grids(body), label)
+        seen = any(G.column_has_data(G.html_grids(body), n) for n in names)
         return "extract_failure" if seen else "source_missing" if not told else "uncertain"
     return either(told) if section == "kcyq" else "uncertain"
 
@@ -183,10 +184,11 @@ def root_cause(recognised: Column, verdict: Column) -> Column:
 
 
 def recognised_label(text: str | None, label: str, section: str) -> bool:
-    """Whether recognised text names the label: in the head with a value for basic fields, else near a title."""
-    text, label = text or "", label or ""
-    if not text or not label:
-        return False
+    """Whether recognised text names the label, by any of its names: in the head with a value for basic fields, else near a title."""
+    return any(_recognised(text or "", n, section) for n in (label, *config.LABEL_NAMES.get(label or "", ())) if text and n)
+
+
+def _recognised(text: str, label: str, section: str) -> bool:
     if section == "jcxx":
         head = text[:6000]
         return any(_substantive(head[m.end() : m.end() + 80]) for m in T.flexible(label).finditer(head) if head[m.end() :].lstrip()[:1] in ("：", ":"))

@@ -57,8 +57,13 @@ def prepare_library(spark: SparkSession, store: Store, folder: str, explicit: st
     return store.read("courses").count()
 
 
-def run_audit(spark: SparkSession, store: Store, auditors: list[str] | None = None, limit: int | None = None, resume: int | None = None, factory: Callable | None = None, latest_only: bool = True) -> int:
-    """One batch: subjects, the limit, matching, rules, judges, one write, metrics.  Resumes a run without what it has.
+#: Subjects that are saved at a time.
+BATCH = 50_000
+
+
+def run_audit(spark: SparkSession, store: Store, auditors: list[str] | None = None, limit: int | None = None, resume: int | None = None, factory: Callable | None = None, latest_only: bool = True, batch: int = BATCH) -> int:
+    """One run: subjects, the limit, matching, then rules and judges batch by batch, metrics.  A batch's results are saved
+    before the next one begins, so a run that is lost keeps what it had saved, and a resumed one leaves that out.
 
     The limit comes before duplicates are looked for and before the resume, as the counts of a run expect.
     """
@@ -68,7 +73,7 @@ def run_audit(spark: SparkSession, store: Store, auditors: list[str] | None = No
     subjects = readers.subjects(store.read("extractions"), latest_only)
     if limit:
         subjects = R.newest(subjects, [F.desc("created_at"), F.desc("extraction_id")], limit)
-    total = subjects.count()
+    total, skipped = subjects.count(), 0
     matched = audit.match(subjects, store.read("courses"))
     if resume:
         done = store.completed_keys(resume)
@@ -77,26 +82,42 @@ def run_audit(spark: SparkSession, store: Store, auditors: list[str] | None = No
         matched, run_id = R.pending(matched, done, ["subject_key"]), resume
     else:
         run_id = store.create_run(auditors, {"auditors": auditors, "limit": limit}, total)
+    batches = max(1, -(-(total - skipped) // batch))
     try:
-        rules = audit.evaluate(matched, tuple(a for a in auditors if a not in config.MODEL_DIMENSIONS)).persist()
-        dims = audit.dimension_findings(rules).select("subject_key", "wd", F.lit("rule").alias("pdfs"), "status", "message", F.to_json(F.struct("reasons")).alias("details"))
-        every = rules
-        asked = [judges.judged(rules, wd, factory, f"{store.root}/llm_answers") for wd in config.MODEL_DIMENSIONS if wd in auditors]
-        if asked:
-            found = reduce(DataFrame.unionByName, asked).persist()
-            dims = dims.unionByName(found.select("subject_key", "wd", F.lit("direct_llm").alias("pdfs"), "status", "message", "suggestion", "details", "llm_trace"), allowMissingColumns=True)
-            every = audit.with_findings(rules, found)
-        res = audit.results(every).withColumn("kcbh", F.coalesce("match_code", "course_code")).withColumn("summary", F.to_json(F.struct("match_status", "match_method", "messages", F.col("reasons").alias("main_reasons"))))
-        store.save_audits(run_id, res, dims.where(F.col("wd").isin(*config.DIMENSIONS)), audit.field_findings(every))
+        if batches > 1:  # matched once for all batches
+            matched = store.work(matched.withColumn("_batch", F.pmod(F.xxhash64("subject_key"), F.lit(batches)).cast("int")), f"matched-{run_id}", "_batch")
+        for k in range(batches):
+            _audit_batch(store, run_id, matched.where(F.col("_batch") == k).drop("_batch") if batches > 1 else matched, auditors, factory)
         if broken := [r.asDict() for r in schemas.violations({n: store.read(n).where(F.col("run_id") == run_id) for n in ("results", "findings", "field_findings")} | {"runs": store.read("runs")}).where("n > 0").collect()]:
             raise ValueError(f"the run breaks {broken}")
         store.complete_run(run_id, run_metrics(store.read("results"), store.read("findings"), store.read("field_findings"), run_id, list(config.DIMENSIONS)))
     except Exception as e:
         store.fail_run(run_id, f"{type(e).__name__}: {e}")
         raise
+    finally:
+        store.drop_work(f"matched-{run_id}")
     return run_id
 
 
+def _audit_batch(store: Store, run_id: int, matched: DataFrame, auditors: list[str], factory: Callable | None) -> None:
+    """Rules and judges of some matched subjects, saved as one batch."""
+    rules = audit.evaluate(matched, tuple(a for a in auditors if a not in config.MODEL_DIMENSIONS)).persist()
+    dims = audit.dimension_findings(rules).select("subject_key", "wd", F.lit("rule").alias("pdfs"), "status", "message", F.to_json(F.struct("reasons")).alias("details"))
+    every, held = rules, [rules]
+    asked = [judges.judged(rules, wd, factory, f"{store.root}/llm_answers") for wd in config.MODEL_DIMENSIONS if wd in auditors]
+    if asked:
+        found = reduce(DataFrame.unionByName, asked).persist()
+        held.append(found)
+        dims = dims.unionByName(found.select("subject_key", "wd", F.lit("direct_llm").alias("pdfs"), "status", "message", "suggestion", "details", "llm_trace"), allowMissingColumns=True)
+        every = audit.with_findings(rules, found)
+    res = audit.results(every).withColumn("kcbh", F.coalesce("match_code", "course_code")).withColumn("summary", F.to_json(F.struct("match_status", "match_method", "messages", F.col("reasons").alias("main_reasons"))))
+    try:
+        store.save_audits(run_id, res, dims.where(F.col("wd").isin(*config.DIMENSIONS)), audit.field_findings(every))
+    finally:
+        for df in held:
+            df.unpersist()
+
+
 def _cached(spark: SparkSession, store: Store, name: str, wanted: DataFrame, derive: Callable[[DataFrame], DataFrame], refresh: bool) -> DataFrame:
     """Rows of a derived table of the store that are fresh, others made and stored before they are used."""
     cache = store.derived(name, readers.CACHE)

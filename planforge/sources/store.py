@@ -24,6 +24,8 @@ from ..operators import relational as R
 #: Run states that can be resumed.
 RESUMABLE = ("failed", "running", "created")
 AUDIT_TABLES = ("results", "findings", "field_findings")
+#: Tables that grow by batches, which their marks make visible.
+BATCHED = (*AUDIT_TABLES, "extractions")
 
 
 class Store:
@@ -55,8 +57,8 @@ class Store:
         """Empty tables; the numbers of their rows begin anew."""
         for name in names or schemas.TABLES:
             self._replace(name, self.spark.createDataFrame([], schemas.struct(schemas.TABLES[name])))
-        if not names or set(names) & set(AUDIT_TABLES):
-            fs, p = self._fs(f"{self.root}/_marks")
+        for folder in {self._marks(n) for n in names or BATCHED if n in BATCHED}:
+            fs, p = self._fs(folder)
             fs.delete(p, True)
 
     def _version(self, name: str) -> str:
@@ -64,10 +66,14 @@ class Store:
         done = [int(x[:-5]) for x in self._list(f"{self.root}/{name}") if x.endswith(".done")]
         return f"{self.root}/{name}/{max(done, default=0)}"
 
+    def _marks(self, name: str) -> str:
+        """The folder of the marks that make a table's batches visible; the tables of an audit share theirs."""
+        return f"{self.root}/_marks" + ("" if name in AUDIT_TABLES else f"_{name}")
+
     def read(self, name: str) -> DataFrame:
         schema = schemas.struct(schemas.TABLES[name])
         df = self.spark.read.schema(schema).parquet(self._version(name))
-        marks = self._list(f"{self.root}/_marks") if name in AUDIT_TABLES else []
+        marks = self._list(self._marks(name)) if name in BATCHED else []
         if marks:  # one scan of all marked batches
             df = df.unionByName(self.spark.read.schema(schema).parquet(*[f"{self.root}/batches/{m}/{name}" for m in marks]))
         return df
@@ -93,29 +99,37 @@ class Store:
     def replace_derived(self, name: str, df: DataFrame) -> None:
         self._replace(name, df)
 
-    def mark(self, name: str) -> None:
-        """Note that something was done, for ``marked``."""
-        fs, path = self._fs(f"{self.root}/_notes/{name}")
-        fs.create(path).close()
+    def work(self, df: DataFrame, name: str, by: str) -> DataFrame:
+        """A table of a run's own, in folders by a column; ``drop_work`` deletes it."""
+        path = f"{self.root}/_work/{name}"
+        df.write.mode("overwrite").partitionBy(by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def marked(self, name: str) -> bool:
-        return self._exists(f"{self.root}/_notes/{name}")
+    def drop_work(self, name: str) -> None:
+        fs, p = self._fs(f"{self.root}/_work/{name}")
+        fs.delete(p, True)
 
     # --- extractions and courses ---
-    def append_extractions(self, rows: DataFrame) -> int:
-        """Append, with ids above those of the table where there is none; the number of rows.
+    def append_extractions(self, rows: DataFrame, batch: str | None = None) -> int:
+        """Append a batch, with ids above those of the table where there is none; the number of rows.
 
-        New ids follow the rows' place in the table that is written first, so no two rows of a batch share one.
+        The batch is a folder that its mark makes visible, so a driver that is lost at any moment leaves all of it or
+        nothing.  A batch of a given name is appended once: what was written without a mark is written anew, and one that has
+        its mark adds no rows.  New ids follow the rows' place in the folder's tasks, so no two rows of a batch share one.
         """
+        batch = batch or uuid.uuid4().hex
+        fs, mark = self._fs(f"{self._marks('extractions')}/{batch}")
+        if fs.exists(mark):
+            return 0
         schema = schemas.struct(schemas.EXTRACTIONS)
         for name, value in (("extraction_id", F.lit(None).cast("long")), ("created_at", F.lit(None).cast("timestamp"))):
             rows = rows if name in rows.columns else rows.withColumn(name, value)
         last = self.read("extractions").agg(F.coalesce(F.max("extraction_id"), F.lit(0))).first()[0]
         rows = rows.withColumn("created_at", F.coalesce("created_at", F.current_timestamp())).withColumn("extraction_id", F.coalesce("extraction_id", F.lit(last) + 1 + F.monotonically_increasing_id()))
-        before = self.read("extractions").count()
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(self._version("extractions"))
-        self.spark.catalog.refreshByPath(self._version("extractions"))
-        return self.read("extractions").count() - before
+        folder = f"{self.root}/batches/{batch}/extractions"
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("overwrite").parquet(folder)
+        fs.create(mark).close()
+        return self.spark.read.schema(schema).parquet(folder).count()
 
     def succeeded(self) -> DataFrame:
         return self.read("extractions").where("extraction_status = 'success'").select("source_path").distinct()

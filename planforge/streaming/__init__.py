@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,13 +14,13 @@ from ..sources.store import Store
 def prepare_stream(spark: SparkSession, store: Store, incoming: str, checkpoint: str) -> StreamingQuery:
     """Documents (JSON lines of source_path, md, middle) become extractions, once each while the checkpoint stays.
 
-    A batch that is run again after a failure is skipped: its number is kept beside the table it was appended to.
+    A batch that is run again after a failure, wherever it was lost, replaces what it had written or, once it was marked,
+    adds nothing: the store appends a batch of one name once.
     """
     docs = spark.readStream.schema("source_path string, md string, middle string").json(incoming)
+    name = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
 
     def append(batch, number: int) -> None:
-        if not store.marked(f"stream-{number}"):
-            store.append_extractions(prepare_documents(batch))
-            store.mark(f"stream-{number}")
+        store.append_extractions(prepare_documents(batch), f"stream-{name}-{number}")
 
     return docs.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -178,6 +178,48 @@ def test_store_survives_a_lost_driver(spark, tmp_path):
     assert store.read("extractions").count() == 0
 
 
+def test_a_batch_is_appended_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.init()
+    rows = drivers.prepare_documents(spark.createDataFrame([("d", MD.format(weeks=2, hours=4), None)], "source_path string, md string, middle string"))
+    # a driver that was lost between writing and marking
+    store.read("extractions").write.parquet(f"{tmp_path}/batches/b1/extractions")
+    assert store.read("extractions").count() == 0
+    assert store.append_extractions(rows, "b1") == 1 and store.append_extractions(rows, "b1") == 0 and store.append_extractions(rows, "b2") == 1
+    found = store.read("extractions").collect()
+    assert [r.source_path for r in found] == ["d", "d"] and len({r.extraction_id for r in found}) == 2
+
+
+def test_a_run_keeps_what_it_saved(spark, tmp_path, monkeypatch):
+    """A run that is lost in its second batch resumes with the subjects of the first saved."""
+    from planforge.operators import audit
+
+    store = Store(spark, str(tmp_path))
+    store.init()
+    docs = spark.createDataFrame([(f"d{i}", MD.format(weeks=2, hours=4), None) for i in range(6)], "source_path string, md string, middle string")
+    store.append_extractions(drivers.prepare_documents(docs))
+    own, calls = audit.results, []
+
+    def results(evaluated):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return own(evaluated)
+
+    monkeypatch.setattr(audit, "results", results)
+    rules = ["jxnrsfyxspp", "jxapsfyzcpp"]
+    with pytest.raises(RuntimeError, match="lost"):
+        drivers.run_audit(spark, store, rules, batch=3)
+    run = store.read("runs").first().run_id
+    assert store.run(run)["status"] == "failed"
+    kept = {r.subject_key for r in store.completed_keys(run).collect()}
+    assert 0 < len(kept) < 6 and not (tmp_path / "_work" / f"matched-{run}").exists()
+    assert drivers.run_audit(spark, store, rules, resume=run, batch=2) == run and store.run(run)["status"] == "completed"
+    rows = store.read("results").collect()
+    assert len(rows) == len({r.subject_key for r in rows}) == 6 and json.loads(store.run(run)["summary"])["skipped"] == len(kept)
+    assert store.read("findings").count() == 12
+
+
 def test_stream(spark, tmp_path):
     from planforge.streaming import prepare_stream
 

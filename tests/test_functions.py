@@ -198,6 +198,18 @@ def test_verification_and_root_cause(spark):
     assert [r[0] for r in df.coalesce(1).select(report.root_cause(F.col("m"), F.col("v"))).collect()] == ["lost_in_conversion", "truly_missing", "false_alarm", "false_alarm", "review_content", "review_structure"]
 
 
+def test_any_name_of_a_label_counts():
+    from planforge.operators import report
+
+    md = "## （五）教学安排\n<table><tr><th>周次</th><th>讲授内容</th></tr><tr><td>1</td><td>导论</td></tr></table>\n## （一）课程基本信息\n<table><tr><td>电子邮箱</td><td>a@b.cn</td></tr></table>\n"
+    assert report.verify(md, "jxap", "zs", "课程/周次", "missing_field") == "extract_failure"
+    assert report.verify(md, "jxap", "sknr", "授课内容", "missing_field") == "extract_failure"
+    assert report.verify(md, "jcxx", "email", "E-mail", "missing_field") == "extract_failure"
+    assert report.verify(md, "jcxx", "lxdh", "联系电话", "missing_field") == "source_missing"
+    assert report.recognised_label("主讲教师：张三丰", "任课教师姓名", "jcxx") and not report.recognised_label("教师：张三丰", "任课教师姓名", "jcxx")
+    assert not report.recognised_label(None, "序号", "jxnr") and not report.recognised_label("x", None, "jxnr")
+
+
 def test_sections_present():
     assert report.section_present("课程 编号：X", "kcbh") and not report.section_present("x" * 9000 + "课程编号", "kcbh")
     assert report.section_present("二、教学内容\n导论与历史沿革\n方法与推断\n", "jxnr") and not report.section_present("教学内容", "jxnr")
