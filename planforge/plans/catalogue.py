@@ -735,18 +735,47 @@ def audit_results(t):
     return out.select("subject_key", "match_status", "match_method", "fail_count", "warning_count", "overall_status", F.col("messages")[0].alias("message"), F.size("messages").alias("messages"), F.size("reasons").alias("reasons"))
 
 
-@query("""WITH l AS (SELECT l_orderkey, count(*) AS n, max(l_linenumber) AS last FROM lineitem GROUP BY 1)
-SELECT 'extraction:' || (o_orderkey + 1) AS subject_key, unnest(['kcjbxxsfykckyz', 'jxnrsfyxspp', 'jxapsfyzcpp', 'xxyzwzfhmb']) AS wd, unnest(['fail', CASE WHEN n IS NULL THEN 'fail' ELSE 'pass' END, CASE WHEN last = o_orderkey % 19 + 1 THEN 'pass' ELSE 'fail' END, 'fail']) AS status,
-  unnest([NULL, CASE WHEN n IS NULL THEN CASE WHEN o_orderkey % 3 > 0 THEN '基础信息总学时为空；教学内容总学时为空' ELSE '基础信息总学时为空；教学内容总学时为空' END ELSE '' END,
-    CASE WHEN last IS NULL THEN '教学安排周次为空，无法判断最大周次是否匹配' WHEN last = o_orderkey % 19 + 1 THEN '' ELSE '教学安排最大周次为 ' || last || '，基础信息上课周数为 ' || (o_orderkey % 19 + 1) END, NULL]) AS reasons
-FROM orders LEFT JOIN l ON l_orderkey = o_orderkey""")
+def _expected_reasons() -> str:
+    """SQL of what the rules must say of ``_subjects``: of the match and the basic fields, and of the template."""
+    from .. import config as c
+
+    filled = {"kcbh": "coded", "zwkcmc": "true", "ywkcmc": "true", "zxs": "true", "skzs": "true", "zongxs": "total", "jsgh": "true"}
+    unlike = {"kcbh": "课程编号为空", "skzs": "上课周数与课程库不一致：课程库为 10，PDF 为 ' || weeks || '", "zongxs": "课程库中总学时为空"}
+    same = {"kcbh": "coded", "skzs": "weeks = 10", "zwkcmc": "true", "ywkcmc": "true", "zxs": "true"}
+    compared = []
+    for own, _ in c.COMPARED:
+        label = c.LABEL_OF[own]
+        both = f"'PDF 和课程库中的{label}都为空'"
+        compared.append(both if own not in filled else f"CASE WHEN {filled[own]} THEN '{unlike[own]}' ELSE {both} END" if own == "zongxs" else f"CASE WHEN NOT ({same[own]}) THEN '{unlike.get(own, '')}' END")
+    formula = "CASE WHEN total AND 2 * weeks <> h THEN '总学时不等于周学时乘以上课周数：总学时为 ' || h || '，周学时 2 × 上课周数 ' || weeks || ' = ' || 2 * weeks END"
+    contacts = [f"'{c.LABEL_OF[k]}为空'" for k in c.CONTACT_FIELDS if k not in filled]
+    match = f"CASE WHEN shared THEN '{c.SHARED_CODE[True]}' END", f"CASE WHEN shared THEN '{c.MATCHED['document_name', True]}' WHEN coded THEN '{c.MATCHED['code', False]}' ELSE '{c.MATCHED['document_name', False]}' END"
+    basic = ", ".join([match[0], f"replace({match[1]}, '{{name}}', c_name)", *compared, formula, *contacts])
+    titled = "CASE WHEN h IS NOT NULL THEN '；原文辅助信息中只有章节标题，没有该字段的填写内容' ELSE '' END"
+    parts = [f"CASE WHEN NOT ({filled.get(k, 'false')}) {'AND h IS NULL ' if k == 'zongxs' else ''}THEN '{label}为空' || {titled} END" for label, k in c.BASIC_FIELDS.items() if k not in c.KEY_PRESENT_FIELDS]
+    parts += [f"'{c.LABEL_OF[k]}字段缺失'" for k in c.KEY_PRESENT_FIELDS] + [f"'{label}为空'" for k, label in c.TOP_LEVEL.items() if k != "kczwjj"] + [f"'{label}为空'" for k, label in c.GOALS.items() if k != "szmb"]
+    parts += ["CASE WHEN n = 0 THEN '教学内容总学时为空' END", "CASE WHEN n = 0 THEN '教学内容表为空' END"]
+    rows = [f"jxap第 ' || i || ' 行{c.TEMPLATE_ROWS['jxap'][k]}为空" for k in ("skfs", "szyqjxx")]
+    table = f"CASE WHEN n = 0 THEN ['教学安排表为空'] ELSE flatten(list_transform(range(1, n + 1), lambda i: ['{rows[0]}', '{rows[1]}'])) END"
+    clean = lambda x: f"array_to_string(list_filter({x}, lambda r: r IS NOT NULL), '；')"
+    return f"{clean(f'[{basic}]')} AS basic, {clean(f'list_concat([{', '.join(parts)}], {table})')} AS template"
+
+
+@query(f"""WITH l AS (SELECT l_orderkey, count(*) AS n, max(l_linenumber) AS last, sum(l_quantity)::INT AS h FROM lineitem GROUP BY 1),
+shared AS (SELECT o_custkey FROM orders WHERE o_orderkey % 5 > 0 GROUP BY 1 HAVING count(*) > 1),
+s AS (SELECT o_orderkey, c_name, o_orderkey % 5 > 0 AS coded, o_orderkey % 19 + 1 AS weeks, coalesce(n, 0) AS n, last, h, o_orderkey % 3 > 0 AND h IS NOT NULL AS total, shared.o_custkey IS NOT NULL AND o_orderkey % 5 > 0 AS shared
+  FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN l ON l_orderkey = o_orderkey LEFT JOIN shared ON shared.o_custkey = orders.o_custkey),
+r AS (SELECT *, {_expected_reasons()} FROM s)
+SELECT 'extraction:' || (o_orderkey + 1) AS subject_key, unnest(['kcjbxxsfykckyz', 'jxnrsfyxspp', 'jxapsfyzcpp', 'xxyzwzfhmb']) AS wd, unnest(['fail', CASE WHEN n = 0 THEN 'fail' ELSE 'pass' END, CASE WHEN last = weeks THEN 'pass' ELSE 'fail' END, 'fail']) AS status,
+  unnest([basic, CASE WHEN n = 0 THEN '基础信息总学时为空；教学内容总学时为空' ELSE '' END,
+    CASE WHEN last IS NULL THEN '教学安排周次为空，无法判断最大周次是否匹配' WHEN last = weeks THEN '' ELSE '教学安排最大周次为 ' || last || '，基础信息上课周数为 ' || weeks END, template]) AS reasons FROM r""")
 def dimension_statuses(t):
-    """Verdicts of the rules' dimensions, with the reasons of two."""
+    """Verdicts of the rules' dimensions, with every reason in its order."""
     from ..operators import audit
 
     subjects, library = _subjects(t)
     d = audit.dimension_findings(audit.evaluate(audit.match(subjects, library)))
-    return d.select("subject_key", "wd", "status", F.when(F.col("wd").isin("jxnrsfyxspp", "jxapsfyzcpp"), F.array_join("reasons", "；")).alias("reasons"))
+    return d.select("subject_key", "wd", "status", F.array_join("reasons", "；").alias("reasons"))
 
 
 @query("""SELECT event_id, CASE WHEN (props->>'$.k')::INT % 2 = 0 THEN 'fail' ELSE 'warning' END AS status, event_type || '存在抽取问题：' || CASE WHEN (props->>'$.k')::INT % 2 = 0 THEN '字段为空' ELSE '存在未知列' END || '。' AS message
