@@ -242,14 +242,6 @@ def label_pairs(cells: Iterable[str | None], labels: Iterable[str]) -> list[tupl
     return out + ([(waiting, "")] if waiting else [])
 
 
-def has_label(text: str | None, label: str, section_name: str = "") -> bool:
-    """Whether recognised text names the label, within the section's neighbourhood where there is one."""
-    text = re.sub(r"\s+", "", text or "")
-    label = re.sub(r"\s+", "", label)
-    at = text.find(section_name) if section_name else -1
-    return label in (text[at : at + 4000] if at >= 0 else text)
-
-
 def sanitise(value: object, path: str = "") -> tuple[object, list[str]]:
     """A JSON value without control characters, and the paths that changed."""
     if isinstance(value, str):

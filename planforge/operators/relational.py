@@ -83,11 +83,6 @@ def newest(df: DataFrame, order: list[Column], limit: int | None = None) -> Data
     return ordered.limit(limit) if limit else ordered
 
 
-def union_in_order(parts: list[DataFrame], ordinal: str = "ord") -> DataFrame:
-    """Bag union of findings of independent rules; ``ordinal`` says which rule a row is of."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn(ordinal, F.lit(i)) for i, p in enumerate(parts)])
-
-
 def anti_either(df: DataFrame, others: DataFrame, keys: list[list[str]]) -> DataFrame:
     """Rows that agree with none of ``others`` on any of the key lists: one anti join for each list."""
     return reduce(lambda d, k: d.join(others.select(*k).distinct(), k, "left_anti"), keys, df)
@@ -119,12 +114,6 @@ def choose_candidate(candidates: Column, margin: float) -> Column:
     return F.aggregate(F.slice(candidates, 2, F.greatest(F.size(candidates) - 1, F.lit(1))), candidates[0], lambda best, c: F.when(better(best, c), c).otherwise(best))
 
 
-def pick_rows(table_rows: Column, text_rows: Column, table_score: Column, text_score: Column, min_rows: int = 2, margin: float = 0.15) -> Column:
-    """Rows of the table unless they are too few or the text's are clearly more complete."""
-    worse = (F.size(table_rows) < min_rows) & (F.size(text_rows) >= F.size(table_rows)) & (F.size(text_rows) > 0)
-    return F.when(worse | (text_score >= table_score + margin), text_rows).otherwise(table_rows)
-
-
 def status_counts(df: DataFrame, status: str) -> DataFrame:
     return df.groupBy(status).agg(F.count("*").alias("n"))
 

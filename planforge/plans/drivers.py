@@ -17,7 +17,7 @@ from ..functions import grids as G
 from ..operators import audit, judges, payload, report, sections
 from ..operators import relational as R
 from ..sources import readers
-from ..sources.store import Store, logger, run_metrics
+from ..sources.store import Store, logger, run_metrics, write_csv, write_json
 
 
 def _finished(raw: DataFrame, extractor: str) -> DataFrame:
@@ -150,6 +150,17 @@ def quality_report(spark: SparkSession, store: Store, manifest: str, root: str,
     }
 
 
+def raw_report(spark: SparkSession, manifest: str, raw: str, out: str) -> dict[str, int]:
+    """Which documents of a manifest recognition has output for, as CSV, and how many of each status, as JSON."""
+    found = readers.raw_coverage(readers.manifest(spark, manifest), readers.raw_outputs(spark, raw)).persist()
+    write_csv(found.orderBy("status", "stem"), f"{out}/raw_coverage.csv")
+    counts = R.status_counts(found, "status")
+    write_json(counts, f"{out}/raw_counts.json")
+    told = {r.status: r.n for r in counts.collect()}
+    found.unpersist()
+    return told
+
+
 #: Other names of the commands.
 ALIASES = {"prepare-mineru": "prepare", "prepare-courses": "prepare-library", "run-batch": "audit"}
 
@@ -159,7 +170,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--store", required=True)
     sub = parser.add_subparsers(dest="command", required=True)
     commands = {
-        "init": (), "prepare": ("manifest", "root"), "prepare-pdf": ("folder",), "prepare-library": ("folder",), "audit": (), "report": ("manifest", "root", "out"),
+        "init": (), "prepare": ("manifest", "root"), "prepare-pdf": ("folder",), "prepare-library": ("folder",), "audit": (), "report": ("manifest", "root", "out"), "raw-coverage": ("manifest", "raw", "out"),
     }
     for name, options in commands.items():
         p = sub.add_parser(name, aliases=[a for a, of in ALIASES.items() if of == name])
@@ -186,6 +197,8 @@ def main(argv: list[str] | None = None) -> int:
     elif command == "audit":
         run_id = run_audit(spark, store, limit=args.limit, resume=args.resume, factory=judges.client_from_env)
         log.info("audited", extra={"fields": {"run_id": run_id, "summary": store.run(run_id)["summary"]}})
+    elif command == "raw-coverage":
+        log.info("raw coverage", extra={"fields": raw_report(spark, args.manifest, args.raw, args.out)})
     elif command == "report":
         tables = quality_report(spark, store, args.manifest, args.root, args.refresh)
         Path(args.out).write_text(report.markdown_report("Data quality", tables), encoding="utf-8")

@@ -243,6 +243,16 @@ def test_raw_outputs(spark, tmp_path):
     assert [r.stem for r in R.orphans(outs, docs, "stem").collect()] == ["orphan"]
 
 
+def test_raw_coverage_as_files(spark, tmp_path):
+    for name in ("a/auto/a.md", "b/auto/x.json"):
+        (tmp_path / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / name).write_text("x")
+    (tmp_path / "m.jsonl").write_text("\n".join(json.dumps({"stem": s, "source_pdf": s, "md": "m", "status": "success"}) for s in "abc"))
+    assert drivers.raw_report(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "raw"), str(tmp_path / "out")) == {"has_md": 1, "dir_only": 1, "missing": 1}
+    text = next((tmp_path / "out/raw_coverage.csv").glob("part-*")).read_text(encoding="utf-8")
+    assert text.startswith("\ufeffstem,status") and text.splitlines()[1:] == ["b,dir_only", "a,has_md", "c,missing"]
+
+
 def test_settings(tmp_path):
     (tmp_path / "s.json").write_text('{"severity": {"missing_field": "warn"}}')
     assert config.load(str(tmp_path / "s.json"))["severity"]["missing_field"] == "warn" and config.load()["severity"]["missing_field"] == "error"
