@@ -326,7 +326,7 @@ def array_hours_sum(t):
     return rows.select("l_orderkey", C.hours_sum(F.col("tm")).alias("hours"), F.size("tm").cast("bigint").alias("rows"))
 
 
-@query(r"""SELECT doc_id, round(r, 3) AS ratio, round(100 - CASE WHEN r > 0.35 THEN least(25, r * 40) ELSE 0 END, 1) AS score, r > 0.35 AS rerun FROM (
+@query(r"""SELECT doc_id, round(100 - CASE WHEN r > 0.35 THEN least(25, r * 40) ELSE 0 END, 1) AS score, r > 0.35 AS rerun FROM (
   SELECT doc_id, coalesce(len(list_filter(w, lambda v: length(v) <= 4)) / nullif(len(w), 0), 0) AS r FROM (
     SELECT doc_id, regexp_extract_all(regexp_replace(coalesce(text, ''), '[^ -~\n]', ' ', 'g'), '\b[A-Za-z]{2,5}\b') AS w FROM documents))""")
 def ocr_quality(t):
@@ -335,7 +335,7 @@ def ocr_quality(t):
 
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^ -~\n]", " ")
     q = t.documents.select("doc_id", sections.quality_of(text, F.lit(None).cast("array<array<array<string>>>")).alias("q"))
-    return q.select("doc_id", F.col("q.ratio").alias("ratio"), F.col("q.score").alias("score"), F.col("q.rerun").alias("rerun"))
+    return q.select("doc_id", F.col("q.score").alias("score"), F.col("q.rerun").alias("rerun"))
 
 
 @query("""SELECT l_orderkey, array_to_string(list_sort(list_filter(range(1, m + 1), lambda x: NOT list_contains(s, x::INT))), ',') AS missing FROM (
