@@ -28,7 +28,7 @@ SLOT = "slot_sha binary, slot int, keep_row long, keep_id long, group_size long"
 #: Distinct texts that a task aggregates before it passes its sums on.
 HELD = 100_000
 #: Longest prefix of a key that the directory looks at: it never exceeds 2**DEPTH rows.  Above 2**(DEPTH-1) buckets'
-#: worth of bytes the buckets' capacity grows with the input instead (from 4 TB of distinct texts at 16 MB a bucket).
+#: worth of bytes the buckets' capacity grows with the input instead (from 2 TB of distinct texts at 16 MB a bucket).
 DEPTH = 18
 #: Owner tasks at most, and bytes of neighbouring buckets that an owner takes, fewer where there are few bytes in all.
 OWNERS, OWNED = 50_000, 64 << 20
