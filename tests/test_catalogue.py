@@ -42,3 +42,22 @@ def test_entry(spark):
     if os.path.isdir(DATA):
         assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def same_as_sql(spark, db, name, folder):
+    want = db.execute(catalogue.SQL[name])
+    names = [d[0] for d in want.description]
+    got = catalogue.QUERIES[name](spark, folder).select(*names).collect()
+    rows = sorted(tuple(map(norm, r)) for r in want.fetchall())
+    assert sorted(tuple(map(norm, r)) for r in got) == rows
+    return rows
+
+
+def test_ocr_quality_halves(spark, tmp_path):
+    """Scores of 76.25 and 81.25: 19 and 15 short words of 32."""
+    texts = [" ".join(["the"] * short + ["house"] * (n - short)) for short, n in ((19, 32), (15, 32), (17, 32), (17, 33), (2, 3), (3, 8), (0, 1))] + ["", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    rows = same_as_sql(spark, con, "ocr_quality", str(tmp_path))
+    assert [r for r in rows if r[0] in ("0.0", "1.0")] == [("0.0", "76.3", "True"), ("1.0", "81.3", "True")]
