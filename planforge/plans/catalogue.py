@@ -567,7 +567,7 @@ def finding_union(t):
     from ..operators import audit
 
     subjects, library = _subjects(t)
-    found = audit.field_findings(audit.evaluate(audit.match(subjects, library)))
+    found = audit.field_findings(audit.evaluate(audit.match(subjects, library), fields=()))
     counted = found.groupBy("subject_key").agg(F.count("*").alias("findings"), F.max("ord").alias("last"))
     return counted.where(F.col("last") + 1 == F.col("findings")).select("subject_key", "findings")
 
@@ -731,7 +731,7 @@ def audit_results(t):
     from ..operators import audit
 
     subjects, library = _subjects(t)
-    out = audit.results(audit.evaluate(audit.match(subjects, library)))
+    out = audit.results(audit.evaluate(audit.match(subjects, library), fields=("reason", "message")))
     return out.select("subject_key", "match_status", "match_method", "fail_count", "warning_count", "overall_status", F.col("messages")[0].alias("message"), F.size("messages").alias("messages"), F.size("reasons").alias("reasons"))
 
 
@@ -774,7 +774,7 @@ def dimension_statuses(t):
     from ..operators import audit
 
     subjects, library = _subjects(t)
-    d = audit.dimension_findings(audit.evaluate(audit.match(subjects, library)))
+    d = audit.dimension_findings(audit.evaluate(audit.match(subjects, library), fields=("reason",)))
     return d.select("subject_key", "wd", "status", F.array_join("reasons", "；").alias("reasons"))
 
 
