@@ -13,7 +13,8 @@ Equal sets are one class with one representative, so copies are never compared.
 3. what is left: the classes outside the bucket's largest component against those of other components.  Buckets of
    at most ``SMALL`` classes give pairs; larger ones are compared in blocks, whose exact intersections are a matrix
    product over the shingles that both sides share, and give at most one link for each class and component.  Buckets
-   of more than ``REBAND`` classes are dealt once more first, to buckets of classes that share another band too.
+   of more than ``REBAND`` classes are dealt once more first, to buckets of classes that share two of them: what shares
+   one of them and a smaller bucket is compared in the smaller one.
 
 After the third step every two classes that share a bucket (of a large one: two bands) are linked through a path, or
 were compared, or belong to one component, and the work falls on pairs of different components.  A pair at similarity
@@ -321,9 +322,10 @@ def near_dedup(docs: DataFrame, reband: int = REBAND) -> DataFrame:
     left = several(placed(left.select("key", "cid"), labels), "left2")
     large = scratch.table(left.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > reband).select("key"), "large")
     if large.limit(1).count():
-        again = left.join(large, "key").select(F.col("key").alias("first"), "cid", "comp").join(bands.select("cid", F.col("key").alias("second")), "cid").where("first <> second")
-        # a pair of bands has one key in whichever order they are met
-        again = again.select(F.xxhash64(F.least("first", "second"), F.greatest("first", "second")).alias("key"), "cid", "comp").distinct()
+        # classes of two components that share a smaller bucket too meet in that one, which is in ``left``
+        crowded = scratch.table(left.join(large, "key"), "crowded")
+        second = crowded.select("cid", F.col("key").alias("second"))
+        again = crowded.select(F.col("key").alias("first"), "cid", "comp").join(second, "cid").where("first < second").select(F.xxhash64("first", "second").alias("key"), "cid", "comp")
         left = several(left.join(large, "key", "left_anti").unionByName(again), "left3")
     sizes = left.groupBy("key", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"))

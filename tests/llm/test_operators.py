@@ -627,3 +627,26 @@ def test_matrices_are_written(spark, tmp_path):
     packing.write_matrices(packed, str(tmp_path / "m"))
     back = spark.read.parquet(str(tmp_path / "m")).collect()
     assert [len(r.ids) for r in back] == [16] and back[0].cu_seqlens[-1] == back[0].n_tokens
+
+
+def test_near_dedup_crowded_buckets(spark, monkeypatch):
+    """Members of large buckets are dealt to pairs of large buckets only, so there are no more rows than those met before."""
+    r, rows = random.Random(5), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(60):
+        v = list(base)
+        for _ in range(r.randint(0, 6)):
+            v[r.randrange(120)] = f"v{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(v)))
+    counts, table = {}, near_dedup.Scratch.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        if name in ("left2", "left3"):
+            counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup.Scratch, "table", counted)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), reband=25).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute_near(rows)
+    assert 0 < counts["left3"] <= 6 * counts["left2"], counts
