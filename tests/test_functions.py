@@ -243,3 +243,20 @@ def test_unique_names_and_gaps(spark):
     assert got == {0: "a", 1: "a_3", 2: "a_4", 3: "b", 4: "a_2", 5: "c"}
     rows = spark.createDataFrame([([("", [("k", "v")])],), ([("x", [("k", "v")])],), ([("", [])],), ([],)], "tm array<struct<f:string,kzzd:array<struct<bt:string,nr:string>>>>")
     assert [r[0] for r in rows.coalesce(1).select(C.gap_rows(F.col("tm"), "f")).collect()] == [True, False, False, False]
+
+
+def test_plain_tags_need_no_general_parser(monkeypatch):
+    plain = '<table class="a"><tbody><TR><td>序号</td><td rowspan="2">主题\n<br>x</td></tr><tr><td colspan="2">1</td></tr></table>尾<table><tr><th>a</th></tr><td>b > c'
+    odd = ("<table><tr><td>a &amp; b</td></tr></table>", "<table><tr><td colspan=2>a<td>b</td x></tr></table>", "<table><tr><td>a < b<script><td>x</script></td></tr></table>", "<table><tr><td>a<", "<table><!-- <td>x</td> --><tr><td>y</td></tr>")
+
+    def general(html):
+        parser = G._Tables()
+        parser.feed(html)
+        return parser.tables
+
+    for html in (plain, *odd, ""):
+        assert G._Tables().read(html) == general(html)
+    expect = G.html_grids(plain)
+    assert expect == [[["序号", "主题 x"], ["1", None]], [["a", "b > c"]]]
+    monkeypatch.setattr(G._Tables, "feed", lambda self, html: pytest.fail("general parser"))
+    assert G.html_grids(plain) == expect
