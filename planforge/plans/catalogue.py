@@ -831,7 +831,7 @@ def llm_offline(t):
     from ..operators import judges
 
     subjects, _ = _subjects(t)
-    out = judges.judged(subjects, judges.GOALS_DIMENSION).unionByName(judges.judged(subjects, judges.IDEOLOGY_DIMENSION))
+    out = judges.unasked(subjects, judges.GOALS_DIMENSION, judges.IDEOLOGY_DIMENSION)
     return out.select("subject_key", "wd", "status", "message", F.size("fields").alias("fields"), F.get_json_object("llm_trace", "$.calls[0].status").alias("call"), F.col("fields")[0]["reason"].alias("reason"))
 
 

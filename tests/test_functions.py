@@ -260,3 +260,20 @@ def test_plain_tags_need_no_general_parser(monkeypatch):
     assert expect == [[["序号", "主题 x"], ["1", None]], [["a", "b > c"]]]
     monkeypatch.setattr(G._Tables, "feed", lambda self, html: pytest.fail("general parser"))
     assert G.html_grids(plain) == expect
+
+
+def test_without_a_client_no_prompt_is_made(spark, monkeypatch):
+    from planforge import schemas
+
+    rows = [(str(i), {"kcmb": {"szmb": g}, "jxap": {"tm": tm}} if g != "none" else None, {"full_text": "x"}) for i, (g, tm) in enumerate([("课程思政目标要明确写出", [{"szyqjxx": "诚信守时敬业"}]), ("a", [{"szyqjxx": ""}]), (None, []), ("none", None)])]
+    df = spark.createDataFrame([(k, json.dumps(p, ensure_ascii=False) if p else None, json.dumps(m)) for k, p, m in rows], "subject_key string, p string, m string")
+    df = df.select("subject_key", F.from_json("p", schemas.PAYLOAD).alias("payload"), F.from_json("m", schemas.META).alias("meta"))
+    dimensions = (judges.GOALS_DIMENSION, judges.IDEOLOGY_DIMENSION)
+    asked = {(r.subject_key, r.wd): r for d in dimensions for r in judges.judged(df, d, lambda: None).collect()}
+    monkeypatch.setattr(judges, "questions", lambda *a: pytest.fail("a question"))
+    offline = judges.unasked(df, *dimensions)
+    assert {(r.subject_key, r.wd): r for r in offline.collect()} == asked and len(asked) == 8
+    assert len({r.details for r in asked.values()}) >= 3
+    assert sorted(judges.judged(df, dimensions[1]).collect()) == sorted(r for (_, d), r in asked.items() if d == dimensions[1])
+    plan = offline._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "Exchange" not in plan
