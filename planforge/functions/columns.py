@@ -98,7 +98,8 @@ def course_code(c: Column | str) -> Column:
 
 
 def first_integer(c: Column | str) -> Column:
-    return F.regexp_extract(F.coalesce(col(c), F.lit("")), r"(?U)\d+", 0).try_cast("int")
+    # a cast of '' that fails costs an exception
+    return F.nullif(F.regexp_extract(F.coalesce(col(c), F.lit("")), r"(?U)\d+", 0), F.lit("")).try_cast("int")
 
 
 def number(t: Column) -> Column:

@@ -731,7 +731,7 @@ def audit_results(t):
     from ..operators import audit
 
     subjects, library = _subjects(t)
-    out = audit.results(audit.evaluate(audit.match(subjects, library), fields=("reason", "message")))
+    out = audit.results(audit.evaluate(audit.match(subjects, library), fields=("reason", "message"), passed=False))
     return out.select("subject_key", "match_status", "match_method", "fail_count", "warning_count", "overall_status", F.col("messages")[0].alias("message"), F.size("messages").alias("messages"), F.size("reasons").alias("reasons"))
 
 
