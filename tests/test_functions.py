@@ -277,3 +277,21 @@ def test_without_a_client_no_prompt_is_made(spark, monkeypatch):
     assert sorted(judges.judged(df, dimensions[1]).collect()) == sorted(r for (_, d), r in asked.items() if d == dimensions[1])
     plan = offline._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "Exchange" not in plan
+
+
+def test_plain_tables_need_no_tag_handlers(monkeypatch):
+    """Tables of rows and cells without attributes are read at once, as the handlers read them; all others by the handlers."""
+    import random
+
+    from planforge.functions import grids as G
+
+    r = random.Random(4)
+    bits = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "a", " ", "\n", "<td>b</td>", "<tr><td>c</td><td> d\n</td></tr>", "<table><tr><td>e</td></tr></table>", "<td colspan=\"2\">", "&amp;", "<br>", "<", ">", "<!-- x -->", "<TD>", "<tr></tr>"]
+    whole = ["x > y <table><tr><td>1</td><td> </td></tr> <tr><td>　z</td></tr></table> t\n<table></table><table><tr></tr><tr><td>q</td></tr></table>", "<table>w<tr><td>1</td></tr></table>"]
+    texts = whole + ["".join(r.choice(bits) for _ in range(r.randint(0, 14))) for _ in range(20000)] + ["<table>" + "".join(r.choice(bits[9:12] + bits[6:9] + bits[-1:]) for _ in range(r.randint(0, 5))) + "</table>" for _ in range(5000)]
+    plain = [G._plain_grids(t) for t in texts]
+    monkeypatch.setattr(G, "_plain_grids", lambda html: None)
+    for t, got in zip(texts, plain, strict=True):
+        assert got is None or got == G.html_grids(t), t
+    assert plain[0] == [[["1", None], ["z", None]], [[None], ["q"]]] and plain[1] is None
+    assert sum(bool(g) for g in plain) > 500
